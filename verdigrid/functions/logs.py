@@ -11,7 +11,7 @@ LOG_LINE = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})\s+([A-Z]+)\s+(.*) from (\S+)
 def log_fields(line: Column) -> Column:
     """A struct of the four fields, or null for a line of another form."""
     fields = F.struct(
-        F.regexp_extract(line, LOG_LINE, 1).alias("at"),
+        F.regexp_extract(line, LOG_LINE, 1).alias("logged_at"),
         F.regexp_extract(line, LOG_LINE, 2).alias("level"),
         F.regexp_extract(line, LOG_LINE, 3).alias("message"),
         F.regexp_extract(line, LOG_LINE, 4).alias("source"),

@@ -8,7 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from verdigrid.operators.joins import copartitioned_join, salted_join, small_side_join, with_each
+from verdigrid.operators.joins import (
+    MAX_BROADCAST_BYTES,
+    copartitioned_join,
+    measured_bytes,
+    salted_join,
+    small_side_join,
+    with_each,
+)
 from verdigrid.operators.layout import shared
 from verdigrid.plans.registry import Tables, query
 from verdigrid.shared import written
@@ -182,11 +189,12 @@ def broadcast(t: Tables):
     """SELECT s_suppkey, s_acctbal, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
 )
 def sql_hint(t: Tables):
-    """A strategy asked for in SQL. The merge hint holds for sides of any size."""
+    """A strategy asked for in SQL: broadcast for a side measured as small, else merge."""
     t.supplier.createOrReplaceTempView("supplier_side")
     t.nation.createOrReplaceTempView("nation_side")
+    hint = "BROADCAST" if measured_bytes(t.nation) <= MAX_BROADCAST_BYTES else "MERGE"
     return t.spark.sql(
-        """SELECT /*+ MERGE(n) */ s_suppkey, s_acctbal, n_name
+        f"""SELECT /*+ {hint}(n) */ s_suppkey, s_acctbal, n_name
            FROM supplier_side s JOIN nation_side n ON s_nationkey = n_nationkey"""
     )
 

@@ -42,9 +42,9 @@ def pivot_discover(t: Tables):
 @query(
     "pivot_multi_agg",
     """SELECT o_orderpriority,
-              count(*) FILTER (WHERE o_orderstatus = 'F') AS "F_n",
+              nullif(count(*) FILTER (WHERE o_orderstatus = 'F'), 0) AS "F_n",
               round(avg(o_totalprice) FILTER (WHERE o_orderstatus = 'F'), 6) AS "F_mean",
-              count(*) FILTER (WHERE o_orderstatus = 'O') AS "O_n",
+              nullif(count(*) FILTER (WHERE o_orderstatus = 'O'), 0) AS "O_n",
               round(avg(o_totalprice) FILTER (WHERE o_orderstatus = 'O'), 6) AS "O_mean"
        FROM orders GROUP BY 1""",
 )
@@ -52,7 +52,7 @@ def pivot_multi_agg(t: Tables):
     return (
         t.orders.groupBy("o_orderpriority")
         .pivot("o_orderstatus", ["F", "O"])
-        .agg(F.count("*").alias("n"), F.round(F.avg("o_totalprice"), 6).alias("mean"))
+        .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("o_totalprice"), 6).alias("mean"))
     )
 
 
@@ -77,7 +77,7 @@ def reshape_stack(t: Tables):
 
 @query(
     "reshape_unpivot",
-    f'UNPIVOT INCLUDE NULLS ({_WIDE}) ON "A", "N", "R" INTO NAME flag VALUE quantity',
+    f'SELECT * FROM ({_WIDE}) UNPIVOT INCLUDE NULLS (quantity FOR flag IN ("A", "N", "R"))',
 )
 def reshape_unpivot(t: Tables):
     return _wide(t).unpivot("l_partkey", ["A", "N", "R"], "flag", "quantity")
