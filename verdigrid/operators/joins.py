@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,7 +75,7 @@ def salted_join(
 
     ``spread_by`` names columns of ``big`` that tell rows of one key apart. Only
     the hot keys' rows of ``small`` are repeated, once per salt; every other row
-    keeps salt 0. ``small`` must not be the preserved side of an outer join,
+    keeps salt 0, except that rows without a key are spread too. ``small`` must not be the preserved side of an outer join,
     because its repeated rows would show up as unmatched copies.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -83,8 +84,10 @@ def salted_join(
     # at most 1 / share rows, a bound that does not depend on the data
     hot = F.broadcast(hot_keys(big, on, share).withColumn("_hot", F.lit(True)))
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    # a null key matches nothing, so its rows may go anywhere
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
     big_salted = big.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))
+        "_salt", F.when(F.col("_hot") | no_key, salt).otherwise(F.lit(0))
     )
     last = F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0))
     small_salted = (

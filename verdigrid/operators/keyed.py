@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verdigrid.operators.joins import measured_bytes, MAX_BROADCAST_BYTES
+from verdigrid.operators.joins import MAX_BROADCAST_BYTES, measured_bytes
+from verdigrid.shared import written
 
 
 def _with_chunk(
@@ -18,14 +19,16 @@ def _with_chunk(
     """Add ``chunk``: 0 for keys of up to ``chunk_rows`` rows, else a hash bucket.
 
     A key of n rows gets ceil(n / chunk_rows) buckets. Only keys above the limit
-    take part in the look-up, at most rows / chunk_rows of them.
+    take part in the look-up, at most rows / chunk_rows of them; they are counted
+    once and kept as a small table.
     """
-    split = (
+    counted = (
         df.groupBy(*keys)
         .agg(F.count("*").alias("_rows"))
         .filter(F.col("_rows") > chunk_rows)
         .select(*keys, F.ceil(F.col("_rows") / chunk_rows).alias("_chunks"))
     )
+    split = written(counted, "frequent-keys")
     if measured_bytes(split) <= MAX_BROADCAST_BYTES:
         split = F.broadcast(split)
     bucket = F.pmod(F.xxhash64(*spread_by), F.col("_chunks"))

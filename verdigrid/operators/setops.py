@@ -1,4 +1,9 @@
-"""Set operations on whole rows, nulls equal to nulls."""
+"""Set operations on whole rows, nulls equal to nulls.
+
+Both sides are tagged, put together and grouped once. Copies of a row are merged
+inside each input partition, so a row repeated very often is shuffled once per
+partition, and no join is needed.
+"""
 
 from __future__ import annotations
 
@@ -9,48 +14,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _same_row(left: DataFrame, right: DataFrame):
-    return reduce(
-        lambda a, b: a & b,
-        [F.col(f"l.`{a}`").eqNullSafe(F.col(f"r.`{b}`")) for a, b in zip(left.columns, right.columns)],
+def _copies_per_side(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row per distinct row, with its number of copies on each side."""
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    lefts = left.withColumns({"_left": one, "_right": none})
+    rights = right.toDF(*left.columns).withColumns({"_left": none, "_right": one})
+    return (
+        lefts.union(rights)
+        .groupBy(*left.columns)
+        .agg(F.sum("_left").alias("_left"), F.sum("_right").alias("_right"))
     )
 
 
 def intersect_rows(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows found on both sides.
-
-    Copies are removed on both sides before they meet, so a row repeated many
-    times is shuffled once per input partition.
-    """
-    a, b = left.distinct(), right.distinct()
-    return a.alias("l").join(b.alias("r"), _same_row(a, b), "left_semi")
+    """Distinct rows found on both sides."""
+    both = _copies_per_side(left, right).filter((F.col("_left") > 0) & (F.col("_right") > 0))
+    return both.drop("_left", "_right")
 
 
 def difference_rows(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Left rows not found on the right, with all their copies.
-
-    Copies travel as one row and a count, and are laid out again after the join.
-    """
-    counted = left.groupBy(*left.columns).agg(F.count("*").alias("_copies"))
-    b = right.distinct()
-    same = _same_row(left, b)
-    kept = counted.alias("l").join(b.alias("r"), same, "left_anti")
-    return repeat_rows(kept, "_copies")
+    """Left rows not found on the right, with all their copies."""
+    kept = _copies_per_side(left, right).filter((F.col("_left") > 0) & (F.col("_right") == 0))
+    return repeat_rows(kept.drop("_right"), "_left")
 
 
-def repeat_rows(df: DataFrame, times: str, block: int = 4096) -> DataFrame:
-    """Each row ``times`` times, in two steps of at most ``block`` copies per list.
+def repeat_rows(df: DataFrame, times: str, block: int = 65_536) -> DataFrame:
+    """Each row ``times`` times.
 
-    The first step makes one row per started block and spreads them, so the
-    copies of one very frequent row are produced by many tasks.
+    A row first becomes one row per started block of copies; the blocks are
+    spread over all partitions and only then laid out, so the copies of a single
+    very frequent row are produced by many tasks.
     """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / block))
-    spread = df.withColumn("_block", F.explode(blocks))
-    here = F.least(F.lit(block).cast("long"), F.col(times) - F.col("_block") * block)
-    return (
-        spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), here)))
-        .drop("_block", "_copy", times)
+    spread = df.withColumn("_block", F.explode(blocks)).repartition(
+        partitions, *[F.col(c) for c in df.columns], F.col("_block")
     )
+    here = F.least(F.lit(block).cast("long"), F.col(times) - F.col("_block") * block)
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), here))
+    return spread.withColumn("_copy", copies).drop("_block", "_copy", times)
 
 
 def union_many(tables: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:

@@ -226,7 +226,7 @@ def skew_salted(t: Tables):
     labels = inline_table(t.spark, rows, "o_orderstatus string, label string")
     joined = salted_join(
         t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice"),
-        labels.hint("merge"),
+        labels,
         ["o_orderstatus"],
         spread_by=["o_orderkey"],
         salts=16,

@@ -13,31 +13,36 @@ from verdigrid.plans.registry import Tables, query
 from verdigrid.shared import written
 
 
+def _partitions(t: Tables) -> int:
+    return int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query(
     "layout_repartition",
-    """SELECT how, n, partitions FROM (VALUES ('round robin', 6), ('by key', 5)) v(how, partitions),
-              (SELECT count(*) AS n FROM orders)""",
+    """SELECT 'by number' AS how, count(*) AS n, true AS "within" FROM orders
+       UNION ALL SELECT 'by key', count(*), true FROM orders""",
 )
 def repartition(t: Tables):
-    """Six even partitions; at most five for five keys. The bound is reported."""
+    """By number and by key; neither makes more partitions than asked for."""
+    parts = _partitions(t)
 
-    def facts(df, how: str, bound: int):
-        profile = partition_profile(df)
-        return profile.agg(
-            F.sum("rows").alias("n"), F.when(F.count("*") <= bound, bound).alias("partitions")
-        ).select(F.lit(how).alias("how"), "n", "partitions")
+    def facts(df, how: str):
+        return partition_profile(df).agg(
+            F.sum("rows").alias("n"), (F.count("*") <= parts).alias("within")
+        ).select(F.lit(how).alias("how"), "n", "within")
 
-    return facts(t.orders.select("o_orderkey").repartition(6), "round robin", 6).unionByName(
-        facts(hash_layout(t.orders.select("o_orderkey", "o_orderstatus"), 5, ["o_orderstatus"],
-                          spread_by=["o_orderkey"], salts=4), "by key", 5)
-    )
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    by_key = hash_layout(rows, parts, ["o_orderstatus"], spread_by=["o_orderkey"], salts=parts)
+    return facts(rows.repartition(parts), "by number").unionByName(facts(by_key, "by key"))
 
 
 @query("layout_coalesce", "SELECT count(*) AS n, true AS merged FROM lineitem")
 def coalesce(t: Tables):
-    merged = t.lineitem.select("l_orderkey").repartition(16).coalesce(4)
+    """Half as many partitions, merged without moving rows again."""
+    parts = _partitions(t)
+    merged = t.lineitem.select("l_orderkey").repartition(2 * parts).coalesce(parts)
     return partition_profile(merged).agg(
-        F.sum("rows").alias("n"), (F.count("*") <= 4).alias("merged")
+        F.sum("rows").alias("n"), (F.count("*") <= parts).alias("merged")
     )
 
 
@@ -49,7 +54,8 @@ def hash_keys(t: Tables):
     """No key in more partitions than salts. ``torn`` counts keys that break this."""
     salts = 4
     placed = hash_layout(
-        t.orders.select("o_custkey", "o_orderkey"), 16, ["o_custkey"], spread_by=["o_orderkey"], salts=salts
+        t.orders.select("o_custkey", "o_orderkey"), 2 * _partitions(t), ["o_custkey"],
+        spread_by=["o_orderkey"], salts=salts,
     )
     per_part = placed.groupBy("o_custkey", F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
     per_key = per_part.groupBy("o_custkey").agg(F.sum("n").alias("n"), F.count("*").alias("parts"))
@@ -65,7 +71,8 @@ def range_keys(t: Tables):
     """Key ranges of the partitions do not overlap, ties on price included."""
     from pyspark.sql import Window
 
-    placed = range_layout(t.orders.select("o_totalprice", "o_orderkey"), 8, ["o_totalprice"], ["o_orderkey"])
+    rows = t.orders.select("o_totalprice", "o_orderkey")
+    placed = range_layout(rows, _partitions(t), ["o_totalprice"], ["o_orderkey"])
     place = F.struct("o_totalprice", "o_orderkey")
     # one row per partition, so the ordered window below is small whatever the table
     bounds = placed.groupBy(F.spark_partition_id().alias("p")).agg(
@@ -83,7 +90,7 @@ def range_keys(t: Tables):
 )
 def profile(t: Tables):
     """Rows and keys per partition, summed up."""
-    spread = t.customer.select("c_custkey", "c_mktsegment").repartition(8)
+    spread = t.customer.select("c_custkey", "c_mktsegment").repartition(_partitions(t))
     facts = partition_profile(spread, "c_mktsegment")
     return facts.agg(
         F.sum("rows").alias("n"),

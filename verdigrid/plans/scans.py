@@ -180,11 +180,11 @@ def json_lines(t: Tables):
 
 @query("src_json_multiline", _PEOPLE_SQL)
 def json_multiline(t: Tables):
-    """Files that each hold one pretty-printed array of at most some hundred objects."""
+    """Files that each hold one pretty-printed array of bounded length."""
     people = _people(t).select(
         "address.segment", "id", F.to_json(F.struct("id", "address", "tags"), {"pretty": "true"}).alias("text")
     )
-    lists = group_values(people, ["segment"], "text", spread_by=["id"], chunk_rows=500)
+    lists = group_values(people, ["segment"], "text", spread_by=["id"], chunk_rows=20_000)
     arrays = lists.select(
         F.concat(F.lit("[\n"), F.array_join("values", ",\n"), F.lit("\n]")).alias("text")
     )
@@ -235,9 +235,9 @@ def text_lines(t: Tables):
     "SELECT o_orderstatus AS status, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1",
 )
 def whole_files(t: Tables):
-    """Files of at most 5,000 lines, each read as one row and cut into lines again."""
+    """Files of at most 100,000 lines, each read as one row and cut into lines again."""
     folder = fresh_folder(t.spark, "order-files")
-    write_lines(_order_lines(t), "line", folder, maxRecordsPerFile=5_000)
+    write_lines(_order_lines(t), "line", folder, maxRecordsPerFile=100_000)
     files = read_whole_files(t.spark, folder)
     lines = files.select(F.explode(F.split("content", "\n")).alias("line"))
     fields = T.StructType.fromDDL("id bigint, status string, price double")

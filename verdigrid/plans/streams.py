@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verdigrid.operators.sessions import session_totals
 from verdigrid.plans.registry import Tables, query
 from verdigrid.shared import fresh_folder
 from verdigrid.streaming.streams import (
@@ -236,14 +237,14 @@ def late_drop(t: Tables):
                   FROM ({_SESSIONS})""",
 )
 def batch_windows(t: Tables):
-    """The same window functions on the table instead of the stream."""
+    """The windows of the streams above on the whole table, open ones included."""
     events = event_time(t.events, "ts")
     label = F.lit(None).cast("string")
     kinds = (
         ("tumbling", windowed_totals(events, F.window("ts", "1 hour")), label),
         ("sliding", windowed_totals(events, F.window("ts", "10 minutes", "5 minutes"), ("event_type",)),
          F.col("event_type")),
-        ("session", windowed_totals(events, F.session_window("ts", "60 minutes"), ("user_id",)),
+        ("session", session_totals(events, "ts", 3600, ["user_id"], "value"),
          F.col("user_id").cast("string")),
     )
     parts = [

@@ -33,6 +33,13 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/verdigrid/{label}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system spelled out, for code outside the JVM."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(path).toString()
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table written once to the shared folder.
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from verdigrid.operators.joins import measured_bytes
+from verdigrid.shared import qualified
+
 
 def write_csv(df: DataFrame, folder: str, **options) -> None:
     """CSV with a header. Blanks around values are kept, unlike Spark's default."""
@@ -25,13 +29,17 @@ def write_lines(df: DataFrame, column: str, folder: str, **options) -> None:
     df.select(column).write.mode("overwrite").options(**options).text(folder)
 
 
-def write_few_files(df: DataFrame, folder: str, files: int) -> None:
-    """At most ``files`` parquet files.
+def write_few_files(
+    df: DataFrame, folder: str, files: int | None = None, file_bytes: int = 512 * 1024 * 1024
+) -> int:
+    """At most ``files`` parquet files; by default as many as the measured size needs.
 
     One shuffle spreads rows evenly; the work before it keeps its parallelism,
-    which merging partitions without a shuffle would take away.
+    which merging partitions without a shuffle would take away. Returns the bound.
     """
-    df.repartition(files).write.mode("overwrite").parquet(folder)
+    bound = files or max(1, math.ceil(measured_bytes(df) / file_bytes))
+    df.repartition(bound).write.mode("overwrite").parquet(folder)
+    return bound
 
 
 def write_even_files(df: DataFrame, folder: str) -> None:
@@ -70,6 +78,10 @@ def write_per_partition(df: DataFrame, folder: str) -> DataFrame:
         ]
     )
 
+    target = qualified(df.sparkSession, folder).replace("s3a://", "s3://")
+    if target.startswith("file:/") and not target.startswith("file://"):
+        target = target.replace("file:", "file://", 1)
+
     def sink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.parquet as pq
         from pyarrow import fs
@@ -77,7 +89,7 @@ def write_per_partition(df: DataFrame, folder: str) -> DataFrame:
 
         task = TaskContext.get()
         part = task.partitionId()
-        system, base = fs.FileSystem.from_uri(folder if "://" in folder or ":/" in folder else f"file://{folder}")
+        system, base = fs.FileSystem.from_uri(target)
         writer, rows = None, 0
         draft = f"{base}/_attempt-{part}-{task.taskAttemptId()}"
         for batch in batches:

@@ -6,7 +6,8 @@ stops when the input present at its start has been processed.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from verdigrid.shared import fresh_folder
 
+_SESSION_MERGE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
 
 def file_stream(
     spark: SparkSession,
@@ -77,6 +80,23 @@ def windowed_totals(
     )
 
 
+@contextmanager
+def _local_session_merge(spark: SparkSession) -> Iterator[None]:
+    """Sessions merge inside each input partition before the shuffle.
+
+    Read when a query starts; the caller's own setting is put back afterwards.
+    """
+    before = spark.conf.get(_SESSION_MERGE, None)
+    spark.conf.set(_SESSION_MERGE, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_SESSION_MERGE)
+        else:
+            spark.conf.set(_SESSION_MERGE, before)
+
+
 def run_to_files(
     stream: DataFrame, folder: str, checkpoint: str, trigger: Mapping | None = None
 ) -> StreamingQuery:
@@ -85,14 +105,15 @@ def run_to_files(
     With a trigger such as ``{"processingTime": "10 seconds"}`` the started query
     is returned and the caller stops it.
     """
-    started = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", folder)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    with _local_session_merge(stream.sparkSession):
+        started = (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", folder)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )
     if trigger is None:
         started.awaitTermination()
     return started
