@@ -1,4 +1,7 @@
-"""Compare queries with their SQL: check.py FOLDER [key-or-prefix ...]"""
+"""Compare queries with their SQL: check.py [--plain] FOLDER [key-or-prefix ...]
+
+``--plain`` uses a session without our settings, as another driver may bring.
+"""
 
 import os
 import sys
@@ -8,20 +11,30 @@ import traceback
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
+from pyspark.sql import SparkSession  # noqa: E402
+
 from oracle import connect, differences  # noqa: E402
 
 from verdigrid.session import build_session  # noqa: E402
 
 
 def main() -> int:
-    folder, wanted = sys.argv[1], sys.argv[2:]
+    plain = "--plain" in sys.argv
+    folder, *wanted = [a for a in sys.argv[1:] if a != "--plain"]
     from verdigrid.plans import QUERIES
 
-    spark = build_session(
-        master="local[8]", shuffle_partitions=8,
-        **{"spark.ui.enabled": "false", "spark.driver.memory": "12g",
-           "spark.ui.showConsoleProgress": "false"},
-    )
+    local = {
+        "spark.ui.enabled": "false",
+        "spark.driver.memory": "12g",
+        "spark.ui.showConsoleProgress": "false",
+    }
+    if plain:
+        builder = SparkSession.builder.master("local[8]")
+        for name, value in local.items():
+            builder = builder.config(name, value)
+        spark = builder.getOrCreate()
+    else:
+        spark = build_session(master="local[8]", shuffle_partitions=8, **local)
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(folder), []
     for key, q in QUERIES.items():

@@ -13,7 +13,7 @@ def session_totals(
 ) -> DataFrame:
     """Count and sum per session; the same result as grouping by ``session_window``.
 
-    Two events less than the gap apart share a session, so all events of a key in
+    Two events at most the gap apart share a session, so all events of a key in
     one tick of that length do. They are merged to one row before the shuffle and
     after it; what must then be ordered per key is one row per tick with events,
     a number set by the time span and not by the number of events.
@@ -29,7 +29,7 @@ def session_totals(
     )
     in_order = Window.partitionBy(*keys).orderBy("_tick")
     pause = F.unix_micros("_first") - F.unix_micros(F.lag("_last").over(in_order))
-    starts = F.when(pause < gap, 0).otherwise(1)
+    starts = F.when(pause <= gap, 0).otherwise(1)
     numbered = ticks.withColumn("_starts", starts).withColumn(
         "_session", F.sum("_starts").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
     )

@@ -182,25 +182,23 @@ def having(t: Tables):
 
 @query(
     "udaf_grouped",
-    """SELECT event_type, round(exp(avg(ln(value))), 6) AS geometric_mean
+    """SELECT event_type, round(sqrt(avg(value * value)), 6) AS root_mean_square
        FROM events GROUP BY event_type""",
 )
 def udaf(t: Tables):
-    """Geometric mean as a custom state of (rows, sum of logarithms)."""
-    import numpy as np
-
-    state = T.StructType([T.StructField("rows", T.LongType()), T.StructField("logs", T.DoubleType())])
+    """Root mean square as a custom state of (rows, sum of squares)."""
+    state = T.StructType().add("rows", T.LongType()).add("squares", T.DoubleType())
     means = combine_by_key(
         t.events,
         "event_type",
         "value",
-        create=lambda v: {"rows": int(v.size), "logs": float(np.log(v).sum())},
-        merge=lambda s: {"rows": int(s["rows"].sum()), "logs": float(s["logs"].sum())},
-        finish=lambda s: float(np.exp(s["logs"] / s["rows"])),
+        create=lambda v: {"rows": int(v.size), "squares": float((v * v).sum())},
+        merge=lambda s: {"rows": int(s["rows"].sum()), "squares": float(s["squares"].sum())},
+        finish=lambda s: (s["squares"] / s["rows"]) ** 0.5,
         state=state,
-        result="geometric_mean",
+        result="root_mean_square",
     )
-    return means.select("event_type", F.round("geometric_mean", 6).alias("geometric_mean"))
+    return means.select("event_type", F.round("root_mean_square", 6).alias("root_mean_square"))
 
 
 @query(

@@ -61,7 +61,7 @@ _SESSIONS = """SELECT min(ts) AS window_start, max(ts) + INTERVAL 60 MINUTE AS w
                       count(*) AS n, round(sum(value), 2) AS total
                FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session
                      FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)
-                                               < INTERVAL 60 MINUTE THEN 0 ELSE 1 END AS fresh FROM events))
+                                               <= INTERVAL 60 MINUTE THEN 0 ELSE 1 END AS fresh FROM events))
                GROUP BY user_id, session"""
 
 
