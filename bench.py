@@ -17,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from verdigrid.plans import QUERIES  # noqa: E402
 from verdigrid.session import build_session  # noqa: E402
+from verdigrid.shared import discard_folders  # noqa: E402
 
 HEADLINE = (
     "pipe_banded_summary",
@@ -45,6 +46,7 @@ HEADLINE = (
     "join_anti",
     "join_star",
     "join_sort_merge",
+    "join_shuffle_hash",
     "join_skew_salted",
     "join_copartitioned",
     "join_reused_side",
@@ -111,6 +113,7 @@ def main() -> None:
             }
         )
     )
+    discard_folders(spark)
     spark.stop()
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verdigrid.shared import fresh_folder, shared_root, written
+from verdigrid.shared import fresh_folder, qualified, shared_root, written
 from verdigrid.sources import quality, readers, writers
 
 SCHEMA = (
@@ -154,6 +154,14 @@ def test_delimited_records(spark, rows):
     assert rows(readers.parse_delimited(df, schema)) == [("Ann", 32, 5200.0), ("Ben", None, 1.0), ("Cat", 5, None)]
 
 
+def test_schema_contract(spark, rows):
+    df = spark.createDataFrame([("a", 1)], "name string, id int")
+    wide = T.StructType().add("id", T.LongType()).add("name", T.StringType())
+    assert rows(readers.conform(df, wide)) == [(1, "a")]
+    with pytest.raises(Exception, match="INVALID_COLUMN_OR_FIELD_DATA_TYPE"):
+        readers.conform(df, T.StructType().add("name", T.IntegerType())).collect()
+
+
 def test_jdbc_options_describe_a_partitioned_read():
     options = readers.jdbc_options("jdbc:x:y", "t", "id", 0, 100, 8, user="u")
     assert options["numPartitions"] == "8" and options["partitionColumn"] == "id" and options["user"] == "u"
@@ -197,5 +205,6 @@ def test_shared_folder_comes_from_the_setting(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert shared_root(spark) == root.rstrip("/")
     assert fresh_folder(spark, "x").startswith(root) and fresh_folder(spark, "x") != fresh_folder(spark, "x")
+    assert qualified(spark, "/x/y").startswith("file:/")
     kept = written(spark.range(10), "kept")
     assert kept.count() == 10 and "Range" not in kept._jdf.queryExecution().optimizedPlan().toString()

@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from oracle import connect, differences  # noqa: E402
 
 from verdigrid.session import build_session  # noqa: E402
+from verdigrid.shared import discard_folders  # noqa: E402
 
 
 def main() -> int:
@@ -54,6 +55,7 @@ def main() -> int:
             bad.append(key)
         print(f"{'BAD ' if problem else 'ok  '}{key:28s} {time.time() - begin:6.2f}s {state}", flush=True)
     print(f"{len(bad)} bad: {bad}")
+    discard_folders(spark)
     return bool(bad)
 
 

@@ -20,8 +20,8 @@ def session_totals(
     """
     gap = gap_seconds * 1_000_000
     micros = F.unix_micros(ts)
-    tick = (micros - F.pmod(micros, F.lit(gap))) / gap
-    ticks = df.groupBy(*keys, tick.cast("long").alias("_tick")).agg(
+    tick = micros - F.pmod(micros, F.lit(gap))
+    ticks = df.groupBy(*keys, tick.alias("_tick")).agg(
         F.min(ts).alias("_first"),
         F.max(ts).alias("_last"),
         F.count("*").alias("_n"),

@@ -212,6 +212,23 @@ def sort_merge(t: Tables):
     )
 
 
+@query(
+    "join_shuffle_hash",
+    """SELECT p_type, count(*) AS n, round(sum(quantity), 2) AS quantity FROM part
+       JOIN (SELECT l_partkey, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1)
+         ON p_partkey = l_partkey GROUP BY p_type""",
+)
+def shuffle_hash(t: Tables):
+    """Two shuffled sides of unique keys; the smaller one is hashed instead of sorted."""
+    sold = t.lineitem.groupBy("l_partkey").agg(F.sum("l_quantity").alias("quantity"))
+    part = t.part.select("p_partkey", "p_type").hint("shuffle_hash")
+    return (
+        sold.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .groupBy("p_type")
+        .agg(F.count("*").alias("n"), F.round(F.sum("quantity"), 2).alias("quantity"))
+    )
+
+
 @query(
     "join_skew_salted",
     """SELECT p.o_orderstatus, p.label, count(*) AS n, round(sum(o_totalprice), 2) AS total

@@ -6,10 +6,15 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from verdigrid.session import pin_results
 
 
+# Footers are read once per table; later reads start without that extra job.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 @dataclass(frozen=True)
 class Tables:
     """The parquet tables of one scale-factor folder, by attribute name."""
@@ -20,7 +25,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder.rstrip('/')}/{name}.parquet")
+        path = f"{self.folder.rstrip('/')}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 @dataclass(frozen=True)

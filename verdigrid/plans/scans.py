@@ -22,6 +22,7 @@ from verdigrid.sources.quality import (
     with_reason,
 )
 from verdigrid.sources.readers import (
+    conform,
     inline_table,
     parse_delimited,
     read_csv,
@@ -283,7 +284,7 @@ def delimited(t: Tables):
     folder = fresh_folder(t.spark, "delimited")
     write_lines(lines, "line", folder)
     schema = T.StructType.fromDDL("name string, nation int, balance double, segment string")
-    people = parse_delimited(read_lines(t.spark, folder), schema)
+    people = conform(parse_delimited(read_lines(t.spark, folder), schema), schema)
     return people.groupBy("segment").agg(
         F.round(F.avg("balance"), 6).alias("mean"), F.count("*").alias("n")
     )

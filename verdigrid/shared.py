@@ -28,9 +28,19 @@ def shared_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/verdigrid/{spark.sparkContext.applicationId}"
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A path nobody else uses, so a repeated run never meets old files."""
-    return f"{shared_root(spark)}/verdigrid/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def discard_folders(spark: SparkSession) -> None:
+    """Delete what this application wrote with ``fresh_folder``; call it last."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def qualified(spark: SparkSession, folder: str) -> str:

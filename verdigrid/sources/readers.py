@@ -87,6 +87,11 @@ def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Dat
     return spark.createDataFrame(list(rows), schema)
 
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The table under a schema contract: columns by name, safe casts, an error otherwise."""
+    return df.to(schema)
+
+
 def parse_delimited(
     lines: DataFrame,
     schema: T.StructType,
