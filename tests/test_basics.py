@@ -224,6 +224,9 @@ def test_log_lines(spark, rows):
     assert ("2024-01-15 08:00:01", "INFO", "User signed in", "192.168.1.10") in rows(parsed)
     assert ("2024-01-15 08:02:45", "ERROR", "Refused from x", "10.0.0.5") in rows(parsed)
     assert tuple(log_metrics(lines).first()) == (5, 4, 2, 80.0)
+    odd = ["2024-01-15 08:00:01 INFO  from a", "2024-01-15 08:00:01 INFO x  from  from a", "2024-01-15 08:00:01 INFO x from a b", None]
+    parsed = parse_log(spark.createDataFrame([(x,) for x in odd], "line string"))
+    assert rows(parsed, "message", "source") == [("", "a"), ("x  from ", "a")]
     assert tuple(log_metrics(lines.limit(0)).first()) == (0, 0, 0, None)
 
 
