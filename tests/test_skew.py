@@ -108,26 +108,47 @@ def test_cogroup(spark, rows):
     assert sorted(v for r in split.collect() for v in r["right_values"]) == [1.0, 2.0]
 
 
-STATE = T.StructType().add("n", T.LongType()).add("lo", T.DoubleType()).add("hi", T.DoubleType())
-
-
 @pytest.mark.parametrize("open_keys", [50_000, 3])
-def test_custom_aggregate(spark, open_keys):
+@pytest.mark.parametrize("key", ["k", "big"])
+def test_custom_aggregate(spark, open_keys, key):
+    """Also for a key with nulls and for numbers beyond the exact range of a double."""
+    big = F.when(F.col("id") % 7 != 0, F.lit(2**62) + F.col("id") % 5)
+    df = skewed(spark).withColumn("big", big)
     out = combine_by_key(
-        skewed(spark).repartition(7),
-        "k",
-        "v",
-        create=lambda v: {"n": len(v), "lo": float(v.min()), "hi": float(v.max())},
-        merge=lambda s: {"n": int(s["n"].sum()), "lo": float(s["lo"].min()), "hi": float(s["hi"].max())},
+        df.repartition(7),
+        key,
+        ["v"],
+        create=lambda g: g.agg(n=("v", "size"), lo=("v", "min"), hi=("v", "max")),
+        merge=lambda g: g.agg(n=("n", "sum"), lo=("lo", "min"), hi=("hi", "max")),
         finish=lambda s: s["n"] * 1000 + s["hi"] - s["lo"],
-        state=STATE,
+        state=T.StructType().add("n", T.LongType()).add("lo", T.DoubleType()).add("hi", T.DoubleType()),
+        result=T.StructField("result", T.DoubleType()),
         salts=4,
         max_open_keys=open_keys,
     )
-    want = skewed(spark).filter("k IS NOT NULL").groupBy("k").agg(
-        (F.count("*") * 1000 + F.max("v") - F.min("v")).alias("result")
-    )
-    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+    want = df.groupBy(key).agg((F.count("*") * 1000 + F.max("v") - F.min("v")).alias("result"))
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_custom_aggregate_of_a_key_over_many_batches(spark):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = combine_by_key(
+            skewed(spark),
+            "k",
+            ["v"],
+            create=lambda g: g.agg(n=("v", "size")),
+            merge=lambda g: g.agg(n=("n", "sum")),
+            finish=lambda s: s["n"].astype(float),
+            state=T.StructType().add("n", T.LongType()),
+            result=T.StructField("n", T.DoubleType()),
+            max_open_keys=2,
+        )
+        got = {r["k"]: r["n"] for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == {r["k"]: r["count"] for r in skewed(spark).groupBy("k").count().collect()}
 
 
 @pytest.mark.parametrize("partitions", [1, 4, 16])
@@ -160,6 +181,16 @@ def test_samples(spark, rows):
     assert sample_rows_with_replacement(df.limit(0), 5, ["id"]).count() == 0
 
 
+def test_large_sample_equals_small_sample(spark, rows, monkeypatch):
+    from verdigrid.operators import ordering
+
+    want = {n: rows(sample_rows(skewed(spark), n, ["id"])) for n in (1, 17, 500, N, N + 1)}
+    monkeypatch.setattr(ordering, "MAX_HEAP_ROWS", 0)
+    monkeypatch.setattr(ordering, "_DIGITS", 1)
+    for n, expected in want.items():
+        assert rows(sample_rows(skewed(spark), n, ["id"])) == expected
+
+
 def test_difference_with_many_copies(spark):
     left = skewed(spark).select("k")
     right = spark.createDataFrame([("k10",)], "k string")

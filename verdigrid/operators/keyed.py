@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pandas.core.groupby import DataFrameGroupBy
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,64 +92,82 @@ def cogroup_values(
 def combine_by_key(
     df: DataFrame,
     key: str,
-    value: str,
-    create: Callable[[pd.Series], dict],
-    merge: Callable[[pd.DataFrame], dict],
-    finish: Callable[[dict], float],
+    columns: Sequence[str],
+    create: Callable[[DataFrameGroupBy], pd.DataFrame],
+    merge: Callable[[DataFrameGroupBy], pd.DataFrame],
+    finish: Callable[[pd.DataFrame], pd.Series],
     state: T.StructType,
-    result: str = "result",
+    result: T.StructField,
     salts: int = 32,
     max_open_keys: int = 50_000,
 ) -> DataFrame:
     """A custom aggregate with its own state type, combined in three steps.
 
-    ``create`` turns the values of one key in one batch into a state, ``merge``
-    turns rows of states into one state, ``finish`` turns a state into a double.
+    All three functions work on many keys at once: ``create`` turns ``columns``
+    grouped by key into one state per key, ``merge`` does the same for states,
+    ``finish`` turns states into results.
 
     1. Inside each input partition states are merged batch by batch; no rows are
-       shuffled, only states. At most ``max_open_keys`` states are held at once.
+       shuffled, only states. About ``max_open_keys`` states are held at once.
     2. States meet per (key, salt), so a hot key is merged by ``salts`` tasks.
     3. The last merge sees at most ``salts`` states of a key.
+
+    Steps 2 and 3 pass over sorted states and hold one batch at a time.
     """
-    key_field = df.schema[key]
     names = [f.name for f in state.fields]
-    partial_schema = T.StructType([key_field, T.StructField("_salt", T.IntegerType()), *state.fields])
+    # as text, a key with nulls keeps its exact value on the way through pandas
+    key_text = T.StructField(key, T.StringType())
+    states_schema = T.StructType([key_text, T.StructField("_salt", T.IntegerType()), *state.fields])
+
+    def per_key(frame: pd.DataFrame, function) -> pd.DataFrame:
+        grouped = frame.groupby(key, dropna=False, sort=False)
+        states = function(grouped).reset_index()[[key, *names]]
+        # plain objects: Arrow-backed strings come back from pandas in chunks
+        return states.astype({key: object})
 
     def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         salt = TaskContext.get().partitionId() % salts
-        held: dict = {}
-
-        def flush() -> pd.DataFrame:
-            rows = [{key: k, "_salt": salt, **s} for k, s in held.items()]
-            held.clear()
-            return pd.DataFrame(rows, columns=[key, "_salt", *names])
-
+        held = None
         for batch in batches:
-            for k, values in batch.groupby(key, sort=False)[value]:
-                new = create(values)
-                held[k] = merge(pd.DataFrame([held[k], new])) if k in held else new
+            if batch.empty:
+                continue
+            new = per_key(batch, create)
+            held = new if held is None else per_key(pd.concat([held, new]), merge)
             if len(held) > max_open_keys:
-                yield flush()
-        if held:
-            yield flush()
+                yield held.assign(_salt=salt)
+                held = None
+        if held is not None:
+            yield held.assign(_salt=salt)
 
-    def merge_salt(pdf: pd.DataFrame) -> pd.DataFrame:
-        merged = merge(pdf[names])
-        return pd.DataFrame([{key: pdf[key].iloc[0], "_salt": pdf["_salt"].iloc[0], **merged}])
-
-    def merge_key(pdf: pd.DataFrame) -> pd.DataFrame:
-        merged = merge(pdf[names])
-        return pd.DataFrame([{key: pdf[key].iloc[0], result: float(finish(merged))}])
-
-    final_schema = T.StructType([key_field, T.StructField(result, T.DoubleType())])
-    return (
-        df.select(key, value)
-        .filter(F.col(key).isNotNull())
-        .mapInPandas(partials, partial_schema)
-        .groupBy(key, "_salt")
-        .applyInPandas(merge_salt, partial_schema)
-        .groupBy(key)
-        .applyInPandas(merge_key, final_schema)
+    def merge_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = None  # the newest key may go on in the next batch
+        for batch in batches:
+            if batch.empty:
+                continue
+            merged = per_key(batch if last is None else pd.concat([last, batch]), merge)
+            yield merged.iloc[:-1]
+            last = merged.iloc[-1:]
+        if last is not None:
+            yield last
+
+    def merge_salts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for merged in merge_sorted(batches):
+            yield merged.assign(_salt=0)
+
+    def finish_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for merged in merge_sorted(batches):
+            yield pd.DataFrame({key: merged[key], result.name: finish(merged)})
+
+    combined = (
+        df.select(F.col(key).cast("string").alias(key), *columns)
+        .mapInPandas(partials, states_schema)
+        .repartition(key, "_salt")
+        .sortWithinPartitions(key)
+        .mapInPandas(merge_salts, states_schema)
+        .repartition(key)
+        .sortWithinPartitions(key)
+        .mapInPandas(finish_keys, T.StructType([key_text, result]))
     )
+    return combined.withColumn(key, F.col(key).cast(df.schema[key].dataType))

@@ -11,6 +11,8 @@ from pyspark.sql import Window
 from verdigrid.shared import written
 
 _POSITION_BITS = 33
+_DIGITS = 4
+MAX_HEAP_ROWS = 100_000
 
 
 def index_rows(
@@ -63,12 +65,29 @@ def _draw(seed: int, *columns: str) -> Column:
 def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 7) -> DataFrame:
     """Exactly ``n`` random rows without replacement, the same for any layout.
 
-    ``key`` must identify a row. Each partition keeps a heap of its ``n`` smallest
-    draws; nothing else is shuffled.
+    ``key`` must identify a row. The rows with the ``n`` smallest draws are taken:
+    a small sample by a heap per partition, a large one by first finding, from
+    counts per leading digits, below which digits all rows belong to it.
     """
-    return (
-        df.withColumn("_draw", _draw(seed, *key)).orderBy("_draw", *key).limit(n).drop("_draw")
+    drawn = df.withColumn("_draw", _draw(seed, *key))
+    if n <= MAX_HEAP_ROWS:
+        return drawn.orderBy("_draw", *key).limit(n).drop("_draw")
+    digits = F.substring("_draw", 1, _DIGITS)
+    counts = drawn.groupBy(digits.alias("_digits")).agg(F.count("*").alias("_rows"))
+    # at most 16 ** 4 rows, so one ordered window is bounded
+    so_far = F.sum("_rows").over(Window.orderBy("_digits"))
+    edge = (
+        counts.withColumn("_so_far", so_far)
+        .filter(F.col("_so_far") >= n)
+        .orderBy("_digits")
+        .first()
     )
+    if edge is None:
+        return df
+    missing = n - (edge["_so_far"] - edge["_rows"])
+    below = drawn.filter(digits < edge["_digits"])
+    last = drawn.filter(digits == edge["_digits"]).orderBy("_draw", *key).limit(missing)
+    return below.unionByName(last).drop("_draw")
 
 
 def sample_rows_with_replacement(

@@ -187,16 +187,16 @@ def having(t: Tables):
 )
 def udaf(t: Tables):
     """Root mean square as a custom state of (rows, sum of squares)."""
-    state = T.StructType().add("rows", T.LongType()).add("squares", T.DoubleType())
+    squares = t.events.withColumn("square", F.col("value") * F.col("value"))
     means = combine_by_key(
-        t.events,
+        squares,
         "event_type",
-        "value",
-        create=lambda v: {"rows": int(v.size), "squares": float((v * v).sum())},
-        merge=lambda s: {"rows": int(s["rows"].sum()), "squares": float(s["squares"].sum())},
+        ["square"],
+        create=lambda g: g.agg(rows=("square", "size"), squares=("square", "sum")),
+        merge=lambda g: g.agg(rows=("rows", "sum"), squares=("squares", "sum")),
         finish=lambda s: (s["squares"] / s["rows"]) ** 0.5,
-        state=state,
-        result="root_mean_square",
+        state=T.StructType().add("rows", T.LongType()).add("squares", T.DoubleType()),
+        result=T.StructField("root_mean_square", T.DoubleType()),
     )
     return means.select("event_type", F.round("root_mean_square", 6).alias("root_mean_square"))
 
