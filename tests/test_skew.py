@@ -84,17 +84,28 @@ def test_group_values_splits_hot_groups_and_loses_nothing(spark):
     for r in skewed(spark).collect():
         want[r["k"]][r["v"]] += 1
     assert got.keys() == want.keys()
-    assert all(got[k] == want[k] for k in want if k is not None)
+    assert all(got[k] == want[k] for k in want)
     assert max(len(r["values"]) for r in lists) < 2 * limit
     assert sum(r["k"] == "hot" for r in lists) == 9
     assert all(r["chunk"] == 0 for r in lists if r["k"] != "hot")
 
 
-def test_group_values_beyond_the_broadcast_bound(spark, monkeypatch):
-    from verdigrid.operators import keyed
+def test_group_values_keeps_missing_values_and_splits_rows_without_a_key(spark):
+    df = spark.range(1000).select(
+        "id",
+        F.when(F.col("id") % 5 == 0, F.lit("a")).alias("k"),
+        F.when(F.col("id") % 2 == 0, F.col("id")).alias("v"),
+    )
+    lists = group_values(df, ["k"], "v", spread_by=["id"], chunk_rows=200).collect()
+    assert sum(len(r["values"]) for r in lists) == 1000
+    assert sum(v is None for r in lists for v in r["values"]) == 500
+    assert sum(r["k"] is None for r in lists) == 4 and sum(r["k"] == "a" for r in lists) == 1
+    both = cogroup_values(df, df, ["k"], "v", "v", ["id"], ["id"], chunk_rows=200).collect()
+    assert all(r["left_values"] == r["right_values"] for r in both) and len(both) == 5
+
 
-    monkeypatch.setattr(keyed, "MAX_BROADCAST_BYTES", -1)
-    lists = group_values(skewed(spark), ["k"], "v", spread_by=["id"], chunk_rows=300)
+def test_group_values_without_broadcast(plain):
+    lists = group_values(skewed(plain), ["k"], "v", spread_by=["id"], chunk_rows=300)
     assert lists.agg(F.sum(F.size("values"))).first()[0] == N
 
 

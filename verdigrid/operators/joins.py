@@ -52,13 +52,11 @@ def small_side_join(
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
     """Keys that hold more than ``share`` of all rows: at most ``1 / share`` of them.
 
-    One grouped count with map-side combine. The total is taken from the grouped
-    counts, so the input is read once.
+    Only grouped counts are shuffled, and the total is the sum of these.
     """
     counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    total = counts.agg(F.sum("_rows").alias("_total"))
-    # one row against the grouped counts: a scalar comparison, not a product
-    limit = (total.first()["_total"] or 0) * share
+    total = counts.agg(F.sum("_rows").alias("_total")).first()["_total"]
+    limit = (total or 0) * share
     return counts.filter(F.col("_rows") > F.lit(limit)).select(*keys)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pandas.core.groupby import DataFrameGroupBy
@@ -10,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verdigrid.operators.joins import MAX_BROADCAST_BYTES, measured_bytes
 from verdigrid.shared import written
 
 
@@ -19,27 +19,38 @@ def _with_chunk(
 ) -> DataFrame:
     """Add ``chunk``: 0 for keys of up to ``chunk_rows`` rows, else a hash bucket.
 
-    A key of n rows gets ceil(n / chunk_rows) buckets. Only keys above the limit
-    take part in the look-up, at most rows / chunk_rows of them; they are counted
-    once and kept as a small table.
+    A key of n rows gets ceil(n / chunk_rows) buckets; rows without a key count
+    as one key. Only keys above the limit take part in the look-up, at most
+    rows / chunk_rows of them; they are counted once and kept as a small table.
     """
-    counted = (
-        df.groupBy(*keys)
+    frequent = (
+        df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
         .agg(F.count("*").alias("_rows"))
         .filter(F.col("_rows") > chunk_rows)
-        .select(*keys, F.ceil(F.col("_rows") / chunk_rows).alias("_chunks"))
+        .select(*[f"_{k}" for k in keys], F.ceil(F.col("_rows") / chunk_rows).alias("_chunks"))
+    )
+    # read back from files, so Spark knows the true size and chooses the join by it
+    split = written(frequent, "frequent-keys")
+    same_key = reduce(
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     )
-    split = written(counted, "frequent-keys")
-    if measured_bytes(split) <= MAX_BROADCAST_BYTES:
-        split = F.broadcast(split)
     bucket = F.pmod(F.xxhash64(*spread_by), F.col("_chunks"))
-    return (
-        df.join(split, list(keys), "left")
-        .withColumn("chunk", F.coalesce(bucket, F.lit(0)).cast("long"))
-        .drop("_chunks")
+    return df.join(split, same_key, "left").withColumn(
+        "chunk", F.coalesce(bucket, F.lit(0)).cast("long")
     )
 
 
+def _sorted_values(df: DataFrame, value: str, present: Column) -> Column:
+    """The values of a group in order, missing ones first.
+
+    ``present`` is null for rows that belong to the other side. A collected list
+    leaves missing values out, so they are counted and put back.
+    """
+    missing = F.lit(None).cast(df.schema[value].dataType)
+    absent = (F.count(present) - F.count(value)).cast("int")
+    return F.concat(F.array_repeat(missing, absent), F.sort_array(F.collect_list(value)))
+
+
 def group_values(
     df: DataFrame,
     keys: Sequence[str],
@@ -55,9 +66,8 @@ def group_values(
     ``spread_by`` names columns that tell rows of one key apart.
     """
     chunked = _with_chunk(df, keys, spread_by, chunk_rows)
-    return chunked.groupBy(*keys, "chunk").agg(
-        F.sort_array(F.collect_list(value)).alias("values")
-    )
+    values = _sorted_values(chunked, value, F.lit(1))
+    return chunked.groupBy(*keys, "chunk").agg(values.alias("values"))
 
 
 def cogroup_values(
@@ -73,19 +83,19 @@ def cogroup_values(
     """Both sides' values per key, a side without the key giving an empty list.
 
     Result: keys, ``chunk``, ``left_values``, ``right_values``; chunks as in
-    ``group_values``.
+    ``group_values``. Both sides are put together and grouped once.
     """
-    lefts = group_values(left, keys, left_value, left_spread, chunk_rows)
-    rights = group_values(right, keys, right_value, right_spread, chunk_rows)
-    lefts = lefts.withColumnRenamed("values", "left_values")
-    rights = rights.withColumnRenamed("values", "right_values")
 
-    def or_empty(name: str, source: DataFrame) -> Column:
-        empty = F.array().cast(source.schema[name].dataType)
-        return F.coalesce(F.col(name), empty).alias(name)
+    def side(df: DataFrame, value: str, spread_by: Sequence[str], name: str) -> DataFrame:
+        chunked = _with_chunk(df, keys, spread_by, chunk_rows)
+        return chunked.select(*keys, "chunk", F.col(value).alias(name), F.lit(1).alias(f"{name}_row"))
 
-    return lefts.join(rights, [*keys, "chunk"], "full").select(
-        *keys, "chunk", or_empty("left_values", lefts), or_empty("right_values", rights)
+    both = side(left, left_value, left_spread, "_left").unionByName(
+        side(right, right_value, right_spread, "_right"), allowMissingColumns=True
+    )
+    return both.groupBy(*keys, "chunk").agg(
+        _sorted_values(both, "_left", F.col("_left_row")).alias("left_values"),
+        _sorted_values(both, "_right", F.col("_right_row")).alias("right_values"),
     )
 
 

@@ -16,11 +16,15 @@ MAX_HEAP_ROWS = 100_000
 
 
 def index_rows(
-    df: DataFrame, order_by: Sequence[str], name: str = "index", partitions: int | None = None
+    df: DataFrame,
+    order_by: Sequence[str | Column],
+    name: str = "index",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Number all rows 0, 1, 2, ... in the order of ``order_by``.
 
-    ``order_by`` must order the rows uniquely. Rows are range-partitioned and
+    ``order_by`` may name columns or say direction and place of nulls; it must
+    order the rows uniquely. Rows are range-partitioned and
     sorted, numbered inside their partition, and written once; the numbers of
     rows in the partitions before (one row per partition) are then added. The
     written table keeps the numbers fixed when a task is run again.

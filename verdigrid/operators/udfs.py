@@ -25,12 +25,12 @@ def lookup_udf(mapping: Mapping[str, str], default: str):
     return look_up
 
 
-def running_share(df: DataFrame, value: str, ceiling: float, name: str) -> DataFrame:
-    """Partition-wise map: set up once per partition, then batch by batch."""
+def percent_of(df: DataFrame, value: str, whole: float, name: str) -> DataFrame:
+    """``value`` in percent of ``whole``: set up once per partition, then batch by batch."""
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())])
 
     def scaled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        factor = 100.0 / ceiling  # the one set-up of this partition
+        factor = 100.0 / whole  # the one set-up of this partition
         for batch in batches:
             yield batch.assign(**{name: batch[value] * factor})
 

@@ -26,20 +26,22 @@ def sort_multi(t: Tables):
 @query(
     "sort_nulls",
     """WITH o AS (SELECT o_orderkey, nullif(o_orderpriority, '4-NOT SPECIFIED') AS priority FROM orders)
-       SELECT * FROM (SELECT 'last' AS nulls, priority, o_orderkey FROM o
-                      ORDER BY priority DESC NULLS LAST, o_orderkey LIMIT 50)
+       SELECT 'last' AS nulls, priority, o_orderkey,
+              row_number() OVER (ORDER BY priority DESC NULLS LAST, o_orderkey) - 1 AS position FROM o
        UNION ALL
-       SELECT * FROM (SELECT 'first' AS nulls, priority, o_orderkey FROM o
-                      ORDER BY priority ASC NULLS FIRST, o_orderkey LIMIT 50)""",
+       SELECT 'first', priority, o_orderkey,
+              row_number() OVER (ORDER BY priority ASC NULLS FIRST, o_orderkey) - 1 FROM o""",
 )
 def sort_nulls(t: Tables):
+    """Both places of nulls, with every row's position in the order."""
     o = t.orders.select(
         "o_orderkey", F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")).alias("priority")
     )
-    last = o.orderBy(F.col("priority").desc_nulls_last(), "o_orderkey").limit(50)
-    first = o.orderBy(F.col("priority").asc_nulls_first(), "o_orderkey").limit(50)
-    return last.select(F.lit("last").alias("nulls"), "priority", "o_orderkey").unionByName(
-        first.select(F.lit("first").alias("nulls"), "priority", "o_orderkey")
+    last = index_rows(o, [F.col("priority").desc_nulls_last(), F.col("o_orderkey")], "position")
+    first = index_rows(o, [F.col("priority").asc_nulls_first(), F.col("o_orderkey")], "position")
+    shape = ("priority", "o_orderkey", "position")
+    return last.select(F.lit("last").alias("nulls"), *shape).unionByName(
+        first.select(F.lit("first").alias("nulls"), *shape)
     )
 
 

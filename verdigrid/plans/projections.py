@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from verdigrid.operators.udfs import running_share
+from verdigrid.operators.udfs import percent_of
 from verdigrid.plans.registry import Tables, query
 
 
@@ -94,8 +94,8 @@ def map_elements(t: Tables):
     """SELECT p_partkey, CAST(p_size * 2 AS DOUBLE) AS share FROM part""",
 )
 def map_partitions(t: Tables):
-    shared = running_share(t.part.select("p_partkey", "p_size"), "p_size", 50.0, "share")
-    return shared.select("p_partkey", F.round("share", 6).alias("share"))
+    shares = percent_of(t.part.select("p_partkey", "p_size"), "p_size", 50.0, "share")
+    return shares.select("p_partkey", F.round("share", 6).alias("share"))
 
 
 @query(

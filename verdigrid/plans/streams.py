@@ -30,10 +30,15 @@ from verdigrid.streaming.streams import (
 _DELAY = "10 minutes"
 
 
-def event_stream(t: Tables, folder: str | None = None):
+# Bounds a micro-batch, so a failure repeats little work. Not used with a watermark:
+# there the batch boundaries decide which rows are late.
+_FILES_PER_BATCH = 10_000
+
+
+def event_stream(t: Tables, files_per_batch: int | None = None):
     """The events file as a stream, its time column ready for a watermark."""
     source = file_stream(
-        t.spark, folder or t.folder, t.events.schema, glob=None if folder else "events.parquet"
+        t.spark, t.folder, t.events.schema, glob="events.parquet", files_per_batch=files_per_batch
     )
     return event_time(source, "ts")
 
@@ -70,13 +75,13 @@ _SESSIONS = """SELECT min(ts) AS window_start, max(ts) + INTERVAL 60 MINUTE AS w
     "SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase' AND value > 50",
 )
 def file_filter(t: Tables):
-    kept = event_stream(t).filter((F.col("event_type") == "purchase") & (F.col("value") > 50))
+    kept = event_stream(t, _FILES_PER_BATCH).filter((F.col("event_type") == "purchase") & (F.col("value") > 50))
     return stream_to_table(kept.select("event_id", "user_id", "value"), "filtered")
 
 
 @query("stream_file_sink", "SELECT event_id, event_type, value FROM events")
 def file_sink(t: Tables):
-    return stream_to_table(event_stream(t).select("event_id", "event_type", "value"), "sink")
+    return stream_to_table(event_stream(t, _FILES_PER_BATCH).select("event_id", "event_type", "value"), "sink")
 
 
 @query(
@@ -91,7 +96,7 @@ def envelope_decode(t: Tables):
         F.col("user_id").cast("string").cast("binary").alias("key"), payload.cast("binary").alias("value")
     ).write.parquet(folder)
     schema = T.StructType().add("key", T.BinaryType()).add("value", T.BinaryType())
-    messages = file_stream(t.spark, folder, schema)
+    messages = file_stream(t.spark, folder, schema, files_per_batch=_FILES_PER_BATCH)
     decoded = decode_messages(messages, "event_id bigint, user_id bigint, event_type string, value double")
     return stream_to_table(decoded.filter(F.col("value") > 20), "decoded")
 
@@ -102,7 +107,7 @@ def envelope_decode(t: Tables):
 )
 def running_agg(t: Tables):
     """Complete mode: every batch replaces the whole result."""
-    totals = event_stream(t).groupBy("event_type").agg(
+    totals = event_stream(t, _FILES_PER_BATCH).groupBy("event_type").agg(
         F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")
     )
     folder = fresh_folder(t.spark, "running")
@@ -172,7 +177,7 @@ def restart(t: Tables):
 def foreach_batch(t: Tables):
     """A sink of our own, called once per batch and replacing what it wrote for it."""
     folder = fresh_folder(t.spark, "per-batch")
-    rows = event_stream(t).select("event_type", "user_id")
+    rows = event_stream(t, _FILES_PER_BATCH).select("event_type", "user_id")
     write = batch_folder_writer(folder)
 
     def count_and_write(batch, number: int) -> None:

@@ -15,6 +15,8 @@ SCALE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join also where that costs a shuffle after it.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Stream state outgrows the heap at scale, so it lives in RocksDB, and

@@ -102,6 +102,8 @@ def write_per_partition(df: DataFrame, folder: str) -> DataFrame:
             return
         writer.close()
         final = f"{base}/part-{part:06d}.parquet"
+        if system.get_file_info(final).type != fs.FileType.NotFound:
+            system.delete_file(final)
         system.move(draft, final)
         yield pa.RecordBatch.from_pylist(
             [{"partition": part, "rows": rows, "file": final}],
