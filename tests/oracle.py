@@ -18,6 +18,8 @@ def connect(folder: str):
     con = duckdb.connect()
     for name in TABLES:
         path = os.path.join(folder, f"{name}.parquet")
+        if os.path.isdir(path):
+            path = os.path.join(path, "*.parquet")
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
     return con
 

@@ -78,6 +78,12 @@ def test_quarantine_splits_in_one_pass(spark, bad_csv, rows):
     assert all(r[0] for r in rows(bad, quality.CORRUPT))
 
 
+def test_quarantine_without_bad_or_any_rows(spark):
+    for df in (spark.range(3), spark.range(0)):
+        good, bad = quality.quarantine(df, F.col("id") < 0, "q")
+        assert (good.count(), bad.count()) == (df.count(), 0)
+
+
 def test_bad_json(spark, tmp_path, rows):
     path = put(str(tmp_path), "bad.json", ['{"id": 1, "name": "A"}', '{"id": 2, "na', '{"id": 3, "name": null}'])
     schema = T.StructType().add("id", T.IntegerType()).add("name", T.StringType())

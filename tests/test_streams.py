@@ -7,17 +7,21 @@ from pyspark.sql import functions as F
 
 from verdigrid.operators.layout import shared, shared_view
 from verdigrid.operators.metrics import number_metrics, observed
+from verdigrid.plans.registry import Tables
+from verdigrid.plans.streams import event_stream
 from verdigrid.shared import fresh_folder
 from verdigrid.streaming.streams import (
     batch_folder_writer,
     decode_messages,
     event_time,
     file_stream,
+    latest_batch,
     latest_per_key,
     rate_stream,
     read_batches,
     run_batches,
     run_to_files,
+    stream_to_table,
     windowed_totals,
 )
 
@@ -85,6 +89,20 @@ def test_update_batches_leave_the_newest_value_per_key(spark):
     assert newest == {"a": 4.0, "b": 2.0, "c": 4.0}
 
 
+def test_a_stream_without_input(spark, tmp_path):
+    stream = file_stream(spark, str(tmp_path), SCHEMA).select("k", "value")
+    assert stream_to_table(stream, "nothing").count() == 0
+    changes = read_batches(spark, fresh_folder(spark, "none"), stream.schema)
+    assert changes.count() == 0 and latest_batch(changes).count() == 0
+
+
+def test_events_may_be_a_folder_of_files(spark, tables, tmp_path):
+    tables.events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    (tmp_path / "events.parquet.old").mkdir()
+    rows_in = stream_to_table(event_stream(Tables(spark, str(tmp_path)), 1).select("event_id"), "folder")
+    assert rows_in.count() == tables.events.count()
+
+
 def test_a_repeated_batch_replaces_its_rows(spark):
     out = fresh_folder(spark, "out")
     write = batch_folder_writer(out)

@@ -36,10 +36,13 @@ _FILES_PER_BATCH = 10_000
 
 
 def event_stream(t: Tables, files_per_batch: int | None = None):
-    """The events file as a stream, its time column ready for a watermark."""
-    source = file_stream(
-        t.spark, t.folder, t.events.schema, glob="events.parquet", files_per_batch=files_per_batch
-    )
+    """The events as a stream, its time column ready for a watermark.
+
+    The path is a pattern: a table may be one file or a folder of files, and a
+    stream takes a single file only through a pattern.
+    """
+    path = f"{t.folder.rstrip('/')}/{{events.parquet}}"
+    source = file_stream(t.spark, path, t.events.schema, files_per_batch=files_per_batch)
     return event_time(source, "ts")
 
 

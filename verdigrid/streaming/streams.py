@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -150,10 +151,20 @@ def batch_folder_writer(folder: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def read_sink(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """What a sink wrote; nothing if no batch has arrived yet."""
+    try:
+        return spark.read.schema(schema).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_batches(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """Everything ``batch_folder_writer`` wrote, with the batch number."""
     full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    return spark.read.schema(full).option("basePath", folder).parquet(folder)
+    return read_sink(spark, folder, full)
 
 
 def latest_per_key(changes: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -177,4 +188,4 @@ def stream_to_table(stream: DataFrame, label: str) -> DataFrame:
     spark = stream.sparkSession
     folder = fresh_folder(spark, label)
     run_to_files(stream, folder, fresh_folder(spark, f"{label}-checkpoint"))
-    return spark.read.schema(stream.schema).parquet(folder)
+    return read_sink(spark, folder, stream.schema)
