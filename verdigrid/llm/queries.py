@@ -10,6 +10,7 @@ from verdigrid.llm import repetition
 from verdigrid.llm.repetition import quality_rules
 from verdigrid.llm.secrets import scan_secrets
 from verdigrid.llm.simhash import simhash_groups
+from verdigrid.llm.toxicity import fit_toxicity, score_toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_SQL: dict[str, str] = {}
@@ -42,3 +43,9 @@ def simhash(spark: SparkSession, folder: str) -> DataFrame:
 @_register("op10_quality_rules", repetition.SQL)
 def rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(_table(spark, folder, "documents"))
+
+
+@_register("op8_toxicity")
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, _table(spark, folder, "labels")))
