@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from verdigrid.llm import repetition
+from verdigrid.llm.bytenet import fit_quality, score_quality
 from verdigrid.llm.repetition import quality_rules
 from verdigrid.llm.secrets import scan_secrets
 from verdigrid.llm.simhash import simhash_groups
@@ -49,3 +50,9 @@ def rules(spark: SparkSession, folder: str) -> DataFrame:
 def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return score_toxicity(docs, fit_toxicity(docs, _table(spark, folder, "labels")))
+
+
+@_register("op6_quality_classifier")
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return score_quality(docs, fit_quality(docs, _table(spark, folder, "labels")))
