@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdigrid.llm import repetition
+from verdigrid.llm import repetition, topk
 from verdigrid.llm.bytenet import fit_quality, score_quality
+from verdigrid.llm.packing import pack
 from verdigrid.llm.repetition import quality_rules
 from verdigrid.llm.secrets import scan_secrets
+from verdigrid.llm.sharding import shard_documents
 from verdigrid.llm.simhash import simhash_groups
+from verdigrid.llm.topk import top_k
 from verdigrid.llm.toxicity import fit_toxicity, score_toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +59,18 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return score_quality(docs, fit_quality(docs, _table(spark, folder, "labels")))
+
+
+@_register("op4_best_fit_packing")
+def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(_table(spark, folder, "documents"))
+
+
+@_register("op5_sharding")
+def sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return shard_documents(_table(spark, folder, "documents"))
+
+
+@_register("op7_exact_top_k", topk.SQL)
+def exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(_table(spark, folder, "embeddings"))
