@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from verdigrid.llm import repetition, topk
 from verdigrid.llm.bytenet import fit_quality, score_quality
 from verdigrid.llm.packing import pack
+from verdigrid.llm.pieces import encode_pieces
 from verdigrid.llm.repetition import quality_rules
 from verdigrid.llm.secrets import scan_secrets
 from verdigrid.llm.sharding import shard_documents
 from verdigrid.llm.simhash import simhash_groups
+from verdigrid.llm.tokenfiles import token_files
 from verdigrid.llm.topk import top_k
 from verdigrid.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -74,3 +77,15 @@ def sharding(spark: SparkSession, folder: str) -> DataFrame:
 @_register("op7_exact_top_k", topk.SQL)
 def exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(_table(spark, folder, "embeddings"))
+
+
+@_register("op2_token_files")
+def token_id_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return token_files(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_register("op3_sentencepiece")
+def sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
