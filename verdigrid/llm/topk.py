@@ -77,7 +77,7 @@ class Block:
         lengths = np.array([len(v) for _, v in queries])
         for n in np.unique(lengths):
             at = np.flatnonzero(lengths == n)
-            self.by_length[int(n)] = at, np.array([queries[i][1] for i in at]).reshape(-1, n)
+            self.by_length[int(n)] = at, np.array([queries[i][1] for i in at], float).reshape(len(at), int(n))
 
     def scored(self, batches):
         """Places of queries, row ids, scores, and which of them count."""
