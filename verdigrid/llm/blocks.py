@@ -88,6 +88,14 @@ def keep_where(docs: DataFrame, verdict: Callable[[Block], np.ndarray]) -> DataF
     return docs.mapInArrow(run, docs.schema)
 
 
+def bounded(df: DataFrame, rows: int) -> pa.Table:
+    """A result that has at most ``rows`` rows whatever the input; more is an error."""
+    table = df.limit(rows + 1).toArrow()
+    if table.num_rows > rows:
+        raise ValueError(f"a result meant to have at most {rows} rows has more")
+    return table
+
+
 def held_out(doc_id: Column) -> Column:
     """True for rows that no label is learnt from; a null id counts as ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4 == 2

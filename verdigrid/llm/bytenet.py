@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdigrid.llm.blocks import Block, held_out, measure
+from verdigrid.llm.blocks import Block, bounded, held_out, measure
 from verdigrid.llm.labelled import labelled_sample
 
 THRESHOLD = 0.7
@@ -167,21 +167,23 @@ def fit_quality(
     Documents are taken in the order of the sample as long as their texts fit.
     """
     sample = labelled_sample(docs, labels, "quality", sample_rows)
-    sizes = (
-        sample.select("doc_id", "place", F.octet_length("text").alias("size"))
-        .orderBy("place", "doc_id")
-        .toPandas()
-    )
+    sizes = bounded(
+        sample.select("doc_id", "place", F.octet_length("text").alias("size")).orderBy(
+            "place", "doc_id"
+        ),
+        sample_rows,
+    ).to_pandas()
     within = sizes[sizes["size"].cumsum() <= sample_bytes]
     net = ByteNet()
     if len(within):
         last = int(within["place"].iloc[-1])
         chosen = within[["doc_id"]].astype("int64")
-        texts = (
-            sample.where(F.col("place") <= last)
-            .select("doc_id", "place", F.col("text").cast("binary").alias("text"), "label")
-            .toPandas()
-        )
+        texts = bounded(
+            sample.where(F.col("place") <= last).select(
+                "doc_id", "place", F.col("text").cast("binary").alias("text"), "label"
+            ),
+            sample_rows,
+        ).to_pandas()
         texts = texts[texts["doc_id"].isin(chosen["doc_id"])].sort_values(["place", "doc_id"])
         net.fit([np.frombuffer(t, np.uint8) for t in texts["text"]], texts["label"].to_numpy())
     return net

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from verdigrid.llm.blocks import bounded
+
 K = 5
 EVERY = 50
 SCALE = 256.0
@@ -203,11 +205,10 @@ def _located(rows: DataFrame, block: Block, k: int) -> tuple[np.ndarray, np.ndar
     base, high = np.zeros(n, np.int64), np.zeros(n, np.int64)
     total = np.zeros(n, np.int64)
     spread = rows.mapInArrow(_extremes(block, k), "q long, low long, high long, n long")
-    for r in (
-        spread.groupBy("q")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
-        .collect()  # one row per query of the block
-    ):
+    extremes = spread.groupBy("q").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")
+    )
+    for r in bounded(extremes, n).to_pylist():
         base[r["q"]], high[r["q"]], total[r["q"]] = r["low"], r["high"], r["n"]
     wanted = np.minimum(k, total)  # still to find, from the top of the range
     # Bits of the range in which the k-th score is known to lie.
@@ -229,9 +230,8 @@ def _located(rows: DataFrame, block: Block, k: int) -> tuple[np.ndarray, np.ndar
             counts.withColumn("wanted", F.element_at(asked, (F.col("q") + 1).cast("int")))
             .where((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted")))
             .select("q", "bin", (F.col("upto") - F.col("n")).alias("above"))
-            .collect()  # one row per query of the block
         )
-        for r in found:
+        for r in bounded(found, n).to_pylist():
             q = r["q"]
             base[q] = int(base[q]) + (r["bin"] << int(shift[q]))
             wanted[q] -= r["above"]
