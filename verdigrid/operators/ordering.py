@@ -33,21 +33,24 @@ def index_rows(
     placed = (
         df.repartitionByRange(ranges, *order_by)
         .sortWithinPartitions(*order_by)
-        .withColumn("_place", F.monotonically_increasing_id())
+        .withColumn("_part", F.spark_partition_id().cast("long"))
+        # The id begins at the partition's number times 2 ** 33; the difference is the
+        # position also in a partition of more rows than that.
+        .withColumn(
+            "_place",
+            F.monotonically_increasing_id() - F.shiftleft("_part", _POSITION_BITS),
+        )
     )
     placed = written(placed, "indexed")
-    part = F.shiftright("_place", _POSITION_BITS)
-    position = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"))
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
     # one row per range partition, so a single ordered window is bounded
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
     return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_offset") + position)
+        placed.join(F.broadcast(offsets), "_part")
+        .withColumn(name, F.col("_offset") + F.col("_place"))
         .drop("_part", "_place", "_offset")
     )
 
@@ -55,10 +58,12 @@ def index_rows(
 def zip_rows(
     left: DataFrame, right: DataFrame, left_order: Sequence[str], right_order: Sequence[str]
 ) -> DataFrame:
-    """Pair the n-th row of each side; both sides must have the same length."""
-    lefts = index_rows(left, left_order, "_index")
-    rights = index_rows(right, right_order, "_index")
-    return lefts.join(rights, "_index", "inner").drop("_index")
+    """Pair the n-th row of each side; the run fails if one side is longer."""
+    lefts = index_rows(left, left_order, "_index").withColumn("_left", F.lit(True))
+    rights = index_rows(right, right_order, "_index").withColumn("_right", F.lit(True))
+    unequal = F.raise_error("zip_rows: the sides have different lengths").cast("boolean")
+    paired = F.when(F.col("_left") & F.col("_right"), F.lit(True)).otherwise(unequal)
+    return lefts.join(rights, "_index", "full").filter(paired).drop("_index", "_left", "_right")
 
 
 def _draw(seed: int, *columns: str) -> Column:

@@ -75,9 +75,8 @@ def count_nulls(t: Tables):
        FROM part GROUP BY p_type""",
 )
 def short_forms(t: Tables):
-    counts = t.part.groupBy("p_type").count().withColumnRenamed("count", "n")
-    sums = t.part.groupBy("p_type").sum("p_size").withColumnRenamed("sum(p_size)", "size_sum")
-    return counts.join(sums, "p_type")
+    short = t.part.groupBy("p_type").agg({"*": "count", "p_size": "sum"})
+    return short.withColumnsRenamed({"count(1)": "n", "sum(p_size)": "size_sum"})
 
 
 @query(

@@ -45,13 +45,15 @@ def pivot_discover(t: Tables):
               nullif(count(*) FILTER (WHERE o_orderstatus = 'F'), 0) AS "F_n",
               round(avg(o_totalprice) FILTER (WHERE o_orderstatus = 'F'), 6) AS "F_mean",
               nullif(count(*) FILTER (WHERE o_orderstatus = 'O'), 0) AS "O_n",
-              round(avg(o_totalprice) FILTER (WHERE o_orderstatus = 'O'), 6) AS "O_mean"
+              round(avg(o_totalprice) FILTER (WHERE o_orderstatus = 'O'), 6) AS "O_mean",
+              nullif(count(*) FILTER (WHERE o_orderstatus = 'P'), 0) AS "P_n",
+              round(avg(o_totalprice) FILTER (WHERE o_orderstatus = 'P'), 6) AS "P_mean"
        FROM orders GROUP BY 1""",
 )
 def pivot_multi_agg(t: Tables):
     return (
         t.orders.groupBy("o_orderpriority")
-        .pivot("o_orderstatus", ["F", "O"])
+        .pivot("o_orderstatus", ["F", "O", "P"])
         .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("o_totalprice"), 6).alias("mean"))
     )
 
