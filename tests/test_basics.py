@@ -28,17 +28,17 @@ def ints(spark, values):
 
 
 def test_population_stats(spark):
-    r = numbers(spark, [3, 1, 4, 1, 5, 9, 2, 6, 5, 3]).agg(*population_stats("x")).first()
-    assert (r["count"], r["sum"], r["min"], r["max"]) == (10, 39.0, 1.0, 9.0)
-    assert r["mean"] == pytest.approx(3.9)
-    assert r["variance"] == pytest.approx(5.49)
-    assert r["stdev"] == pytest.approx(2.3431, abs=1e-4)
+    r = numbers(spark, [12, -4, 7.5, 0, 7.5, 30, -11, 2]).agg(*population_stats("x")).first()
+    assert (r["count"], r["sum"], r["min"], r["max"]) == (8, 44.0, -11.0, 30.0)
+    assert r["mean"] == pytest.approx(5.5)
+    assert r["variance"] == pytest.approx(131.9375)
+    assert r["stdev"] == pytest.approx(11.4864, abs=1e-4)
 
 
 def test_sample_and_population_deviation_differ(spark):
-    df = numbers(spark, [3, 1, 4])
-    assert df.agg(*population_stats("x")).first()["stdev"] == pytest.approx(1.2472, abs=1e-4)
-    assert describe_columns(df, ["x"]).first()["stddev"] == pytest.approx(1.5275, abs=1e-4)
+    df = numbers(spark, [2, 2, 8])
+    assert df.agg(*population_stats("x")).first()["stdev"] == pytest.approx(2.8284, abs=1e-4)
+    assert describe_columns(df, ["x"]).first()["stddev"] == pytest.approx(3.4641, abs=1e-4)
 
 
 def test_describe_skips_nulls_and_returns_numbers(spark):
@@ -49,19 +49,19 @@ def test_describe_skips_nulls_and_returns_numbers(spark):
 
 
 def test_reduce_and_fold(spark):
-    df = ints(spark, range(1, 11))
+    df = ints(spark, [2, 5, -3])
     r = df.agg(F.sum("x").alias("s"), F.product("x").alias("p"), F.max("x").alias("m")).first()
-    assert (r["s"], r["p"], r["m"]) == (55, 3628800.0, 10)
+    assert (r["s"], r["p"], r["m"]) == (4, -30.0, 5)
     empty = df.filter("x > 10").agg(fold_sum("x").alias("s"), fold_product("x").alias("p")).first()
     assert (empty["s"], empty["p"]) == (0, 1.0)
 
 
 def test_set_operations(spark, rows):
-    a, b = ints(spark, range(1, 6)), ints(spark, range(3, 8))
-    assert a.union(b).count() == 10
-    assert rows(intersect_rows(a, b)) == [(3,), (4,), (5,)]
-    assert rows(difference_rows(a, b)) == [(1,), (2,)]
-    assert rows(a.union(b).distinct()) == [(i,) for i in range(1, 8)]
+    a, b = ints(spark, [4, 6, 8, 9]), ints(spark, [6, 9, 7])
+    assert a.union(b).count() == 7
+    assert rows(intersect_rows(a, b)) == [(6,), (9,)]
+    assert rows(difference_rows(a, b)) == [(4,), (8,)]
+    assert rows(a.union(b).distinct()) == [(4,), (6,), (7,), (8,), (9,)]
 
 
 def test_difference_keeps_left_copies(spark, rows):
@@ -96,63 +96,68 @@ def test_union_many_and_missing_columns(spark, rows):
 
 
 def test_bands_take_the_first_floor(spark):
-    df = ints(spark, [92, 78, 65, 55, 40])
-    grade = banded("x", [(89, "A"), (79, "B"), (69, "C"), (59, "D")], "F")
-    assert [r[0] for r in df.orderBy(F.desc("x")).select(grade).collect()] == list("ACDFF")
+    df = ints(spark, [-3, 1, 5, 8, 100])
+    size = banded("x", [(50, "huge"), (6, "big"), (2, "middle")], "small")
+    found = [r[0] for r in df.orderBy("x").select(size).collect()]
+    assert found == ["small", "small", "middle", "big", "huge"]
 
 
-def six(spark):
+def sparse(spark):
+    """One full column; NaN without any null beside it; a row of nulls but for its id."""
     return spark.createDataFrame(
         [
-            (1, "Ann", 32, 5200.0, "France"),
-            (2, "Ben", None, 4800.0, "UK"),
-            (3, None, 28, None, "France"),
-            (4, "Dan", 55, 7100.0, None),
-            (5, "Eve", 38, NAN, "France"),
-            (6, "Fay", None, None, None),
+            (10, "o", 7, NAN, "north"),
+            (11, "p", 3, -2.5, "south"),
+            (12, "q", None, 0.25, None),
+            (13, None, None, None, None),
+            (14, "r", 9, None, "north"),
+            (15, "s", 1, 4.0, "east"),
+            (16, "t", None, 8.0, "east"),
         ],
-        "id int, name string, age int, salary double, country string",
+        "id int, tag string, level int, reading double, site string",
     )
 
 
 def test_null_profile(spark):
-    assert tuple(null_profile(six(spark)).first()) == (0, 1, 2, 2, 2)
+    assert tuple(null_profile(sparse(spark)).first()) == (0, 1, 3, 2, 2)
 
 
 def test_nan_counts_as_missing_when_dropping_and_filling(spark):
-    df = six(spark)
-    assert df.na.drop("any").count() == 1
-    assert df.na.drop("all").count() == 6
-    assert df.na.drop(subset=["name"]).count() == 5
-    filled = {r["id"]: r["salary"] for r in df.na.fill({"salary": -1.0}).collect()}
-    assert filled[5] == -1.0 and filled[3] == -1.0
+    df = sparse(spark)
+    assert df.na.drop("any").count() == 2
+    assert df.na.drop("all").count() == 7
+    assert df.na.drop(subset=["tag"]).count() == 6
+    filled = {r["id"]: r["reading"] for r in df.na.fill({"reading": -9.0}).collect()}
+    assert filled[10] == filled[13] == filled[14] == -9.0
 
 
 def test_null_order(spark):
-    got = [r["salary"] for r in six(spark).orderBy(F.col("salary").asc_nulls_last(), "id").collect()]
-    assert got[:3] == [4800.0, 5200.0, 7100.0] and math.isnan(got[3]) and got[4:] == [None, None]
-    assert six(spark).orderBy(F.asc("salary")).first()["salary"] is None
+    df = sparse(spark)
+    got = [r["reading"] for r in df.orderBy(F.col("reading").asc_nulls_last(), "id").collect()]
+    assert got[:4] == [-2.5, 0.25, 4.0, 8.0] and math.isnan(got[4]) and got[5:] == [None, None]
+    assert df.orderBy(F.asc("reading")).first()["reading"] is None
 
 
 def test_null_safe_equality(spark, rows):
-    assert rows(six(spark).filter(F.col("country").eqNullSafe(F.lit(None))), "id") == [(4,), (6,)]
+    assert rows(sparse(spark).filter(F.col("site").eqNullSafe(F.lit(None))), "id") == [(12,), (13,)]
 
 
 def test_clean_number_and_status(spark, rows):
-    df = spark.createDataFrame([(1, 5000.0), (2, None), (3, NAN), (4, -1.0)], "id int, s double")
+    df = spark.createDataFrame([(1, 0.5), (2, NAN), (3, -7.25), (4, None)], "id int, s double")
     out = df.select("id", clean_number(F.col("s")), number_status(F.col("s")))
     assert rows(out) == [
-        (1, 5000.0, "ok"), (2, 0.0, "missing"), (3, 0.0, "not a number"), (4, -1.0, "negative"),
+        (1, 0.5, "ok"), (2, 0.0, "not a number"), (3, -7.25, "negative"), (4, 0.0, "missing"),
     ]
 
 
 def test_clean_table(spark):
-    df = six(spark).unionByName(
-        spark.createDataFrame([(None, None, None, NAN, None)], six(spark).schema)
-    ).unionByName(spark.createDataFrame([(None, "Gus", 1, 1.0, "UK")], six(spark).schema))
-    out = clean_table(df, {"name": "?", "age": -1, "country": "?"}, "salary", "id")
-    assert out.count() == 6
-    assert {r["id"]: r["salary"] for r in out.collect()}[5] == 0.0
+    schema = sparse(spark).schema
+    nameless = spark.createDataFrame([(None, None, None, NAN, None), (None, "w", 2, 3.0, "east")], schema)
+    out = clean_table(
+        sparse(spark).unionByName(nameless), {"tag": "?", "level": -1, "site": "?"}, "reading", "id"
+    )
+    assert out.count() == 7
+    assert {r["id"]: r["reading"] for r in out.collect()}[10] == 0.0
 
 
 def test_literal_lookup_and_udf_agree(spark, rows):
@@ -173,12 +178,13 @@ def test_product_with_a_list(spark, rows):
 
 def test_explode_variants(spark):
     df = spark.createDataFrame(
-        [(1, ["a", "b", "c"]), (2, ["d", "e"]), (3, []), (4, None)], "id int, s array<string>"
+        [(1, ["k"]), (2, None), (3, ["m", "n", "o", "p"]), (4, []), (5, [None])],
+        "id int, s array<string>",
     )
-    assert df.select(F.explode("s")).count() == 5
-    assert df.select(F.explode_outer("s")).count() == 7
-    assert df.select(F.posexplode("s")).count() == 5
-    assert df.select(F.posexplode_outer("s")).count() == 7
+    assert df.select(F.explode("s")).count() == 6
+    assert df.select(F.explode_outer("s")).count() == 8
+    assert df.select(F.posexplode("s")).count() == 6
+    assert df.select(F.posexplode_outer("s")).count() == 8
 
 
 def test_flatten_any_depth(spark):
@@ -199,31 +205,34 @@ def test_flatten_refuses_clashing_names(spark):
 
 def wide(spark):
     return spark.createDataFrame(
-        [("N", 1.0, 2.0, 3.0), ("S", 4.0, None, 5.0), ("E", 6.0, 7.0, 8.0), ("W", 9.0, 1.0, 2.0)],
-        "region string, e double, f double, a double",
+        [("u", None, 0.5, 2.0), ("v", None, None, None), ("w", 3.5, -4.0, None)],
+        "place string, d double, m double, s double",
     )
 
 
 def test_stack_drops_empty_cells_and_unpivot_keeps_them(spark):
-    assert stack_columns(wide(spark), ["region"], ["e", "f", "a"], "kind", "v").count() == 11
-    assert wide(spark).unpivot("region", ["e", "f", "a"], "kind", "v").count() == 12
+    assert stack_columns(wide(spark), ["place"], ["d", "m", "s"], "kind", "v").count() == 4
+    assert wide(spark).unpivot("place", ["d", "m", "s"], "kind", "v").count() == 9
 
 
 LOG = [
-    "2024-01-15 08:00:01 INFO  User signed in from 192.168.1.10",
-    "2024-01-15 08:00:15 ERROR Base failed from 10.0.0.5",
-    "2024-01-15 08:01:00 WARN  High memory from 192.168.1.10",
-    "2024-01-15 BROKEN",
-    "2024-01-15 08:02:45 ERROR Refused from x from 10.0.0.5",
+    "2031-11-02 23:59:58 WARN  disk nearly full from node-7",
+    "",
+    "2031-11-03 00:00:00 ERROR write turned down from node-3",
+    "no stamp at all",
+    "2031-11-03 00:00:04 INFO  back from rest from node-7",
+    "2031-11-03 00:00:09 ERROR",
+    "2031-11-03 00:00:11 ERROR again from node-3",
+    "2031-11-03 00:00:12 ERROR out of reach from node-9",
 ]
 
 
 def test_log_lines(spark, rows):
     lines = spark.createDataFrame([(x,) for x in LOG], "line string")
     parsed = parse_log(lines)
-    assert ("2024-01-15 08:00:01", "INFO", "User signed in", "192.168.1.10") in rows(parsed)
-    assert ("2024-01-15 08:02:45", "ERROR", "Refused from x", "10.0.0.5") in rows(parsed)
-    assert tuple(log_metrics(lines).first()) == (5, 4, 2, 80.0)
+    assert ("2031-11-02 23:59:58", "WARN", "disk nearly full", "node-7") in rows(parsed)
+    assert ("2031-11-03 00:00:04", "INFO", "back from rest", "node-7") in rows(parsed)
+    assert tuple(log_metrics(lines).first()) == (8, 5, 3, 62.5)
     odd = ["2024-01-15 08:00:01 INFO  from a", "2024-01-15 08:00:01 INFO x  from  from a", "2024-01-15 08:00:01 INFO x from a b", None]
     parsed = parse_log(spark.createDataFrame([(x,) for x in odd], "line string"))
     assert rows(parsed, "message", "source") == [("", "a"), ("x  from ", "a")]

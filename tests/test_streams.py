@@ -142,12 +142,12 @@ def test_windows_do_not_depend_on_partitions(spark, tables, rows, partitions):
 
 
 def test_observation_counts_once(spark):
-    df = spark.createDataFrame([(5200.0,), (None,), (4800.0,), (None,), (6100.0,), (5500.0,)], "x double")
+    df = spark.createDataFrame([(None,), (-3.0,), (10.5,), (None,), (None,), (0.0,), (4.5,)], "x double")
     counted, observation = observed(df, number_metrics("x"))
     counted.collect()
     counted.collect()
     got = observation.get
-    assert (got["rows"], got["missing"], got["sum"], got["avg"]) == (6, 2, 21600.0, 5400.0)
+    assert (got["rows"], got["missing"], got["sum"], got["avg"]) == (7, 3, 12.0, 3.0)
 
 
 def test_observation_of_nothing(spark):

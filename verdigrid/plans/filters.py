@@ -31,30 +31,26 @@ def sql_string(t: Tables):
 @query(
     "filter_logic",
     """SELECT o_orderkey FROM orders
-       WHERE (o_orderstatus = 'F' OR o_orderstatus = 'O') AND NOT (o_orderpriority LIKE '%LOW%')
-         AND NOT (o_totalprice > 300000 AND o_orderpriority = '1-URGENT')""",
+       WHERE (o_totalprice < 50000 OR o_custkey % 5 = 0 OR o_orderpriority LIKE '%HIGH')
+         AND NOT (o_orderstatus = 'O' AND NOT o_totalprice >= 20000)""",
 )
 def logic(t: Tables):
-    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-    return t.orders.filter(
-        ((status == "F") | (status == "O"))
-        & ~priority.like("%LOW%")
-        & ~((F.col("o_totalprice") > 300000) & (priority == "1-URGENT"))
-    ).select("o_orderkey")
+    price = F.col("o_totalprice")
+    wanted = (price < 50000) | (F.col("o_custkey") % 5 == 0) | F.col("o_orderpriority").like("%HIGH")
+    small_open = (F.col("o_orderstatus") == "O") & ~(price >= 20000)
+    return t.orders.filter(wanted & ~small_open).select("o_orderkey")
 
 
 @query(
     "filter_chained",
     """SELECT c_custkey, c_name, c_acctbal FROM customer
-       WHERE c_nationkey BETWEEN 5 AND 20 AND c_acctbal > 4000 AND c_acctbal IS NOT NULL
-         AND c_mktsegment IN ('BUILDING', 'MACHINERY', 'FURNITURE')""",
+       WHERE c_acctbal < 2500 AND c_nationkey % 3 = 1 AND c_mktsegment <> 'BUILDING'""",
 )
 def chained(t: Tables):
     return (
-        t.customer.filter(F.col("c_nationkey").between(5, 20))
-        .filter(F.col("c_acctbal") > 4000)
-        .filter(F.col("c_acctbal").isNotNull())
-        .filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY", "FURNITURE"))
+        t.customer.filter(F.col("c_acctbal") < 2500)
+        .filter(F.col("c_nationkey") % 3 == 1)
+        .filter(F.col("c_mktsegment") != "BUILDING")
         .select("c_custkey", "c_name", "c_acctbal")
     )
 

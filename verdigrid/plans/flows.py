@@ -18,18 +18,18 @@ from verdigrid.sources.writers import write_csv
 @query(
     "pipe_banded_summary",
     """SELECT o_orderpriority,
-              CASE WHEN o_totalprice > 300000 THEN 'Senior' WHEN o_totalprice > 150000 THEN 'Mid'
-                   ELSE 'Junior' END AS price_band,
+              CASE WHEN o_totalprice > 350000 THEN 'bulk' WHEN o_totalprice > 220000 THEN 'large'
+                   WHEN o_totalprice > 90000 THEN 'medium' ELSE 'small' END AS price_band,
               count(*) AS n, round(avg(o_totalprice), 4) AS mean_price
-       FROM orders WHERE o_totalprice IS NOT NULL AND o_totalprice BETWEEN 20000 AND 450000
+       FROM orders WHERE o_totalprice BETWEEN 10000 AND 480000
        GROUP BY 1, 2 ORDER BY 1, 2""",
 )
 def banded_summary(t: Tables):
     """Range filter, band, two-key aggregate, sort: one partial-aggregate shuffle."""
-    band = banded("o_totalprice", [(300000, "Senior"), (150000, "Mid")], "Junior")
+    limits = [(350000, "bulk"), (220000, "large"), (90000, "medium")]
+    band = banded("o_totalprice", limits, "small")
     return (
-        t.orders.filter(F.col("o_totalprice").isNotNull())
-        .filter(F.col("o_totalprice").between(20000, 450000))
+        t.orders.filter(F.col("o_totalprice").between(10000, 480000))
         .withColumn("price_band", band)
         .groupBy("o_orderpriority", "price_band")
         .agg(F.count("*").alias("n"), F.round(F.avg("o_totalprice"), 4).alias("mean_price"))
@@ -59,12 +59,12 @@ def vocab_totals(t: Tables):
 
 @query(
     "pipe_basics",
-    """WITH f AS (SELECT * FROM customer WHERE c_nationkey BETWEEN 2 AND 20 AND c_acctbal > 1000
-                    AND c_mktsegment IN ('BUILDING', 'MACHINERY', 'FURNITURE'))
+    """WITH f AS (SELECT * FROM customer WHERE c_mktsegment <> 'MACHINERY'
+                    AND (c_acctbal < 7500 OR c_nationkey % 2 = 1))
        SELECT 'group' AS part, c_mktsegment AS label, count(c_custkey) AS n,
               round(avg(c_acctbal), 6) AS amount FROM f GROUP BY 2
        UNION ALL
-       SELECT * FROM (SELECT 'top', upper(c_name), 1, round(c_acctbal * 0.8, 4) FROM f
+       SELECT * FROM (SELECT 'top', reverse(c_name), 1, round(c_acctbal / 4, 4) FROM f
                       ORDER BY c_acctbal DESC, c_custkey LIMIT 5)
        UNION ALL
        SELECT 'sql', c_name, 1, c_acctbal FROM customer
@@ -76,14 +76,12 @@ def basics(t: Tables):
     write_csv(t.customer, source)
     people = read_csv(t.spark, source, CUSTOMER)
     chosen = (
-        people.filter(F.col("c_nationkey").between(2, 20))
-        .filter(F.col("c_acctbal") > 1000)
-        .filter(F.col("c_acctbal").isNotNull())
-        .filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY", "FURNITURE"))
+        people.filter(F.col("c_mktsegment") != "MACHINERY")
+        .filter((F.col("c_acctbal") < 7500) | (F.col("c_nationkey") % 2 == 1))
     )
     derived = (
-        chosen.withColumn("name_upper", F.upper("c_name"))
-        .withColumn("net", F.round(F.col("c_acctbal") * F.lit(0.8), 4))
+        chosen.withColumn("backwards", F.reverse("c_name"))
+        .withColumn("quarter", F.round(F.col("c_acctbal") / 4, 4))
         .withColumnRenamed("c_mktsegment", "segment")
     )
     grouped = derived.groupBy("segment").agg(
@@ -93,19 +91,19 @@ def basics(t: Tables):
     write_csv(grouped, target)
     stored = read_csv(t.spark, target, "segment string, n bigint, amount double")
     top = derived.orderBy(F.desc("c_acctbal"), "c_custkey").limit(5)
-    people.createOrReplaceTempView("flow_customer")
     by_sql = t.spark.sql(
-        """SELECT 'sql' AS part, c_name AS label, 1L AS n, c_acctbal AS amount FROM flow_customer
-           WHERE c_mktsegment = 'HOUSEHOLD' AND c_acctbal > 8000"""
+        """SELECT 'sql' AS part, c_name AS label, 1L AS n, c_acctbal AS amount FROM {people}
+           WHERE c_mktsegment = 'HOUSEHOLD' AND c_acctbal > 8000""",
+        people=people,
     )
     return (
         stored.select(F.lit("group").alias("part"), F.col("segment").alias("label"), "n", "amount")
         .unionByName(
             top.select(
                 F.lit("top").alias("part"),
-                F.col("name_upper").alias("label"),
+                F.col("backwards").alias("label"),
                 F.lit(1).cast("long").alias("n"),
-                F.col("net").alias("amount"),
+                F.col("quarter").alias("amount"),
             )
         )
         .unionByName(by_sql)
