@@ -2,6 +2,7 @@
 
 import pytest
 
+from verdigrid.operators.keyed import group_values
 from verdigrid.operators.ordering import index_rows, zip_rows
 from verdigrid.plans import QUERIES
 
@@ -38,3 +39,21 @@ def test_short_forms_keep_the_missing_group(spark, rows):
     part = spark.createDataFrame([("x", 4), (None, 3), (None, None), ("x", 1)], "p_type string, p_size int")
     found = QUERIES["agg_short_forms"].build(Given(part=part))
     assert rows(found, "p_type", "n", "size_sum") == sorted([("x", 2, 5), (None, 2, 3)], key=repr)
+
+
+def test_lists_are_exact_chunks_whatever_the_key(spark):
+    """A hot key, a missing key, equal values and a tie-break that tells nothing apart."""
+    df = spark.range(1003).selectExpr(
+        "CASE WHEN id < 700 THEN 'hot' WHEN id < 960 THEN NULL ELSE cast(id % 4 AS string) END AS k",
+        "cast(id % 3 AS int) AS v",
+        "0 AS same",
+    )
+    lists = group_values(df, ["k"], "v", spread_by=["same"], chunk_rows=50).collect()
+    sizes = {}
+    for r in lists:
+        sizes.setdefault(r["k"], {})[r["chunk"]] = len(r["values"])
+    assert sizes.pop("hot") == {c: 50 for c in range(14)}
+    assert sizes.pop(None) == {0: 50, 1: 50, 2: 50, 3: 50, 4: 50, 5: 10}
+    assert sorted(sizes.items()) == [("0", {0: 11}), ("1", {0: 11}), ("2", {0: 11}), ("3", {0: 10})]
+    ordered = [v for r in sorted((r for r in lists if r["k"] == "hot"), key=lambda r: r["chunk"]) for v in r["values"]]
+    assert ordered == sorted(ordered)

@@ -7,7 +7,7 @@ from functools import reduce
 
 import pandas as pd
 from pandas.core.groupby import DataFrameGroupBy
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,29 +15,40 @@ from verdigrid.shared import written
 
 
 def _with_chunk(
-    df: DataFrame, keys: Sequence[str], spread_by: Sequence[str], chunk_rows: int
+    df: DataFrame, keys: Sequence[str], value: str, spread_by: Sequence[str], chunk_rows: int
 ) -> DataFrame:
-    """Add ``chunk``: 0 for keys of up to ``chunk_rows`` rows, else a hash bucket.
+    """Add ``chunk``: the row's place among its key's rows, divided by ``chunk_rows``.
 
-    A key of n rows gets ceil(n / chunk_rows) buckets; rows without a key count
-    as one key. Only keys above the limit take part in the look-up, at most
-    rows / chunk_rows of them; they are counted once and kept as a small table.
+    One rule for all keys, rows without a key counting as one key. Rows are
+    range-partitioned by key, value and ``spread_by``, so a frequent key lies in
+    several partitions; they are numbered there and written once. What a key has in
+    the partitions before (one row per partition and key) is then added.
     """
-    frequent = (
-        df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > chunk_rows)
-        .select(*[f"_{k}" for k in keys], F.ceil(F.col("_rows") / chunk_rows).alias("_chunks"))
+    order = [*keys, value, *(c for c in spread_by if c not in (*keys, value))]
+    placed = written(
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn("_place", F.monotonically_increasing_id()),
+        "placed",
     )
-    # read back from files, so Spark knows the true size and chooses the join by it
-    split = written(frequent, "frequent-keys")
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        placed.groupBy(*keys, "_part")
+        .agg(F.min("_place").alias("_first"), F.count("*").alias("_rows"))
+        .select(
+            *[F.col(k).alias(f"_{k}") for k in keys],
+            F.col("_part").alias("_in"),
+            (F.col("_first") - F.coalesce(F.sum("_rows").over(before), F.lit(0))).alias("_start"),
+        )
     )
-    bucket = F.pmod(F.xxhash64(*spread_by), F.col("_chunks"))
-    return df.join(split, same_key, "left").withColumn(
-        "chunk", F.coalesce(bucket, F.lit(0)).cast("long")
+    same_key = reduce(
+        lambda a, b: a & b,
+        [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys],
+        F.col("_part") == F.col("_in"),
     )
+    chunk = F.floor((F.col("_place") - F.col("_start")) / chunk_rows).cast("long")
+    return placed.join(starts, same_key).withColumn("chunk", chunk)
 
 
 def _sorted_values(df: DataFrame, value: str, present: Column) -> Column:
@@ -58,14 +69,14 @@ def group_values(
     spread_by: Sequence[str],
     chunk_rows: int = 100_000,
 ) -> DataFrame:
-    """All values of each key as sorted lists of bounded length.
+    """All values of each key as sorted lists of at most ``chunk_rows`` values.
 
-    Result: keys, ``chunk``, ``values``. A key with few rows has the one chunk 0.
-    A frequent key is split over several chunks, so no list and no task ever
-    holds a whole hot group, and every value appears in exactly one list.
-    ``spread_by`` names columns that tell rows of one key apart.
+    Result: keys, ``chunk``, ``values``. A key of n rows has exactly
+    ceil(n / chunk_rows) lists, all but the last full; chunk 0 holds its smallest
+    values, missing ones first. ``spread_by`` names columns that tell rows of equal
+    key and value apart; they only help to deal out such rows.
     """
-    chunked = _with_chunk(df, keys, spread_by, chunk_rows)
+    chunked = _with_chunk(df, keys, value, spread_by, chunk_rows)
     values = _sorted_values(chunked, value, F.lit(1))
     return chunked.groupBy(*keys, "chunk").agg(values.alias("values"))
 
@@ -87,7 +98,7 @@ def cogroup_values(
     """
 
     def side(df: DataFrame, value: str, spread_by: Sequence[str], name: str) -> DataFrame:
-        chunked = _with_chunk(df, keys, spread_by, chunk_rows)
+        chunked = _with_chunk(df, keys, value, spread_by, chunk_rows)
         return chunked.select(*keys, "chunk", F.col(value).alias(name), F.lit(1).alias(f"{name}_row"))
 
     both = side(left, left_value, left_spread, "_left").unionByName(

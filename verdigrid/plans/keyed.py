@@ -8,6 +8,8 @@ from verdigrid.operators.keyed import cogroup_values, group_values
 from verdigrid.plans.registry import Tables, query
 
 _CHUNK = 1_000
+# Short enough that customers of any table have several lists.
+_LISTED = 4
 
 
 def pairs(t: Tables):
@@ -46,18 +48,23 @@ def keys_values(t: Tables):
 
 @query(
     "kv_group_values",
-    f"""SELECT k, count(*) AS n, round(sum(v), 2) AS total, min(v) AS lowest, max(v) AS highest
-        FROM ({_PAIRS}) GROUP BY k""",
+    f"""WITH placed AS (SELECT k, v, (row_number() OVER (PARTITION BY k ORDER BY v) - 1)
+              // {_CHUNK} AS chunk FROM ({_PAIRS}))
+        SELECT k, chunk, count(*) AS n, round(sum(v), 2) AS total, min(v) AS lowest,
+               max(v) AS highest, true AS in_order FROM placed GROUP BY 1, 2""",
 )
 def group_values_(t: Tables):
-    """All values of a key as lists of bounded length, then read back from the lists."""
+    """All values of a key as lists of bounded length, each list summed up."""
     lists = group_values(pairs(t), ["k"], "v", spread_by=["id"], chunk_rows=_CHUNK)
     summed = F.aggregate("values", F.lit(0.0), lambda a, b: a + b)
-    return lists.groupBy("k").agg(
-        F.sum(F.size("values")).alias("n"),
-        F.round(F.sum(summed), 2).alias("total"),
-        F.min(F.array_min("values")).alias("lowest"),
-        F.max(F.array_max("values")).alias("highest"),
+    return lists.select(
+        "k",
+        "chunk",
+        F.size("values").cast("long").alias("n"),
+        F.round(summed, 2).alias("total"),
+        F.array_min("values").alias("lowest"),
+        F.array_max("values").alias("highest"),
+        (F.sort_array("values") == F.col("values")).alias("in_order"),
     )
 
 
@@ -126,33 +133,40 @@ def joins(t: Tables):
 
 @query(
     "kv_cogroup",
-    """WITH a AS (SELECT o_custkey AS k, count(*) AS n, round(sum(o_totalprice), 2) AS s
-                 FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
-            b AS (SELECT o_custkey AS k, count(*) AS n, round(sum(o_totalprice), 2) AS s
-                 FROM orders WHERE o_totalprice > 350000 GROUP BY 1)
-       SELECT k, coalesce(a.n, 0) AS closed, coalesce(a.s, 0) AS closed_total,
-              coalesce(b.n, 0) AS dear, coalesce(b.s, 0) AS dear_total
-       FROM a FULL JOIN b USING (k)""",
+    f"""WITH sides AS (SELECT o_custkey AS k, o_totalprice AS v, o_orderstatus = 'F' AS closed
+                      FROM orders),
+            placed AS (SELECT *, (row_number() OVER (PARTITION BY k, closed ORDER BY v) - 1)
+                         // {_LISTED} AS chunk FROM sides),
+            a AS (SELECT k, chunk, count(*) AS n, round(sum(v), 2) AS s FROM placed
+                  WHERE closed GROUP BY 1, 2),
+            b AS (SELECT k, chunk, count(*) AS n, round(sum(v), 2) AS s FROM placed
+                  WHERE NOT closed GROUP BY 1, 2)
+       SELECT k, chunk, coalesce(a.n, 0) AS closed, coalesce(a.s, 0) AS closed_total,
+              coalesce(b.n, 0) AS others, coalesce(b.s, 0) AS others_total
+       FROM a FULL JOIN b USING (k, chunk)""",
 )
 def cogroup(t: Tables):
+    """Closed and other orders of each customer, as lists of a few prices."""
     kv = t.orders.select(F.col("o_custkey").alias("k"), "o_totalprice", "o_orderkey", "o_orderstatus")
     both = cogroup_values(
         kv.filter(F.col("o_orderstatus") == "F"),
-        kv.filter(F.col("o_totalprice") > 350000),
+        kv.filter(F.col("o_orderstatus") != "F"),
         ["k"],
         "o_totalprice",
         "o_totalprice",
         ["o_orderkey"],
         ["o_orderkey"],
-        chunk_rows=_CHUNK,
+        chunk_rows=_LISTED,
     )
 
     def total(values: str):
-        return F.round(F.sum(F.aggregate(values, F.lit(0.0), lambda a, b: a + b)), 2)
+        return F.round(F.aggregate(values, F.lit(0.0), lambda a, b: a + b), 2)
 
-    return both.groupBy("k").agg(
-        F.sum(F.size("left_values")).alias("closed"),
+    return both.select(
+        "k",
+        "chunk",
+        F.size("left_values").cast("long").alias("closed"),
         total("left_values").alias("closed_total"),
-        F.sum(F.size("right_values")).alias("dear"),
-        total("right_values").alias("dear_total"),
+        F.size("right_values").cast("long").alias("others"),
+        total("right_values").alias("others_total"),
     )
