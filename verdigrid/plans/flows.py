@@ -21,7 +21,7 @@ from verdigrid.sources.writers import write_csv
               CASE WHEN o_totalprice > 350000 THEN 'bulk' WHEN o_totalprice > 220000 THEN 'large'
                    WHEN o_totalprice > 90000 THEN 'medium' ELSE 'small' END AS price_band,
               count(*) AS n, round(avg(o_totalprice), 4) AS mean_price
-       FROM orders WHERE o_totalprice BETWEEN 10000 AND 480000
+       FROM orders WHERE o_totalprice BETWEEN 20000 AND 480000
        GROUP BY 1, 2 ORDER BY 1, 2""",
 )
 def banded_summary(t: Tables):
@@ -29,7 +29,7 @@ def banded_summary(t: Tables):
     limits = [(350000, "bulk"), (220000, "large"), (90000, "medium")]
     band = banded("o_totalprice", limits, "small")
     return (
-        t.orders.filter(F.col("o_totalprice").between(10000, 480000))
+        t.orders.filter(F.col("o_totalprice").between(20000, 480000))
         .withColumn("price_band", band)
         .groupBy("o_orderpriority", "price_band")
         .agg(F.count("*").alias("n"), F.round(F.avg("o_totalprice"), 4).alias("mean_price"))
