@@ -1,6 +1,7 @@
 """Operators of the subpackage llm against brute force, SQL and awkward tables."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -331,6 +332,30 @@ def test_classifiers_on_held_out_labels(spark):
     assert good.query("quality == 0").predicted.mean() < 0.25
 
 
+def path_cost(strings, spent, costs):
+    two = one = toxicity.EDGE
+    for c in "".join(strings):
+        k = toxicity._symbol(c)
+        spent += costs[two, one, k]
+        two, one = one, k
+    return spent + costs[two, one, toxicity.EDGE]
+
+
+def test_restoration_takes_the_cheapest_path():
+    costs = np.random.default_rng(5).random((toxicity.CLASSES,) * 3) * 4
+    rnd = random.Random(5)
+    for _ in range(60):
+        word = "".join(rnd.choice("abst0134@$*. 9ü") for _ in range(rnd.randint(1, 7)))
+        every = {}
+        for path in itertools.product(*toxicity.lattice(word)):
+            strings, spent = [s for s, _ in path], sum(c for _, c in path)
+            text = "".join(strings)
+            every[text] = min(every.get(text, math.inf), path_cost(strings, spent, costs))
+        assert every[toxicity.restore(word, costs)] == pytest.approx(min(every.values()))
+    # One written word of a whole text: work and memory grow with its length only.
+    assert len(toxicity.restore("a0b1$" * 40_000, costs)) > 100_000
+
+
 def score_toxicity_frame(docs, labels):
     model = toxicity.fit_toxicity(docs, labels)
     return toxicity.score_toxicity(docs, model).toPandas().set_index("doc_id")
