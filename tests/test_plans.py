@@ -33,18 +33,32 @@ def test_flagship_stays_in_generated_code(spark):
     assert "BatchEvalPython" not in plan(QUERIES["pipe_banded_summary"](spark, SMALL))
 
 
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsIn")
 PYTHON_ALLOWED = {"map_partitions", "udf_scalar", "udaf_grouped", "sink_sequence_roundtrip"}
 
 
-@pytest.mark.parametrize("key", sorted(set(QUERIES) - PYTHON_ALLOWED))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_products_and_no_row_functions(spark, key):
-    if key.startswith(("stream_", "sink_", "src_", "bad_", "pipe_", "index_", "zip_")):
-        pytest.skip("these run work of their own when built; covered by the source scan below")
     text = plan(QUERIES[key](spark, SMALL))
-    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+    banned = ("CartesianProduct", "BroadcastNestedLoopJoin")
+    for word in banned + (() if key in PYTHON_ALLOWED else PYTHON_NODES):
         assert word not in text, word
 
 
+@pytest.mark.parametrize(
+    "key, scans", [("kv_joins", 2), ("nulls_drop", 1), ("join_skew_salted", 1)]
+)
+def test_sources_are_read_once(spark, key, scans):
+    text = plan(QUERIES[key](spark, SMALL))
+    tables = r"^Location: InMemoryFileIndex \[file:" + re.escape(SMALL)
+    assert len(re.findall(tables, text, re.M)) == scans
+
+
+@pytest.mark.parametrize("key", ["join_skew_salted", "join_copartitioned", "join_sort_merge"])
+def test_joins_that_must_shuffle_do(spark, key):
+    assert "SortMergeJoin" in plan(QUERIES[key](spark, SMALL))
+
+
 def test_top_k_is_a_heap_per_partition(spark, tables):
     assert "TakeOrderedAndProject" in plan(QUERIES["topk_limit"](spark, SMALL))
     assert "TakeOrderedAndProject" in plan(sample_rows(tables.orders, 10, ["o_orderkey"]))
@@ -65,3 +79,5 @@ def test_library_never_pulls_tables_to_the_driver():
                     text = f.read()
                 for word in banned:
                     assert word not in text, f"{name}: {word}"
+                # sequence files have no other writer
+                assert text.count(".rdd.") == (name == "writers.py"), name

@@ -1,5 +1,6 @@
 """One key with a large part of the rows: same results, spread work."""
 
+import hashlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -51,8 +52,21 @@ def plain(spark):
 
 
 def test_hot_keys(spark, rows):
-    assert rows(hot_keys(skewed(spark), ["k"], 0.3)) == [("hot",)]
-    assert rows(hot_keys(skewed(spark).limit(0), ["k"], 0.3)) == []
+    # 2,700 rows; the null key has 60 and matches nothing, so it is never hot
+    assert rows(hot_keys(skewed(spark), ["k"], 900)) == [("hot", 3)]
+    assert rows(hot_keys(skewed(spark), ["k"], 899)) == [("hot", 4)]
+    assert rows(hot_keys(skewed(spark), ["k"], 30)) == [("hot", 90)]
+    assert rows(hot_keys(skewed(spark).limit(0), ["k"], 1)) == []
+
+
+def test_salts_follow_from_the_rows_of_each_key(plain, rows):
+    key = F.when(F.col("id") < 4000, "a").when(F.col("id") < 4500, "b").otherwise("c")
+    big = plain.range(4510).select("id", key.alias("k"))
+    assert rows(hot_keys(big, ["k"], 250)) == [("a", 16), ("b", 2)]
+    small = plain.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, w int")
+    joined = salted_join(big, small, ["k"], ["id"], task_rows=250, strategy="merge")
+    assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    assert rows(joined, "id", "k", "w") == rows(big.join(small, "k"), "id", "k", "w")
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -60,12 +74,12 @@ def test_salted_join_equals_plain_join(plain, rows, how):
     big = skewed(plain)
     small = plain.createDataFrame([("hot", 1), ("k10", 2), ("none", 3)], "k string, w int")
     want = rows(big.join(small, "k", how))
-    assert rows(salted_join(big, small, ["k"], ["id"], how, salts=8, share=0.05)) == want
+    assert rows(salted_join(big, small, ["k"], ["id"], how, task_rows=150)) == want
 
 
 def test_salted_join_spreads_the_hot_key(plain):
     small = plain.createDataFrame([("hot", 1)], "k string, w int")
-    joined = salted_join(skewed(plain), small, ["k"], ["id"], "inner", salts=16)
+    joined = salted_join(skewed(plain), small, ["k"], ["id"], "inner", task_rows=150)
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
     parts = joined.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
@@ -195,11 +209,13 @@ def test_samples(spark, rows):
 def test_large_sample_equals_small_sample(spark, rows, monkeypatch):
     from verdigrid.operators import ordering
 
-    want = {n: rows(sample_rows(skewed(spark), n, ["id"])) for n in (1, 17, 500, N, N + 1)}
-    monkeypatch.setattr(ordering, "MAX_HEAP_ROWS", 0)
+    drawn = sorted((hashlib.md5(f"7:{k}".encode()).hexdigest(), k) for k in range(N))
     monkeypatch.setattr(ordering, "_DIGITS", 1)
-    for n, expected in want.items():
-        assert rows(sample_rows(skewed(spark), n, ["id"])) == expected
+    for n in (1, 17, 500, N, N + 1):
+        expected = sorted((k for _, k in drawn[:n]), key=lambda k: repr((k,)))
+        for edge_rows in (1, 40, N):
+            got = sample_rows(skewed(spark), n, ["id"], edge_rows=edge_rows)
+            assert [k for k, in rows(got, "id")] == expected
 
 
 def test_difference_with_many_copies(spark):

@@ -20,8 +20,10 @@ from verdigrid.streaming.streams import (
     rate_stream,
     read_batches,
     run_batches,
+    run_slices,
     run_to_files,
     stream_to_table,
+    time_slices,
     windowed_totals,
 )
 
@@ -164,3 +166,42 @@ def test_shared_tables_are_released(spark):
     with shared_view(df, "some_view") as name:
         assert spark.catalog.isCached(name)
     assert not spark.catalog.tableExists("some_view")
+
+
+def test_slices_are_ordered_and_bounded(spark):
+    df = spark.range(1000).select("id", F.pmod(F.col("id") * 7919, F.lit(100)).alias("ts"))
+    folders = time_slices(df.repartition(5), "ts", task_rows=50)
+    bounds = []
+    for folder in folders:
+        facts = spark.read.parquet(folder).agg(F.count("*"), F.min("ts"), F.max("ts")).first()
+        bounds.append(tuple(facts))
+    assert len(folders) >= 3 and sum(b[0] for b in bounds) == 1000
+    assert all(a[2] < b[1] for a, b in zip(bounds, bounds[1:]))
+
+
+def test_number_of_batches_does_not_change_closed_windows(spark):
+    events = spark.range(500).select(
+        F.timestamp_seconds(1_700_000_000 + F.col("id") * 97).alias("ts"), F.lit(1.0).alias("value")
+    )
+    results = []
+    for least in (1, 3, 7):
+        inbox, folder, checkpoint = (fresh_folder(spark, n) for n in ("in", "out", "cp"))
+        runs = []
+
+        def run():
+            stream = file_stream(spark, f"{inbox}/*", events.schema).withWatermark("ts", "10 minutes")
+            totals = windowed_totals(stream, F.window("ts", "1 hour"))
+            run_to_files(totals, folder, checkpoint)
+            runs.append(totals.schema)
+
+        run_slices(spark, time_slices(events, "ts", least), inbox, run)
+        assert len(runs) == least
+        results.append(sorted(map(tuple, spark.read.schema(runs[0]).parquet(folder).collect())))
+    assert results[0] and results[0] == results[1] == results[2]
+
+
+def test_a_stream_without_rows_still_runs(spark):
+    runs = []
+    none = spark.range(0).withColumn("ts", F.col("id"))
+    run_slices(spark, time_slices(none, "ts"), fresh_folder(spark, "none"), lambda: runs.append(1))
+    assert runs == [1]

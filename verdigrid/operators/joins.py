@@ -9,8 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verdigrid.shared import written
+
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 MAX_LITERAL_VALUES = 1_000
+#: Rows of one key that a task takes, and the most keys that can be called hot.
+TASK_ROWS = 1_000_000
+MAX_HOT_KEYS = 100_000
 
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -49,15 +54,18 @@ def small_side_join(
     return big.join(small, on, how)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows: at most ``1 / share`` of them.
+def hot_keys(df: DataFrame, keys: Sequence[str], task_rows: int = TASK_ROWS) -> DataFrame:
+    """Keys with more rows than one task should take, and ``_salts``: tasks they need.
 
-    Only grouped counts are shuffled, and the total is the sum of these.
+    Grouped counts are written once. Where more than ``MAX_HOT_KEYS`` keys could pass
+    the target, it is raised to that part of all rows, so the result stays small
+    whatever the table. Keys with a null are left out: they match nothing.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    total = counts.agg(F.sum("_rows").alias("_total")).first()["_total"]
-    limit = (total or 0) * share
-    return counts.filter(F.col("_rows") > F.lit(limit)).select(*keys)
+    counts = written(df.groupBy(*keys).agg(F.count("*").alias("_rows")), "key-counts")
+    total = counts.agg(F.sum("_rows").alias("_total")).first()["_total"] or 0
+    target = max(task_rows, -(-total // MAX_HOT_KEYS))
+    hot = counts.filter(F.col("_rows") > target).dropna("any", subset=list(keys))
+    return hot.select(*keys, F.ceil(F.col("_rows") / target).cast("int").alias("_salts"))
 
 
 def salted_join(
@@ -66,34 +74,36 @@ def salted_join(
     on: Sequence[str],
     spread_by: Sequence[str],
     how: str = "inner",
-    salts: int = 32,
-    share: float = 0.01,
+    task_rows: int = TASK_ROWS,
+    strategy: str | None = None,
 ) -> DataFrame:
-    """Equi-join that spreads the rows of each hot key over ``salts`` partitions.
+    """Equi-join that deals the rows of each hot key out to tasks of ``task_rows`` rows.
 
-    ``spread_by`` names columns of ``big`` that tell rows of one key apart. Only
-    the hot keys' rows of ``small`` are repeated, once per salt; every other row
-    keeps salt 0, except that rows without a key are spread too. ``small`` must not be the preserved side of an outer join,
-    because its repeated rows would show up as unmatched copies.
+    ``spread_by`` names columns of ``big`` that tell rows of one key apart. A key of n
+    rows has ceil(n / ``task_rows``) salts; only its rows of ``small`` are repeated, once
+    per salt. Rows without a key match nothing and are spread freely. ``strategy`` may
+    ask for a join hint such as ``merge``. ``small`` must not be the preserved side of an
+    outer join, because its repeated rows would show up as unmatched copies.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a salted join cannot preserve the repeated side: {how}")
     on = list(on)
-    # at most 1 / share rows, a bound that does not depend on the data
-    hot = F.broadcast(hot_keys(big, on, share).withColumn("_hot", F.lit(True)))
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    # a null key matches nothing, so its rows may go anywhere
+    hot = hot_keys(big, on, task_rows)
+    if measured_bytes(hot) <= MAX_BROADCAST_BYTES:
+        hot = F.broadcast(hot)
+    drawn = F.xxhash64(*spread_by)
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
-    big_salted = big.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | no_key, salt).otherwise(F.lit(0))
-    )
-    last = F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0))
+    salts = F.when(no_key, F.lit(MAX_HOT_KEYS)).otherwise(F.coalesce("_salts", F.lit(1)))
+    big_salted = big.join(hot, on, "left").withColumn("_salt", F.pmod(drawn, salts).cast("int"))
+    last = F.coalesce("_salts", F.lit(1)) - 1
     small_salted = (
         small.join(hot, on, "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
-        .drop("_hot")
+        .drop("_salts")
     )
-    return big_salted.drop("_hot").join(small_salted, [*on, "_salt"], how).drop("_salt")
+    if strategy:
+        small_salted = small_salted.hint(strategy)
+    return big_salted.drop("_salts").join(small_salted, [*on, "_salt"], how).drop("_salt")
 
 
 def copartitioned_join(
@@ -106,7 +116,8 @@ def copartitioned_join(
     stay in one partition. Use ``salted_join`` where keys repeat.
     """
     on = list(on)
-    return left.repartition(partitions, *on).join(right.repartition(partitions, *on), on, how)
+    placed = right.repartition(partitions, *on).hint("merge")
+    return left.repartition(partitions, *on).join(placed, on, how)
 
 
 def with_each(df: DataFrame, name: str, values: Sequence) -> DataFrame:

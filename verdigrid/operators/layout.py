@@ -10,6 +10,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+TASK_ROWS = 4_000_000
+
+
+def task_count(df: DataFrame, task_rows: int = TASK_ROWS) -> int:
+    """Tasks for an explicit layout of ``df``: at most about ``task_rows`` rows each.
+
+    The session's number of shuffle partitions is the least; a count of the rows
+    raises it with the table.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-df.count() // task_rows))
+
+
 def hash_layout(
     df: DataFrame,
     partitions: int,

@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from verdigrid.operators.layout import task_count
 from verdigrid.shared import written
 
 _POSITION_BITS = 33
-_DIGITS = 4
-MAX_HEAP_ROWS = 100_000
+#: Hexadecimal digits of a draw told apart at once, all digits, rows cut by sorting.
+_DIGITS, _ALL_DIGITS = 4, 32
+EDGE_ROWS = 10_000
 
 
 def index_rows(
@@ -29,7 +31,7 @@ def index_rows(
     rows in the partitions before (one row per partition) are then added. The
     written table keeps the numbers fixed when a task is run again.
     """
-    ranges = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = partitions or task_count(df)
     placed = (
         df.repartitionByRange(ranges, *order_by)
         .sortWithinPartitions(*order_by)
@@ -71,31 +73,40 @@ def _draw(seed: int, *columns: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in columns]))
 
 
-def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 7) -> DataFrame:
+def sample_rows(
+    df: DataFrame, n: int, key: Sequence[str], seed: int = 7, edge_rows: int = EDGE_ROWS
+) -> DataFrame:
     """Exactly ``n`` random rows without replacement, the same for any layout.
 
-    ``key`` must identify a row. The rows with the ``n`` smallest draws are taken:
-    a small sample by a heap per partition, a large one by first finding, from
-    counts per leading digits, below which digits all rows belong to it.
+    ``key`` must identify a row. The rows with the ``n`` smallest draws are taken. From
+    counts per leading digits follows the prefix in which the n-th draw lies; it is
+    refined until at most ``edge_rows`` rows have it. Rows of smaller draws are filtered,
+    and only those under the prefix are sorted. All rows are returned if there are fewer.
     """
     drawn = df.withColumn("_draw", _draw(seed, *key))
-    if n <= MAX_HEAP_ROWS:
-        return drawn.orderBy("_draw", *key).limit(n).drop("_draw")
-    digits = F.substring("_draw", 1, _DIGITS)
-    counts = drawn.groupBy(digits.alias("_digits")).agg(F.count("*").alias("_rows"))
-    # at most 16 ** 4 rows, so one ordered window is bounded
-    so_far = F.sum("_rows").over(Window.orderBy("_digits"))
-    edge = (
-        counts.withColumn("_so_far", so_far)
-        .filter(F.col("_so_far") >= n)
-        .orderBy("_digits")
-        .first()
-    )
-    if edge is None:
-        return df
-    missing = n - (edge["_so_far"] - edge["_rows"])
-    below = drawn.filter(digits < edge["_digits"])
-    last = drawn.filter(digits == edge["_digits"]).orderBy("_draw", *key).limit(missing)
+    prefix, missing = "", n
+    while len(prefix) < _ALL_DIGITS:
+        digits = F.substring("_draw", len(prefix) + 1, _DIGITS)
+        counts = (
+            drawn.filter(F.col("_draw").startswith(prefix))
+            .groupBy(digits.alias("_digits"))
+            .agg(F.count("*").alias("_rows"))
+        )
+        # at most 16 ** 4 rows, so one ordered window is bounded
+        edge = (
+            counts.withColumn("_so_far", F.sum("_rows").over(Window.orderBy("_digits")))
+            .filter(F.col("_so_far") >= missing)
+            .orderBy("_digits")
+            .first()
+        )
+        if edge is None:
+            return df
+        prefix += edge["_digits"]
+        missing -= edge["_so_far"] - edge["_rows"]
+        if edge["_rows"] <= edge_rows:
+            break
+    below = drawn.filter(F.col("_draw") < prefix)
+    last = drawn.filter(F.col("_draw").startswith(prefix)).orderBy("_draw", *key).limit(missing)
     return below.unionByName(last).drop("_draw")
 
 

@@ -45,11 +45,10 @@ def repeat_rows(df: DataFrame, times: str, block: int = 65_536) -> DataFrame:
     spread over all partitions and only then laid out, so the copies of a single
     very frequent row are produced by many tasks.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / block))
-    spread = df.withColumn("_block", F.explode(blocks)).repartition(
-        partitions, *[F.col(c) for c in df.columns], F.col("_block")
-    )
+    # Adaptive execution merges small partitions; splitting needs no count, because
+    # the hint makes partitions of the advisory size.
+    spread = df.withColumn("_block", F.explode(blocks)).hint("rebalance")
     here = F.least(F.lit(block).cast("long"), F.col(times) - F.col("_block") * block)
     copies = F.explode(F.sequence(F.lit(1).cast("long"), here))
     return spread.withColumn("_copy", copies).drop("_block", "_copy", times)

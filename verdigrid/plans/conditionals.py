@@ -97,8 +97,7 @@ _CASE = """SELECT s_suppkey, CASE WHEN s_acctbal > 5000 THEN 'A' WHEN s_acctbal
 
 @query("case_sql", _CASE + "supplier")
 def case_sql(t: Tables):
-    t.supplier.createOrReplaceTempView("supplier_view")
-    return t.spark.sql(_CASE + "supplier_view")
+    return t.spark.sql(_CASE + "{suppliers}", suppliers=t.supplier)
 
 
 @query(
@@ -187,16 +186,15 @@ def fill(t: Tables):
         UNION ALL SELECT 'subset', count(*) FROM ({_GAPS}) WHERE priority IS NOT NULL""",
 )
 def drop(t: Tables):
-    gaps = with_gaps(t).drop("o_orderkey")
-
-    def counted(df, rule):
-        return df.agg(F.count("*").alias("n")).select(F.lit(rule).alias("rule"), "n")
-
-    return (
-        counted(gaps.na.drop("any"), "any")
-        .unionByName(counted(gaps.na.drop("all"), "all"))
-        .unionByName(counted(gaps.na.drop(subset=["priority"]), "subset"))
-    )
+    """How many rows each rule of ``na.drop`` keeps, counted in one pass.
+
+    A value is missing if it is null or, in a number, NaN.
+    """
+    price = F.col("price").isNotNull() & ~F.isnan("price")
+    priority = F.col("priority").isNotNull()
+    rules = {"any": priority & price, "all": priority | price, "subset": priority}
+    kept = with_gaps(t).agg(*[F.count(F.when(rule, 1)).alias(name) for name, rule in rules.items()])
+    return kept.unpivot([], list(rules), "rule", "n")
 
 
 @query(

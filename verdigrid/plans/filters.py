@@ -161,10 +161,10 @@ def denylist(t: Tables):
          AND c_name IS NOT NULL ORDER BY c_acctbal DESC""",
 )
 def view_filter(t: Tables):
-    t.customer.createOrReplaceTempView("customer_view")
     return t.spark.sql(
-        """SELECT c_custkey, c_name, c_acctbal FROM customer_view
+        """SELECT c_custkey, c_name, c_acctbal FROM {customers}
            WHERE c_acctbal BETWEEN 4000 AND 6000 AND c_mktsegment IN ('BUILDING', 'HOUSEHOLD')
              AND c_name IS NOT NULL
-           ORDER BY c_acctbal DESC, c_custkey"""
+           ORDER BY c_acctbal DESC, c_custkey""",
+        customers=t.customer,
     )

@@ -16,7 +16,7 @@ from verdigrid.operators.joins import (
     small_side_join,
     with_each,
 )
-from verdigrid.operators.layout import shared
+from verdigrid.operators.layout import shared, task_count
 from verdigrid.plans.registry import Tables, query
 from verdigrid.shared import written
 
@@ -190,12 +190,12 @@ def broadcast(t: Tables):
 )
 def sql_hint(t: Tables):
     """A strategy asked for in SQL: broadcast for a side measured as small, else merge."""
-    t.supplier.createOrReplaceTempView("supplier_side")
-    t.nation.createOrReplaceTempView("nation_side")
     hint = "BROADCAST" if measured_bytes(t.nation) <= MAX_BROADCAST_BYTES else "MERGE"
     return t.spark.sql(
         f"""SELECT /*+ {hint}(n) */ s_suppkey, s_acctbal, n_name
-           FROM supplier_side s JOIN nation_side n ON s_nationkey = n_nationkey"""
+           FROM {{suppliers}} s JOIN {{nations}} n ON s_nationkey = n_nationkey""",
+        suppliers=t.supplier,
+        nations=t.nation,
     )
 
 
@@ -236,7 +236,7 @@ def shuffle_hash(t: Tables):
          ON o.o_orderstatus = p.o_orderstatus GROUP BY 1, 2""",
 )
 def skew_salted(t: Tables):
-    """Three keys hold all rows; each is spread over the salts."""
+    """Three keys hold all rows; each is spread over as many salts as its rows need."""
     from verdigrid.sources.readers import inline_table
 
     rows = [("P", "pending"), ("F", "filled"), ("O", "open")]
@@ -246,7 +246,8 @@ def skew_salted(t: Tables):
         labels,
         ["o_orderstatus"],
         spread_by=["o_orderkey"],
-        salts=16,
+        task_rows=1_000,
+        strategy="merge",
     )
     return joined.groupBy("o_orderstatus", "label").agg(
         F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
@@ -266,8 +267,7 @@ def copartitioned(t: Tables):
     lines = t.lineitem.groupBy(F.col("l_orderkey").alias("orderkey")).agg(
         F.count("*").alias("lines"), F.round(F.sum("l_quantity"), 2).alias("quantity")
     )
-    partitions = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
-    return copartitioned_join(orders, lines, ["orderkey"], partitions)
+    return copartitioned_join(orders, lines, ["orderkey"], task_count(t.orders))
 
 
 @query(
@@ -284,7 +284,6 @@ def copartitioned(t: Tables):
 )
 def reused_side(t: Tables):
     """One row per customer, laid out once by key, then joined twice."""
-    partitions = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
     per_customer = t.orders.groupBy(F.col("o_custkey").alias("custkey")).agg(
         F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("spent")
     )
@@ -294,7 +293,7 @@ def reused_side(t: Tables):
             F.sum("orders").alias("orders"), F.round(F.sum("spent"), 2).alias("spent")
         )
 
-    with shared(per_customer.repartition(partitions, "custkey")) as side:
+    with shared(per_customer.repartition(task_count(t.orders), "custkey")) as side:
         customers = t.customer.select(F.col("c_custkey").alias("custkey"), "c_mktsegment")
         first = t.orders.groupBy(F.col("o_custkey").alias("custkey")).agg(
             F.min("o_orderpriority").alias("priority")

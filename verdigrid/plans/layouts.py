@@ -8,15 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from verdigrid.operators.layout import hash_layout, partition_profile, range_layout, shared, shared_view
+from verdigrid.operators.layout import (
+    hash_layout,
+    partition_profile,
+    range_layout,
+    shared,
+    shared_view,
+    task_count,
+)
 from verdigrid.plans.registry import Tables, query
 from verdigrid.shared import written
 
 
-def _partitions(t: Tables) -> int:
-    return int(t.spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 @query(
     "layout_repartition",
     """SELECT 'by number' AS how, count(*) AS n, true AS "within" FROM orders
@@ -24,7 +27,7 @@ def _partitions(t: Tables) -> int:
 )
 def repartition(t: Tables):
     """By number and by key; neither makes more partitions than asked for."""
-    parts = _partitions(t)
+    parts = task_count(t.orders)
 
     def facts(df, how: str):
         return partition_profile(df).agg(
@@ -39,7 +42,7 @@ def repartition(t: Tables):
 @query("layout_coalesce", "SELECT count(*) AS n, true AS merged FROM lineitem")
 def coalesce(t: Tables):
     """Half as many partitions, merged without moving rows again."""
-    parts = _partitions(t)
+    parts = task_count(t.lineitem)
     merged = t.lineitem.select("l_orderkey").repartition(2 * parts).coalesce(parts)
     return partition_profile(merged).agg(
         F.sum("rows").alias("n"), (F.count("*") <= parts).alias("merged")
@@ -54,7 +57,7 @@ def hash_keys(t: Tables):
     """No key in more partitions than salts. ``torn`` counts keys that break this."""
     salts = 4
     placed = hash_layout(
-        t.orders.select("o_custkey", "o_orderkey"), 2 * _partitions(t), ["o_custkey"],
+        t.orders.select("o_custkey", "o_orderkey"), task_count(t.orders), ["o_custkey"],
         spread_by=["o_orderkey"], salts=salts,
     )
     per_part = placed.groupBy("o_custkey", F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
@@ -72,7 +75,7 @@ def range_keys(t: Tables):
     from pyspark.sql import Window
 
     rows = t.orders.select("o_totalprice", "o_orderkey")
-    placed = range_layout(rows, _partitions(t), ["o_totalprice"], ["o_orderkey"])
+    placed = range_layout(rows, task_count(rows), ["o_totalprice"], ["o_orderkey"])
     place = F.struct("o_totalprice", "o_orderkey")
     # one row per partition, so the ordered window below is small whatever the table
     bounds = placed.groupBy(F.spark_partition_id().alias("p")).agg(
@@ -90,7 +93,7 @@ def range_keys(t: Tables):
 )
 def profile(t: Tables):
     """Rows and keys per partition, summed up."""
-    spread = t.customer.select("c_custkey", "c_mktsegment").repartition(_partitions(t))
+    spread = t.customer.select("c_custkey", "c_mktsegment").repartition(task_count(t.customer))
     facts = partition_profile(spread, "c_mktsegment")
     return facts.agg(
         F.sum("rows").alias("n"),

@@ -11,8 +11,16 @@ from pyspark.sql.types import StructType
 from verdigrid.session import pin_results
 
 
-# Footers are read once per table; later reads start without that extra job.
-_SCHEMAS: dict[str, StructType] = {}
+# Footers are read once per table and change of its file; later reads start without
+# that extra job.
+_SCHEMAS: dict[tuple[str, int], StructType] = {}
+
+
+def _changed(spark: SparkSession, path: str) -> int:
+    """When the file or folder was last changed."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getFileStatus(place).getModificationTime()
 
 
 @dataclass(frozen=True)
@@ -26,9 +34,10 @@ class Tables:
         if name.startswith("_"):
             raise AttributeError(name)
         path = f"{self.folder.rstrip('/')}/{name}.parquet"
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        known = path, _changed(self.spark, path)
+        if known not in _SCHEMAS:
+            _SCHEMAS[known] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[known]).parquet(path)
 
 
 @dataclass(frozen=True)

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from verdigrid.operators.layout import task_count
 from verdigrid.plans.registry import Tables, query
 from verdigrid.shared import fresh_folder
 from verdigrid.sources.readers import read_csv, read_lines
@@ -13,7 +14,7 @@ from verdigrid.sources.writers import (
     append_table,
     read_pairs,
     write_csv,
-    write_few_files,
+    write_even_files,
     write_lines,
     write_pairs,
     write_per_partition,
@@ -46,9 +47,10 @@ def parquet_roundtrip(t: Tables):
     "SELECT count(*) AS n, round(sum(o_totalprice), 2) AS total, true AS few_files FROM orders",
 )
 def compact(t: Tables):
+    """Files of the advisory size in one pass: far more rows than 100,000 to a file."""
     folder = fresh_folder(t.spark, "compact")
     rows = t.orders.select("o_orderkey", "o_totalprice")
-    bound = write_few_files(rows, folder)
+    write_even_files(rows, folder)
     per_file = (
         t.spark.read.schema(rows.schema)
         .parquet(folder)
@@ -58,7 +60,7 @@ def compact(t: Tables):
     return per_file.agg(
         F.sum("n").alias("n"),
         F.round(F.sum("total"), 2).alias("total"),
-        (F.count("*") <= bound).alias("few_files"),
+        (F.count("*") <= 1 + F.sum("n") / 100_000).alias("few_files"),
     )
 
 
@@ -86,7 +88,9 @@ def table_append(t: Tables):
     rows = t.orders.select("o_orderkey", "o_orderstatus")
     append_table(rows.filter(F.col("o_orderstatus") == "F"), name, folder)
     append_table(rows.filter(F.col("o_orderstatus") != "F"), name, folder)
-    return t.spark.table(name)
+    schema = t.spark.table(name).schema
+    t.spark.sql(f"DROP TABLE {name}")  # the files stay
+    return t.spark.read.schema(schema).parquet(folder)
 
 
 @query(
@@ -97,13 +101,12 @@ def table_append(t: Tables):
 def foreach_partition(t: Tables):
     folder = fresh_folder(t.spark, "per-partition")
     rows = t.customer.select("c_custkey", "c_name")
-    parts = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
-    written_rows = write_per_partition(rows.repartition(parts, "c_custkey"), folder).agg(
-        F.sum("rows").alias("n")
+    placed = rows.repartition(task_count(rows), "c_custkey")
+    summary = write_per_partition(placed, folder).agg(F.sum("rows").alias("n"))
+    files = t.spark.read.schema(rows.schema).parquet(folder)
+    counted = summary.select(
+        F.lit("summary").alias("side"), "n", F.lit(None).cast("long").alias("keys")
     )
-    n = written_rows.first()["n"]  # one number; runs the sink once
-    files = t.spark.read.schema(rows.schema).option("pathGlobFilter", "part-*.parquet").parquet(folder)
-    summary = t.spark.createDataFrame([("summary", n, None)], "side string, n bigint, keys bigint")
     return files.agg(F.count("*").alias("n"), F.sum("c_custkey").alias("keys")).select(
         F.lit("files").alias("side"), "n", "keys"
-    ).unionByName(summary)
+    ).unionByName(counted)

@@ -7,6 +7,9 @@ in append mode, so they are not part of the result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,17 +24,20 @@ from verdigrid.streaming.streams import (
     latest_batch,
     latest_per_key,
     read_batches,
+    read_sink,
     run_batches,
+    run_slices,
     run_to_files,
     stream_to_table,
+    time_slices,
     windowed_totals,
 )
 
 _DELAY = "10 minutes"
 
 
-# Bounds a micro-batch, so a failure repeats little work. Not used with a watermark:
-# there the batch boundaries decide which rows are late.
+# Bounds a micro-batch, so a failure repeats little work. With a watermark the batch
+# boundaries decide which rows are late; those streams get slices in event-time order.
 _FILES_PER_BATCH = 10_000
 
 
@@ -130,7 +136,25 @@ def _add_errors(t: Tables, folder: str) -> None:
 
 
 def _part_stream(t: Tables, folder: str):
-    return event_time(file_stream(t.spark, f"{folder}/*", t.events.schema), "ts")
+    source = file_stream(t.spark, f"{folder}/*", t.events.schema, files_per_batch=_FILES_PER_BATCH)
+    return event_time(source, "ts")
+
+
+def _windows_of(t: Tables, tables: list[DataFrame], label: str, totals: Callable) -> DataFrame:
+    """The closed windows of a stream that gets ``tables`` one after the other.
+
+    Each table arrives in slices of event time, one bounded batch a slice.
+    """
+    inbox, folder = fresh_folder(t.spark, f"{label}-inbox"), fresh_folder(t.spark, label)
+    checkpoint = fresh_folder(t.spark, f"{label}-checkpoint")
+
+    def run():
+        source = event_time(file_stream(t.spark, f"{inbox}/*", t.events.schema), "ts")
+        run_to_files(totals(source.withWatermark("ts", _DELAY)), folder, checkpoint)
+
+    for table in tables:
+        run_slices(t.spark, time_slices(table, "ts"), inbox, run)
+    return read_sink(t.spark, folder, totals(event_time(t.events, "ts")).schema)
 
 
 @query(
@@ -194,22 +218,23 @@ def foreach_batch(t: Tables):
 
 @query("stream_tumbling_append", _closed(_windows_sql("60 MINUTE")))
 def tumbling_append(t: Tables):
-    marked = event_stream(t).withWatermark("ts", _DELAY)
-    return stream_to_table(windowed_totals(marked, F.window("ts", "1 hour")), "tumbling")
+    return _windows_of(t, [t.events], "tumbling", lambda e: windowed_totals(e, F.window("ts", "1 hour")))
 
 
 @query("stream_sliding", _closed(_SLIDING))
 def sliding(t: Tables):
-    marked = event_stream(t).withWatermark("ts", _DELAY)
-    windows = windowed_totals(marked, F.window("ts", "10 minutes", "5 minutes"), ("event_type",))
-    return stream_to_table(windows, "sliding")
+    def totals(events):
+        return windowed_totals(events, F.window("ts", "10 minutes", "5 minutes"), ("event_type",))
+
+    return _windows_of(t, [t.events], "sliding", totals)
 
 
 @query("stream_session", _closed(_SESSIONS))
 def session(t: Tables):
-    marked = event_stream(t).withWatermark("ts", _DELAY)
-    sessions = windowed_totals(marked, F.session_window("ts", "60 minutes"), ("user_id",))
-    return stream_to_table(sessions, "sessions")
+    def totals(events):
+        return windowed_totals(events, F.session_window("ts", "60 minutes"), ("user_id",))
+
+    return _windows_of(t, [t.events], "sessions", totals)
 
 
 _LATE = """(SELECT e.* FROM events e, (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events
@@ -221,19 +246,9 @@ _LATE = """(SELECT e.* FROM events e, (SELECT max(ts) - INTERVAL 10 MINUTE AS ma
 @query("stream_late_drop", _closed(_windows_sql("60 MINUTE", source=_LATE)))
 def late_drop(t: Tables):
     """Errors arrive after everything else; those of closed windows are dropped."""
-    parts = _two_part_events(t)
-    folder, checkpoint = fresh_folder(t.spark, "late"), fresh_folder(t.spark, "late-cp")
-
-    def run():
-        marked = _part_stream(t, parts).withWatermark("ts", _DELAY)
-        totals = windowed_totals(marked, F.window("ts", "1 hour"))
-        run_to_files(totals, folder, checkpoint)
-        return totals.schema
-
-    run()
-    _add_errors(t, parts)
-    schema = run()
-    return t.spark.read.schema(schema).parquet(folder)
+    late = F.col("event_type") == "error"
+    tables = [t.events.filter(~late), t.events.filter(late)]
+    return _windows_of(t, tables, "late", lambda e: windowed_totals(e, F.window("ts", "1 hour")))
 
 
 @query(

@@ -7,16 +7,22 @@ from pyspark.sql import SparkSession
 # Settings that results depend on; safe to set on a session somebody else built.
 RESULT_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # Casts, overflow and array access depend on it.
+    "spark.sql.ansi.enabled": "true",
 }
 
-# Settings that only change how the work is spread.
-SCALE_SETTINGS = {
-    "spark.sql.ansi.enabled": "true",
+# Settings that let adaptive execution split a hot key in a join.
+SKEW_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join also where that costs a shuffle after it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+# Settings that only change how the work is spread.
+SCALE_SETTINGS = {
+    **SKEW_SETTINGS,
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Stream state outgrows the heap at scale, so it lives in RocksDB, and
@@ -54,7 +60,10 @@ def build_session(
 
 
 def pin_results(spark: SparkSession) -> None:
-    """Set on a given session only what results depend on."""
-    for name, value in RESULT_SETTINGS.items():
+    """Set on a given session what results depend on, and what spreads hot keys.
+
+    A query runs after it has been returned, so the settings stay.
+    """
+    for name, value in {**RESULT_SETTINGS, **SKEW_SETTINGS}.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdigrid.operators.joins import measured_bytes
-from verdigrid.shared import qualified
 
 
 def write_csv(df: DataFrame, folder: str, **options) -> None:
@@ -53,7 +54,10 @@ def append_table(df: DataFrame, table: str, folder: str) -> None:
 
 
 def write_pairs(df: DataFrame, key: str, value: str, folder: str) -> None:
-    """Key/value sequence files, which only the RDD interface can write."""
+    """Key/value sequence files, which only the RDD interface can write.
+
+    Rows pass through Python one by one: for exchange with old jobs, not for large tables.
+    """
     df.select(key, value).rdd.map(tuple).saveAsSequenceFile(folder)
 
 
@@ -62,52 +66,34 @@ def read_pairs(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     return spark.createDataFrame(spark.sparkContext.sequenceFile(folder), schema)
 
 
-def write_per_partition(df: DataFrame, folder: str) -> DataFrame:
-    """One file per partition through a writer opened once per partition.
+def write_per_partition(
+    df: DataFrame,
+    folder: str,
+    prepare: Callable[[int], Callable[[pa.RecordBatch], pa.RecordBatch]] | None = None,
+) -> DataFrame:
+    """Files of the partitions, after work that is set up once per partition.
 
-    Each task writes under a name of its own attempt and moves the finished file
-    to the partition's name, so a repeated or competing task replaces the file
-    instead of adding rows. Returns rows and file per partition; the files exist
-    once that table has been computed.
+    ``prepare`` gets the partition's number, opens what the partition needs and returns
+    the function that every batch of rows passes through; it must keep the columns.
+    Spark writes and commits the files, so a repeated or competing task adds nothing.
+    Returns ``partition``, ``rows`` and ``file``, read from what was committed; the
+    files carry ``partition`` as one more column.
     """
-    summary = T.StructType(
-        [
-            T.StructField("partition", T.IntegerType()),
-            T.StructField("rows", T.LongType()),
-            T.StructField("file", T.StringType()),
-        ]
-    )
-
-    target = qualified(df.sparkSession, folder).replace("s3a://", "s3://")
-    if target.startswith("file:/") and not target.startswith("file://"):
-        target = target.replace("file:", "file://", 1)
+    names = [*df.columns, "partition"]
+    schema = T.StructType([*df.schema.fields, T.StructField("partition", T.IntegerType())])
 
     def sink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-        from pyspark import TaskContext
-
-        task = TaskContext.get()
-        part = task.partitionId()
-        system, base = fs.FileSystem.from_uri(target)
-        writer, rows = None, 0
-        draft = f"{base}/_attempt-{part}-{task.taskAttemptId()}"
+        part = TaskContext.get().partitionId()
+        work = prepare(part) if prepare else None
         for batch in batches:
-            if writer is None:
-                system.create_dir(base, recursive=True)
-                writer = pq.ParquetWriter(draft, batch.schema, filesystem=system)
-            writer.write_batch(batch)
-            rows += batch.num_rows
-        if writer is None:
-            return
-        writer.close()
-        final = f"{base}/part-{part:06d}.parquet"
-        if system.get_file_info(final).type != fs.FileType.NotFound:
-            system.delete_file(final)
-        system.move(draft, final)
-        yield pa.RecordBatch.from_pylist(
-            [{"partition": part, "rows": rows, "file": final}],
-            schema=pa.schema([("partition", pa.int32()), ("rows", pa.int64()), ("file", pa.string())]),
-        )
-
-    return df.mapInArrow(sink, summary)
+            done = work(batch) if work else batch
+            mark = pa.array([part] * done.num_rows, pa.int32())
+            yield pa.RecordBatch.from_arrays([*done.columns, mark], names)
+
+    df.mapInArrow(sink, schema).write.mode("overwrite").parquet(folder)
+    return (
+        df.sparkSession.read.schema(schema)
+        .parquet(folder)
+        .groupBy("partition")
+        .agg(F.count("*").alias("rows"), F.min("_metadata.file_path").alias("file"))
+    )

@@ -6,7 +6,7 @@ stops when the input present at its start has been processed.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
@@ -17,6 +17,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from verdigrid.shared import fresh_folder
 
+#: Slices of a stream's input, at the least; rows of a file; files of a slice, at most.
+LEAST_SLICES = 3
+TASK_ROWS = 4_000_000
+FILES_PER_SLICE = 256
+
 _SESSION_MERGE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
@@ -183,6 +188,47 @@ def latest_batch(changes: DataFrame) -> DataFrame:
     return changes.filter(F.col("batch") == F.lit(last)).drop("batch")
 
 
+def time_slices(
+    df: DataFrame, column: str, least: int = LEAST_SLICES, task_rows: int = TASK_ROWS
+) -> list[str]:
+    """Folders with the rows of ``df`` in order of ``column``, written once.
+
+    No row of a folder is later than one of the next, so a stream that gets one folder
+    after the other may use a watermark with batches of bounded size: at most
+    ``FILES_PER_SLICE`` files of about ``task_rows`` rows, in ``least`` or more folders.
+    """
+    tasks = max(least, -(-df.count() // task_rows))
+    files = max(1, min(tasks // least, FILES_PER_SLICE))
+    folder = fresh_folder(df.sparkSession, "slices")
+    number = F.floor(F.spark_partition_id() / files)
+    ordered = df.repartitionByRange(tasks, column).withColumn("slice", number)
+    ordered.write.partitionBy("slice").parquet(folder)
+    return [f"{folder}/slice={k}" for k in range(-(-tasks // files))]
+
+
+def run_slices(
+    spark: SparkSession, slices: Sequence[str], inbox: str, run: Callable[[], None]
+) -> None:
+    """Move one slice after the other into ``inbox`` and call ``run`` for each.
+
+    Slices without rows were never written; the first call is made in any case.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(inbox).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(inbox))
+    taken = len(files.listStatus(path(inbox)))
+    for source in slices:
+        target = path(f"{inbox}/{taken:06d}")
+        if files.exists(path(source)):
+            files.rename(path(source), target)
+        elif taken == 0:
+            files.mkdirs(target)
+        else:
+            continue
+        taken += 1
+        run()
+
+
 def stream_to_table(stream: DataFrame, label: str) -> DataFrame:
     """Run over all present input and read back what the file sink holds."""
     spark = stream.sparkSession
