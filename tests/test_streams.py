@@ -3,13 +3,17 @@
 import time
 
 import pytest
+from conftest import SMALL
+from oracle import connect, differences
 from pyspark.sql import functions as F
 
 from verdigrid.operators.layout import shared, shared_view
 from verdigrid.operators.metrics import number_metrics, observed
+from verdigrid.plans import QUERIES
 from verdigrid.plans.registry import Tables
 from verdigrid.plans.streams import event_stream
 from verdigrid.shared import fresh_folder
+from verdigrid.streaming import streams
 from verdigrid.streaming.streams import (
     batch_folder_writer,
     decode_messages,
@@ -170,7 +174,7 @@ def test_shared_tables_are_released(spark):
 
 def test_slices_are_ordered_and_bounded(spark):
     df = spark.range(1000).select("id", F.pmod(F.col("id") * 7919, F.lit(100)).alias("ts"))
-    folders = time_slices(df.repartition(5), "ts", task_rows=50)
+    folders = time_slices(df.repartition(5), "ts", least=3, task_rows=50)
     bounds = []
     for folder in folders:
         facts = spark.read.parquet(folder).agg(F.count("*"), F.min("ts"), F.max("ts")).first()
@@ -205,3 +209,15 @@ def test_a_stream_without_rows_still_runs(spark):
     none = spark.range(0).withColumn("ts", F.col("id"))
     run_slices(spark, time_slices(none, "ts"), fresh_folder(spark, "none"), lambda: runs.append(1))
     assert runs == [1]
+
+
+@pytest.mark.parametrize(
+    "key", ["stream_tumbling_append", "stream_sliding", "stream_session", "stream_late_drop"]
+)
+def test_windows_of_three_batches_match_sql(spark, monkeypatch, key):
+    monkeypatch.setattr(streams, "LEAST_SLICES", 3)
+    con = connect(SMALL)
+    try:
+        assert differences(QUERIES[key](spark, SMALL), con, QUERIES[key].sql) is None
+    finally:
+        con.close()

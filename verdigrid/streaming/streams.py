@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from verdigrid.shared import fresh_folder
 
 #: Slices of a stream's input, at the least; rows of a file; files of a slice, at most.
-LEAST_SLICES = 3
+LEAST_SLICES = 1
 TASK_ROWS = 4_000_000
 FILES_PER_SLICE = 256
 
@@ -189,7 +189,7 @@ def latest_batch(changes: DataFrame) -> DataFrame:
 
 
 def time_slices(
-    df: DataFrame, column: str, least: int = LEAST_SLICES, task_rows: int = TASK_ROWS
+    df: DataFrame, column: str, least: int | None = None, task_rows: int = TASK_ROWS
 ) -> list[str]:
     """Folders with the rows of ``df`` in order of ``column``, written once.
 
@@ -197,6 +197,7 @@ def time_slices(
     after the other may use a watermark with batches of bounded size: at most
     ``FILES_PER_SLICE`` files of about ``task_rows`` rows, in ``least`` or more folders.
     """
+    least = least or LEAST_SLICES
     tasks = max(least, -(-df.count() // task_rows))
     files = max(1, min(tasks // least, FILES_PER_SLICE))
     folder = fresh_folder(df.sparkSession, "slices")
