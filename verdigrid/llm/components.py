@@ -3,8 +3,10 @@
 Each round hangs every node's larger neighbours on its smallest neighbour (large
 star), then every node and its smaller neighbours on the smallest of them (small
 star). Rounds grow with the logarithm of the longest chain. Minima are combined
-before the shuffle, so a hub costs one row per task, and every round is a written
-table, so a lost executor repeats one round at most.
+before the shuffle, so a hub costs one row per task. They are written before they are
+joined: both sides are then plain shuffles, and adaptive execution splits a hub's links
+over many tasks or broadcasts few minima. Every step is a written table, so a lost
+executor repeats one step at most.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ def _mark(edges: DataFrame) -> tuple:
 def _hung(pairs: DataFrame) -> DataFrame:
     """Every (u, v) of ``pairs`` with the smallest of u and all of u's v as ``m``."""
     least = pairs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return pairs.join(least, "u")
+    return pairs.join(written(least, "least"), "u")
 
 
 def components(links: DataFrame) -> DataFrame:

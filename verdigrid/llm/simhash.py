@@ -243,13 +243,22 @@ def links(prints: DataFrame) -> DataFrame:
 
 
 def near_duplicates(prints: DataFrame) -> DataFrame:
-    """``prints`` (doc_id, fp, ...; a written table) with ``root``, ``component_id``."""
+    """``prints`` (doc_id, fp, ...; a written table) with ``root``, ``component_id``.
+
+    The smallest id of each component is written before it is joined, so that adaptive
+    execution can split the fingerprints of a large component over many tasks.
+    """
     roots = components(links(prints))
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    rooted = least.join(roots, least["fp"] == roots["u"], "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), "least_id"
+    rooted = written(
+        least.join(roots, least["fp"] == roots["u"], "left").select(
+            "fp", F.coalesce("root", "fp").alias("root"), "least_id"
+        ),
+        "rooted",
+    )
+    named = written(
+        rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "component-ids"
     )
-    named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     names = rooted.join(named, "root").select("fp", "root", "component_id")
     return prints.join(names, "fp", "left")
 
