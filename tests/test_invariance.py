@@ -26,6 +26,7 @@ KEYS = (
     "pipe_word_count",
     "pivot_multi_agg",
     "sample_fixed_size",
+    "sample_with_replacement",
     "set_difference",
     "set_intersect",
     "udaf_grouped",

@@ -113,11 +113,15 @@ def sample_rows(
 def sample_rows_with_replacement(
     df: DataFrame, n: int, key: Sequence[str], seed: int = 7
 ) -> DataFrame:
-    """Exactly ``n`` random rows, each drawn from all of them."""
+    """Exactly ``n`` random rows, each drawn from all of them; none of an empty table.
+
+    Draw i takes the row at the position that the first 15 hexadecimal digits of its MD5
+    give, modulo the number of rows, in the order of ``key``, which must identify a row.
+    """
     indexed = index_rows(df, key, "_index")
     total = indexed.count()
     if total == 0:
         return df
-    hashed = F.xxhash64(F.lit(seed), F.col("id"))
-    draws = df.sparkSession.range(n).select(F.pmod(hashed, F.lit(total)).alias("_index"))
+    drawn = F.conv(F.substring(_draw(seed, "id"), 1, 15), 16, 10).cast("long")
+    draws = df.sparkSession.range(n).select((drawn % total).alias("_index"))
     return draws.join(indexed, "_index").drop("_index")

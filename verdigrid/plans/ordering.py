@@ -8,7 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from verdigrid.operators.ordering import index_rows, sample_rows, zip_rows
+from verdigrid.operators.ordering import (
+    index_rows,
+    sample_rows,
+    sample_rows_with_replacement,
+    zip_rows,
+)
 from verdigrid.plans.registry import Tables, query
 
 
@@ -102,3 +107,16 @@ def zip_positional(t: Tables):
 )
 def sample_fixed_size(t: Tables):
     return sample_rows(t.orders.select("o_orderkey", "o_totalprice"), 100, ["o_orderkey"], seed=7)
+
+
+@query(
+    "sample_with_replacement",
+    """WITH numbered AS (SELECT o_orderkey, o_totalprice,
+                                row_number() OVER (ORDER BY o_orderkey) - 1 AS place FROM orders),
+            draws AS (SELECT ('0x' || substr(md5('7:' || i), 1, 15))::BIGINT
+                             % (SELECT count(*) FROM orders) AS place FROM range(500) r(i))
+       SELECT o_orderkey, o_totalprice FROM draws JOIN numbered USING (place)""",
+)
+def sample_with_replacement(t: Tables):
+    orders = t.orders.select("o_orderkey", "o_totalprice")
+    return sample_rows_with_replacement(orders, 500, ["o_orderkey"], seed=7)
