@@ -195,6 +195,22 @@ def test_components(spark):
     assert got == {n: r for n, r in want.items() if n != r}
 
 
+def test_components_of_a_hub_without_broadcast(spark):
+    """A hub in most links, null ends, repeated links and links of a node to itself."""
+    pairs = [(5, k) for k in range(6, 1500)] + [(k, 5) for k in range(6, 200)] + [(3, 1499), (2, 2)]
+    pairs += [(None, 9), (9, None)]
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        table = spark.createDataFrame(pairs, "u long, v long")
+        got = {r["u"]: r["root"] for r in components(table).collect()}
+        none = components(table.limit(0)).count()
+    finally:
+        spark.conf.set(name, before)
+    assert got == {k: 3 for k in range(5, 1500)} and none == 0
+
+
 def test_packing(awkward, docs):
     for table in (docs, awkward):
         for group_rows in (40, packing.GROUP_ROWS):
