@@ -121,6 +121,21 @@ def test_secrets(awkward, docs):
     assert any(s[1] > 2 for s in secrets.find_secrets(quiet.replace("sha256:", "key")))
 
 
+def test_secrets_of_neighbouring_single_tokens(spark):
+    """One run of class characters spans many texts; every row is judged by its own."""
+    rnd = random.Random(12)
+    token = ["".join(rnd.choice("0123456789abcdef") for _ in range(34)) for _ in range(6)]
+    key = "AKIA" + "Q7ZM" * 4
+    texts = [*token, "", None, *token[:1] * 3, "ends in " + token[2], "", "", token[3], key, key, None, "ab12", "ef" * 6]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = by_id(secrets.scan_secrets(table))
+    for k, text in enumerate(texts):
+        spans = secrets.find_secrets(text or "")
+        assert got[k]["spans"] == ",".join(f"{secrets.KINDS[c]}:{a}:{b}" for a, c, b in spans)
+    assert [got[k]["n_hex"] for k in range(11)] == [1] * 6 + [0, 0] + [1] * 3
+    assert got[14]["n_hex"] == got[15]["n_access"] == got[16]["n_access"] == 1
+
+
 def test_repetition(awkward):
     got = by_id(repetition.quality_rules(awkward))
     assert got[0]["n_words"] == got[1]["n_words"] == got[2]["n_words"] == 0 and got[0]["base_failed"]

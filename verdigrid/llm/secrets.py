@@ -134,26 +134,31 @@ _KEY = _table(_DIGITS + _UPPER)
 _SIGN = _table(b":=")
 
 
-def _long_runs(member: np.ndarray, least: int) -> np.ndarray:
-    """Where runs of ``member`` of at least ``least`` bytes begin."""
-    edges = np.flatnonzero(np.diff(member, prepend=False, append=False))
-    starts, ends = edges[::2], edges[1::2]
+def _long_runs(member: np.ndarray, bounds: np.ndarray, least: int) -> np.ndarray:
+    """Where runs of ``member`` of at least ``least`` bytes inside one row begin."""
+    cut = bounds[bounds < len(member)]
+    first, last = member.copy(), member.copy()
+    first[1:] &= ~member[:-1]
+    first[cut] = member[cut]
+    last[:-1] &= ~member[1:]
+    cut = cut[cut > 0]
+    last[cut - 1] = member[cut - 1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     return starts[ends - starts >= least]
 
 
 def _suspects(block: Block) -> set[int]:
     """Rows that can hold a span at all: others need no pattern matching.
 
-    Runs that cross from one text to the next only name rows too many.
+    Texts stand side by side in a block, so runs are cut at the row bounds: every row
+    is judged by its own.
     """
-    data = block.data
+    data, bounds = block.data, block.bounds
     at = [np.flatnonzero(_SIGN[data])]
     for member, least in ((_WIDE, 16), (_HEX, 16), (_KEY, 18)):
-        runs = _long_runs(member[data], least)
-        at += [runs, runs + least - 1]
-    rows = np.searchsorted(block.bounds, np.concatenate(at), "right") - 1
-    near = np.concatenate([rows, rows + 1])
-    return set(np.unique(near[near < len(block.bounds) - 1]).tolist())
+        at.append(_long_runs(member[data], bounds, least))
+    rows = np.searchsorted(bounds, np.concatenate(at), "right") - 1
+    return set(np.unique(rows).tolist())
 
 
 def spans_of(block: Block) -> list[list[tuple[int, int, int]]]:
