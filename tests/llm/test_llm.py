@@ -404,6 +404,22 @@ def test_classifiers_on_awkward_tables(spark, awkward):
             assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in frame if r["doc_id"] is not None)
 
 
+def test_quality_sample_passes_over_long_texts(spark):
+    """Very long labelled texts, first in the order of the sample, are left out alone."""
+    ids = [k for k in range(400) if zlib.crc32(str(k).encode()) % 4 != 2]
+    labels = spark.createDataFrame([(k, k % 2) for k in ids], "doc_id long, quality int")
+    order = [r["doc_id"] for r in labels.selectExpr("doc_id", "xxhash64(doc_id) h").orderBy("h").collect()]
+    size = {order[0]: 70_000, order[1]: 60_000, order[5]: 9_000}
+    rows = [(k, ("good plain words " if k % 2 else "#$% spam !!! ") * (size.get(k, 200) // 10)) for k in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    short = docs.where(~docs["doc_id"].isin(list(size)))
+    frame = score_quality(short, fit_quality(docs, labels, sample_bytes=64 << 10)).toPandas()
+    good = frame["doc_id"] % 2 == 1
+    assert (frame["predicted"] == good).mean() > 0.95
+    only = docs.where(docs["doc_id"] == order[5])
+    assert fit_quality(only, labels, sample_bytes=64 << 10).fitted
+
+
 def test_empty_tables(spark, docs, labels):
     none, no_labels = docs.limit(0), labels.limit(0)
     results = [

@@ -25,6 +25,8 @@ THRESHOLD = 0.7
 #: Bound of the labelled sample in rows and in bytes of text.
 SAMPLE_ROWS = 4000
 SAMPLE_BYTES = 8 << 20
+#: Texts up to this part of the byte bound are sampled first, longer ones by doublings.
+SMALL_PART = 64
 WIDTH, FILTERS, HIDDEN = 7, 24, 12
 #: Bytes of half a chunk, and of a piece that is convolved at once.
 HALF = 256
@@ -156,6 +158,23 @@ class ByteNet:
         self.fitted = True
 
 
+def _fitting(sizes: np.ndarray, sample_bytes: int) -> np.ndarray:
+    """Which texts to take, in ascending order: all together fit in ``sample_bytes``.
+
+    Texts are tried in the given order, but one above a small part of the bound only
+    after all shorter ones, class by class of doubled size, so that no single long text
+    takes the place of many.
+    """
+    small = max(1, sample_bytes // SMALL_PART)
+    doublings = np.ceil(np.log2(np.maximum(sizes / small, 1)))
+    taken, left = [], sample_bytes
+    for k in np.argsort(doublings, kind="stable").tolist():
+        if sizes[k] <= left:
+            taken.append(k)
+            left -= int(sizes[k])
+    return np.sort(np.array(taken, np.int64))
+
+
 def fit_quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -164,7 +183,8 @@ def fit_quality(
 ) -> ByteNet:
     """A net of ``labels.quality``, from at most ``sample_rows`` and ``sample_bytes``.
 
-    Documents are taken in the order of the sample as long as their texts fit.
+    A text that does not fit is left out by itself; only one longer than
+    ``sample_bytes`` can never be learnt from.
     """
     sample = labelled_sample(docs, labels, "quality", sample_rows)
     sizes = bounded(
@@ -173,18 +193,17 @@ def fit_quality(
         ),
         sample_rows,
     ).to_pandas()
-    within = sizes[sizes["size"].cumsum() <= sample_bytes]
+    chosen = sizes.iloc[_fitting(sizes["size"].to_numpy(), sample_bytes)]
     net = ByteNet()
-    if len(within):
-        last = int(within["place"].iloc[-1])
-        chosen = within[["doc_id"]].astype("int64")
+    if len(chosen):
+        ids = sample.sparkSession.createDataFrame(chosen[["doc_id"]].astype("int64"))
         texts = bounded(
-            sample.where(F.col("place") <= last).select(
+            sample.join(F.broadcast(ids), "doc_id").select(
                 "doc_id", "place", F.col("text").cast("binary").alias("text"), "label"
             ),
             sample_rows,
         ).to_pandas()
-        texts = texts[texts["doc_id"].isin(chosen["doc_id"])].sort_values(["place", "doc_id"])
+        texts = texts.sort_values(["place", "doc_id"])
         net.fit([np.frombuffer(t, np.uint8) for t in texts["text"]], texts["label"].to_numpy())
     return net
 
