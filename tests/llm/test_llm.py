@@ -15,13 +15,16 @@ import public_tokenizers
 import pytest
 import sentencepiece
 import xxhash
+from pyspark.sql.functions import xxhash64
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from verdigrid.llm import packing, rangecoder, repetition, secrets, sharding, simhash, tokenfiles
 from verdigrid.llm import toxicity, topk
+from verdigrid.llm.blocks import held_out
 from verdigrid.llm.bytenet import fit_quality, score_quality
 from verdigrid.llm.components import components
+from verdigrid.llm.labelled import labelled_sample
 from verdigrid.llm.pieces import Transducer, encode_pieces
 from verdigrid.llm.queries import LLM_QUERIES, LLM_SQL
 
@@ -420,6 +423,17 @@ def test_quality_sample_passes_over_long_texts(spark):
     assert fit_quality(only, labels, sample_bytes=64 << 10).fitted
 
 
+def test_labelled_sample_is_of_present_documents(spark):
+    """Labels of many documents that are not in the table take no place in the sample."""
+    labels = spark.range(5000).selectExpr("id doc_id", "cast(id % 2 as int) toxic")
+    last = labels.where(~held_out(labels["doc_id"])).orderBy(xxhash64("doc_id").desc()).limit(30)
+    docs = last.selectExpr("doc_id", "'text ' || doc_id text")
+    docs = docs.union(docs).union(spark.sql("select cast(null as long), 'no id'"))
+    got = labelled_sample(docs, labels, "toxic", 20).collect()
+    want = sorted((r["place"], r["doc_id"]) for r in labelled_sample(docs, labels, "toxic", 5000).collect())
+    assert len(want) == 30 and sorted((r["place"], r["doc_id"]) for r in got) == want[:20]
+
+
 def test_empty_tables(spark, docs, labels):
     none, no_labels = docs.limit(0), labels.limit(0)
     results = [
