@@ -139,6 +139,31 @@ def test_secrets_of_neighbouring_single_tokens(spark):
     assert got[14]["n_hex"] == got[15]["n_access"] == got[16]["n_access"] == 1
 
 
+def test_secrets_in_links():
+    key = "q7Zk2Lw9Xv4Rb8Ty1Nc6Md3P"
+    far = "https://host.net/" + "plain-words/" * 40
+
+    def found(text):
+        return [text[a:b] for a, k, b in secrets.find_secrets(text) if k > 2]
+
+    for text in (
+        f"https://user:{key}@host.net/a/b",
+        f"https://host.net/a.b?key={key}&n=1",
+        f"see https://hooks.host.net/services/{key}/end",
+        f"{far}{key}",
+        f"{far}?u=https://other.net/x.y/{key}",
+        f'"https://host.net/a","{key}"',
+    ):
+        assert any(key in s for s in found(text)), text
+    for text in (
+        f"{far}top10-tips-and-tricks-of-2024-for-everybody/Some-Title-9",
+        "https://d1a2b3c4e5f6g7h8i9j0k1l2m3.host.net/index",
+        "https://web.net/save/2024/HTTPS://host.net/Quick-Brown-Foxes-Jump-2024",
+        f"sha256: {key}",
+    ):
+        assert found(text) == [], text
+
+
 def test_repetition(awkward):
     got = by_id(repetition.quality_rules(awkward))
     assert got[0]["n_words"] == got[1]["n_words"] == got[2]["n_words"] == 0 and got[0]["base_failed"]

@@ -6,7 +6,8 @@ entropy follows from counts that change by one character in and one out. Windows
 or above the class's limit are merged to spans. A run belongs to its narrowest class,
 so nothing is reported twice by entropy. The allow-list suppresses a candidate by
 what it is (only letters, only digits, known sample values) or by what stands before
-it (a digest's label, a link).
+it (a digest's label). Host and plain path segments of a link are no part of any
+candidate; its user-info, query, fragment and long mixed segments are.
 
 Offsets count code points, ends are exclusive. Null text counts as empty: no spans.
 Ids may be null or repeat; every input row gives one row. Texts of any length are
@@ -59,11 +60,15 @@ ALLOWED_VALUES = (
 )
 #: Nor is one that directly follows one of these.
 ALLOWED_BEFORE = re.compile(
-    r"(?:(?:sha-?(?:1|224|256|384|512)|md5|crc32|commit|etag)[\"']?\s?[:= -]\s?[\"']?"
-    r"|https?://\S*)\Z",
+    r"(?:sha-?(?:1|224|256|384|512)|md5|crc32|commit|etag)[\"']?\s?[:= -]\s?[\"']?\Z",
     re.IGNORECASE,
 )
-BEFORE = 200
+BEFORE = 20
+LINK_START = re.compile(r"https?://", re.IGNORECASE)
+LINK_REST = re.compile(r"[^\s\"'<>\\^`{|}]*")
+WORD = re.compile(r"[0-9A-Za-z]+")
+#: A path segment is plain if its words of letters and digits mixed are shorter in all.
+PLAIN_CHARS = 16
 
 KINDS = ("assign", "access", "hex", *(c.kind for c in CLASSES))
 
@@ -100,6 +105,48 @@ def _allowed(text: str, start: int, value: str) -> bool:
     )
 
 
+def _plain(segment: str) -> bool:
+    words = WORD.findall(segment)
+    return sum(len(w) for w in words if not (w.isalpha() or w.isdigit())) < PLAIN_CHARS
+
+
+def link_parts(text: str) -> list[tuple[int, int]]:
+    """Where the hosts and plain path segments of links stand, in order."""
+    parts = []
+    heads = [(m.start(), m.end()) for m in LINK_START.finditer(text)]
+    for (start, at), (after, _) in zip(heads, [*heads[1:], (len(text), 0)]):
+        end = LINK_REST.match(text, at, after).end()
+        path = min((k for k in (text.find(c, at, end) for c in "?#") if k >= 0), default=end)
+        slash = text.find("/", at, path)
+        host = path if slash < 0 else slash
+        user = text.rfind("@", at, host)
+        parts += [(start, at), (max(at, user + 1), host)]
+        at = host
+        while at < path:
+            stop = text.find("/", at + 1, path)
+            stop = path if stop < 0 else stop
+            parts.append((at, stop if _plain(text[at + 1 : stop]) else at + 1))
+            at = stop
+    return parts
+
+
+def _without(runs: list[tuple[int, int]], parts: list[tuple[int, int]]):
+    """What is left of ``runs`` outside ``parts``; both are in order."""
+    left, k = [], 0
+    for a, b in runs:
+        while k < len(parts) and parts[k][1] <= a:
+            k += 1
+        j = k
+        while j < len(parts) and parts[j][0] < b:
+            if parts[j][0] > a:
+                left.append((a, parts[j][0]))
+            a = max(a, parts[j][1])
+            j += 1
+        if a < b:
+            left.append((a, b))
+    return left
+
+
 def find_secrets(text: str) -> list[tuple[int, int, int]]:
     """(start, index of the kind in ``KINDS``, end), sorted."""
     found = [
@@ -110,8 +157,9 @@ def find_secrets(text: str) -> list[tuple[int, int, int]]:
     ]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text) if len(m[0]) >= 16]
     narrower: set[tuple[int, int]] = set()
+    links = link_parts(text)
     for k, group in enumerate(CLASSES, 3):
-        runs = [(m.start(), m.end()) for m in group.run.finditer(text)]
+        runs = _without([(m.start(), m.end()) for m in group.run.finditer(text)], links)
         for a, b in runs:
             value = text[a:b]
             if (a, b) not in narrower and not _allowed(text, a, value):
