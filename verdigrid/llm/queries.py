@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from verdigrid.llm import repetition, topk
+from verdigrid.llm import collocations, repetition, topk
 from verdigrid.llm.bytenet import fit_quality, score_quality
 from verdigrid.llm.packing import pack
 from verdigrid.llm.pieces import encode_pieces
@@ -89,3 +89,8 @@ def token_id_files(spark: SparkSession, folder: str) -> DataFrame:
 def sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_register("op13_collocations", collocations.SQL)
+def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
