@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from verdigrid.llm import collocations, repetition, topk
+from verdigrid.llm import collocations, lexical, repetition, topk
 from verdigrid.llm.bytenet import fit_quality, score_quality
 from verdigrid.llm.packing import pack
 from verdigrid.llm.pieces import encode_pieces
@@ -94,3 +94,9 @@ def sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 @_register("op13_collocations", collocations.SQL)
 def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(_table(spark, folder, "documents"))
+
+
+@_register("op11_lexical_search", lexical.SQL)
+def lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    return lexical.lexical_search(docs, items)
