@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from verdigrid.llm import collocations, lexical, repetition, topk
 from verdigrid.llm.bytenet import fit_quality, score_quality
 from verdigrid.llm.packing import pack
+from verdigrid.llm.personal import find_personal
 from verdigrid.llm.pieces import encode_pieces
 from verdigrid.llm.repetition import quality_rules
 from verdigrid.llm.secrets import scan_secrets
@@ -100,3 +101,8 @@ def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
 def lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
     return lexical.lexical_search(docs, items)
+
+
+@_register("op12_personal_data")
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return find_personal(_table(spark, folder, "documents"))
