@@ -9,15 +9,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verdigrid.operators.keyed import group_values
 from verdigrid.plans.registry import Tables, query
 from verdigrid.shared import fresh_folder
 from verdigrid.sources.quality import (
     CORRUPT,
+    MALFORMED,
+    admit,
     quarantine,
     read_drop_malformed,
     read_dropping,
-    read_fail_fast,
     read_permissive,
     with_reason,
 )
@@ -32,7 +32,7 @@ from verdigrid.sources.readers import (
     read_lines,
     read_whole_files,
 )
-from verdigrid.sources.writers import write_csv, write_lines
+from verdigrid.sources.writers import number_files, write_csv, write_lines, write_numbered
 
 CUSTOMER = (
     T.StructType()
@@ -66,6 +66,7 @@ def format_generic(t: Tables):
     return read_format(t.spark, "csv", customer_csv(t), CUSTOMER, header=True)
 
 
+_KEEP_BLANKS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 _DIALECT = {"sep": ";", "quote": "'", "escape": "\\", "encoding": "UTF-8", "multiLine": True}
 
 
@@ -74,10 +75,13 @@ _DIALECT = {"sep": ";", "quote": "'", "escape": "\\", "encoding": "UTF-8", "mult
     """SELECT doc_id, lang, length(text) AS characters, md5(text) AS digest FROM documents""",
 )
 def csv_dialect(t: Tables):
-    """Texts with line breaks, quotes and separators, in files of bounded size."""
+    """Texts with line breaks, quotes and separators, in files bounded by bytes."""
     folder = fresh_folder(t.spark, "documents-csv")
-    layout = {**_DIALECT, "quoteAll": True, "maxRecordsPerFile": 20_000}
-    write_csv(t.documents.select("doc_id", "lang", "text"), folder, **layout)
+    rows = t.documents.select("doc_id", "lang", "text")
+    # A quote inside a text takes one more byte; ids, language and separators some thirty.
+    quotes = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("'"), F.lit("")))
+    size = F.coalesce(F.octet_length("text") + quotes, F.lit(0)) + 40
+    write_numbered(number_files(rows, size), folder, "csv", header=True, quoteAll=True, **_KEEP_BLANKS, **_DIALECT)
     back = read_csv(t.spark, folder, "doc_id bigint, lang string, text string", **_DIALECT)
     return back.select(
         "doc_id", "lang", F.length("text").cast("long").alias("characters"), F.md5("text").alias("digest")
@@ -181,16 +185,16 @@ def json_lines(t: Tables):
 
 @query("src_json_multiline", _PEOPLE_SQL)
 def json_multiline(t: Tables):
-    """Files that each hold one pretty-printed array of bounded length."""
-    people = _people(t).select(
-        "address.segment", "id", F.to_json(F.struct("id", "address", "tags"), {"pretty": "true"}).alias("text")
-    )
-    lists = group_values(people, ["segment"], "text", spread_by=["id"], chunk_rows=20_000)
+    """Files that each hold one pretty-printed array, bounded by bytes."""
+    text = F.to_json(F.struct("id", "address", "tags"), {"pretty": "true"})
+    people = number_files(_people(t).select(text.alias("text")), F.octet_length("text") + 2)
+    # A list holds what one file may hold.
+    lists = people.groupBy("file").agg(F.collect_list("text").alias("values"))
     arrays = lists.select(
-        F.concat(F.lit("[\n"), F.array_join("values", ",\n"), F.lit("\n]")).alias("text")
+        "file", F.concat(F.lit("[\n"), F.array_join("values", ",\n"), F.lit("\n]")).alias("text")
     )
     folder = fresh_folder(t.spark, "people-arrays")
-    write_lines(arrays, "text", folder, maxRecordsPerFile=1)
+    write_numbered(arrays, folder, "text")
     return _flat_people(read_json(t.spark, folder, _PERSON, multi_line=True))
 
 
@@ -236,9 +240,9 @@ def text_lines(t: Tables):
     "SELECT o_orderstatus AS status, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1",
 )
 def whole_files(t: Tables):
-    """Files of at most 100,000 lines, each read as one row and cut into lines again."""
+    """Files bounded by bytes, each read as one row and cut into lines again."""
     folder = fresh_folder(t.spark, "order-files")
-    write_lines(_order_lines(t), "line", folder, maxRecordsPerFile=100_000)
+    write_numbered(number_files(_order_lines(t), F.octet_length("line") + 1), folder, "text")
     files = read_whole_files(t.spark, folder)
     lines = files.select(F.explode(F.split("content", "\n")).alias("line"))
     fields = T.StructType.fromDDL("id bigint, status string, price double")
@@ -297,7 +301,7 @@ _DAMAGE = """CASE WHEN c_acctbal < 0 AND c_mktsegment = 'MACHINERY' THEN 'short'
                   WHEN c_acctbal < 0 AND c_mktsegment = 'FURNITURE' THEN 'long' ELSE 'none' END"""
 
 
-def damaged_csv(t: Tables) -> str:
+def _damaged_lines(t: Tables, *columns):
     sound = F.concat_ws(
         ",", F.col("c_custkey"), F.col("c_name"), F.col("c_nationkey"), F.col("c_acctbal"), F.col("c_mktsegment")
     )
@@ -311,9 +315,12 @@ def damaged_csv(t: Tables) -> str:
         .when(F.col("damage") == "long", F.concat(F.col("c_custkey"), F.lit(",,,,,")))
         .otherwise(sound)
     )
-    lines = t.customer.withColumn("damage", F.expr(_DAMAGE)).select(line.alias("line"))
+    return t.customer.withColumn("damage", F.expr(_DAMAGE)).select(*columns, line.alias("line"))
+
+
+def damaged_csv(t: Tables) -> str:
     folder = fresh_folder(t.spark, "damaged")
-    write_lines(lines, "line", folder)
+    write_lines(_damaged_lines(t), "line", folder)
     return folder
 
 
@@ -359,10 +366,44 @@ def bad_csv_drop_count(t: Tables):
     return read_dropping(t.spark, damaged_csv(t), CUSTOMER, header=False).agg(F.count("*").alias("n"))
 
 
-@query("bad_csv_failfast", "SELECT * FROM customer")
+# Deliveries of damaged_csv's lines: customers by segment, those of two segments once
+# more without damage.
+_DELIVERIES = f"""(SELECT lower(c_mktsegment) AS delivery, damage, c_acctbal FROM {_DAMAGED}
+                   UNION ALL SELECT 'again-' || lower(c_mktsegment), 'none', c_acctbal
+                             FROM customer WHERE c_mktsegment IN ('MACHINERY', 'FURNITURE'))"""
+
+
+@query(
+    "bad_csv_failfast",
+    f"""SELECT delivery, bool_or(damage <> 'none') AS refused,
+               CASE WHEN bool_or(damage <> 'none') THEN '{MALFORMED}' END AS condition,
+               CASE WHEN bool_or(damage <> 'none') THEN true END AS file_named,
+               CASE WHEN NOT bool_or(damage <> 'none') THEN count(*) ELSE 0 END AS n,
+               CASE WHEN NOT bool_or(damage <> 'none') THEN round(sum(c_acctbal), 2) ELSE 0 END AS balance
+        FROM {_DELIVERIES} GROUP BY 1""",
+)
 def bad_csv_failfast(t: Tables):
-    """Sound files pass; the tests show that a damaged one stops the query."""
-    return read_fail_fast(t.spark, customer_csv(t), CUSTOMER)
+    """A malformed record refuses its delivery, and the error is a row; sound ones pass."""
+    folder = fresh_folder(t.spark, "deliveries")
+    lines = _damaged_lines(t, F.lower("c_mktsegment").alias("part"))
+    lines.write.partitionBy("part").text(folder)
+    segments = ["automobile", "building", "furniture", "household", "machinery"]
+    deliveries = {name: f"{folder}/part={name}" for name in segments}
+    for name in ("machinery", "furniture"):
+        deliveries[f"again-{name}"] = again = fresh_folder(t.spark, "sound-delivery")
+        write_csv(t.customer.filter(F.lower("c_mktsegment") == name), again, header=False)
+    verdicts, rows = admit(t.spark, deliveries, CUSTOMER, header=False)
+    admitted = rows.groupBy("delivery").agg(
+        F.count("*").alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance")
+    )
+    return verdicts.join(admitted, "delivery", "left").select(
+        "delivery",
+        "refused",
+        F.substring_index("condition", ".", 1).alias("condition"),
+        F.when(F.col("refused"), F.col("file").contains("part=")).alias("file_named"),
+        F.coalesce("n", F.lit(0)).alias("n"),
+        F.coalesce("balance", F.lit(0.0)).alias("balance"),
+    )
 
 
 @query(

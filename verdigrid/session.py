@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Settings that results depend on; safe to set on a session somebody else built.
@@ -59,6 +62,26 @@ def build_session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def job_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Settings for the jobs (or the streams started) inside; the caller's own come back.
+
+    A DataFrame is planned when it runs, so what shall run under the settings must be
+    written or counted inside.
+    """
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def pin_results(spark: SparkSession) -> None:
     """Set on a given session what results depend on, and what spreads hot keys.
 

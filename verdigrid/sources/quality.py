@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +15,7 @@ from pyspark.sql import types as T
 from verdigrid.shared import fresh_folder
 
 CORRUPT = "_corrupt_record"
+MALFORMED = "MALFORMED_RECORD_IN_PARSING"
 
 
 def _with_corrupt(schema: T.StructType) -> T.StructType:
@@ -66,6 +71,61 @@ def read_fail_fast(spark: SparkSession, path: str, schema: T.StructType, **optio
     return spark.read.schema(schema).options(**settings).csv(path)
 
 
+@dataclass(frozen=True)
+class Refusal:
+    """Why a fail-fast job stopped: error condition, file, and the record as parsed."""
+
+    condition: str
+    file: str | None
+    record: str | None
+
+
+def refusal(error: Exception) -> Refusal | None:
+    """What a failed job says about a malformed record; null for any other failure.
+
+    The record's error is the innermost of several that wrap each other, and only the
+    text of the outermost one reaches the driver whole.
+    """
+    said = str(error)
+    found = re.search(rf"\[({MALFORMED}[A-Z_.]*)\]", said)
+    if found is None:
+        return None
+    file = re.search(r"reading file (\S+?)\.?\s", said)
+    record = re.search(r"record parsing: (\[.*?\])\.", said[found.start() :], re.DOTALL)
+    return Refusal(found[1], file[1] if file else None, record[1] if record else None)
+
+
+def admit(
+    spark: SparkSession, deliveries: Mapping[str, str], schema: T.StructType, **options
+) -> tuple[DataFrame, DataFrame]:
+    """Take in whole deliveries or none of their rows: (verdicts, rows of the sound ones).
+
+    Each delivery (name and folder) is read in fail-fast mode by a job of its own that
+    writes what it reads. A malformed record ends that job, nothing of it is committed,
+    and the error becomes a row: ``delivery``, ``refused``, ``condition``, ``file``,
+    ``record``. Other failures are raised. A delivery is read once, and the driver holds
+    one verdict for each. Which of several malformed records is named depends on timing.
+    """
+    folder, verdicts = fresh_folder(spark, "admitted"), []
+    for name, path in deliveries.items():
+        try:
+            rows = read_fail_fast(spark, path, schema, **options)
+            rows.write.parquet(f"{folder}/delivery={name}")
+            verdicts.append((name, False, None, None, None))
+        except (PySparkException, Py4JJavaError) as error:
+            why = refusal(error)
+            if why is None:
+                raise
+            verdicts.append((name, True, why.condition, why.file, why.record))
+    said = "delivery string, refused boolean, condition string, file string, record string"
+    full = T.StructType([*schema.fields, T.StructField("delivery", T.StringType())])
+    if all(refused for _, refused, *_ in verdicts):
+        admitted = spark.createDataFrame([], full)
+    else:
+        admitted = spark.read.schema(full).parquet(folder)
+    return spark.createDataFrame(verdicts, said), admitted
+
+
 def quarantine(df: DataFrame, is_bad: Column, label: str) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad rows) from one pass over ``df``.
 

@@ -7,11 +7,15 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdigrid.operators.joins import measured_bytes
+from verdigrid.shared import written
+
+#: Bytes of a file that only one task can read.
+FILE_BYTES = 64 << 20
 
 
 def write_csv(df: DataFrame, folder: str, **options) -> None:
@@ -30,6 +34,50 @@ def write_lines(df: DataFrame, column: str, folder: str, **options) -> None:
     df.select(column).write.mode("overwrite").options(**options).text(folder)
 
 
+def number_files(df: DataFrame, size: Column, limit: int = FILE_BYTES) -> DataFrame:
+    """Add ``file``: a number under which at most ``limit`` bytes of rows lie.
+
+    ``size`` is a row's bytes in the file. Rows are written once with their place; a
+    running total inside each partition plus the totals of the partitions before (one
+    row per partition) says where a row would begin in one long file, which is cut every
+    half ``limit``. The last row of a cut may reach over it by another half; rows larger
+    than that get files of their own, numbered -1, -2, ...
+    """
+    half = max(1, limit // 2)
+    placed = written(
+        df.withColumn("_size", size.cast("long"))
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn("_place", F.monotonically_increasing_id()),
+        "placed",
+    )
+    large = F.col("_size") > half
+    light, heavy = F.when(large, 0).otherwise(F.col("_size")), large.cast("long")
+    totals = placed.groupBy("_part").agg(F.sum(light).alias("_bytes"), F.sum(heavy).alias("_large"))
+    # One row per partition, so a single ordered window is bounded.
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    total = lambda column, over: F.coalesce(F.sum(column).over(over), F.lit(0))
+    starts = totals.select(
+        "_part", total("_bytes", earlier).alias("_bytes"), total("_large", earlier).alias("_large")
+    )
+    counted = placed.withColumn("_light", total(light, ahead)).withColumn("_heavy", total(heavy, ahead))
+    file = F.when(large, -1 - F.col("_large") - F.col("_heavy")).otherwise(
+        F.floor((F.col("_bytes") + F.col("_light")) / half)
+    )
+    return (
+        counted.join(F.broadcast(starts), "_part")
+        .withColumn("file", file.cast("long"))
+        .drop("_size", "_part", "_place", "_bytes", "_large", "_light", "_heavy")
+    )
+
+
+def write_numbered(numbered: DataFrame, folder: str, fmt: str, **options) -> None:
+    """One file per number of ``file``, each in a folder of its own."""
+    # Files without a row (an empty table) still leave a readable folder.
+    placed = numbered.repartition("file")
+    placed.write.mode("overwrite").partitionBy("file").format(fmt).options(**options).save(folder)
+
+
 def write_few_files(
     df: DataFrame, folder: str, files: int | None = None, file_bytes: int = 512 * 1024 * 1024
 ) -> int:
