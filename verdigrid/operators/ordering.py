@@ -12,9 +12,8 @@ from verdigrid.operators.layout import task_count
 from verdigrid.shared import written
 
 _POSITION_BITS = 33
-#: Hexadecimal digits of a draw told apart at once, all digits, rows cut by sorting.
-_DIGITS, _ALL_DIGITS = 4, 32
-EDGE_ROWS = 10_000
+#: Hexadecimal digits that a share of all draws is rounded to.
+_DIGITS = 12
 
 
 def index_rows(
@@ -73,41 +72,40 @@ def _draw(seed: int, *columns: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in columns]))
 
 
-def sample_rows(
-    df: DataFrame, n: int, key: Sequence[str], seed: int = 7, edge_rows: int = EDGE_ROWS
-) -> DataFrame:
+def _quantile(share: float) -> str:
+    """A key that about ``share`` of all draws lie below."""
+    if share >= 1:
+        return "g"  # beyond every hexadecimal digit
+    return format(int(max(share, 0.0) * 16**_DIGITS), f"0{_DIGITS}x")
+
+
+def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 7) -> DataFrame:
     """Exactly ``n`` random rows without replacement, the same for any layout.
 
-    ``key`` must identify a row. The rows with the ``n`` smallest draws are taken. From
-    counts per leading digits follows the prefix in which the n-th draw lies; it is
-    refined until at most ``edge_rows`` rows have it. Rows of smaller draws are filtered,
-    and only those under the prefix are sorted. All rows are returned if there are fewer.
+    ``key`` must identify a row. The rows with the ``n`` smallest draws are taken. Draws
+    are uniform, so the n-th of N lies close to n / N: a count of the rows gives a band
+    around it, some six standard deviations wide, and one aggregate counts the draws
+    below the band and in it. Rows below are filtered, and only the band is sorted; it
+    has a few times the square root of ``n`` rows. Should the n-th draw lie outside, the
+    band is widened. All rows are returned if there are fewer.
     """
+    total = df.count()
+    if n >= total:
+        return df
     drawn = df.withColumn("_draw", _draw(seed, *key))
-    prefix, missing = "", n
-    while len(prefix) < _ALL_DIGITS:
-        digits = F.substring("_draw", len(prefix) + 1, _DIGITS)
-        counts = (
-            drawn.filter(F.col("_draw").startswith(prefix))
-            .groupBy(digits.alias("_digits"))
-            .agg(F.count("*").alias("_rows"))
-        )
-        # at most 16 ** 4 rows, so one ordered window is bounded
-        edge = (
-            counts.withColumn("_so_far", F.sum("_rows").over(Window.orderBy("_digits")))
-            .filter(F.col("_so_far") >= missing)
-            .orderBy("_digits")
-            .first()
-        )
-        if edge is None:
-            return df
-        prefix += edge["_digits"]
-        missing -= edge["_so_far"] - edge["_rows"]
-        if edge["_rows"] <= edge_rows:
+    slack = 6 * n**0.5 + 30
+    while True:
+        low, high = _quantile((n - slack) / total), _quantile((n + slack) / total)
+        below, within = drawn.agg(
+            F.count_if(F.col("_draw") < low), F.count_if(F.col("_draw") < high)
+        ).first()
+        if below <= n <= within:
             break
-    below = drawn.filter(F.col("_draw") < prefix)
-    last = drawn.filter(F.col("_draw").startswith(prefix)).orderBy("_draw", *key).limit(missing)
-    return below.unionByName(last).drop("_draw")
+        slack *= 4
+    sure = drawn.filter(F.col("_draw") < low)
+    band = drawn.filter((F.col("_draw") >= low) & (F.col("_draw") < high))
+    rest = band.orderBy("_draw", *key).limit(n - below)
+    return sure.unionByName(rest).drop("_draw")
 
 
 def sample_rows_with_replacement(

@@ -15,12 +15,15 @@ from pyspark.sql import types as T
 
 from verdigrid.operators.sessions import session_totals
 from verdigrid.plans.registry import Tables, query
-from verdigrid.shared import fresh_folder
+from verdigrid.shared import fresh_folder, written
 from verdigrid.streaming.streams import (
+    batch_counts,
     batch_folder_writer,
+    batch_table_writer,
     decode_messages,
     event_time,
     file_stream,
+    fresh_table,
     latest_batch,
     latest_per_key,
     read_batches,
@@ -28,12 +31,15 @@ from verdigrid.streaming.streams import (
     run_batches,
     run_slices,
     run_to_files,
+    run_until_idle,
     stream_to_table,
     time_slices,
     windowed_totals,
 )
 
 _DELAY = "10 minutes"
+#: Slices, and so batches, of the windowed stream that shows several of them.
+_SLICES = 3
 
 
 # Bounds a micro-batch, so a failure repeats little work. With a watermark the batch
@@ -88,6 +94,15 @@ def file_filter(t: Tables):
     return stream_to_table(kept.select("event_id", "user_id", "value"), "filtered")
 
 
+@query("stream_interval", "SELECT event_id, user_id, event_type, value FROM events")
+def interval(t: Tables):
+    """A trigger every second, ended by the report of a trigger that found nothing new."""
+    rows = event_stream(t, _FILES_PER_BATCH).select("event_id", "user_id", "event_type", "value")
+    folder = fresh_folder(t.spark, "interval")
+    run_until_idle(rows, folder, fresh_folder(t.spark, "interval-cp"))
+    return read_sink(t.spark, folder, rows.schema)
+
+
 @query("stream_file_sink", "SELECT event_id, event_type, value FROM events")
 def file_sink(t: Tables):
     return stream_to_table(event_stream(t, _FILES_PER_BATCH).select("event_id", "event_type", "value"), "sink")
@@ -140,7 +155,9 @@ def _part_stream(t: Tables, folder: str):
     return event_time(source, "ts")
 
 
-def _windows_of(t: Tables, tables: list[DataFrame], label: str, totals: Callable) -> DataFrame:
+def _windows_of(
+    t: Tables, tables: list[DataFrame], label: str, totals: Callable, least: int | None = None
+) -> DataFrame:
     """The closed windows of a stream that gets ``tables`` one after the other.
 
     Each table arrives in slices of event time, one bounded batch a slice.
@@ -153,7 +170,7 @@ def _windows_of(t: Tables, tables: list[DataFrame], label: str, totals: Callable
         run_to_files(totals(source.withWatermark("ts", _DELAY)), folder, checkpoint)
 
     for table in tables:
-        run_slices(t.spark, time_slices(table, "ts"), inbox, run)
+        run_slices(t.spark, time_slices(table, "ts", least), inbox, run)
     return read_sink(t.spark, folder, totals(event_time(t.events, "ts")).schema)
 
 
@@ -216,9 +233,32 @@ def foreach_batch(t: Tables):
     return counts.groupBy("event_type", "user_id").agg(F.sum("n").alias("n"))
 
 
+@query("stream_table_append", "SELECT event_id, event_type, user_id, value FROM events")
+def table_append(t: Tables):
+    """Two runs append their batches to one catalog table, each under its number."""
+    parts, table = _two_part_events(t), fresh_table("events")
+    checkpoint = fresh_folder(t.spark, "appended-cp")
+
+    def run():
+        rows = _part_stream(t, parts).select("event_id", "event_type", "user_id", "value")
+        run_batches(rows, batch_table_writer(table), checkpoint)
+        return rows.schema
+
+    run()
+    _add_errors(t, parts)
+    schema = run()
+    if not t.spark.catalog.tableExists(table):  # no event, no batch
+        return t.spark.createDataFrame([], schema)
+    kept = written(t.spark.table(table).drop("batch"), "appended")
+    t.spark.sql(f"DROP TABLE {table}")
+    return kept
+
+
 @query("stream_tumbling_append", _closed(_windows_sql("60 MINUTE")))
 def tumbling_append(t: Tables):
-    return _windows_of(t, [t.events], "tumbling", lambda e: windowed_totals(e, F.window("ts", "1 hour")))
+    return _windows_of(
+        t, [t.events], "tumbling", lambda e: windowed_totals(e, F.window("ts", "1 hour")), _SLICES
+    )
 
 
 @query("stream_sliding", _closed(_SLIDING))
@@ -251,6 +291,55 @@ def late_drop(t: Tables):
     return _windows_of(t, tables, "late", lambda e: windowed_totals(e, F.window("ts", "1 hour")))
 
 
+@query(
+    "stream_late_counts",
+    f"""WITH phased AS (SELECT CASE WHEN event_type = 'error' THEN 'late' ELSE 'on time' END AS phase,
+               time_bucket(INTERVAL 60 MINUTE, ts, TIMESTAMP '2000-01-01') AS w, value,
+               (SELECT max(ts) - INTERVAL 10 MINUTE FROM events WHERE event_type <> 'error') AS mark FROM events),
+             marked AS (SELECT *, phase = 'late' AND w + INTERVAL 60 MINUTE <= mark AS refused FROM phased)
+        SELECT phase, count(*) AS n, count(*) FILTER (WHERE value > 50) AS high,
+               count(*) FILTER (WHERE refused) AS late_rows,
+               count(DISTINCT w) FILTER (WHERE refused) AS dropped_windows FROM marked GROUP BY 1""",
+)
+def late_counts(t: Tables):
+    """Counters of every micro-batch, from the observations and reports of its query.
+
+    The first phase brings all but the errors, the second the errors, each in slices of
+    event time that hold whole hours: no window is refused by two batches.
+    """
+    late = F.col("event_type") == "error"
+    inbox, folder = fresh_folder(t.spark, "counts-inbox"), fresh_folder(t.spark, "counts")
+    checkpoint = fresh_folder(t.spark, "counts-checkpoint")
+    hour = F.date_trunc("hour", F.col("ts"))
+    runs = []
+
+    def phase(label: str, table: DataFrame, mark):
+        closed = F.lit(False) if mark is None else hour + F.expr("INTERVAL 1 HOUR") <= F.lit(mark)
+
+        def run():
+            source = event_time(file_stream(t.spark, f"{inbox}/*", schema), "ts")
+            seen = source.observe(
+                "counts",
+                F.count("*").alias("n"),
+                F.count_if(F.col("value") > 50).alias("high"),
+                F.count_if(closed).alias("late_rows"),
+            )
+            totals = windowed_totals(seen.withWatermark("ts", _DELAY), F.window("ts", "1 hour"))
+            runs.append((label, run_to_files(totals, folder, checkpoint), "counts"))
+
+        hours = table.withColumn("hour", hour)
+        schema = hours.schema
+        run_slices(t.spark, time_slices(hours, "hour"), inbox, run)
+
+    phase("on time", t.events.filter(~late), None)
+    latest = event_time(t.events, "ts").filter(~late).agg(F.max("ts") - F.expr(f"INTERVAL {_DELAY}")).first()[0]
+    phase("late", t.events.filter(late), latest)
+    count = lambda name: F.sum(F.col("observed")[name]).alias(name)
+    return batch_counts(t.spark, runs).groupBy(F.col("label").alias("phase")).agg(
+        count("n"), count("high"), count("late_rows"), F.sum("dropped").alias("dropped_windows")
+    )
+
+
 @query(
     "batch_windows",
     f"""SELECT 'tumbling' AS kind, window_start, window_end, NULL AS label, n, total

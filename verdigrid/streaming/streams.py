@@ -6,8 +6,8 @@ stops when the input present at its start has been processed.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
-from contextlib import contextmanager
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from verdigrid.session import job_settings
 from verdigrid.shared import fresh_folder
 
 #: Slices of a stream's input, at the least; rows of a file; files of a slice, at most.
@@ -22,6 +23,9 @@ LEAST_SLICES = 1
 TASK_ROWS = 4_000_000
 FILES_PER_SLICE = 256
 
+#: How often a stream without new input reports that it is idle.
+_IDLE_REPORT = "spark.sql.streaming.noDataProgressEventInterval"
+_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 _SESSION_MERGE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
@@ -86,23 +90,6 @@ def windowed_totals(
     )
 
 
-@contextmanager
-def _local_session_merge(spark: SparkSession) -> Iterator[None]:
-    """Sessions merge inside each input partition before the shuffle.
-
-    Read when a query starts; the caller's own setting is put back afterwards.
-    """
-    before = spark.conf.get(_SESSION_MERGE, None)
-    spark.conf.set(_SESSION_MERGE, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(_SESSION_MERGE)
-        else:
-            spark.conf.set(_SESSION_MERGE, before)
-
-
 def run_to_files(
     stream: DataFrame, folder: str, checkpoint: str, trigger: Mapping | None = None
 ) -> StreamingQuery:
@@ -111,7 +98,8 @@ def run_to_files(
     With a trigger such as ``{"processingTime": "10 seconds"}`` the started query
     is returned and the caller stops it.
     """
-    with _local_session_merge(stream.sparkSession):
+    # Read when a query starts: sessions merge inside each input partition.
+    with job_settings(stream.sparkSession, {_SESSION_MERGE: "true"}):
         started = (
             stream.writeStream.format("parquet")
             .outputMode("append")
@@ -125,6 +113,75 @@ def run_to_files(
     return started
 
 
+def run_until_idle(
+    stream: DataFrame, folder: str, checkpoint: str, interval: str = "1 second"
+) -> StreamingQuery:
+    """Append to files on a fixed interval, until the stream's own reports say it is idle.
+
+    A trigger that finds new input runs a batch, and its report says what adding the
+    batch took; a report without that means that the trigger found nothing. The first
+    such report ends the run. Batches are as in any other run, and a next run goes on
+    from the checkpoint.
+    """
+    with job_settings(stream.sparkSession, {_IDLE_REPORT: "100"}):
+        started = run_to_files(stream, folder, checkpoint, {"processingTime": interval})
+    try:
+        while not started.awaitTermination(0.2):
+            report = started.lastProgress
+            if report is not None and "addBatch" not in report["durationMs"]:
+                break
+    finally:
+        started.stop()
+    return started
+
+
+def batch_counts(spark: SparkSession, runs: Sequence[tuple[str, StreamingQuery, str]]) -> DataFrame:
+    """One row per micro-batch: what it was told to observe, and what came too late.
+
+    Each run is (label, finished query, name of its observation). Result: ``label``,
+    ``run``, ``batch``, ``input_rows``, ``observed`` (a map of the observation's
+    metrics, which must be whole numbers), ``dropped``: rows that state operators
+    refused because of the watermark. A grouped stream counts groups there, as copies
+    are merged before they meet the state. Batches without input are left out. A query
+    remembers its last ``spark.sql.streaming.numRecentProgressUpdates`` reports.
+    """
+    rows = []
+    for number, (label, run, name) in enumerate(runs):
+        for report in run.recentProgress:
+            if report["numInputRows"] == 0:
+                continue
+            seen = report["observedMetrics"].get(name)
+            metrics = {k: int(v or 0) for k, v in seen.asDict().items()} if seen else {}
+            late = sum(op["numRowsDroppedByWatermark"] for op in report["stateOperators"])
+            rows.append((label, number, report["batchId"], report["numInputRows"], metrics, late))
+    kinds = "label string, run int, batch long, input_rows long, observed map<string,long>, dropped long"
+    return spark.createDataFrame(rows, kinds)
+
+
+def batch_table_writer(table: str) -> Callable[[DataFrame, int], None]:
+    """Append every batch to a catalog table, in a partition under the batch's number.
+
+    The table is made by the first batch. Only the partitions a batch writes are
+    replaced, so a batch that is handed over again replaces its own rows and no others.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        marked = batch.withColumn("batch", F.lit(number).cast("long"))
+        if not spark.catalog.tableExists(table):
+            marked.limit(0).write.format("parquet").partitionBy("batch").saveAsTable(table)
+        # By position: the partition column is the last one of both.
+        with job_settings(spark, {_OVERWRITE: "dynamic"}):
+            marked.write.insertInto(table, overwrite=True)
+
+    return write
+
+
+def fresh_table(label: str) -> str:
+    """A table name nobody else uses."""
+    return f"{label}_{uuid.uuid4().hex}"
+
+
 def run_batches(
     stream: DataFrame,
     write: Callable[[DataFrame, int], None],
