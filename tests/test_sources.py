@@ -11,15 +11,15 @@ from verdigrid.sources import quality, readers, writers
 
 SCHEMA = (
     T.StructType()
-    .add("id", T.IntegerType())
-    .add("name", T.StringType())
-    .add("age", T.IntegerType())
-    .add("salary", T.DoubleType())
-    .add("country", T.StringType())
+    .add("slot", T.LongType())
+    .add("label", T.StringType())
+    .add("grade", T.ShortType())
+    .add("weight", T.DoubleType())
+    .add("place", T.StringType())
 )
 # three sound rows, one too long, one with a word for a number, one of two fields
 LINES = [
-    "id,name,age,salary,country",
+    "slot,label,grade,weight,place",
     "7,Zoe,61,1250.5,Peru",
     "8,,,,,",
     "9,Ivo,19,940.0,Chad",
@@ -46,21 +46,21 @@ def test_permissive_keeps_all_rows(spark, bad_csv, rows):
     df = quality.read_permissive(spark, bad_csv, SCHEMA)
     assert df.count() == 6
     is_bad = F.col(quality.CORRUPT).isNotNull()
-    assert rows(df.filter(is_bad), "id") == [(3,), (4,), (8,)]
-    assert rows(df.filter("id = 4"), "name", "age") == [("Kim", None)]
-    assert df.filter(is_bad & (F.col("id") == 4)).first()[quality.CORRUPT] == LINES[4]
+    assert rows(df.filter(is_bad), "slot") == [(3,), (4,), (8,)]
+    assert rows(df.filter("slot = 4"), "label", "grade") == [("Kim", None)]
+    assert df.filter(is_bad & (F.col("slot") == 4)).first()[quality.CORRUPT] == LINES[4]
 
 
 def test_marker_does_not_depend_on_selected_columns(spark, bad_csv):
     df = quality.read_permissive(spark, bad_csv, SCHEMA)
-    assert df.filter(F.col(quality.CORRUPT).isNotNull()).select("id").count() == 3
-    assert df.select("id", quality.CORRUPT).filter(F.col(quality.CORRUPT).isNull()).count() == 3
+    assert df.filter(F.col(quality.CORRUPT).isNotNull()).select("slot").count() == 3
+    assert df.select("slot", quality.CORRUPT).filter(F.col(quality.CORRUPT).isNull()).count() == 3
 
 
 def test_dropping_counts_sound_rows_only(spark, bad_csv, rows):
     assert quality.read_dropping(spark, bad_csv, SCHEMA).count() == 3
     kept = quality.read_drop_malformed(spark, bad_csv, SCHEMA)
-    assert rows(kept, "id", "name", "age", "salary", "country") == [
+    assert rows(kept, "slot", "label", "grade", "weight", "place") == [
         (2, "Lou", 44, 77.25, "Fiji"), (7, "Zoe", 61, 1250.5, "Peru"), (9, "Ivo", 19, 940.0, "Chad"),
     ]
 
@@ -73,8 +73,8 @@ def test_fail_fast_raises(spark, bad_csv):
 def test_quarantine_splits_in_one_pass(spark, bad_csv, rows):
     df = quality.read_permissive(spark, bad_csv, SCHEMA)
     good, bad = quality.quarantine(df, F.col(quality.CORRUPT).isNotNull(), "q")
-    assert rows(good, "id") == [(2,), (7,), (9,)]
-    assert rows(bad, "id") == [(3,), (4,), (8,)]
+    assert rows(good, "slot") == [(2,), (7,), (9,)]
+    assert rows(bad, "slot") == [(3,), (4,), (8,)]
     assert all(r[0] for r in rows(bad, quality.CORRUPT))
 
 

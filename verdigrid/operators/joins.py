@@ -59,7 +59,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], task_rows: int = TASK_ROWS) ->
 
     Grouped counts are written once. Where more than ``MAX_HOT_KEYS`` keys could pass
     the target, it is raised to that part of all rows, so the result stays small
-    whatever the table. Keys with a null are left out: they match nothing.
+    whatever the table; tasks then take up to the raised target. Keys with a null are left out: they match nothing.
     """
     counts = written(df.groupBy(*keys).agg(F.count("*").alias("_rows")), "key-counts")
     total = counts.agg(F.sum("_rows").alias("_total")).first()["_total"] or 0
@@ -81,7 +81,8 @@ def salted_join(
 
     ``spread_by`` names columns of ``big`` that tell rows of one key apart. A key of n
     rows has ceil(n / ``task_rows``) salts; only its rows of ``small`` are repeated, once
-    per salt. Rows without a key match nothing and are spread freely. ``strategy`` may
+    per salt (more rows a salt in tables beyond ``MAX_HOT_KEYS`` times that, see
+    ``hot_keys``). Rows without a key match nothing and are spread freely. ``strategy`` may
     ask for a join hint such as ``merge``. ``small`` must not be the preserved side of an
     outer join, because its repeated rows would show up as unmatched copies.
     """
@@ -121,11 +122,21 @@ def copartitioned_join(
 
 
 def with_each(df: DataFrame, name: str, values: Sequence) -> DataFrame:
-    """Every row once per value: the product with a short literal list.
+    """Every row once per value: the product with a literal list.
 
-    The list is written into the plan, so the product needs neither a join nor a
-    shuffle, and its size is fixed by the caller.
+    A short list is written into the plan, so the product needs neither a join nor a
+    shuffle. A longer one is a table of lists of ``MAX_LITERAL_VALUES`` values: every row
+    meets each list by its number, in an equi-join, and is then repeated per value.
     """
-    if len(values) > MAX_LITERAL_VALUES:
-        raise ValueError(f"{len(values)} values; the list may hold {MAX_LITERAL_VALUES}")
-    return df.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
+    if len(values) <= MAX_LITERAL_VALUES:
+        return df.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
+    starts = range(0, len(values), MAX_LITERAL_VALUES)
+    lists = [(k, list(values[a : a + MAX_LITERAL_VALUES])) for k, a in enumerate(starts)]
+    table = written(df.sparkSession.createDataFrame(lists, ["_list", "_values"]), "literal-lists")
+    numbers = F.sequence(F.lit(0), F.lit(len(lists) - 1)).cast("array<long>")
+    return (
+        df.withColumn("_list", F.explode(numbers))
+        .join(table, "_list")
+        .withColumn(name, F.explode("_values"))
+        .drop("_list", "_values")
+    )

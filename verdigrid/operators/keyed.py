@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pandas.core.groupby import DataFrameGroupBy
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -110,6 +111,41 @@ def cogroup_values(
     )
 
 
+def cogroup_map(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    left_value: str,
+    right_value: str,
+    left_spread: Sequence[str],
+    right_spread: Sequence[str],
+    function: Callable[[pa.Table, pa.Table], pa.Table],
+    schema: T.StructType | str,
+    chunk_rows: int = 100_000,
+) -> DataFrame:
+    """Both sides of each key through a function of Arrow tables, a bounded chunk at a time.
+
+    Each side is cut as in ``group_values``: chunk i holds a key's i-th ``chunk_rows``
+    rows in the order of the value (missing values first), so both tables of a call hold
+    the same places. They have the keys, ``chunk``, ``place`` (of the row among its key's
+    rows, from 0) and the value, in that order of places; a side without rows there is an
+    empty table. Rows without a key are one key. The function's tables must fit
+    ``schema``; what needs a key's chunks together is a grouping of the result.
+    """
+
+    def side(df: DataFrame, value: str, spread_by: Sequence[str]) -> DataFrame:
+        chunked = _with_chunk(df, keys, value, spread_by, chunk_rows)
+        return chunked.select(
+            *keys, "chunk", (F.col("_place") - F.col("_start")).alias("place"), value
+        ).groupBy(*keys, "chunk")
+
+    def both(first: pa.Table, second: pa.Table) -> pa.Table:
+        return function(first.sort_by("place"), second.sort_by("place"))
+
+    grouped = side(left, left_value, left_spread).cogroup(side(right, right_value, right_spread))
+    return grouped.applyInArrow(both, schema)
+
+
 def combine_by_key(
     df: DataFrame,
     key: str,

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 TASK_ROWS = 4_000_000
@@ -61,6 +65,71 @@ def partition_profile(df: DataFrame, key: str | None = None) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class AdaptiveFacts:
+    """What adaptive execution made of a plan: see ``adaptive_facts``."""
+
+    rows: int
+    partitions: int
+    merged: int
+    skewed: int
+    splits: int
+    joins: tuple[str, ...]
+
+
+def adaptive_facts(df: DataFrame) -> AdaptiveFacts:
+    """Run ``df`` under the session's present settings and read its final plan.
+
+    ``rows`` of the result and ``partitions`` it came in; shuffle partitions ``merged``
+    with others; ``skewed`` ones and the ``splits`` read in their place; the ``joins`` of
+    the final plan. The result stays on the executors; only its rows are counted.
+    """
+    execution = df._jdf.queryExecution()
+    result = execution.toRdd()
+    rows = result.count()
+    counted = dict.fromkeys(("numCoalescedPartitions", "numSkewedPartitions", "numSkewedSplits"), 0)
+    joins, nodes = [], [execution.executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            nodes.append(node.plan())
+            continue
+        if name.startswith("AQEShuffleRead"):
+            metrics = node.metrics()
+            for key in counted:
+                if metrics.contains(key):
+                    counted[key] += metrics.apply(key).value()
+        if name.endswith("Join"):
+            joins.append(name)
+        children = node.children()
+        nodes.extend(children.apply(k) for k in range(children.size()))
+    return AdaptiveFacts(rows, result.getNumPartitions(), *counted.values(), tuple(sorted(joins)))
+
+
+def map_indexed(
+    df: DataFrame,
+    prepare: Callable[[int], Callable[[pa.RecordBatch], pa.RecordBatch]],
+    schema: T.StructType | str,
+) -> DataFrame:
+    """Map every partition by a function that knows the partition's number.
+
+    ``prepare`` gets the number once and returns the function that the partition's
+    batches pass through in order, so it may keep state between them. The numbers hold
+    for one evaluation only; write the result where it is used more than once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = prepare(TaskContext.get().partitionId())
+        for batch in batches:
+            yield work(batch)
+
+    return df.mapInArrow(run, schema)
+
+
 @contextmanager
 def shared(df: DataFrame, level: StorageLevel = StorageLevel.DISK_ONLY) -> Iterator[DataFrame]:
     """Keep ``df`` on the executors' disks while several consumers run."""

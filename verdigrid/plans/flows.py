@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from verdigrid.functions.conditions import banded
 from verdigrid.functions.text import word_counts
-from verdigrid.operators.joins import small_side_join
 from verdigrid.plans.registry import Tables, query
 from verdigrid.plans.scans import CUSTOMER, damaged_csv, _SOUND as _SOUND_CUSTOMERS
-from verdigrid.shared import fresh_folder
+from verdigrid.shared import fresh_folder, written
 from verdigrid.sources.quality import quarantine, read_permissive, CORRUPT
 from verdigrid.sources.readers import inline_table, read_csv
 from verdigrid.sources.writers import write_csv
@@ -110,56 +111,65 @@ def basics(t: Tables):
     )
 
 
+# Bands of account balances, from the floor of each.
+_WORTH = [(8200, "ample"), (3700, "settled"), (-0.01, "thin")]
+_BANDS = ("ample", "settled", "thin", "owing")
+
+
 @query(
     "pipe_transforms",
     f"""WITH c AS ({_SOUND_CUSTOMERS}),
-             d AS (SELECT c.*, CASE WHEN c_acctbal > 6000 THEN 'High' WHEN c_acctbal > 2500 THEN 'Mid'
-                                    ELSE 'Low' END AS band,
-                          n_name, code
-                   FROM c LEFT JOIN (VALUES ('BUILDING', 1), ('MACHINERY', 2), ('FURNITURE', 3)) m(seg, code)
+             d AS (SELECT c.*, CASE WHEN c_acctbal > 8200 THEN 'ample' WHEN c_acctbal > 3700 THEN 'settled'
+                                    WHEN c_acctbal > -0.01 THEN 'thin' ELSE 'owing' END AS worth,
+                          n_name, desk
+                   FROM c LEFT JOIN (VALUES ('AUTOMOBILE', 'north'), ('HOUSEHOLD', 'south')) m(seg, desk)
                           ON c_mktsegment = seg JOIN nation ON c_nationkey = n_nationkey)
-        SELECT 'unmatched' AS part, c_mktsegment AS label, count(*) AS n, NULL::BIGINT AS high,
-               NULL::BIGINT AS mid FROM d WHERE code IS NULL GROUP BY 2
-        UNION ALL SELECT 'token', unnest(string_split(lower(n_name), '_')), n, NULL, NULL
-                  FROM (SELECT n_name, count(*) AS n FROM d WHERE code IS NOT NULL GROUP BY 1)
-        UNION ALL SELECT 'pivot', c_mktsegment, count(*), count(*) FILTER (WHERE band = 'High'),
-                         count(*) FILTER (WHERE band = 'Mid') FROM d GROUP BY 2
+        SELECT 'no desk' AS part, c_mktsegment AS label, count(*) AS n, NULL::BIGINT AS ample,
+               NULL::BIGINT AS owing FROM d WHERE desk IS NULL GROUP BY 2
+        UNION ALL SELECT 'desk', unnest(string_split(desk || '+' || lower(n_name), '+')), n, NULL, NULL
+                  FROM (SELECT desk, n_name, count(*) AS n FROM d WHERE desk IS NOT NULL GROUP BY 1, 2)
+        UNION ALL SELECT 'worth', c_mktsegment, count(*), count(*) FILTER (WHERE worth = 'ample'),
+                         count(*) FILTER (WHERE worth = 'owing') FROM d GROUP BY 2
         UNION ALL SELECT 'json', event_type, CAST(sum(CAST(props->>'k' AS INTEGER)) AS BIGINT), NULL, NULL
                   FROM events GROUP BY 2
-        UNION ALL SELECT 'bad', 'rows', (SELECT count(*) FROM customer) - (SELECT count(*) FROM c), NULL, NULL""",
+        UNION ALL SELECT 'refused', 'rows', (SELECT count(*) FROM customer) - (SELECT count(*) FROM c), NULL, NULL""",
 )
 def transforms(t: Tables):
-    """Bad rows set apart, then bands, joins, explode, pivot and JSON, joined by name."""
+    """Bad rows set apart, then bands, joins, explode, pivot and JSON, put together by name."""
     rows = read_permissive(t.spark, damaged_csv(t), CUSTOMER, header=False)
     good, bad = quarantine(rows, F.col(CORRUPT).isNotNull(), "flow-quarantine")
-    codes = inline_table(
-        t.spark, [("BUILDING", 1), ("MACHINERY", 2), ("FURNITURE", 3)], "c_mktsegment string, code int"
+    desks = inline_table(
+        t.spark, [("AUTOMOBILE", "north"), ("HOUSEHOLD", "south")], "c_mktsegment string, desk string"
     )
     nation = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    people = small_side_join(
+    people = (
         good.drop(CORRUPT)
-        .withColumn("band", banded("c_acctbal", [(6000, "High"), (2500, "Mid")], "Low"))
-        .join(F.broadcast(codes), "c_mktsegment", "left"),
-        nation,
-        "c_nationkey",
+        .withColumn("worth", banded("c_acctbal", _WORTH, "owing"))
+        .join(F.broadcast(desks), "c_mktsegment", "left")
+        .join(nation, "c_nationkey")
     )
-    # one pass over the people; every part below works on these counts
-    counts = people.groupBy("c_mktsegment", "code", "n_name", "band").agg(F.count("*").alias("c"))
-    label = F.col("c_mktsegment").alias("label")
-    unmatched = counts.filter(F.col("code").isNull()).groupBy(label).agg(F.sum("c").alias("n"))
-    per_nation = counts.filter(F.col("code").isNotNull()).groupBy("n_name").agg(F.sum("c").alias("n"))
-    tokens = per_nation.select(F.explode(F.split(F.lower("n_name"), "_")).alias("label"), "n")
-    banded_counts = counts.groupBy(label).pivot("band", ["High", "Mid", "Low"]).agg(F.sum("c"))
-    pivoted = banded_counts.na.fill(0).select(
-        "label", (F.col("High") + F.col("Mid") + F.col("Low")).alias("n"),
-        F.col("High").alias("high"), F.col("Mid").alias("mid"),
+    # One pass over the people; every part below works on these written counts.
+    counts = written(
+        people.groupBy("c_mktsegment", "desk", "n_name", "worth").agg(F.count("*").alias("c")), "flow-counts"
     )
+    label = F.col("c_mktsegment").alias("label")
+    without = counts.filter(F.col("desk").isNull()).groupBy(label).agg(F.sum("c").alias("n"))
+    served = counts.filter(F.col("desk").isNotNull()).groupBy("desk", "n_name").agg(F.sum("c").alias("n"))
+    names = F.split(F.concat_ws("+", "desk", F.lower("n_name")), r"\+")
+    worth = counts.groupBy(label).pivot("worth", list(_BANDS)).agg(F.sum("c")).na.fill(0)
+    everyone = reduce(lambda a, b: a + b, map(F.col, _BANDS))
     k = F.from_json("props", "k int")["k"]
     json = t.events.groupBy(F.col("event_type").alias("label")).agg(F.sum(k).alias("n"))
-    broken = bad.agg(F.count("*").alias("n")).select(F.lit("rows").alias("label"), "n")
-
-    result = pivoted.select(F.lit("pivot").alias("part"), "label", "n", "high", "mid")
-    for part, df in (("unmatched", unmatched), ("token", tokens), ("json", json), ("bad", broken)):
+    refused = bad.agg(F.count("*").alias("n")).select(F.lit("rows").alias("label"), "n")
+
+    result = worth.select(F.lit("worth").alias("part"), "label", everyone.alias("n"), "ample", "owing")
+    others = (
+        ("no desk", without),
+        ("desk", served.select(F.explode(names).alias("label"), "n")),
+        ("json", json),
+        ("refused", refused),
+    )
+    for part, df in others:
         result = result.unionByName(
             df.select(F.lit(part).alias("part"), "label", "n"), allowMissingColumns=True
         )

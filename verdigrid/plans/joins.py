@@ -20,48 +20,46 @@ from verdigrid.operators.layout import shared, task_count
 from verdigrid.plans.registry import Tables, query
 from verdigrid.shared import written
 
-# Customers with an account above 5000, and spending of customers on large closed
-# orders: neither side covers the other.
-_RICH = "SELECT c_custkey AS custkey, c_name FROM customer WHERE c_acctbal > 5000"
-_SPENT = """SELECT o_custkey AS custkey, count(*) AS n, round(sum(o_totalprice), 2) AS spent
-            FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 400000 GROUP BY o_custkey"""
+# All customers, those in debt under no key, and spending on all orders, every seventh
+# customer's under a key of its own: neither side covers the other.
+_KEYED = "SELECT CASE WHEN c_acctbal >= 0 THEN c_custkey END AS custkey, c_name FROM customer"
+_SPENT = """SELECT CASE WHEN o_custkey % 7 = 0 THEN -o_custkey ELSE o_custkey END AS custkey,
+                   count(*) AS n, round(sum(o_totalprice), 2) AS spent FROM orders GROUP BY 1"""
 
 
-def rich(t: Tables):
-    return t.customer.filter(F.col("c_acctbal") > 5000).select(
-        F.col("c_custkey").alias("custkey"), "c_name"
-    )
+def keyed(t: Tables):
+    return t.customer.select(F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).alias("custkey"), "c_name")
 
 
 def spent(t: Tables):
-    closed = t.orders.filter((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 400000))
-    return closed.groupBy(F.col("o_custkey").alias("custkey")).agg(
+    key = F.when(F.col("o_custkey") % 7 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey"))
+    return t.orders.groupBy(key.alias("custkey")).agg(
         F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("spent")
     )
 
 
 def _sql(how: str) -> str:
-    return f"SELECT custkey, c_name, n, spent FROM ({_RICH}) a {how} JOIN ({_SPENT}) b USING (custkey)"
+    return f"SELECT custkey, c_name, n, spent FROM ({_KEYED}) a {how} JOIN ({_SPENT}) b USING (custkey)"
 
 
 @query("join_inner", _sql("INNER"))
 def inner(t: Tables):
-    return rich(t).join(spent(t), "custkey", "inner")
+    return keyed(t).join(spent(t), "custkey", "inner")
 
 
 @query("join_left", _sql("LEFT"))
 def left(t: Tables):
-    return rich(t).join(spent(t), "custkey", "left")
+    return keyed(t).join(spent(t), "custkey", "left")
 
 
 @query("join_right", _sql("RIGHT"))
 def right(t: Tables):
-    return rich(t).join(spent(t), "custkey", "right")
+    return keyed(t).join(spent(t), "custkey", "right")
 
 
 @query("join_full", _sql("FULL"))
 def full(t: Tables):
-    return rich(t).join(spent(t), "custkey", "full")
+    return keyed(t).join(spent(t), "custkey", "full")
 
 
 @query(
@@ -98,6 +96,26 @@ def cross(t: Tables):
     )
 
 
+_AMOUNTS = 50_000
+
+
+@query(
+    "join_cross_long",
+    f"""SELECT n_regionkey, count(*) AS n, CAST(sum(amount * (n_nationkey + 1)) AS BIGINT) AS weighted,
+               count(DISTINCT amount) AS amounts
+        FROM nation CROSS JOIN (SELECT unnest(range({_AMOUNTS})) AS amount) GROUP BY 1""",
+)
+def cross_long(t: Tables):
+    """Product with fifty thousand values: rows meet lists of values by their number."""
+    scenarios = with_each(t.nation.select("n_nationkey", "n_regionkey"), "amount", range(_AMOUNTS))
+    per_amount = scenarios.groupBy("n_regionkey", "amount").agg(
+        F.count("*").alias("c"), F.sum(F.col("amount") * (F.col("n_nationkey") + 1)).alias("w")
+    )
+    return per_amount.groupBy("n_regionkey").agg(
+        F.sum("c").alias("n"), F.sum("w").alias("weighted"), F.count("*").alias("amounts")
+    )
+
+
 @query(
     "join_diff_names",
     """SELECT s_suppkey, s_name, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
@@ -180,8 +198,15 @@ def star(t: Tables):
     """SELECT c_custkey, c_name, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey""",
 )
 def broadcast(t: Tables):
+    """No hint and no measuring: the session's thresholds decide.
+
+    A side whose file statistics lie below ``spark.sql.autoBroadcastJoinThreshold`` is
+    broadcast by the planner; a planned merge join whose side turns out below
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` is converted while it runs. Beyond
+    both, or at -1, the sides are shuffled and skewed partitions split.
+    """
     nation = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return small_side_join(t.customer, nation, "c_nationkey").select("c_custkey", "c_name", "n_name")
+    return t.customer.join(nation, "c_nationkey").select("c_custkey", "c_name", "n_name")
 
 
 @query(
@@ -278,8 +303,8 @@ def copartitioned(t: Tables):
               round(sum(spent), 2) AS spent
        FROM s JOIN customer ON custkey = c_custkey GROUP BY 2
        UNION ALL
-       SELECT 'priority', p, CAST(sum(orders) AS BIGINT), round(sum(spent), 2)
-       FROM s JOIN (SELECT o_custkey AS custkey, min(o_orderpriority) AS p FROM orders GROUP BY 1)
+       SELECT 'event', first, CAST(sum(orders) AS BIGINT), round(sum(spent), 2)
+       FROM s JOIN (SELECT user_id AS custkey, min(event_type) AS first FROM events GROUP BY 1)
          USING (custkey) GROUP BY 2""",
 )
 def reused_side(t: Tables):
@@ -295,9 +320,9 @@ def reused_side(t: Tables):
 
     with shared(per_customer.repartition(task_count(t.orders), "custkey")) as side:
         customers = t.customer.select(F.col("c_custkey").alias("custkey"), "c_mktsegment")
-        first = t.orders.groupBy(F.col("o_custkey").alias("custkey")).agg(
-            F.min("o_orderpriority").alias("priority")
+        first = t.events.groupBy(F.col("user_id").alias("custkey")).agg(
+            F.min("event_type").alias("first")
         )
         by_segment = summed(side.join(customers, "custkey"), "segment", "c_mktsegment")
-        by_priority = summed(side.join(first, "custkey"), "priority", "priority")
-        return written(by_segment.unionByName(by_priority), "reused-side")
+        by_event = summed(side.join(first, "custkey"), "event", "first")
+        return written(by_segment.unionByName(by_event), "reused-side")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from verdigrid.operators.keyed import cogroup_values, group_values
+from verdigrid.operators.keyed import cogroup_map, cogroup_values, group_values
 from verdigrid.plans.registry import Tables, query
 
 _CHUNK = 1_000
@@ -101,8 +103,9 @@ def frequency(t: Tables):
     return counted("value", "event_type").unionByName(counted("key", "user_id"))
 
 
-_SIDES = """a AS (SELECT c_nationkey AS k, count(*) AS v FROM customer WHERE c_acctbal > 9000 GROUP BY 1),
-            b AS (SELECT s_nationkey AS k, count(*) AS w FROM supplier WHERE s_acctbal > 5000 GROUP BY 1)"""
+# The sides' keys overlap in part: customers' nations start at 3, suppliers' at 0.
+_SIDES = """a AS (SELECT c_nationkey + 3 AS k, count(*) AS v FROM customer GROUP BY 1),
+            b AS (SELECT s_nationkey AS k, count(*) AS w FROM supplier GROUP BY 1)"""
 
 
 @query(
@@ -114,16 +117,8 @@ _SIDES = """a AS (SELECT c_nationkey AS k, count(*) AS v FROM customer WHERE c_a
         UNION ALL SELECT 'full', k, v, w FROM a FULL JOIN b USING (k)""",
 )
 def joins(t: Tables):
-    a = (
-        t.customer.filter(F.col("c_acctbal") > 9000)
-        .groupBy(F.col("c_nationkey").alias("k"))
-        .agg(F.count("*").alias("v"))
-    )
-    b = (
-        t.supplier.filter(F.col("s_acctbal") > 5000)
-        .groupBy(F.col("s_nationkey").alias("k"))
-        .agg(F.count("*").alias("w"))
-    )
+    a = t.customer.groupBy((F.col("c_nationkey") + 3).alias("k")).agg(F.count("*").alias("v"))
+    b = t.supplier.groupBy(F.col("s_nationkey").alias("k")).agg(F.count("*").alias("w"))
     # One full join, read once: each kind is the rows with the sides it keeps.
     both = a.join(b, "k", "full")
     left, right = F.col("v").isNotNull(), F.col("w").isNotNull()
@@ -139,6 +134,44 @@ def joins(t: Tables):
     return both.select(F.explode(kinds).alias("how"), "k", "v", "w")
 
 
+def _dearer(closed: pa.Table, others: pa.Table) -> pa.Table:
+    """Places of one customer's chunk at which the closed order is the dearer one."""
+    n = min(closed.num_rows, others.num_rows)
+    some = closed if closed.num_rows else others
+    a, b = closed.column("o_totalprice")[:n], others.column("o_totalprice")[:n]
+    dearer = pc.sum(pc.greater(a, b).cast(pa.int64())).as_py() or 0
+    last = {"k": some.column("k")[:1], "chunk": some.column("chunk")[:1]}
+    return pa.table({**last, "pairs": pa.array([n], pa.int64()), "dearer": pa.array([dearer], pa.int64())})
+
+
+@query(
+    "kv_cogroup_custom",
+    """WITH placed AS (SELECT o_custkey AS k, o_totalprice AS v, o_orderstatus = 'F' AS closed,
+                       row_number() OVER (PARTITION BY o_custkey, o_orderstatus = 'F' ORDER BY o_totalprice) AS place
+                       FROM orders)
+       SELECT k, max(place * (b.v IS NOT NULL AND a.v IS NOT NULL)::INT)::BIGINT AS pairs,
+              count(*) FILTER (WHERE a.v > b.v) AS dearer
+       FROM (SELECT * FROM placed WHERE closed) a FULL JOIN (SELECT * FROM placed WHERE NOT closed) b
+            USING (k, place) GROUP BY k""",
+)
+def cogroup_custom(t: Tables):
+    """The n-th cheapest closed order of a customer against the n-th cheapest other one."""
+    kv = t.orders.select(F.col("o_custkey").alias("k"), "o_totalprice", "o_orderkey", "o_orderstatus")
+    compared = cogroup_map(
+        kv.filter(F.col("o_orderstatus") == "F"),
+        kv.filter(F.col("o_orderstatus") != "F"),
+        ["k"],
+        "o_totalprice",
+        "o_totalprice",
+        ["o_orderkey"],
+        ["o_orderkey"],
+        _dearer,
+        "k long, chunk long, pairs long, dearer long",
+        chunk_rows=_LISTED,
+    )
+    return compared.groupBy("k").agg(F.sum("pairs").alias("pairs"), F.sum("dearer").alias("dearer"))
+
+
 @query(
     "kv_cogroup",
     f"""WITH sides AS (SELECT o_custkey AS k, o_totalprice AS v, o_orderstatus = 'F' AS closed

@@ -6,10 +6,14 @@ that must hold for any layout.
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from verdigrid.operators.layout import (
+    adaptive_facts,
     hash_layout,
+    map_indexed,
     partition_profile,
     range_layout,
     shared,
@@ -17,6 +21,7 @@ from verdigrid.operators.layout import (
     task_count,
 )
 from verdigrid.plans.registry import Tables, query
+from verdigrid.session import job_settings
 from verdigrid.shared import written
 
 
@@ -102,12 +107,83 @@ def profile(t: Tables):
     )
 
 
+@query(
+    "layout_adaptive",
+    """SELECT how, count(DISTINCT o_custkey) AS n, how = 'adaptive' AS merged FROM orders,
+              (VALUES ('adaptive'), ('fixed')) m(how) GROUP BY how""",
+)
+def adaptive(t: Tables):
+    """Settings for two jobs only: far too many shuffle partitions, merged or left alone.
+
+    With at most some 250,000 rows in a partition several of them fit in the advisory
+    size whatever the table, so adaptive execution must merge.
+    """
+    parts = str(16 * task_count(t.orders))
+    facts = []
+    for how, on in (("adaptive", "true"), ("fixed", "false")):
+        settings = {
+            "spark.sql.shuffle.partitions": parts,
+            "spark.sql.adaptive.enabled": on,
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+        }
+        with job_settings(t.spark, settings):
+            seen = adaptive_facts(t.orders.groupBy("o_custkey").agg(F.count("*").alias("n")))
+        facts.append((how, seen.rows, seen.partitions < int(parts)))
+    return t.spark.createDataFrame(facts, "how string, n long, merged boolean")
+
+
+@query(
+    "map_partitions_indexed",
+    """SELECT count(*) AS n, count(*) AS places, 0::BIGINT AS first_place,
+              round(sum(o_totalprice), 2) AS total, 0::BIGINT AS torn FROM orders""",
+)
+def partitions_indexed(t: Tables):
+    """Every row gets its partition's number, its place there and a running total.
+
+    Whatever the layout, number and place name a row, and the last total of a partition
+    is the sum of its rows (``torn`` counts partitions where it is not).
+    """
+
+    def prepare(part: int):
+        held = {"place": 0, "total": 0.0}
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            price = pc.fill_null(batch.column("o_totalprice"), 0.0)
+            n = batch.num_rows
+            totals = pc.add(pc.cumulative_sum(price), held["total"])
+            columns = [
+                pa.array([part] * n, pa.int32()),
+                pa.array(range(held["place"], held["place"] + n), pa.int64()),
+                batch.column("o_totalprice"),
+                totals,
+            ]
+            held["place"] += n
+            held["total"] = totals[-1].as_py() if n else held["total"]
+            return pa.RecordBatch.from_arrays(columns, ["part", "place", "price", "so_far"])
+
+        return work
+
+    kinds = "part int, place long, price double, so_far double"
+    rows = written(map_indexed(t.orders.select("o_totalprice"), prepare, kinds), "indexed-map")
+    parts = rows.groupBy("part").agg(
+        F.count("*").alias("n"), F.min("place").alias("first"), F.max("place").alias("last"),
+        F.sum("price").alias("total"), F.max_by("so_far", "place").alias("so_far"),
+    )
+    off = F.abs(F.col("total") - F.col("so_far")) > 1e-9 * F.abs(F.col("total")) + 1e-6
+    return parts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.coalesce(F.sum(F.col("last") - F.col("first") + 1), F.lit(0)).alias("places"),
+        F.max("first").alias("first_place"),
+        F.round(F.sum("total"), 2).alias("total"),
+        F.count_if(off).alias("torn"),
+    )
+
+
 @query(
     "shared_intermediate",
-    """SELECT 'priority' AS kind, o_orderpriority AS label, count(*) AS n FROM orders
-         WHERE o_totalprice > 100000 GROUP BY 2
-       UNION ALL SELECT 'status', o_orderstatus, count(*) FROM orders
-         WHERE o_totalprice > 100000 GROUP BY 2
+    """SELECT 'priority' AS kind, o_orderpriority AS label, count(*) AS n FROM orders GROUP BY 2
+       UNION ALL SELECT 'status', o_orderstatus, count(*) FROM orders GROUP BY 2
        UNION ALL SELECT 'segment', c_mktsegment, count(*) FROM customer GROUP BY 2""",
 )
 def shared_intermediate(t: Tables):
@@ -118,8 +194,8 @@ def shared_intermediate(t: Tables):
             F.lit(kind).alias("kind"), "label", "n"
         )
 
-    dear = t.orders.filter(F.col("o_totalprice") > 100000).select("o_orderpriority", "o_orderstatus")
-    with shared(dear) as kept, shared_view(t.customer.select("c_mktsegment"), "kept_customer") as view:
+    rows = t.orders.select("o_orderpriority", "o_orderstatus")
+    with shared(rows) as kept, shared_view(t.customer.select("c_mktsegment"), "kept_customer") as view:
         by_segment = t.spark.sql(
             f"SELECT 'segment' AS kind, c_mktsegment AS label, count(*) AS n FROM {view} GROUP BY 2"
         )

@@ -1,7 +1,7 @@
 """Log lines: parse, count, rank.
 
-Lines are the events written out as text; purchases without a whole value become
-broken lines.
+Lines are the events written out as text; those of small purchases end in the middle
+of the level.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ def log_lines(t: Tables):
     source = F.concat(F.lit("from user-"), F.col("user_id"))
     broken = (F.col("event_type") == "purchase") & (F.col("value") < 5)
     return t.events.select(
-        F.when(broken, F.concat_ws(" ", F.date_format("ts", "yyyy-MM-dd"), F.lit("CORRUPT_LINE")))
+        F.when(broken, F.concat_ws(" ", at, F.substring(level, 1, 2)))
         .otherwise(F.concat_ws(" ", at, level, message, source))
         .alias("line")
     )
@@ -67,9 +67,9 @@ def _errors(t: Tables):
 _ERRORS = f"SELECT source, count(*) AS errors FROM ({_LOG}) WHERE level = 'ERROR' GROUP BY 1"
 
 
-@query("log_suspects", f"SELECT * FROM ({_ERRORS}) WHERE errors >= 15")
+@query("log_suspects", f"SELECT * FROM ({_ERRORS}) WHERE errors >= 2")
 def suspects(t: Tables):
-    return _errors(t).filter(F.col("errors") >= 15).orderBy(F.desc("errors"), "source")
+    return _errors(t).filter(F.col("errors") >= 2).orderBy(F.desc("errors"), "source")
 
 
 @query("log_top_error_keys", f"SELECT * FROM ({_ERRORS}) ORDER BY errors DESC, source LIMIT 10")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from verdigrid.functions.conditions import literal_lookup
 from verdigrid.operators.joins import small_side_join
-from verdigrid.operators.udfs import lookup_udf
+from verdigrid.operators.udfs import look_up_column, lookup_udf
 from verdigrid.plans.registry import Tables, query
 
 _NAMES = {"1-URGENT": "now", "2-HIGH": "soon", "3-MEDIUM": "later"}
@@ -39,3 +39,18 @@ def literal_map(t: Tables):
 def udf_scalar(t: Tables):
     look_up = lookup_udf(_NAMES, "unknown")
     return t.orders.select("o_orderkey", look_up("o_orderpriority").alias("meaning"))
+
+
+_LONG = 50_000
+
+
+@query(
+    "udf_scalar_long",
+    f"""SELECT o_orderkey, CASE WHEN o_custkey < {_LONG} THEN 'group ' || (o_custkey % 11)
+                                ELSE 'unknown' END AS meaning FROM orders""",
+)
+def udf_scalar_long(t: Tables):
+    """The same with fifty thousand entries: a table and a left join."""
+    names = {str(k): f"group {k % 11}" for k in range(_LONG)}
+    orders = t.orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("code"))
+    return look_up_column(orders, "code", names, "unknown", "meaning").select("o_orderkey", "meaning")

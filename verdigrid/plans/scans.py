@@ -198,18 +198,16 @@ def json_multiline(t: Tables):
     return _flat_people(read_json(t.spark, folder, _PERSON, multi_line=True))
 
 
-@query("src_parquet", "SELECT s_suppkey, s_name, s_acctbal FROM supplier WHERE s_acctbal > 1000")
+@query("src_parquet", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
 def parquet(t: Tables):
-    return t.supplier.filter(F.col("s_acctbal") > 1000).select("s_suppkey", "s_name", "s_acctbal")
+    return t.supplier.select("s_suppkey", "s_name", "s_acctbal")
 
 
-@query("src_orc", "SELECT p_partkey, p_name, p_size FROM part WHERE p_size < 40")
+@query("src_orc", "SELECT p_partkey, p_name, p_size FROM part")
 def orc(t: Tables):
     folder = fresh_folder(t.spark, "part-orc")
     t.part.write.orc(folder)
-    return t.spark.read.schema(t.part.schema).orc(folder).filter("p_size < 40").select(
-        "p_partkey", "p_name", "p_size"
-    )
+    return t.spark.read.schema(t.part.schema).orc(folder).select("p_partkey", "p_name", "p_size")
 
 
 def _order_lines(t: Tables):
@@ -266,6 +264,23 @@ def inline(t: Tables):
     return counts.join(F.broadcast(weights), "o_orderpriority").select("o_orderpriority", "weight", "n")
 
 
+_LONG = 50_000
+
+
+@query(
+    "src_inline_long",
+    f"""SELECT o_orderkey % 10 AS weight, count(*) AS n, round(sum(o_totalprice), 2) AS total
+        FROM orders WHERE o_orderkey < {_LONG} GROUP BY 1""",
+)
+def inline_long(t: Tables):
+    """A literal table of fifty thousand rows is written and joined like any other."""
+    rows = [(k, k % 10) for k in range(_LONG)]
+    weights = inline_table(t.spark, rows, "o_orderkey long, weight long")
+    return t.orders.join(weights, "o_orderkey").groupBy("weight").agg(
+        F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
+    )
+
+
 @query(
     "parse_delimited",
     """SELECT c_mktsegment AS segment, round(avg(c_acctbal), 6) AS mean, count(*) AS n

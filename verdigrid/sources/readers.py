@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verdigrid.shared import fresh_folder
+
 MAX_INLINE_ROWS = 10_000
 
 
@@ -81,10 +83,17 @@ def read_jdbc(spark: SparkSession, *args, **kwargs) -> DataFrame:
 
 
 def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A short literal table. The rows sit in the plan, so their number is limited."""
-    if len(rows) > MAX_INLINE_ROWS:
-        raise ValueError(f"{len(rows)} rows; an inline table may hold {MAX_INLINE_ROWS}")
-    return spark.createDataFrame(list(rows), schema)
+    """A literal table. Up to ``MAX_INLINE_ROWS`` rows sit in the plan.
+
+    A longer one is written in parts of that length and read back, so plans stay small.
+    """
+    if len(rows) <= MAX_INLINE_ROWS:
+        return spark.createDataFrame(list(rows), schema)
+    folder = fresh_folder(spark, "inline")
+    for start in range(0, len(rows), MAX_INLINE_ROWS):
+        part = spark.createDataFrame(list(rows[start : start + MAX_INLINE_ROWS]), schema)
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return spark.read.schema(part.schema).parquet(folder)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
