@@ -14,7 +14,7 @@ from verdigrid.operators.joins import with_each
 from verdigrid.operators.nested import flatten_structs
 from verdigrid.operators.reshape import stack_columns
 from verdigrid.operators.setops import difference_rows, intersect_rows, repeat_rows, union_many
-from verdigrid.operators.udfs import lookup_udf
+from verdigrid.operators.udfs import look_up_column, lookup_udf
 
 NAN = float("nan")
 
@@ -168,12 +168,23 @@ def test_literal_lookup_and_udf_agree(spark, rows):
     assert rows(out)[-1] == ("unknown", "unknown") or ("second", "second") in rows(out)
 
 
+def test_long_mapping_becomes_a_join(spark, rows):
+    df = spark.createDataFrame([("k3",), ("k14000",), ("x",), (None,), ("k3",)], "c string")
+    names = {f"k{k}": f"n{k}" for k in range(15_000)}
+    long = look_up_column(df, "c", names, "unknown", "m")
+    short = look_up_column(df, "c", {k: names[k] for k in ("k3", "k14000")}, "unknown", "m")
+    want = sorted([("k3", "n3"), ("k3", "n3"), ("k14000", "n14000"), ("x", "unknown"), (None, "unknown")], key=repr)
+    assert rows(long, "c", "m") == rows(short, "c", "m") == want
+
+
 def test_product_with_a_list(spark, rows):
     assert rows(with_each(ints(spark, [1, 2]), "c", ["x", "y"])) == [
         (1, "x"), (1, "y"), (2, "x"), (2, "y"),
     ]
-    with pytest.raises(ValueError):
-        with_each(ints(spark, [1]), "c", list(range(1001)))
+    many = list(range(1, 2502))
+    out = with_each(ints(spark, [1, 2]), "c", many)
+    assert sorted(r["c"] for r in out.collect()) == sorted(many * 2)
+    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
 
 
 def test_explode_variants(spark):

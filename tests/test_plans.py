@@ -34,7 +34,7 @@ def test_flagship_stays_in_generated_code(spark):
 
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsIn")
-PYTHON_ALLOWED = {"map_partitions", "udf_scalar", "udaf_grouped", "sink_sequence_roundtrip"}
+PYTHON_ALLOWED = {"map_partitions", "udf_scalar", "udaf_grouped", "sink_sequence_roundtrip", "kv_cogroup_custom"}
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
@@ -46,7 +46,7 @@ def test_no_products_and_no_row_functions(spark, key):
 
 
 @pytest.mark.parametrize(
-    "key, scans", [("kv_joins", 2), ("nulls_drop", 1), ("join_skew_salted", 1)]
+    "key, scans", [("kv_joins", 2), ("nulls_drop", 1), ("join_skew_salted", 1), ("pipe_transforms", 1)]
 )
 def test_sources_are_read_once(spark, key, scans):
     text = plan(QUERIES[key](spark, SMALL))

@@ -14,11 +14,18 @@ from verdigrid.operators.joins import (
     salted_join,
     small_side_join,
 )
-from verdigrid.operators.keyed import cogroup_values, combine_by_key, group_values
-from verdigrid.operators.layout import hash_layout, partition_profile, range_layout
+from verdigrid.operators.keyed import cogroup_map, cogroup_values, combine_by_key, group_values
+from verdigrid.operators.layout import (
+    adaptive_facts,
+    hash_layout,
+    map_indexed,
+    partition_profile,
+    range_layout,
+)
 from verdigrid.operators.ordering import index_rows, sample_rows, sample_rows_with_replacement, zip_rows
 from verdigrid.operators.sessions import session_totals
 from verdigrid.operators.setops import difference_rows
+from verdigrid.session import job_settings
 
 N = 3000
 
@@ -206,18 +213,110 @@ def test_samples(spark, rows):
     assert sample_rows_with_replacement(df.limit(0), 5, ["id"]).count() == 0
 
 
-def test_large_sample_equals_small_sample(spark, rows, monkeypatch):
+def test_sample_has_the_smallest_draws(spark, rows, monkeypatch):
+    """Also where the band misses the n-th draw and has to be widened."""
     from verdigrid.operators import ordering
 
     drawn = sorted((hashlib.md5(f"7:{k}".encode()).hexdigest(), k) for k in range(N))
-    monkeypatch.setattr(ordering, "_DIGITS", 1)
-    for n in (1, 17, 500, N, N + 1):
-        expected = sorted((k for _, k in drawn[:n]), key=lambda k: repr((k,)))
-        for edge_rows in (1, 40, N):
-            got = sample_rows(skewed(spark), n, ["id"], edge_rows=edge_rows)
+    quantile = ordering._quantile
+    for shift in (0.0, 0.3, -0.3):
+        monkeypatch.setattr(ordering, "_quantile", lambda s, d=shift: quantile(s + d))
+        for n in (0, 1, 17, 500, N - 1, N, N + 1):
+            if shift and n < 17:
+                continue
+            expected = sorted((k for _, k in drawn[:n]), key=lambda k: repr((k,)))
+            got = sample_rows(skewed(spark), n, ["id"])
             assert [k for k, in rows(got, "id")] == expected
 
 
+def test_cogroup_map_splits_a_hot_key(spark):
+    """Custom logic on both sides: a hot key arrives in several aligned chunks."""
+    import pyarrow as pa
+
+    left = skewed(spark)
+    right = left.withColumn("v", F.col("v") + 1).filter("id % 3 > 0")
+
+    def sizes(a, b):
+        some = a if a.num_rows else b
+        first = [t.column("place")[0].as_py() if t.num_rows else -1 for t in (a, b)]
+        return pa.table(
+            {"k": some.column("k")[:1], "chunk": some.column("chunk")[:1],
+             "n": pa.array([a.num_rows], pa.int64()), "m": pa.array([b.num_rows], pa.int64()),
+             "a": pa.array([first[0]], pa.int64()), "b": pa.array([first[1]], pa.int64())}
+        )
+
+    out = cogroup_map(
+        left, right, ["k"], "v", "v", ["id"], ["id"], sizes,
+        "k string, chunk long, n long, m long, a long, b long", chunk_rows=100,
+    ).collect()
+    assert max(max(r["n"], r["m"]) for r in out) == 100
+    hot = sorted((r for r in out if r["k"] == "hot"), key=lambda r: r["chunk"])
+    assert len(hot) > 5 and all(r["a"] == 100 * r["chunk"] for r in hot if r["n"])
+    assert all(r["a"] == r["b"] for r in hot if r["n"] and r["m"])
+    assert sum(r["n"] for r in out) == left.count() and sum(r["m"] for r in out) == right.count()
+
+
+def test_adaptive_execution_splits_a_hot_key_without_salts(plain):
+    """Read from the executed plan; the settings hold for this job only."""
+    big = plain.range(400_000).select(
+        F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.md5(F.col("id").cast("string")).alias("v")
+    )
+    small = plain.range(400_000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("w"))
+    joined = big.join(small.hint("merge"), "k")
+    settings = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    before = {name: plain.conf.get(name, None) for name in settings}
+    with job_settings(plain, settings):
+        split = adaptive_facts(joined)
+    assert {name: plain.conf.get(name, None) for name in settings} == before
+    with job_settings(plain, {**settings, "spark.sql.adaptive.skewJoin.enabled": "false"}):
+        whole = adaptive_facts(joined.select("*"))
+    assert split.rows == whole.rows == 400_000 and split.joins == ("SortMergeJoin",)
+    assert split.skewed >= 1 and split.splits > split.skewed and whole.splits == 0
+
+
+def test_broadcast_follows_the_thresholds(plain):
+    """Planned by file size, converted while running, or not at all; the same rows."""
+    from verdigrid.plans import QUERIES
+
+    small = "/root/testdata/sf0.001"
+    static, adaptive = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    seen = {}
+    for name, a, b in (("planned", "10m", "10m"), ("converted", "-1", "10m"), ("never", "-1", "-1")):
+        with job_settings(plain, {static: a, adaptive: b, "spark.sql.adaptive.enabled": "true"}):
+            df = QUERIES["join_broadcast"](plain, small)
+            planned = df._jdf.queryExecution().sparkPlan().toString()
+            seen[name] = "BroadcastHashJoin" in planned, adaptive_facts(df).joins, sorted(df.collect())
+    assert [seen[k][0] for k in seen] == [True, False, False]
+    assert [seen[k][1] for k in seen] == [("BroadcastHashJoin",), ("BroadcastHashJoin",), ("SortMergeJoin",)]
+    assert seen["planned"][2] == seen["converted"][2] == seen["never"][2]
+
+
+def test_map_by_partition_number(spark):
+    import pyarrow as pa
+
+    def prepare(part):
+        seen = {"n": 0}
+
+        def work(batch):
+            seen["n"] += batch.num_rows
+            return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([seen["n"]])], ["part", "n"])
+
+        return work
+
+    out = map_indexed(spark.range(1000, numPartitions=4), prepare, "part long, n long").collect()
+    last = {}
+    for r in out:
+        last[r["part"]] = max(last.get(r["part"], 0), r["n"])
+    assert last == {0: 250, 1: 250, 2: 250, 3: 250}
+
+
 def test_difference_with_many_copies(spark):
     left = skewed(spark).select("k")
     right = spark.createDataFrame([("k10",)], "k string")

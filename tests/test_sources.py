@@ -175,10 +175,74 @@ def test_jdbc_options_describe_a_partitioned_read():
         readers.jdbc_options("jdbc:x:y", "t", "id", 10, 0, 8)
 
 
-def test_inline_table_is_bounded(spark, monkeypatch):
+def test_inline_table_of_any_length(spark):
     assert readers.inline_table(spark, [(1, "a")], "k int, v string").count() == 1
-    with pytest.raises(ValueError):
-        readers.inline_table(spark, [(1,)] * (readers.MAX_INLINE_ROWS + 1), "k int")
+    for n in (0, readers.MAX_INLINE_ROWS, readers.MAX_INLINE_ROWS + 1, 50_000):
+        table = readers.inline_table(spark, [(k, f"v{k}") for k in range(n)], "k int, v string")
+        assert table.agg(F.count("*"), F.coalesce(F.sum("k"), F.lit(0))).first()[:] == (n, n * (n - 1) // 2)
+        from_files = "FileScan parquet" in table._jdf.queryExecution().executedPlan().toString()
+        assert from_files == (n > readers.MAX_INLINE_ROWS)
+
+
+def byte_sizes(folder):
+    sizes = {}
+    for path, _, names in os.walk(folder):
+        for name in names:
+            if name.startswith("part-"):
+                sizes.setdefault(path, []).append(os.path.getsize(os.path.join(path, name)))
+    return sizes
+
+
+def test_files_keep_their_byte_bound_beside_a_huge_row(spark, tmp_path, rows):
+    """One line of 50 MB among small ones: it has a file of its own, the others stay small."""
+    limit = 1 << 20
+    small = spark.range(60_000).select(F.concat_ws("-", F.lit("row"), "id", F.repeat(F.lit("x"), 60)).alias("line"))
+    huge = spark.range(1).select(F.repeat(F.lit("y"), 50 << 20).alias("line"))
+    df = small.limit(20_000).union(huge).union(small).repartition(5)
+    numbered = writers.number_files(df, F.octet_length("line") + 1, limit)
+    writers.write_numbered(numbered, str(tmp_path / "f"), "text")
+    sizes = byte_sizes(str(tmp_path / "f"))
+    assert all(len(files) == 1 for files in sizes.values())
+    flat = sorted(s for files in sizes.values() for s in files)
+    assert flat[-1] == (50 << 20) + 1 and flat[-2] <= limit
+    total = sum(flat[:-1])
+    assert len(flat) - 1 <= 2 * total / limit + 2
+    files = readers.read_whole_files(spark, str(tmp_path / "f"))
+    lines = files.select(F.explode(F.split("content", "\n")).alias("line")).filter("line <> ''")
+    want = df.agg(F.count("*"), F.sum(F.xxhash64("line").cast("decimal(38,0)"))).first()[:]
+    assert lines.agg(F.count("*"), F.sum(F.xxhash64("line").cast("decimal(38,0)"))).first()[:] == want
+
+
+def test_files_of_nothing_and_of_missing_sizes(spark, tmp_path):
+    empty = writers.number_files(spark.range(0), F.lit(1), 10)
+    assert empty.count() == 0 and empty.columns == ["id", "file"]
+    # Rows over half the limit stand alone; the others fill files up to it.
+    sizes = [1, 6, 5, 5, 4, 11, 1, 2, 30, 3]
+    df = spark.createDataFrame([(k, s) for k, s in enumerate(sizes)], "k int, s int").coalesce(1)
+    files = {}
+    for r in writers.number_files(df, F.col("s"), 10).collect():
+        files.setdefault(r["file"], []).append(r["s"])
+    assert sorted(x for f in files.values() for x in f) == sorted(sizes)
+    assert all(sum(f) <= 10 or len(f) == 1 for f in files.values())
+    assert [f for n, f in sorted(files.items()) if n < 0] == [[30], [11], [6]]
+
+
+def test_refused_deliveries_become_rows(spark, tmp_path):
+    good = put(str(tmp_path), "good/a.csv", [LINES[0], LINES[1], LINES[6]])
+    bad = put(str(tmp_path), "bad/b.csv", LINES)
+    short = put(str(tmp_path), "short/c.csv", [LINES[0], LINES[3], LINES[5]])
+    verdicts, admitted = quality.admit(spark, {"good": good, "bad": bad, "short": short}, SCHEMA)
+    seen = {r["delivery"]: r for r in verdicts.collect()}
+    assert [seen[k]["refused"] for k in ("good", "bad", "short")] == [False, True, True]
+    assert seen["good"]["condition"] is None and seen["good"]["file"] is None
+    assert seen["bad"]["condition"].startswith(quality.MALFORMED) and seen["bad"]["file"].endswith("bad/b.csv")
+    assert seen["short"]["record"].startswith("[3,Pia")
+    assert sorted(r["slot"] for r in admitted.collect()) == [2, 7]
+    assert {r["delivery"] for r in admitted.collect()} == {"good"}
+    _, none = quality.admit(spark, {"short": short}, SCHEMA)
+    assert none.count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        quality.admit(spark, {"lost": str(tmp_path / "nowhere")}, SCHEMA)
 
 
 def test_few_files(spark, tmp_path):

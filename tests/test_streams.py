@@ -15,10 +15,13 @@ from verdigrid.plans.streams import event_stream
 from verdigrid.shared import fresh_folder
 from verdigrid.streaming import streams
 from verdigrid.streaming.streams import (
+    batch_counts,
     batch_folder_writer,
+    batch_table_writer,
     decode_messages,
     event_time,
     file_stream,
+    fresh_table,
     latest_batch,
     latest_per_key,
     rate_stream,
@@ -26,6 +29,7 @@ from verdigrid.streaming.streams import (
     run_batches,
     run_slices,
     run_to_files,
+    run_until_idle,
     stream_to_table,
     time_slices,
     windowed_totals,
@@ -119,6 +123,63 @@ def test_a_repeated_batch_replaces_its_rows(spark):
     assert read_batches(spark, out, df.schema).count() == 10
 
 
+def test_a_batch_handed_over_twice_appends_once(spark):
+    """The table keeps one copy of each batch, whatever other batches came between."""
+    table = fresh_table("appended")
+    write = batch_table_writer(table)
+    df = spark.range(5)
+    for batch, number in ((df, 0), (df, 0), (df.filter("id > 2"), 1), (df, 0), (df.filter("id > 2"), 1)):
+        write(batch, number)
+    try:
+        counts = spark.table(table).groupBy("batch").count().collect()
+        assert {r["batch"]: r["count"] for r in counts} == {0: 5, 1: 2}
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_interval_run_ends_when_it_reports_nothing_new(spark, tables, rows):
+    parts = fresh_folder(spark, "interval-in")
+    tables.events.repartition(5).write.parquet(parts)
+    stream = file_stream(spark, parts, tables.events.schema, files_per_batch=2).select("event_id", "value")
+    sinks = [fresh_folder(spark, "interval-out") for _ in range(2)]
+    checkpoint = fresh_folder(spark, "interval-cp")
+    query = run_until_idle(stream, sinks[0], checkpoint, "200 milliseconds")
+    assert not query.isActive and sum(p["numInputRows"] > 0 for p in query.recentProgress) == 3
+    run_to_files(stream, sinks[1], fresh_folder(spark, "now-cp"))
+    both = [rows(spark.read.schema(stream.schema).parquet(s)) for s in sinks]
+    assert both[0] == both[1] and len(both[0]) == tables.events.count()
+    again = run_until_idle(stream, sinks[0], checkpoint, "200 milliseconds")
+    assert not any(p["numInputRows"] for p in again.recentProgress)
+    empty = file_stream(spark, fresh_folder_of_nothing(spark), tables.events.schema)
+    run_until_idle(empty, fresh_folder(spark, "none"), fresh_folder(spark, "none-cp"), "200 milliseconds")
+
+
+def fresh_folder_of_nothing(spark):
+    folder = fresh_folder(spark, "empty")
+    spark.range(0).write.parquet(folder)
+    return folder
+
+
+def test_counts_of_every_batch(spark):
+    source, sink, checkpoint = (fresh_folder(spark, n) for n in ("in", "out", "cp"))
+    runs = []
+    for label, records in (
+        ("first", [("2024-01-01 00:01:00", "a", 1), ("2024-01-01 05:00:00", "b", 9)]),
+        ("second", [("2024-01-01 00:02:00", "a", 1), ("2024-01-01 00:03:00", "a", 2), ("2024-01-01 01:03:00", "a", 7)]),
+    ):
+        add(spark, source, *records)
+        stream = event_time(file_stream(spark, source, SCHEMA), "ts")
+        seen = stream.observe("seen", F.count("*").alias("n"), F.count_if(F.col("value") > 5).alias("high"))
+        totals = windowed_totals(seen.withWatermark("ts", "10 minutes"), F.window("ts", "1 hour"))
+        runs.append((label, run_to_files(totals, sink, checkpoint), "seen"))
+    out = {r["label"]: r for r in batch_counts(spark, runs).collect()}
+    assert out["first"]["observed"] == {"n": 2, "high": 1} and out["first"]["dropped"] == 0
+    # Three rows in two closed windows: groups are dropped, not rows.
+    assert out["second"]["observed"] == {"n": 3, "high": 1} and out["second"]["dropped"] == 2
+    assert batch_counts(spark, []).count() == 0
+
+
 def test_envelope(spark):
     df = spark.createDataFrame([(b"k", b'{"a": 1, "b": "x"}'), (b"k", b"broken")], "key binary, value binary")
     out = [tuple(r) for r in decode_messages(df, "a int, b string").collect()]

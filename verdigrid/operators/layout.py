@@ -103,8 +103,8 @@ def adaptive_facts(df: DataFrame) -> AdaptiveFacts:
             for key in counted:
                 if metrics.contains(key):
                     counted[key] += metrics.apply(key).value()
-        if name.endswith("Join"):
-            joins.append(name)
+        if "Join" in name:
+            joins.append(name.split("(")[0])  # one whose partitions were split says so
         children = node.children()
         nodes.extend(children.apply(k) for k in range(children.size()))
     return AdaptiveFacts(rows, result.getNumPartitions(), *counted.values(), tuple(sorted(joins)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from verdigrid.operators.layout import task_count
@@ -95,18 +96,31 @@ def table_append(t: Tables):
 
 @query(
     "sink_foreach_partition",
-    """SELECT 'files' AS side, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS keys FROM customer
-       UNION ALL SELECT 'summary', count(*), NULL FROM customer""",
+    """SELECT 'files' AS side, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS keys,
+              count(DISTINCT upper(c_name)) AS names FROM customer
+       UNION ALL SELECT 'summary', count(*), NULL, NULL FROM customer""",
 )
 def foreach_partition(t: Tables):
+    """Each partition opens its own sink work: names in capitals, batch by batch."""
+
+    def prepare(part: int):
+        at = ["c_custkey", "c_name"].index("c_name")
+
+        def capitals(batch):
+            return batch.set_column(at, "c_name", pc.utf8_upper(batch.column(at)))
+
+        return capitals
+
     folder = fresh_folder(t.spark, "per-partition")
     rows = t.customer.select("c_custkey", "c_name")
     placed = rows.repartition(task_count(rows), "c_custkey")
-    summary = write_per_partition(placed, folder).agg(F.sum("rows").alias("n"))
+    summary = write_per_partition(placed, folder, prepare).agg(F.sum("rows").alias("n"))
     files = t.spark.read.schema(rows.schema).parquet(folder)
     counted = summary.select(
-        F.lit("summary").alias("side"), "n", F.lit(None).cast("long").alias("keys")
-    )
-    return files.agg(F.count("*").alias("n"), F.sum("c_custkey").alias("keys")).select(
-        F.lit("files").alias("side"), "n", "keys"
-    ).unionByName(counted)
+        F.lit("summary").alias("side"), "n", F.lit(None).cast("long").alias("keys"),
+        F.lit(None).cast("long").alias("names"),
+    )
+    per_name = files.groupBy("c_name").agg(F.count("*").alias("c"), F.sum("c_custkey").alias("k"))
+    return per_name.agg(
+        F.sum("c").alias("n"), F.sum("k").alias("keys"), F.count("*").alias("names")
+    ).select(F.lit("files").alias("side"), "n", "keys", "names").unionByName(counted)

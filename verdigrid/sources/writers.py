@@ -123,6 +123,7 @@ def write_per_partition(
 
     ``prepare`` gets the partition's number, opens what the partition needs and returns
     the function that every batch of rows passes through; it must keep the columns.
+    Without it the rows never leave the JVM.
     Spark writes and commits the files, so a repeated or competing task adds nothing.
     Returns ``partition``, ``rows`` and ``file``, read from what was committed; the
     files carry ``partition`` as one more column.
@@ -130,17 +131,26 @@ def write_per_partition(
     names = [*df.columns, "partition"]
     schema = T.StructType([*df.schema.fields, T.StructField("partition", T.IntegerType())])
 
+    if prepare is None:
+        marked = df.withColumn("partition", F.spark_partition_id())
+        marked.write.mode("overwrite").parquet(folder)
+        return _files_of(df.sparkSession, folder, schema)
+
     def sink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        work = prepare(part) if prepare else None
+        work = prepare(part)
         for batch in batches:
-            done = work(batch) if work else batch
+            done = work(batch)
             mark = pa.array([part] * done.num_rows, pa.int32())
             yield pa.RecordBatch.from_arrays([*done.columns, mark], names)
 
     df.mapInArrow(sink, schema).write.mode("overwrite").parquet(folder)
+    return _files_of(df.sparkSession, folder, schema)
+
+
+def _files_of(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     return (
-        df.sparkSession.read.schema(schema)
+        spark.read.schema(schema)
         .parquet(folder)
         .groupBy("partition")
         .agg(F.count("*").alias("rows"), F.min("_metadata.file_path").alias("file"))
