@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Sequence
 import numpy as np
 
 #: Bytes of words and results that one memory holds, and the longest word it keeps.
-MEMORY_BYTES = 96 << 20
+MEMORY_BYTES = 160 << 20
 LONGEST_KEPT = 256
 #: What an entry costs besides its word and numbers.
 _ENTRY = 200

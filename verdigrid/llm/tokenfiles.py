@@ -6,8 +6,10 @@ of ``BLOCK_IDS`` and codes them (see ``rangecoder``). A file row is one block: a
 with its own checksum, and an index of the documents in it. Readers need no other
 block; a document that spans blocks is put together from the checksums of its parts.
 
-A white-space-free piece of text has the same ids wherever it stands, so a worker
-remembers the ids of pieces; the memory is emptied when full.
+A piece between blanks and line breaks has the same ids wherever it stands (checked for
+the tokenizer file in use), so pieces are told apart once a window of text, and each worker
+process keeps the ids of pieces it has met, within ``ragged.MEMORY_BYTES``. A text longer
+than a window is encoded part by part.
 
 A null text counts as empty: its document has the end id only. Null ids come first;
 rows with equal ids are ordered by hashes of their texts.
@@ -25,11 +27,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from verdigrid.llm.ragged import Memory, gathered
 from verdigrid.llm.rangecoder import BLOCK_IDS, LANES, decode, encode
+from verdigrid.llm.words import Window as TextWindow
+from verdigrid.llm.words import Words, byte_class, windows
 from verdigrid.shared import fresh_folder
 
 END_ID = 2
-REMEMBERED = 200_000
+#: Only these two part pieces: other white space may be seen differently by the library.
+_INSIDE = byte_class(bytes(sorted(set(range(128)) - {10, 32})), True)
 
 #: index: documents of the block as (number in the task, doc_id, first id, ids here).
 FILE_SCHEMA = (
@@ -41,24 +47,52 @@ FILE_SCHEMA = (
 class Encoder:
     """Ids of texts by a tokenizer file, white-space-free piece by piece."""
 
+    #: A file whose ids of this text are not those of its pieces is refused.
+    PROBE = "It's 3.14 don't  A-b\n c's (x) <ok> _y_ 12\n\nÉ ß 'll z!?"
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memory: dict[str, list[int]] = {}
-
-    def ids(self, text: str) -> np.ndarray:
-        # Only these two: other white space may be seen differently by the library.
-        pieces = text.replace("\n", " ").split(" ")
-        new = list(set(pieces).difference(self.memory))
-        if len(new) + len(self.memory) > REMEMBERED:
-            self.memory = {}
-            new = list(set(pieces))
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.memory[piece] = found.ids
-        every = chain.from_iterable(map(self.memory.__getitem__, pieces))
-        return np.fromiter(chain(every, (END_ID,)), np.uint32)
+        pieces = self.PROBE.replace("\n", " ").split(" ")
+        whole = self.tokenizer.encode(self.PROBE, add_special_tokens=False).ids
+        if whole != [x for ids in self._ids([p.encode() for p in pieces]) for x in ids]:
+            raise ValueError("the tokenizer's ids of a piece depend on the white space beside it")
+        self.memory = Memory(self._ids)
+
+    def _ids(self, pieces: list[bytes]) -> list[list[int]]:
+        texts = [p.decode() for p in pieces]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [encoding.ids for encoding in found]
+
+    def encode(self, window: TextWindow) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the window's rows, one row after another, and each row's number of ids.
+
+        A row's end id follows its last ids, in the window where the row ends.
+        """
+        words = Words(window, _INSIDE, fold=None)
+        rows = len(window.bounds) - 1
+        found = [*self.memory.look_up(words.dictionary.to_pylist()), [END_ID]]
+        numbers, of_row = words.numbers, words.rows
+        if window.last:
+            last = np.searchsorted(of_row, np.arange(rows), "right")
+            numbers = np.insert(numbers, last, len(found) - 1)
+            of_row = np.insert(of_row, last, np.arange(rows))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        ids = gathered(flat, (np.cumsum(sizes) - sizes)[numbers], sizes[numbers])
+        return ids, np.bincount(of_row, sizes[numbers], rows).astype(np.int64)
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    """The encoder of a tokenizer file, made once in each worker process."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def write_tokens(docs: DataFrame, path: str, folder: str) -> None:
@@ -69,49 +103,58 @@ def write_tokens(docs: DataFrame, path: str, folder: str) -> None:
 
     def run(batches):
         task = TaskContext.get().partitionId()
-        encoder = Encoder(path)
+        encoder = _encoder(path)
         buffer: list[np.ndarray] = []
-        index: list[tuple[int, int | None, int, int]] = []
+        # Per document: number, id, first id and number of ids so far; the last may go on.
+        index: list[list] = []
         held = number = position = block = 0
+        unended = False
         full = BLOCK_IDS * LANES
 
         def flush(everything: bool):
-            """Code full blocks, or all that is left."""
+            """Code full blocks, or all that is left, ``LANES`` at a time."""
             nonlocal buffer, index, held, block
             ids = np.concatenate(buffer) if buffer else np.zeros(0, np.uint32)
             take = len(ids) if everything else len(ids) // BLOCK_IDS * BLOCK_IDS
-            begin, at, rows = block * BLOCK_IDS, 0, []
-            cuts = range(0, take, BLOCK_IDS)
-            records = encode([ids[a : min(a + BLOCK_IDS, take)] for a in cuts])
-            for k, a in enumerate(cuts):
-                first, last = begin + a, begin + min(a + BLOCK_IDS, take)
-                inside = []
-                while at < len(index) and index[at][2] < last:
-                    n, doc, start, size = index[at]
-                    lo, hi = max(first, start), min(last, start + size)
-                    if hi > lo:
-                        inside.append({"number": n, "doc_id": doc, "start": lo, "n": hi - lo})
-                    if start + size > last:
-                        break
-                    at += 1
-                rows.append((task, block + k, records[k], inside))
-            block += len(rows)
-            index, buffer, held = index[at:], [ids[take:]], len(ids) - take
-            if rows:
+            begin, at = block * BLOCK_IDS, 0
+            for some in range(0, take, full):
+                cuts = range(some, min(some + full, take), BLOCK_IDS)
+                records = encode([ids[a : min(a + BLOCK_IDS, take)] for a in cuts])
+                rows = []
+                for k, a in enumerate(cuts):
+                    first, last = begin + a, begin + min(a + BLOCK_IDS, take)
+                    inside = []
+                    while at < len(index) and index[at][2] < last:
+                        n, doc, start, size = index[at]
+                        lo, hi = max(first, start), min(last, start + size)
+                        if hi > lo:
+                            inside.append({"number": n, "doc_id": doc, "start": lo, "n": hi - lo})
+                        if start + size > last or (unended and at == len(index) - 1):
+                            break
+                        at += 1
+                    rows.append((task, block + k, records[k], inside))
+                block += len(rows)
                 kinds = [pa.int64(), pa.int64(), pa.binary(), _INDEX]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
                     ["task", "block", "record", "index"],
                 )
+            index, buffer, held = index[at:], [ids[take:]], len(ids) - take
 
-        for batch in batches:
-            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encoder.ids(body)
-                buffer.append(ids)
-                index.append((number, doc, position, len(ids)))
-                number, position, held = number + 1, position + len(ids), held + len(ids)
-                if held >= full:
-                    yield from flush(False)
+        for window in windows(batches, 1, _INSIDE):
+            ids, sizes = encoder.encode(window)
+            buffer.append(ids)
+            held += len(ids)
+            for doc, size in zip(window.batch.column(0).to_pylist(), sizes.tolist()):
+                if window.continued:
+                    index[-1][3] += size
+                else:
+                    index.append([number, doc, position, size])
+                    number += 1
+                position += size
+            unended = not window.last
+            if held >= full:
+                yield from flush(False)
         yield from flush(True)
 
     (

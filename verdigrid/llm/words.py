@@ -63,10 +63,13 @@ def windows(
 
 
 class Words:
-    """All words of a window: places, rows, and numbers into a dictionary."""
+    """All words of a window: places, rows, and numbers into a dictionary.
 
-    def __init__(self, window: Window, inside: np.ndarray):
-        data, bounds = LOWER[window.data], window.bounds
+    ``fold`` maps bytes before words are compared, by default A-Z to a-z.
+    """
+
+    def __init__(self, window: Window, inside: np.ndarray, fold: np.ndarray | None = LOWER):
+        data, bounds = window.data if fold is None else fold[window.data], window.bounds
         member = inside[data]
         first = member.copy()
         first[1:] &= ~member[:-1]
