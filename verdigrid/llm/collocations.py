@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdigrid.llm.blocks import bounded
-from verdigrid.llm.words import Words, byte_class, windows
+from verdigrid.llm.words import WINDOW_BYTES, Words, byte_class, windows
 from verdigrid.shared import written
 
 LEAST = 10
@@ -107,7 +107,7 @@ class Suffixes:
         self.closes = not breaks[words.ends[-1] :].any() if len(self.at) else not breaks.any()
 
 
-def _read(batches, seed: int) -> Iterator[tuple[Suffixes, np.ndarray, np.ndarray, int]]:
+def _read(batches, seed: int, size: int) -> Iterator[tuple[Suffixes, np.ndarray, np.ndarray, int]]:
     """Suffixes, hashes of all words, which follow their predecessor, words carried over.
 
     A text longer than a window goes on with its last words, so that no phrase is cut;
@@ -115,7 +115,7 @@ def _read(batches, seed: int) -> Iterator[tuple[Suffixes, np.ndarray, np.ndarray
     """
     carried, joined = np.zeros(0, np.uint64), np.zeros(0, bool)
     open_ = False
-    for window in windows(batches, 1, _INSIDE):
+    for window in windows(batches, 1, _INSIDE, size):
         found = Suffixes(window, seed)
         hashes, follows, old = found.hashes[found.at], found.follows, 0
         if window.continued and len(carried):
@@ -134,9 +134,9 @@ def _read(batches, seed: int) -> Iterator[tuple[Suffixes, np.ndarray, np.ndarray
                 joined[0] = False
 
 
-def _words_counted(seed: int) -> Callable:
+def _words_counted(seed: int, size: int) -> Callable:
     def run(batches):
-        for found, _, _, _ in _read(batches, seed):
+        for found, _, _, _ in _read(batches, seed, size):
             if not len(found.pairs):
                 continue
             counts = np.bincount(found.at, minlength=len(found.pairs))
@@ -163,7 +163,7 @@ def _merged(keys: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     return [k[at] for k in keys], np.diff(at, append=len(order))
 
 
-def _routed(depth: int, seed: int, bitmap, buckets: int) -> Callable:
+def _routed(depth: int, seed: int, bitmap, buckets: int, size: int) -> Callable:
     """Suffixes of ``depth`` words, merged by window and packed by bucket."""
     names = ["bucket", *(f"k{d}" for d in range(depth)), "n"]
 
@@ -174,7 +174,7 @@ def _routed(depth: int, seed: int, bitmap, buckets: int) -> Callable:
             place = _mixed(keys) >> np.uint64(64 - BITMAP_BITS)
             return bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1 > 0
 
-        for found, hashes, follows, old in _read(batches, seed):
+        for found, hashes, follows, old in _read(batches, seed, size):
             if depth == 2:
                 known = maybe([found.hashes])[found.at] if len(found.at) else np.zeros(0, bool)
                 if old:
@@ -310,12 +310,14 @@ def _bitmap(table: DataFrame, keys: list[str]):
     return table.sparkSession.sparkContext.broadcast(out.astype("<u8").view(np.uint8))
 
 
-def _phrases(texts: DataFrame, depth: int, seed: int, bitmap, buckets: int, least: int) -> DataFrame:
+def _phrases(
+    texts: DataFrame, depth: int, seed: int, bitmap, buckets: int, least: int, size: int
+) -> DataFrame:
     """(h1, .., n): phrases of ``depth`` words with their counts, written once."""
     packed = ", ".join(f"k{d} binary" for d in range(depth))
     keys = ", ".join(f"h{d + 1} long" for d in range(depth))
     counted = (
-        texts.mapInArrow(_routed(depth, seed, bitmap, buckets), f"bucket long, {packed}, n binary")
+        texts.mapInArrow(_routed(depth, seed, bitmap, buckets, size), f"bucket long, {packed}, n binary")
         .repartition("bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_bucket_counts(depth, least), f"{keys}, n long")
@@ -323,12 +325,12 @@ def _phrases(texts: DataFrame, depth: int, seed: int, bitmap, buckets: int, leas
     return written(counted, f"phrases-{depth}")
 
 
-def _counted_words(texts: DataFrame, least: int) -> tuple[DataFrame, int]:
+def _counted_words(texts: DataFrame, least: int, size: int) -> tuple[DataFrame, int]:
     """(h, lang, word, f) of all words, and the seed whose hashes tell them apart."""
     seed = 0
     while True:
         words = written(
-            texts.mapInArrow(_words_counted(seed), "h long, lang string, word string, n long")
+            texts.mapInArrow(_words_counted(seed, size), "h long, lang string, word string, n long")
             .groupBy("h", "lang", "word")
             .agg(F.sum("n").alias("f")),
             "words",
@@ -372,16 +374,22 @@ def _top(rows: DataFrame, top: int, place: Column, *ties: str) -> DataFrame:
     return rows
 
 
-def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, covered: int = COVERED) -> DataFrame:
+def collocations(
+    docs: DataFrame,
+    least: int = LEAST,
+    top: int = TOP,
+    covered: int = COVERED,
+    window_bytes: int = WINDOW_BYTES,
+) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the best phrases of each language."""
     texts = _texts(docs)
-    words, seed = _counted_words(texts, least)
+    words, seed = _counted_words(texts, least, window_bytes)
     sizes = words.groupBy("lang").agg(F.sum("f").alias("n"))
     total = words.agg(F.coalesce(F.sum("f"), F.lit(0))).first()[0]
     buckets = max(1, -(-total // BUCKET_WORDS))
     known = words.where(F.col("f") >= least)
-    pairs = _phrases(texts, 2, seed, _bitmap(known, ["h"]), buckets, least)
-    triples = _phrases(texts, 3, seed, _bitmap(pairs, ["h1", "h2"]), buckets, least)
+    pairs = _phrases(texts, 2, seed, _bitmap(known, ["h"]), buckets, least, window_bytes)
+    triples = _phrases(texts, 3, seed, _bitmap(pairs, ["h1", "h2"]), buckets, least, window_bytes)
 
     def word(side: str, *names: str) -> DataFrame:
         """``known`` with the hash as ``side`` and (f, lang) under other names."""

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdigrid.llm.blocks import bounded
-from verdigrid.llm.words import Words, byte_class, windows
+from verdigrid.llm.words import WINDOW_BYTES, Words, byte_class, windows
 from verdigrid.shared import written
 
 K = 10
@@ -75,11 +75,11 @@ def _segment(ids: pa.Array, lengths, terms: pa.Array, dfs, docs, tfs) -> pa.Reco
     return pa.RecordBatch.from_arrays([*lists, *packed], schema=_SEGMENT)
 
 
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _segments(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """One segment per window; the windows of a long text make one segment together."""
     parts: list[tuple[pa.Array, np.ndarray]] = []
     length = 0
-    for window in windows(batches, 1, _INSIDE):
+    for window in windows(batches, 1, _INSIDE, size):
         words = Words(window, _INSIDE)
         ids = window.batch.column(0)
         terms = words.dictionary.cast(pa.binary())
@@ -105,10 +105,10 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts, length = [], 0
 
 
-def build_index(docs: DataFrame) -> DataFrame:
+def build_index(docs: DataFrame, window_bytes: int = WINDOW_BYTES) -> DataFrame:
     """The segments of ``docs`` (doc_id, text) as a written table."""
     slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    return written(slim.mapInArrow(_segments, SEGMENT), "lexical-index")
+    return written(slim.mapInArrow(lambda some: _segments(some, window_bytes), SEGMENT), "lexical-index")
 
 
 def _item_terms(batches):
@@ -218,12 +218,12 @@ class Segment:
                 adds = weight * ((1_000_000_000 * tf) // (1000 * tf + 8 * m[some]))
                 self.lists[term] = some.astype(np.int64), adds, int(adds.max())
 
-    def search(self, terms: np.ndarray, best: _Best) -> None:
+    def search(self, terms: np.ndarray, best: _Best, share: float, step: int) -> None:
         lists = sorted((self.lists[t] for t in terms.tolist() if t in self.lists), key=lambda x: len(x[0]))
         if sum(x[2] for x in lists) < best.limit:
             return
         held = np.cumsum([len(x[0]) for x in lists])
-        short = int(np.searchsorted(held, SHORT * len(self.ids), "right"))
+        short = int(np.searchsorted(held, share * len(self.ids), "right"))
         if short > 1:  # term at a time
             docs, adds = (np.concatenate([x[k] for x in lists[:short]]) for k in (0, 1))
             order = np.argsort(docs, kind="stable")
@@ -235,7 +235,7 @@ class Segment:
         reach = np.cumsum([x[2] for x in lists])  # of a list and all with smaller bounds
         low = 0
         while low < len(self.ids):  # document at a time, a range of them in a step
-            high = min(len(self.ids), low + STEP)
+            high = min(len(self.ids), low + step)
             leading = int(np.searchsorted(reach, best.limit))  # lists before it are looked up only
             if leading == len(lists):
                 return
@@ -259,13 +259,13 @@ class Segment:
             low = high
 
 
-def _searched(items: Items, n_docs: int, n_terms: int, k: int):
+def _searched(items: Items, n_docs: int, n_terms: int, k: int, share: float, step: int):
     def run(batches):
         best = [_Best(k) for _ in items.ids]
         for row in _rows(batches):
             segment = Segment(row, items, n_docs, n_terms)
             for terms, own in zip(items.lists, best):
-                segment.search(terms, own)
+                segment.search(terms, own, share, step)
         places = np.repeat(np.arange(len(best)), [len(b.scores) for b in best])
         ids, null, scores = (
             np.concatenate([getattr(b, n) for b in best]) for n in ("ids", "null", "scores")
@@ -282,8 +282,13 @@ def _searched(items: Items, n_docs: int, n_terms: int, k: int):
     return run
 
 
-def search(index: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
-    """item_id, rank, doc_id, score: the ``k`` best documents of every item."""
+def search(
+    index: DataFrame, items: DataFrame, k: int = K, short: float = SHORT, step: int = STEP
+) -> DataFrame:
+    """item_id, rank, doc_id, score: the ``k`` best documents of every item.
+
+    ``short`` and ``step`` say how the work is done and change no result.
+    """
     totals = index.select(
         F.coalesce(F.sum(F.size(F.filter("lengths", lambda n: n > 0))), F.lit(0)),
         F.coalesce(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b)), F.lit(0)),
@@ -299,7 +304,7 @@ def search(index: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
             block.weights[t] = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
         # Written before the next block is fetched: the driver holds one block.
         found = found.unionByName(
-            written(index.mapInArrow(_searched(block, n_docs, n_terms, k), kind), "searched")
+            written(index.mapInArrow(_searched(block, n_docs, n_terms, k, short, step), kind), "searched")
         )
     order = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return (

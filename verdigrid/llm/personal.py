@@ -40,7 +40,7 @@ PATTERNS = {
 }
 #: What a text must hold for a pattern to be tried.
 NEEDS = {"email": "@", "ip": None, "card": None, "phone": "+"}
-CONFIDENCE = 0.9
+CONFIDENCE = 0.8
 SUPPORT = 5
 ROUNDS = 3
 #: Characters of the surroundings that contexts are taken from.
