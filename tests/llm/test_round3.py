@@ -369,3 +369,85 @@ def test_personal_data_stays_native(spark, docs):
     assert not re.search("Python|Arrow|Pandas", text)
     source = open(personal.__file__).read()
     assert not re.search(r"pandas|pyarrow|mapIn|udf|\.rdd", source)
+
+
+# Near duplicates and exact search: bounded groups and blocks
+
+
+def near_prints(many, seed=3):
+    """Fingerprints that agree in two segments: a dense family, some pairs, some strangers."""
+    rng = np.random.default_rng(seed)
+    center, free = np.uint64(0x5A5A_0F0F_3C3C_1234), np.arange(22, 64)
+
+    def flipped(base, count):
+        out = base.copy()
+        for row in range(len(out)):
+            for bit in rng.choice(free, count, replace=False):
+                out[row] ^= np.uint64(1) << np.uint64(bit)
+        return out
+
+    family = flipped(np.full(many * 9 // 10, center), 5)
+    strangers = (rng.integers(0, 2**42, many // 20).astype(np.uint64) << np.uint64(22)) | (center & np.uint64(2**22 - 1))
+    partners = flipped(strangers.copy(), 4)
+    return np.unique(np.concatenate([family, strangers, partners]))
+
+
+def component_sets(spark, prints, **sizes):
+    from verdigrid.llm import simhash
+    from verdigrid.llm.components import components
+
+    frame = spark.createDataFrame([(int(p),) for p in prints.view(np.int64)], "fp long").repartition(6)
+    found = simhash.links(frame, **sizes)
+    roots = {r["u"]: r["root"] for r in components(found).collect()}
+    sets = defaultdict(set)
+    for p in prints.view(np.int64).tolist():
+        sets[roots.get(p, p)].add(p)
+    return {frozenset(s) for s in sets.values()}
+
+
+def test_large_buckets_are_joined_in_pieces(spark):
+    from verdigrid.llm import simhash
+
+    prints = near_prints(3000)
+    parent = np.arange(len(prints))
+    for k in range(len(prints)):
+        near = np.flatnonzero(np.bitwise_count(prints ^ prints[k]) <= 4)
+        simhash.connect(parent, np.full(len(near), k), near)
+    want = defaultdict(set)
+    for p, root in zip(prints.view(np.int64).tolist(), parent.tolist()):
+        want[root].add(p)
+    want = {frozenset(s) for s in want.values()}
+    assert component_sets(spark, prints) == want
+    assert component_sets(spark, prints, forest_rows=400, piece_rows=130) == want
+
+
+def test_a_bucket_of_a_hundred_thousand_fingerprints(spark):
+    """Given up by its task, cut into pieces, and joined by several tasks: equal components."""
+    from verdigrid.llm import simhash
+
+    prints = near_prints(115_000)
+    assert len(prints) > 100_000
+    forest = simhash.Forest(np.array([0]), prints)
+    forest.links()
+    want = defaultdict(set)
+    for p, root in zip(prints.view(np.int64).tolist(), forest.parent.tolist()):
+        want[root].add(p)
+    got = component_sets(spark, prints, forest_rows=60_000, piece_rows=60_000)
+    assert got == {frozenset(s) for s in want.values()}
+
+
+def test_top_k_of_equal_ids_with_other_vectors(spark):
+    """Every vector of a query id has its own list; blocks of one query give the same."""
+    from verdigrid.llm import topk
+
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (50, [0.0, 1.0]), (0, [-1.0, 0.5])]
+    rows += [(k, [k / 10, -k / 20]) for k in range(1, 9)]
+    table_ = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    want = []
+    for name, q in {(i, tuple(v)) for i, v in rows if i % 50 == 0}:
+        whole = lambda v: [math.floor(256 * x) for x in v]
+        scored = sorted((-sum(a * b for a, b in zip(whole(q), whole(v))), i) for i, v in rows if i != name)
+        want += [(name, r + 1, i, -s) for r, (s, i) in enumerate(scored[:5])]
+    for size in (1, 2, 100):
+        got = topk.top_k(table_, query_block=size)
+        assert sorted(map(tuple, got.collect())) == sorted(want)

@@ -10,6 +10,10 @@ that has none left and differs is dropped. Pairs whose leaves are already known
 one component are dropped too, so a dense group of near copies costs little more than
 its size. Links leave the task as stars (a spanning forest), never as all pairs.
 
+A group of more than ``FOREST_ROWS`` fingerprints is set aside by its task, which keeps
+none of them, and cut into pieces of ``PIECE_ROWS``; pieces are joined pair by pair, each
+pair in a task of its own that starts from the two tries' roots.
+
 Copies share a fingerprint and enter the join once. Null text counts as empty and has
 fingerprint zero, linked like any other. Ids may repeat; a null id never names a
 component unless all ids of the component are null, then the component is null.
@@ -28,6 +32,7 @@ from pyspark.sql import functions as F
 
 from verdigrid.llm.blocks import Block, blocks
 from verdigrid.llm.components import components
+from verdigrid.operators.keyed import group_values
 from verdigrid.shared import written
 
 SHINGLE = 4
@@ -38,6 +43,7 @@ SEGMENTS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
 TABLES = tuple(combinations(SEGMENTS, len(SEGMENTS) - MAX_BITS))
 #: Fingerprints of whole groups that a task joins at once, and node pairs it expands.
 FOREST_ROWS = 1 << 17
+PIECE_ROWS = 1 << 15
 PAIR_ROWS = 1 << 19
 #: Groups from this size on first link fingerprints that differ in one bit.
 DENSE = 256
@@ -168,7 +174,16 @@ class Forest:
         self._refresh()
         many = self.ends - self.starts > 1
         s, e = self.starts[many], self.ends[many]
-        stack = [(0, np.stack([s, e, s, e, np.zeros_like(s)]))]
+        return self._joined(np.stack([s, e, s, e, np.zeros_like(s)]))
+
+    def between(self) -> tuple[np.ndarray, np.ndarray]:
+        """The same for links from the first group to the second one."""
+        self._refresh()
+        return self._joined(np.array([[self.starts[0]], [self.ends[0]], [self.starts[1]], [self.ends[1]], [0]]))
+
+    def _joined(self, roots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Traverse pairs of nodes from pairs of roots."""
+        stack = [(0, roots)]
         while stack:
             depth, pairs = stack.pop()
             pairs = pairs[:, ~self._settled(pairs)]
@@ -187,41 +202,80 @@ class Forest:
         return hung, self.parent[hung]
 
 
-def _group_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links inside the groups of sorted (bucket, fp) rows."""
+def _found(forest: Forest, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    values = forest.prints.view(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(values[a]), pa.array(values[b])], ["u", "v"])
+
+
+def _group_links(limit: int):
+    """Links inside the groups of sorted (bucket, fp) rows.
+
+    A group of more than ``limit`` rows is given up as soon as it is seen to be one: the
+    task returns its bucket with no partner and lets its other rows pass.
+    """
 
     def joined(groups: np.ndarray, prints: np.ndarray):
         starts = np.flatnonzero(np.diff(groups, prepend=groups[0] - 1))
-        if len(starts) == len(groups):
-            return
-        a, b = Forest(starts, prints).links()
-        values = prints.view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(values[a]), pa.array(values[b])], ["u", "v"]
-        )
+        if len(starts) < len(groups):
+            forest = Forest(starts, prints)
+            yield _found(forest, *forest.links())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest_g, rest_p = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size, given_up = 0, None
+        for batch in batches:
+            groups, prints = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+            if given_up is not None:
+                kept = groups != given_up
+                groups, prints = groups[kept], prints[kept]
+            if not len(groups):
+                continue
+            held.append((groups, prints))
+            size += len(groups)
+            if size + len(rest_g) <= limit:
+                continue
+            groups = np.concatenate([rest_g, *(g for g, _ in held)])
+            prints = np.concatenate([rest_p, *(p for _, p in held)])
+            cut = int(np.searchsorted(groups == groups[-1], True))
+            if cut:
+                yield from joined(groups[:cut], prints[:cut])
+            rest_g, rest_p, held, size = groups[cut:], prints[cut:], [], 0
+            if len(rest_g) > limit:
+                given_up = int(rest_g[0])
+                rest_g, rest_p = rest_g[:0], rest_p[:0]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([given_up]), pa.array([None], pa.int64())], ["u", "v"]
+                )
+        groups = np.concatenate([rest_g, *(g for g, _ in held)])
+        if len(groups):
+            yield from joined(groups, np.concatenate([rest_p, *(p for _, p in held)]))
+
+    return run
+
 
-    rest_g, rest_p = np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    size = 0
+def _pair_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the two pieces of (key, values) rows that share a key, or inside one."""
+
+    def joined(pieces: list[np.ndarray]):
+        pieces = [np.sort(p.view(np.uint64)) for p in pieces]
+        starts = np.cumsum([0, *map(len, pieces[:-1])])
+        forest = Forest(starts, np.concatenate(pieces))
+        yield _found(forest, *(forest.links() if len(pieces) == 1 else forest.between()))
+
+    key, pieces = None, []
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)))
-        size += batch.num_rows
-        if size < FOREST_ROWS + 2 * len(rest_g):
-            continue
-        groups = np.concatenate([rest_g, *(g for g, _ in held)])
-        prints = np.concatenate([rest_p, *(p for _, p in held)])
-        cut = int(np.searchsorted(groups == groups[-1], True))
-        if cut:
-            yield from joined(groups[:cut], prints[:cut])
-        rest_g, rest_p, held, size = groups[cut:], prints[cut:], [], 0
-    groups = np.concatenate([rest_g, *(g for g, _ in held)])
-    if len(groups):
-        yield from joined(groups, np.concatenate([rest_p, *(p for _, p in held)]))
+        for *now, values in zip(*(batch.column(n).to_pylist() for n in ("bucket", "low", "high")), batch.column("values")):
+            if now != key and pieces:
+                yield from joined(pieces)
+                pieces = []
+            key = now
+            pieces.append(values.values.to_numpy())
+    if pieces:
+        yield from joined(pieces)
 
 
-def links(prints: DataFrame) -> DataFrame:
+def links(prints: DataFrame, forest_rows: int = FOREST_ROWS, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Links (u, v) between different fingerprints ``fp``: stars of each group."""
     distinct = prints.select(F.col("fp").alias("fp")).distinct()
     buckets = []
@@ -235,11 +289,27 @@ def links(prints: DataFrame) -> DataFrame:
     dealt = distinct.select(F.explode(F.array(*buckets)).alias("bucket"), "fp")
     # Sorted by the unsigned value: the order of a trie.
     unsigned = F.col("fp").bitwiseXOR(F.lit(-(2**63)).cast("long"))
-    return (
+    found = written(
         dealt.repartition("bucket")
         .sortWithinPartitions("bucket", unsigned)
-        .mapInArrow(_group_links, "u long, v long")
+        .mapInArrow(_group_links(forest_rows), "u long, v long"),
+        "bucket-links",
+    )
+    large = found.where("v IS NULL").select(F.col("u").alias("bucket"))
+    if large.isEmpty():
+        return found
+    pieces = written(
+        group_values(dealt.join(large, "bucket", "left_semi"), ["bucket"], "fp", [], piece_rows), "pieces"
+    )
+    numbers = pieces.groupBy("bucket").agg(F.max("chunk").alias("last"))
+    pairs = pieces.join(numbers, "bucket").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
+    between = (
+        pairs.select("bucket", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "values")
+        .repartition("bucket", "low", "high")
+        .sortWithinPartitions("bucket", "low", "high")
+        .mapInArrow(_pair_links, "u long, v long")
     )
+    return found.where("v IS NOT NULL").unionByName(between)
 
 
 def near_duplicates(prints: DataFrame) -> DataFrame:

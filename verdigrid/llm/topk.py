@@ -12,20 +12,23 @@ Components become floor(256 * x). Queries are rows whose ``vec_id`` is divisible
 not a candidate. Null vectors, vectors with null or non-finite components and rows
 without id take no part. A vector is scored against vectors of its own length. Scores
 beyond the long range are cut to it. Repeated rows are candidates each; a repeated
-query counts once.
+query counts once, and rows with one id and different vectors are queries each, with
+lists of their own under that id.
+
+The driver holds one block of queries: its winners are written before the next block is
+fetched, so no plan refers to it any more.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdigrid.llm.blocks import bounded
+from verdigrid.shared import fresh_folder
 
 K = 5
 EVERY = 50
@@ -150,10 +153,11 @@ def _winners(block: Block, limit: np.ndarray, ties: np.ndarray):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(block.ids[at[rows]]),
+                        pa.array(at[rows]),
                         pa.array(ids[columns]),
                         pa.array(found[rows, columns]),
                     ],
-                    ["query_id", "vec_id", "score"],
+                    ["query_id", "query", "vec_id", "score"],
                 )
             rows, columns = np.nonzero(valid & (found == limit[at][:, None]))
             first = np.searchsorted(rows, rows)  # ids rise inside a query
@@ -168,10 +172,11 @@ def _winners(block: Block, limit: np.ndarray, ties: np.ndarray):
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(block.ids[at]),
+                pa.array(at),
                 pa.array(np.array([c for _, c in rows], np.int64)),
                 pa.array(limit[at]),
             ],
-            ["query_id", "vec_id", "score"],
+            ["query_id", "query", "vec_id", "score"],
         )
 
     return run
@@ -249,16 +254,20 @@ def top_k(
         embeddings["vec_id"].cast("long").alias("vec_id"),
         embeddings["embedding"].cast("array<double>").alias("embedding"),
     )
-    kind = "query_id long, vec_id long, score long"
-    parts = []
-    for block in _query_blocks(rows, every, query_block):
+    kind = "query_id long, query long, vec_id long, score long"
+    spark = embeddings.sparkSession
+    folder, number = fresh_folder(spark, "winners"), 0
+    for number, block in enumerate(_query_blocks(rows, every, query_block), 1):
         limit, ties = _located(rows, block, k)
-        parts.append(rows.mapInArrow(_winners(block, limit, ties), kind))
-    if not parts:
-        parts = [embeddings.sparkSession.createDataFrame([], kind)]
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        winners = rows.mapInArrow(_winners(block, limit, ties), kind)
+        winners.write.parquet(f"{folder}/block={number}")
+    if number:
+        found = spark.read.schema(f"{kind}, block int").parquet(folder)
+    else:
+        found = spark.createDataFrame([], f"{kind}, block int")
+    order = Window.partitionBy("query_id", "block", "query").orderBy(F.desc("score"), "vec_id")
     return (
-        reduce(DataFrame.unionByName, parts)
+        found
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
