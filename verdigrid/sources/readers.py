@@ -92,7 +92,7 @@ def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Dat
     folder = fresh_folder(spark, "inline")
     for start in range(0, len(rows), MAX_INLINE_ROWS):
         part = spark.createDataFrame(list(rows[start : start + MAX_INLINE_ROWS]), schema)
-        part.coalesce(1).write.mode("append").parquet(folder)
+        part.write.mode("append").parquet(folder)
     return spark.read.schema(part.schema).parquet(folder)
 
 
