@@ -324,8 +324,13 @@ class Transducer:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text that the ids write."""
-        text = self.decode_all(ids)[0].decode("utf-8", "replace")
-        return text[1:] if self.prefix and text.startswith(" ") else text
+        return self.unmarked(self.decode_all(ids)[0]).decode("utf-8", "replace")
+
+    def unmarked(self, text: bytes) -> bytes:
+        """A decoded text without the mark in front; all blanks there, if the model tidies."""
+        if self.tidy:
+            return text.lstrip(b" ")
+        return text[1:] if self.prefix and text.startswith(b" ") else text
 
     def encode_all(self, texts: list[bytes], marked: list[bool]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and where each text's ids end.
@@ -410,8 +415,8 @@ def encode_pieces(docs: DataFrame, path: str) -> DataFrame:
                 for row, mark, raw, end in zip(rows, marked, raws, ends.tolist()):
                     stop = int(places[end - 1]) if end else 0
                     text = written[first:stop]
-                    if mark and model.prefix and text.startswith(b" "):
-                        text = text[1:]
+                    if mark:
+                        text = model.unmarked(text)
                     totals[0][row] += end - begin
                     totals[1][row] = zlib.crc32(raw_ids[4 * begin : 4 * end], int(totals[1][row]))
                     if text != raw:
