@@ -21,6 +21,8 @@ from verdigrid.operators.layout import (
     map_indexed,
     partition_profile,
     range_layout,
+    source_bytes,
+    task_count,
 )
 from verdigrid.operators.ordering import index_rows, sample_rows, sample_rows_with_replacement, zip_rows
 from verdigrid.operators.sessions import session_totals
@@ -298,6 +300,19 @@ def test_broadcast_follows_the_thresholds(plain):
     assert seen["planned"][2] == seen["converted"][2] == seen["never"][2]
 
 
+def test_task_counts_follow_from_the_sources(spark):
+    """No job runs for a table of files; rows without statistics are counted."""
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    derived = orders.join(orders.select("o_orderkey", F.col("o_totalprice").alias("p")), "o_orderkey").groupBy("o_custkey").count()
+    assert task_count(orders) == task_count(derived) == least
+    size = source_bytes(orders)
+    assert 0 < size < 1 << 20 and source_bytes(derived) == 2 * size
+    assert task_count(orders, task_bytes=max(1, size // 100)) >= 100
+    rows = spark.createDataFrame([(k,) for k in range(100)], "k int")
+    assert source_bytes(rows) is None and task_count(rows, task_rows=2) == 50
+
+
 def test_map_by_partition_number(spark):
     import pyarrow as pa
 

@@ -15,16 +15,36 @@ from pyspark.sql import types as T
 
 
 TASK_ROWS = 4_000_000
+#: Bytes of files, mostly compressed, that stand for as many rows.
+TASK_BYTES = 64 << 20
+#: What Spark says of a source whose size it does not know, or more.
+_UNKNOWN_BYTES = 1 << 62
 
 
-def task_count(df: DataFrame, task_rows: int = TASK_ROWS) -> int:
-    """Tasks for an explicit layout of ``df``: at most about ``task_rows`` rows each.
+def source_bytes(df: DataFrame) -> int | None:
+    """Bytes of what ``df`` reads, from the statistics of its sources; no job runs.
 
-    The session's number of shuffle partitions is the least; a count of the rows
-    raises it with the table.
+    Null if a source has no statistics, such as rows handed over by the driver.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [
+        int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size())
+    ]
+    return None if any(size >= _UNKNOWN_BYTES for size in sizes) else sum(sizes)
+
+
+def task_count(df: DataFrame, task_rows: int = TASK_ROWS, task_bytes: int = TASK_BYTES) -> int:
+    """Tasks for an explicit layout of ``df``.
+
+    The session's number of shuffle partitions is the least. It is raised by the size of
+    the sources, so that no work of ``df`` is done for it; only where a source has no
+    statistics are the rows counted, for tasks of about ``task_rows`` rows.
     """
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, -(-df.count() // task_rows))
+    size = source_bytes(df)
+    if size is None:
+        return max(least, -(-df.count() // task_rows))
+    return max(least, -(-size // task_bytes))
 
 
 def hash_layout(

@@ -115,8 +115,8 @@ def profile(t: Tables):
 def adaptive(t: Tables):
     """Settings for two jobs only: far too many shuffle partitions, merged or left alone.
 
-    With at most some 250,000 rows in a partition several of them fit in the advisory
-    size whatever the table, so adaptive execution must merge.
+    A sixteenth of a task's share leaves partitions so small that several of them fit in
+    the advisory size whatever the table, so adaptive execution must merge.
     """
     parts = str(16 * task_count(t.orders))
     facts = []

@@ -256,17 +256,17 @@ def table_append(t: Tables):
 
 @query("stream_tumbling_append", _closed(_windows_sql("60 MINUTE")))
 def tumbling_append(t: Tables):
-    return _windows_of(
-        t, [t.events], "tumbling", lambda e: windowed_totals(e, F.window("ts", "1 hour")), _SLICES
-    )
+    return _windows_of(t, [t.events], "tumbling", lambda e: windowed_totals(e, F.window("ts", "1 hour")))
 
 
 @query("stream_sliding", _closed(_SLIDING))
 def sliding(t: Tables):
+    """Three batches at least, whatever the table: windows close between them."""
+
     def totals(events):
         return windowed_totals(events, F.window("ts", "10 minutes", "5 minutes"), ("event_type",))
 
-    return _windows_of(t, [t.events], "sliding", totals)
+    return _windows_of(t, [t.events], "sliding", totals, _SLICES)
 
 
 @query("stream_session", _closed(_SESSIONS))
