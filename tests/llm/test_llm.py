@@ -73,7 +73,7 @@ def by_id(df):
 @pytest.mark.parametrize("key", sorted(LLM_SQL))
 def test_sql(spark, key):
     con = duckdb.connect()
-    for name in ("documents", "embeddings"):
+    for name in ("documents", "embeddings", "benchmark"):
         con.sql(f"create view {name} as from '{SMALL}/{name}.parquet'")
     want, got = con.sql(LLM_SQL[key]).df(), LLM_QUERIES[key](spark, SMALL).toPandas()
     columns = sorted(want.columns)
