@@ -14,8 +14,9 @@ include the language. Depth after depth (one, two, three words):
 * the next depth only follows suffixes whose shorter phrases may be frequent: a bitmap
   of fixed size tells it, and it errs only towards following too many.
 
-Buckets are as many as the words of the corpus ask for, so a bucket is bounded
-whatever the input. The words themselves are counted as strings. Equal hashes of
+Buckets are as many as the words of the corpus ask for. A phrase lies in one bucket with
+one entry (24 or 32 bytes) for each window that holds it, so only a phrase found in
+millions of windows makes a bucket larger than its share. The words themselves are counted as strings. Equal hashes of
 different words would add up their counts, so this is looked for, and if a frequent
 word shares its hash, all starts over with another seed.
 
