@@ -220,8 +220,10 @@ def test_sample_has_the_smallest_draws(spark, rows, monkeypatch):
     from verdigrid.operators import ordering
 
     drawn = sorted((hashlib.md5(f"7:{k}".encode()).hexdigest(), k) for k in range(N))
-    quantile = ordering._quantile
-    for shift in (0.0, 0.3, -0.3):
+    quantile, heap_rows = ordering._quantile, ordering.HEAP_ROWS
+    for shift in (None, 0.0, 0.3, -0.3):
+        monkeypatch.setattr(ordering, "HEAP_ROWS", heap_rows if shift is None else -1)
+        shift = shift or 0.0
         monkeypatch.setattr(ordering, "_quantile", lambda s, d=shift: quantile(s + d))
         for n in (0, 1, 17, 500, N - 1, N, N + 1):
             if shift and n < 17:

@@ -14,6 +14,8 @@ from verdigrid.shared import written
 _POSITION_BITS = 33
 #: Hexadecimal digits that a share of all draws is rounded to.
 _DIGITS = 12
+#: Rows that one task merges from the heaps of all tasks.
+HEAP_ROWS = 10_000_000
 
 
 def index_rows(
@@ -82,17 +84,20 @@ def _quantile(share: float) -> str:
 def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 7) -> DataFrame:
     """Exactly ``n`` random rows without replacement, the same for any layout.
 
-    ``key`` must identify a row. The rows with the ``n`` smallest draws are taken. Draws
-    are uniform, so the n-th of N lies close to n / N: a count of the rows gives a band
+    ``key`` must identify a row. The rows with the ``n`` smallest draws are taken. Where
+    the ``n`` best rows of all tasks together are at most ``HEAP_ROWS``, one pass keeps
+    them in a heap per task. Otherwise: draws are uniform, so the n-th of N lies close to n / N: a count of the rows gives a band
     around it, some six standard deviations wide, and one aggregate counts the draws
     below the band and in it. Rows below are filtered, and only the band is sorted; it
     has a few times the square root of ``n`` rows. Should the n-th draw lie outside, the
     band is widened. All rows are returned if there are fewer.
     """
+    drawn = df.withColumn("_draw", _draw(seed, *key))
+    if n * task_count(df) <= HEAP_ROWS:
+        return drawn.orderBy("_draw", *key).limit(n).drop("_draw")
     total = df.count()
     if n >= total:
         return df
-    drawn = df.withColumn("_draw", _draw(seed, *key))
     slack = 6 * n**0.5 + 30
     while True:
         low, high = _quantile((n - slack) / total), _quantile((n + slack) / total)
