@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verdigrid.operators.aggregates import exact_sum
+from verdigrid.session import job_settings
 from verdigrid.shared import fresh_folder, qualified, shared_root, written
 from verdigrid.sources import quality, readers, writers
 
@@ -255,6 +257,34 @@ def test_few_files(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "even")).count() == 1000
 
 
+def test_even_files_do_not_grow_with_the_cores(spark, tmp_path):
+    """Some 20 MB of rows, and eight cores that would each take a file of their own."""
+    df = spark.range(600_000).select(F.md5(F.col("id").cast("string")).alias("v"))
+    settings = {
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+    }
+    with job_settings(spark, settings):
+        writers.write_even_files(df, str(tmp_path / "one"))
+        writers.write_even_files(df, str(tmp_path / "more"), file_bytes=8 << 20)
+        assert {n: spark.conf.get(n) for n in settings} == settings
+    for name, fewest, most in (("one", 1, 1), ("more", 2, 6)):
+        files = [f for f in os.listdir(tmp_path / name) if f.startswith("part-")]
+        assert fewest <= len(files) <= most and spark.read.parquet(str(tmp_path / name)).count() == 600_000
+
+
+def test_exact_sum(spark):
+    """A cent beside a total of fifteen digits, which doubles added one by one lose."""
+    cents = spark.range(100_000).select((F.lit(20_000_000_000.01) + F.lit(0.0)).alias("v"), "id")
+    total = lambda df: df.agg(exact_sum(F.col("v"))).first()[0]
+    assert total(cents) == 2_000_000_000_001_000.0
+    assert total(cents.repartition(7)) == 2_000_000_000_001_000.0
+    odd = spark.sql("select * from values (0.5D), (1e-9D), (null) as t(v)")
+    assert total(odd) == 0.5 + 1e-9 and total(odd.limit(0)) is None
+    assert total(spark.sql("select * from values (double('NaN')), (1D) as t(v)")) != 0
+    assert total(spark.sql("select * from values (double('Infinity')), (1D) as t(v)")) == float("inf")
+
+
 def test_csv_writer_keeps_blanks(spark, tmp_path, rows):
     df = spark.createDataFrame([(" a ",)], "v string")
     writers.write_csv(df, str(tmp_path / "c"))

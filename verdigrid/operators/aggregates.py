@@ -47,3 +47,14 @@ def fold_sum(column: str | Column) -> Column:
 def fold_product(column: str | Column) -> Column:
     """Product with neutral element 1, also for empty input."""
     return F.coalesce(F.product(column), F.lit(1.0))
+
+
+def exact_sum(value: Column) -> Column:
+    """The sum of doubles that are decimals of at most six places, without rounding on the way.
+
+    Added as doubles, cents are lost once a total has some twelve digits. Where any value
+    has more places or is no number, all are added as doubles.
+    """
+    places = value.try_cast("decimal(28,6)")
+    exact = F.when(places.cast("double") == value, places)
+    return F.when(F.count(exact) == F.count(value), F.sum(exact).cast("double")).otherwise(F.sum(value))

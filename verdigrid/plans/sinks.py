@@ -7,6 +7,7 @@ import uuid
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
+from verdigrid.operators.aggregates import exact_sum
 from verdigrid.operators.layout import task_count
 from verdigrid.plans.registry import Tables, query
 from verdigrid.shared import fresh_folder
@@ -52,16 +53,11 @@ def compact(t: Tables):
     folder = fresh_folder(t.spark, "compact")
     rows = t.orders.select("o_orderkey", "o_totalprice")
     write_even_files(rows, folder)
-    per_file = (
-        t.spark.read.schema(rows.schema)
-        .parquet(folder)
-        .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("total"))
-    )
-    return per_file.agg(
-        F.sum("n").alias("n"),
-        F.round(F.sum("total"), 2).alias("total"),
-        (F.count("*") <= 1 + F.sum("n") / 100_000).alias("few_files"),
+    back = t.spark.read.schema(rows.schema).parquet(folder)
+    return back.select("o_totalprice", F.col("_metadata.file_path").alias("file")).agg(
+        F.count("*").alias("n"),
+        F.round(exact_sum(F.col("o_totalprice")), 2).alias("total"),
+        (F.count_distinct("file") <= 1 + F.count("*") / 100_000).alias("few_files"),
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdigrid.operators.joins import measured_bytes
+from verdigrid.session import job_settings
 from verdigrid.shared import written
 
 #: Bytes of a file that only one task can read.
@@ -91,9 +92,20 @@ def write_few_files(
     return bound
 
 
-def write_even_files(df: DataFrame, folder: str) -> None:
-    """Files of the advisory partition size, whatever their number turns out to be."""
-    df.hint("rebalance").write.mode("overwrite").parquet(folder)
+def write_even_files(df: DataFrame, folder: str, file_bytes: int = 128 << 20) -> None:
+    """Files of some ``file_bytes`` of shuffled rows, whatever their number turns out to be.
+
+    Adaptive execution by default makes at least a file per core of the cluster, however
+    small; here the size alone decides, so the number of files grows with the rows only.
+    """
+    settings = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes),
+    }
+    with job_settings(df.sparkSession, settings):
+        df.hint("rebalance").write.mode("overwrite").parquet(folder)
 
 
 def append_table(df: DataFrame, table: str, folder: str) -> None:
