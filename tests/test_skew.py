@@ -260,6 +260,43 @@ def test_cogroup_map_splits_a_hot_key(spark):
     assert sum(r["n"] for r in out) == left.count() and sum(r["m"] for r in out) == right.count()
 
 
+def test_cogroup_map_bundles_short_chunks(spark):
+    """Thousands of short chunks take a few calls, and both sides of a chunk meet in one."""
+    import pyarrow as pa
+
+    from verdigrid.plans.keyed import _dearer
+
+    key = F.when(F.col("id") % 1000 > 0, F.col("id") % 1000).alias("k")
+    left = spark.range(9000).select("id", key, (F.col("id") * 7 % 101).cast("double").alias("o_totalprice"))
+    right = left.filter("id % 4 > 0").withColumn("o_totalprice", F.col("o_totalprice") * 3 % 89)
+    sides = left, right, ["k"], "o_totalprice", "o_totalprice", ["id"], ["id"]
+
+    def chunks(a, b):
+        both = [{(r["k"], r["chunk"]) for r in t.to_pylist()} for t in (a, b)]
+        return pa.table(
+            {"n": pa.array([a.num_rows], pa.int64()), "m": pa.array([b.num_rows], pa.int64()),
+             "chunks": [[str(c) for c in sorted(both[0] | both[1], key=repr)]]}
+        )
+
+    calls = cogroup_map(*sides, chunks, "n long, m long, chunks array<string>", 4, bundle_rows=2000).collect()
+    assert len(calls) <= 8 and [sum(r[n] for r in calls) for n in "nm"] == [9000, 6750]
+    met = [c for r in calls for c in r["chunks"]]
+    assert len(met) == len(set(met)) == 3000
+
+    def prices(df):
+        lists = {}
+        for r in df.orderBy("o_totalprice").collect():
+            lists.setdefault(r["k"], []).append(r["o_totalprice"])
+        return lists
+
+    a, b = prices(left), prices(right)
+    pairs = {k: list(zip(a[k], b.get(k, []))) for k in a}
+    want = {k: (len(p), sum(x > y for x, y in p)) for k, p in pairs.items()}
+    out = cogroup_map(*sides, _dearer, "k long, pairs long, dearer long", 4, bundle_rows=2000)
+    got = out.groupBy("k").agg(F.sum("pairs").alias("p"), F.sum("dearer").alias("d")).collect()
+    assert {r["k"]: (r["p"], r["d"]) for r in got} == want and None in want
+
+
 def test_adaptive_execution_splits_a_hot_key_without_salts(plain):
     """Read from the executed plan; the settings hold for this job only."""
     big = plain.range(400_000).select(

@@ -25,14 +25,21 @@ def _with_chunk(
     several partitions; they are numbered there and written once. What a key has in
     the partitions before (one row per partition and key) is then added.
     """
+    return _chunked(_placed(df, keys, value, spread_by), keys, chunk_rows)
+
+
+def _placed(df: DataFrame, keys: Sequence[str], value: str, spread_by: Sequence[str]) -> DataFrame:
     order = [*keys, value, *(c for c in spread_by if c not in (*keys, value))]
-    placed = written(
+    return written(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_place", F.monotonically_increasing_id()),
         "placed",
     )
+
+
+def _chunked(placed: DataFrame, keys: Sequence[str], chunk_rows: int) -> DataFrame:
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         placed.groupBy(*keys, "_part")
@@ -122,6 +129,7 @@ def cogroup_map(
     function: Callable[[pa.Table, pa.Table], pa.Table],
     schema: T.StructType | str,
     chunk_rows: int = 100_000,
+    bundle_rows: int | None = None,
 ) -> DataFrame:
     """Both sides of each key through a function of Arrow tables, a bounded chunk at a time.
 
@@ -131,19 +139,37 @@ def cogroup_map(
     rows, from 0) and the value, in that order of places; a side without rows there is an
     empty table. Rows without a key are one key. The function's tables must fit
     ``schema``; what needs a key's chunks together is a grouping of the result.
-    """
 
-    def side(df: DataFrame, value: str, spread_by: Sequence[str]) -> DataFrame:
-        chunked = _with_chunk(df, keys, value, spread_by, chunk_rows)
-        return chunked.select(
-            *keys, "chunk", (F.col("_place") - F.col("_start")).alias("place"), value
-        ).groupBy(*keys, "chunk")
-
-    def both(first: pa.Table, second: pa.Table) -> pa.Table:
-        return function(first.sort_by("place"), second.sort_by("place"))
-
-    grouped = side(left, left_value, left_spread).cogroup(side(right, right_value, right_spread))
-    return grouped.applyInArrow(both, schema)
+    A call costs a group of its own in Spark, which many short chunks make dear. With
+    ``bundle_rows`` a call gets all chunks of a bundle: whole chunks of any keys, dealt out
+    by a hash, some ``bundle_rows`` rows of both sides together, in no order. The number
+    of calls then grows with the rows, not with the chunks.
+    """
+    placed = [
+        _placed(left, keys, left_value, left_spread),
+        _placed(right, keys, right_value, right_spread),
+    ]
+    place = (F.col("_place") - F.col("_start")).alias("place")
+    sides = [
+        _chunked(p, keys, chunk_rows).select(*keys, "chunk", place, value)
+        for p, value in zip(placed, (left_value, right_value))
+    ]
+    if bundle_rows is None:
+
+        def both(first: pa.Table, second: pa.Table) -> pa.Table:
+            return function(first.sort_by("place"), second.sort_by("place"))
+
+        first, second = (c.groupBy(*keys, "chunk") for c in sides)
+        return first.cogroup(second).applyInArrow(both, schema)
+
+    bundles = max(1, -(-sum(p.count() for p in placed) // bundle_rows))
+    bundle = F.pmod(F.xxhash64(*keys, "chunk"), F.lit(bundles)).alias("_bundle")
+
+    def bundled(first: pa.Table, second: pa.Table) -> pa.Table:
+        return function(first.drop_columns("_bundle"), second.drop_columns("_bundle"))
+
+    first, second = (c.select("*", bundle).groupBy("_bundle") for c in sides)
+    return first.cogroup(second).applyInArrow(bundled, schema)
 
 
 def combine_by_key(

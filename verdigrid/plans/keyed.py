@@ -12,6 +12,8 @@ from verdigrid.plans.registry import Tables, query
 _CHUNK = 1_000
 # Short enough that customers of any table have several lists.
 _LISTED = 4
+# Rows of many customers that one call compares.
+_BUNDLED = 20_000
 
 
 def pairs(t: Tables):
@@ -135,13 +137,31 @@ def joins(t: Tables):
 
 
 def _dearer(closed: pa.Table, others: pa.Table) -> pa.Table:
-    """Places of one customer's chunk at which the closed order is the dearer one."""
-    n = min(closed.num_rows, others.num_rows)
-    some = closed if closed.num_rows else others
-    a, b = closed.column("o_totalprice")[:n], others.column("o_totalprice")[:n]
-    dearer = pc.sum(pc.greater(a, b).cast(pa.int64())).as_py() or 0
-    last = {"k": some.column("k")[:1], "chunk": some.column("chunk")[:1]}
-    return pa.table({**last, "pairs": pa.array([n], pa.int64()), "dearer": pa.array([dearer], pa.int64())})
+    """Places of each customer of a bundle at which the closed order is the dearer one."""
+    sides = []
+    for rows, side, other in ((closed, "closed", "others"), (others, "others", "closed")):
+        price = rows.column("o_totalprice")
+        sides.append(
+            rows.select(["k", "place"])
+            .append_column(side, price)
+            .append_column(other, pa.nulls(len(rows), price.type))
+            .append_column("sides", pa.array([1] * len(rows), pa.int64()))
+            .select(["k", "place", "closed", "others", "sides"])
+        )
+    places = (
+        pa.concat_tables(sides)
+        .group_by(["k", "place"], use_threads=False)
+        .aggregate([("closed", "max"), ("others", "max"), ("sides", "sum")])
+    )
+    pair = pc.equal(places.column("sides_sum"), 2).cast(pa.int64())
+    dearer = pc.greater(places.column("closed_max"), places.column("others_max")).fill_null(False)
+    return (
+        pa.table({"k": places.column("k"), "pairs": pair, "dearer": dearer.cast(pa.int64())})
+        .group_by("k", use_threads=False)
+        .aggregate([("pairs", "sum"), ("dearer", "sum")])
+        .rename_columns(["k", "pairs", "dearer"])
+        .select(["k", "pairs", "dearer"])
+    )
 
 
 @query(
@@ -166,8 +186,9 @@ def cogroup_custom(t: Tables):
         ["o_orderkey"],
         ["o_orderkey"],
         _dearer,
-        "k long, chunk long, pairs long, dearer long",
+        "k long, pairs long, dearer long",
         chunk_rows=_LISTED,
+        bundle_rows=_BUNDLED,
     )
     return compared.groupBy("k").agg(F.sum("pairs").alias("pairs"), F.sum("dearer").alias("dearer"))
 
