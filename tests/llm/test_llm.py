@@ -344,6 +344,22 @@ def test_range_coder():
     assert tokenfiles.join_checksums(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
 
 
+def test_range_coder_shifts_out_twice_an_id(monkeypatch):
+    """Words are shifted out after three symbols, not after each; ids up to the largest come back."""
+    rng, calls = np.random.default_rng(11), []
+    settle = rangecoder._settle
+    monkeypatch.setattr(rangecoder, "_settle", lambda *a: (calls.append(1), settle(*a)))
+    for top, most in ((49_407, 2), (2**31 - 1, 4)):
+        blocks = [rng.integers(0, top + 1, n).astype(np.uint32) for n in (150, 0, 1, 149)]
+        blocks += [np.full(120, top, np.uint32), np.where(rng.random(150) < 0.03, top, 0).astype(np.uint32)]
+        blocks.append((rng.zipf(1.3, 150) % (top + 1)).astype(np.uint32))
+        calls.clear()
+        records = rangecoder.encode(blocks)
+        assert len(calls) <= most * 150
+        for a, b, record in zip(blocks, rangecoder.decode(records), records):
+            assert a.tolist() == b.tolist() == rangecoder.decode([record])[0].tolist()
+
+
 def test_token_files(awkward, docs):
     tokenizer = Tokenizer.from_file(WORDS)
     start = 0

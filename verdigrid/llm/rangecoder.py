@@ -22,105 +22,109 @@ import numpy as np
 
 BLOCK_IDS = 2048
 #: Blocks coded in lockstep.
-LANES = 2048
-MAGIC = b"VTK1"
+LANES = 1024
+MAGIC = b"VTK2"
 _HEADER = struct.Struct("<4sIII")  # magic, ids, digits of an id, crc32 of the ids
 
 _HASH_BITS = 11
-_BITS = 15
-_TOTAL = 1 << _BITS
-_TOP, _BOTTOM, _MASK = np.uint64(1 << 24), np.uint64(1 << 16), np.uint64(0xFFFFFFFF)
-_EIGHT = np.uint64(8)
-_DIGIT = np.arange(16, dtype=np.int32)
-#: Where the lower bounds of 16 intervals move when digit d is seen.
-_TOWARDS = np.where(_DIGIT[None, :] > _DIGIT[:, None], _TOTAL - 16 + _DIGIT, _DIGIT).astype(np.int32)
+_BITS, _DIGIT_BITS = 15, 14
+_TOTAL, _DIGIT_TOTAL = 1 << _BITS, 1 << _DIGIT_BITS
+#: An interval holds at least this much after its leading words have been shifted out, so
+#: three symbols fit into it before that has to be done again.
+_LEAST = np.uint64(1 << 48)
+_WORD, _TOP_WORD = np.uint64(16), np.uint64(48)
+_EDGE = np.arange(17)
+#: Where the bounds of 16 intervals move when digit d is seen.
+_TOWARDS = np.where(
+    _EDGE[None, :] > np.arange(16)[:, None], _DIGIT_TOTAL - 16 + _EDGE, _EDGE
+).astype(np.int16)
 _RATE = 4
+#: A prediction's record after a wrong one (first four) and after a right one.
+_NEXT_RECORD = np.array([1, 0, 1, 2, 1, 2, 3, 3], np.int8)
 
 
 class _Models:
-    """The models of all lanes."""
+    """The models of all lanes, in flat tables."""
 
     def __init__(self, lanes: int, digits: int):
         size = 1 << _HASH_BITS
         self.digits = digits
         self.lane = np.arange(lanes)
-        self.ids = [np.zeros((lanes, size), np.int32) for _ in range(2)]
-        self.trust = [np.zeros((lanes, size), np.int8) for _ in range(2)]
-        self.counts = [np.tile(np.array([0.4, 0.2, 0.4]), (lanes, 8, 1)) for _ in range(2)]
+        self.tables, self.kinds = self.lane * size, self.lane * 8
+        self.ids = [np.zeros(lanes * size, np.int32) for _ in range(2)]
+        self.trust = [np.zeros(lanes * size, np.int8) for _ in range(2)]
+        self.counts = [np.tile(np.array([0.4, 0.2, 0.4]), (lanes * 8, 1)) for _ in range(2)]
         self.weight = np.full(lanes, 0.5)
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.hit = np.zeros(lanes, np.int64)
         rows = 1 + 16 + 256 * max(0, digits - 2)
-        self.bounds = np.tile((_DIGIT * (_TOTAL // 16)).astype(np.int16), (lanes, rows, 1))
+        self.rows = self.lane * rows
+        edges = (_EDGE * (_DIGIT_TOTAL // 16)).astype(np.int16)
+        self.bounds = np.tile(edges, (lanes * rows, 1))
+        # The distribution of a digit is chosen by its place and up to two digits before.
+        self.first_row = np.array([0, 1, *(17 + 256 * k for k in range(digits))])[:digits]
+        self.prefix = np.array([0, 15, *[255] * digits])[:digits]
 
-    def predict(self, n: int) -> np.ndarray:
-        """Predicted ids of the first ``n`` lanes, and three interval sizes each."""
-        self.n, lane = n, self.lane[:n]
-        last, before = self.last[:n], self.before[:n]
+    def predict(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes of the first two of three intervals, for the first ``n`` lanes."""
+        self.n = n
         mask = (1 << _HASH_BITS) - 1
-        two = (last * 0x9E3779B1 + before * 0x85EBCA6B) >> 13 & mask
-        self.at = (two, (last * 0x9E3779B1) >> 13 & mask)
-        self.named = [t[lane, a] for t, a in zip(self.ids, self.at)]
-        self.record = [t[lane, a] for t, a in zip(self.trust, self.at)]
-        agree = self.named[0] == self.named[1]
-        self.row = (self.record[0] * 2 + agree, self.record[1] * 2 + self.hit[:n])
-        self.seen = [c[lane, r] for c, r in zip(self.counts, self.row)]
+        hashed = self.last[:n] * 0x9E3779B1
+        two = (hashed + self.before[:n] * 0x85EBCA6B) >> 13 & mask
+        self.at = (two + self.tables[:n], (hashed >> 13 & mask) + self.tables[:n])
+        self.named = [t[a] for t, a in zip(self.ids, self.at)]
+        self.record = [t[a] for t, a in zip(self.trust, self.at)]
+        agree, kinds = self.named[0] == self.named[1], self.kinds[:n]
+        self.row = (self.record[0] * 2 + agree + kinds, self.record[1] * 2 + self.hit[:n] + kinds)
+        self.seen = [c.take(r, axis=0) for c, r in zip(self.counts, self.row)]
         self.sums = [s[:, 0] + s[:, 1] + s[:, 2] for s in self.seen]
-        self.shares = [s / t[:, None] for s, t in zip(self.seen, self.sums)]
-        w = self.weight[:n, None]
-        mixed = self.shares[0] * w + self.shares[1] * (1 - w)
-        sizes = np.empty((n, 3), np.int64)
-        sizes[:, :2] = 1 + (mixed[:, :2] * (_TOTAL - 3)).astype(np.int64)
-        sizes[:, 2] = _TOTAL - sizes[:, 0] - sizes[:, 1]
-        return sizes
+        w = self.weight[:n]
+        self.parts = (w / self.sums[0], (1 - w) / self.sums[1])
+        first, second = (
+            1 + ((self.seen[0][:, k] * self.parts[0] + self.seen[1][:, k] * self.parts[1]) * (_TOTAL - 3)).astype(np.int64)
+            for k in range(2)
+        )
+        return first, second
 
     def learn(self, choice: np.ndarray, ids: np.ndarray) -> None:
-        n, lane = self.n, self.lane[: self.n]
-        good = [s[lane, choice] for s in self.shares]
-        a, b = good[0] * self.weight[:n], good[1] * (1 - self.weight[:n])
+        n = self.n
+        chosen = self.lane[:n] * 3 + choice
+        flat = [s.reshape(-1) for s in self.seen]
+        a, b = (f[chosen] * part for f, part in zip(flat, self.parts))
         self.weight[:n] = 0.98 * (a / (a + b)) + 0.01
         for k in range(2):
-            seen = self.seen[k]
-            seen[lane, choice] += 1
-            seen[self.sums[k] > 200] *= 0.5
-            self.counts[k][lane, self.row[k]] = seen
-            right = self.named[k] == ids
-            record = self.record[k]
-            fresh = ~right & (record == 0)
-            self.ids[k][lane, self.at[k]] = np.where(fresh, ids, self.named[k])
-            self.trust[k][lane, self.at[k]] = np.where(
-                right, np.minimum(record + 1, 3), np.where(fresh, 1, record - 1)
-            )
+            flat[k][chosen] += 1
+            often = np.flatnonzero(self.sums[k] > 200)
+            if len(often):
+                self.seen[k][often] *= 0.5
+            self.counts[k][self.row[k]] = self.seen[k]
+            right, record = self.named[k] == ids, self.record[k]
+            fresh = np.flatnonzero(~(right | (record > 0)))
+            self.ids[k][self.at[k][fresh]] = ids[fresh]
+            self.trust[k][self.at[k]] = _NEXT_RECORD[right * np.int8(4) + record]
         self.hit[:n] = choice < 2
         self.before[:n] = self.last[:n]
         self.last[:n] = ids
 
-    def digit_row(self, place: int, prefix: np.ndarray) -> np.ndarray:
-        """Which distribution codes the digit after ``prefix``."""
-        if place == 0:
-            return np.zeros_like(prefix)
-        if place == 1:
-            return 1 + (prefix & 15)
-        return 17 + 256 * (place - 2) + (prefix & 255)
-
-    def seen_digit(self, lanes, row, bounds, digit) -> None:
-        self.bounds[lanes, row] = bounds + ((_TOWARDS[digit] - bounds) >> _RATE)
-
 
 def _settle(low, size, at, move):
-    """Shift out leading bytes of the lanes ``at``; ``move`` gets lanes and low."""
-    while len(at):
-        a, b = low[at], size[at]
-        same = ((a ^ (a + b)) & _MASK) < _TOP
-        small = ~same & (b < _BOTTOM)
-        at = at[same | small]
-        if not len(at):
+    """Shift out leading words of the lanes ``at``; ``move`` gets lanes and low."""
+    a, b = low[at], size[at]
+    while True:
+        same = (a ^ (a + b)) < _LEAST
+        some = np.flatnonzero(same | (b < _LEAST))
+        if not len(some):
             return
-        a, b, small = a[same | small], b[same | small], small[same | small]
-        b = np.where(small, (np.uint64(0) - a) & (_BOTTOM - np.uint64(1)), b)
+        at, a, b, same = at[some], a[some], b[some], same[some]
+        b = np.where(same, b, (np.uint64(0) - a) & (_LEAST - np.uint64(1)))
         move(at, a)
-        low[at] = (a << _EIGHT) & _MASK
-        size[at] = (b << _EIGHT) & _MASK
+        a, b = a << _WORD, b << _WORD
+        low[at], size[at] = a, b
+
+
+def _narrow(low, size, bits, start, width):
+    step = size >> np.uint64(bits)
+    return low + step * start.astype(np.uint64), step * width.astype(np.uint64)
 
 
 def _digits_of(ids: list[np.ndarray]) -> int:
@@ -128,6 +132,11 @@ def _digits_of(ids: list[np.ndarray]) -> int:
     return max(2, -(-max(1, top.bit_length()) // 4))
 
 
+def _settles(place: int, digits: int) -> bool:
+    """Whether words are shifted out after this digit, before the last one."""
+    return place % 3 == 1 and place < digits - 1
+
+
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
     """One record per block of ids (unsigned, below 2 ** 31)."""
     if not blocks:
@@ -135,55 +144,59 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
     order = sorted(range(len(blocks)), key=lambda k: -len(blocks[k]))
     lengths = np.array([len(blocks[k]) for k in order])
     lanes, steps, digits = len(blocks), int(lengths[0]), _digits_of(blocks)
-    ids = np.zeros((steps, lanes), np.int64)
+    ids = np.zeros((steps, lanes), np.int32)
     for lane, k in enumerate(order):
         ids[: lengths[lane], lane] = blocks[k]
     models = _Models(lanes, digits)
-    low, size = np.zeros(lanes, np.uint64), np.full(lanes, _MASK, np.uint64)
-    out = np.zeros((lanes, steps * 2 + 64), np.uint8)
+    low, size = np.zeros(lanes, np.uint64), np.full(lanes, ~np.uint64(0))
+    out = np.zeros((lanes, steps + 64), "<u2")
     used = np.zeros(lanes, np.int64)
+    shifts = 4 * np.arange(digits - 1, -1, -1)[:, None]
 
     def emit(at, a):
-        out[at, used[at]] = (a >> np.uint64(24)).astype(np.uint8)
-        used[at] += 1
-
-    def narrow(at, start, width):
-        step = size[at] >> np.uint64(_BITS)
-        low[at] = (low[at] + step * start.astype(np.uint64)) & _MASK
-        size[at] = step * width.astype(np.uint64)
-        _settle(low, size, at, emit)
+        place = used[at]
+        out[at, place] = a >> _TOP_WORD
+        used[at] = place + 1
 
     active = lanes
     for t in range(steps):
         while lengths[active - 1] <= t:
             active -= 1
-        if int(used.max()) + 64 > out.shape[1]:
+        if t % 2 == 0 and int(used.max()) + 64 > out.shape[1]:
             out = np.concatenate([out, np.zeros_like(out)], axis=1)
-        now, lane = ids[t, :active], models.lane[:active]
-        sizes = models.predict(active)
-        choice = np.where(now == models.named[0], 0, np.where(now == models.named[1], 1, 2))
-        start = np.where(choice > 0, sizes[:, 0], 0) + np.where(choice > 1, sizes[:, 1], 0)
-        narrow(lane, start, sizes[lane, choice])
+        now = ids[t, :active]
+        one, two = models.predict(active)
+        first, second = now == models.named[0], now == models.named[1]
+        choice = np.where(first, 0, np.where(second, 1, 2))
+        start = np.where(first, 0, np.where(second, one, one + two))
+        width = np.where(first, one, np.where(second, two, _TOTAL - one - two))
+        low[:active], size[:active] = _narrow(low[:active], size[:active], _BITS, start, width)
         missed = np.flatnonzero(choice == 2)
-        for place in range(digits) if len(missed) else ():
-            left = now[missed] >> 4 * (digits - 1 - place)
+        if len(missed):
+            left = now[missed] >> shifts
             digit = left & 15
-            row = models.digit_row(place, left >> 4)
-            bounds = models.bounds[missed, row].astype(np.int32)
-            k = np.arange(len(missed))
-            begin = bounds[k, digit]
-            end = np.where(digit < 15, bounds[k, np.minimum(digit + 1, 15)], _TOTAL)
-            narrow(missed, begin, end - begin)
-            models.seen_digit(missed, row, bounds, digit)
+            row = models.rows[missed] + models.first_row[:, None] + (left >> 4 & models.prefix[:, None])
+            bounds = models.bounds.take(row, axis=0)
+            edge = np.arange(digit.size).reshape(digit.shape) * 17 + digit
+            begin, end = bounds.reshape(-1)[edge], bounds.reshape(-1)[edge + 1]
+            models.bounds[row] = bounds + ((_TOWARDS[digit] - bounds) >> _RATE)
+            for place in range(digits):
+                low[missed], size[missed] = _narrow(
+                    low[missed], size[missed], _DIGIT_BITS, begin[place], end[place] - begin[place]
+                )
+                if _settles(place, digits):
+                    _settle(low, size, missed, emit)
+        _settle(low, size, models.lane[:active], emit)
         models.learn(choice, now)
+    # One more word ends a record: with zeros after it, it lies in the last interval.
+    tails = ((low + (_LEAST - np.uint64(1))) >> _TOP_WORD).astype("<u2")
     records: list[bytes] = [b""] * lanes
     for lane, k in enumerate(order):
-        tail = struct.pack(">I", int(low[lane]))
         raw = blocks[k].astype("<u4").tobytes()
         records[k] = (
             _HEADER.pack(MAGIC, len(blocks[k]), digits, zlib.crc32(raw))
             + out[lane, : used[lane]].tobytes()
-            + tail
+            + tails[lane].tobytes()
         )
     return records
 
@@ -209,59 +222,62 @@ def _decode(records: list[bytes], counts: list[int], digits: int) -> list[np.nda
     order = sorted(range(len(records)), key=lambda k: -counts[k])
     lengths = np.array([counts[k] for k in order])
     lanes, steps = len(records), int(lengths[0])
-    longest = max(map(len, records)) - _HEADER.size
-    data = np.zeros((lanes, longest + 8), np.uint64)
+    longest = (max(map(len, records)) - _HEADER.size) // 2
+    data = np.zeros((lanes, longest + 5), np.uint16)
     for lane, k in enumerate(order):
-        body = np.frombuffer(records[k], np.uint8)[_HEADER.size :]
+        body = np.frombuffer(records[k], "<u2", offset=_HEADER.size)
         data[lane, : len(body)] = body
     models = _Models(lanes, digits)
-    low, size = np.zeros(lanes, np.uint64), np.full(lanes, _MASK, np.uint64)
-    code = data[:, 0] << np.uint64(24) | data[:, 1] << np.uint64(16) | data[:, 2] << _EIGHT | data[:, 3]
+    low, size = np.zeros(lanes, np.uint64), np.full(lanes, ~np.uint64(0))
+    code = np.zeros(lanes, np.uint64)
+    for k in range(4):
+        code = code << _WORD | data[:, k]
     used = np.full(lanes, 4)
     last = data.shape[1] - 1
 
     def fetch(at, _):
-        code[at] = ((code[at] << _EIGHT) & _MASK) | data[at, np.minimum(used[at], last)]
-        used[at] += 1
-
-    def value(at):
-        step = size[at] >> np.uint64(_BITS)
-        found = ((code[at] - low[at]) & _MASK) // np.maximum(step, np.uint64(1))
-        return np.minimum(found, np.uint64(_TOTAL - 1)).astype(np.int64)
+        place = used[at]
+        code[at] = code[at] << _WORD | data[at, np.minimum(place, last)]
+        used[at] = place + 1
 
-    def narrow(at, start, width):
-        step = size[at] >> np.uint64(_BITS)
-        low[at] = (low[at] + step * start.astype(np.uint64)) & _MASK
-        size[at] = step * width.astype(np.uint64)
-        _settle(low, size, at, fetch)
+    def value(code, low, size, bits):
+        found = (code - low) // (size >> np.uint64(bits))
+        return np.minimum(found, np.uint64((1 << bits) - 1)).astype(np.int64)
 
-    ids = np.zeros((steps, lanes), np.int64)
+    ids = np.zeros((steps, lanes), np.int32)
     active = lanes
     for t in range(steps):
         while lengths[active - 1] <= t:
             active -= 1
-        lane = models.lane[:active]
-        sizes = models.predict(active)
-        v = value(lane)
-        one = sizes[:, 0]
-        choice = (v >= one).astype(np.int64) + (v >= one + sizes[:, 1])
-        start = np.where(choice > 0, one, 0) + np.where(choice > 1, sizes[:, 1], 0)
-        narrow(lane, start, sizes[lane, choice])
-        now = np.where(choice == 0, models.named[0], models.named[1]).astype(np.int64)
+        one, two = models.predict(active)
+        v = value(code[:active], low[:active], size[:active], _BITS)
+        first, second = v < one, v < one + two
+        choice = np.where(first, 0, np.where(second, 1, 2))
+        start = np.where(first, 0, np.where(second, one, one + two))
+        width = np.where(first, one, np.where(second, two, _TOTAL - one - two))
+        low[:active], size[:active] = _narrow(low[:active], size[:active], _BITS, start, width)
+        now = np.where(first, models.named[0], models.named[1])
         missed = np.flatnonzero(choice == 2)
         if len(missed):
             left = np.zeros(len(missed), np.int64)
+            rows, edges = models.rows[missed], np.arange(len(missed)) * 17
             for place in range(digits):
-                row = models.digit_row(place, left)
-                bounds = models.bounds[missed, row].astype(np.int32)
-                digit = (bounds <= value(missed)[:, None]).sum(axis=1) - 1
-                k = np.arange(len(missed))
-                begin = bounds[k, digit]
-                end = np.where(digit < 15, bounds[k, np.minimum(digit + 1, 15)], _TOTAL)
-                narrow(missed, begin, end - begin)
-                models.seen_digit(missed, row, bounds, digit)
+                row = rows + models.first_row[place] + (left & models.prefix[place])
+                bounds = models.bounds.take(row, axis=0)
+                a, b = low[missed], size[missed]
+                v = value(code[missed], a, b, _DIGIT_BITS).astype(np.int16)
+                # Sixteen truth values as two words of bytes, added up.
+                below = (bounds[:, 1:] <= v[:, None]).view(np.uint64)
+                digit = ((below[:, 0] + below[:, 1]) * np.uint64(0x0101010101010101) >> np.uint64(56)).astype(np.int64)
+                edge = edges + digit
+                begin, end = bounds.reshape(-1)[edge], bounds.reshape(-1)[edge + 1]
+                low[missed], size[missed] = _narrow(a, b, _DIGIT_BITS, begin, end - begin)
+                models.bounds[row] = bounds + ((_TOWARDS[digit] - bounds) >> _RATE)
                 left = left << 4 | digit
+                if _settles(place, digits):
+                    _settle(low, size, missed, fetch)
             now[missed] = left
+        _settle(low, size, models.lane[:active], fetch)
         ids[t, :active] = now
         models.learn(choice, now)
     out: list[np.ndarray] = [np.zeros(0, np.uint32)] * lanes
