@@ -1,16 +1,21 @@
 """Adaptive context-mixing range coder for blocks of token ids.
 
-Many blocks are coded in lockstep, one id of each at a time; every block has models of
-its own that start empty, so a block can be read without any other. For each id an
-order-2 and an order-1 table name one likely id each. Whether the id is the first, the
-second or neither of them is coded by a mixture of two adaptive distributions, one
-chosen by the order-2 prediction's record, one by the order-1 prediction's; the weights
-follow how well each has predicted in this block. If neither is right, the id's digits
-to base 16 are coded by adaptive order-0 distributions under the digits before.
-
-A record is a header, the coded bytes, and a checksum of the ids; ``decode`` refuses a
-record that does not give the ids it was made of. Only exactly rounded arithmetic is
-used, so every machine computes the same intervals.
+A block is cut into lanes of consecutive ids, coded in lockstep: one id of every lane, then
+the next of each. The lanes share the block's models, which start empty, so a block can be
+read without any other. For each id an order-2 and an order-1 table name one likely id
+each. Whether the id is the first, the second or neither of them is coded by a mixture of
+two adaptive distributions, one chosen by the order-2 prediction's record, one by the
+order-1 prediction's; the weights follow how well each has predicted in this block. If
+neither is right, the id is coded by an adaptive order-0 distribution of the ids neither
+table named, and evenly where it has not been met so far.
+
+All that is mixed depends on a few small numbers, so each step mixes once for all their
+combinations and the lanes look their intervals up. The order-0 distribution is made anew
+after steps ever farther apart.
+
+A record is a header, the coded words in the order a reader needs them, and a checksum of
+the ids; ``decode`` refuses a record that does not give the ids it was made of. Only exactly
+rounded arithmetic is used, so every machine computes the same intervals.
 """
 
 from __future__ import annotations
@@ -20,267 +25,323 @@ import zlib
 
 import numpy as np
 
-BLOCK_IDS = 2048
-#: Blocks coded in lockstep.
-LANES = 1024
-MAGIC = b"VTK2"
-_HEADER = struct.Struct("<4sIII")  # magic, ids, digits of an id, crc32 of the ids
-
-_HASH_BITS = 11
-_BITS, _DIGIT_BITS = 15, 14
-_TOTAL, _DIGIT_TOTAL = 1 << _BITS, 1 << _DIGIT_BITS
-#: An interval holds at least this much after its leading words have been shifted out, so
-#: three symbols fit into it before that has to be done again.
-_LEAST = np.uint64(1 << 48)
-_WORD, _TOP_WORD = np.uint64(16), np.uint64(48)
-_EDGE = np.arange(17)
-#: Where the bounds of 16 intervals move when digit d is seen.
-_TOWARDS = np.where(
-    _EDGE[None, :] > np.arange(16)[:, None], _DIGIT_TOTAL - 16 + _EDGE, _EDGE
-).astype(np.int16)
-_RATE = 4
-#: A prediction's record after a wrong one (first four) and after a right one.
-_NEXT_RECORD = np.array([1, 0, 1, 2, 1, 2, 3, 3], np.int8)
+BLOCK_IDS = 1 << 20
+MAGIC = b"VTK3"
+_HEADER = struct.Struct("<4sIII")  # magic, ids, greatest id, crc32 of the ids
+
+_LEAST_LANES, _MOST_LANES, _LEAST_STEPS = 8, 8192, 64
+#: Parts of an interval that tell the choice, and parts of each of these that tell the id.
+_BITS, _ID_BITS = 15, 17
+_TOTAL, _ID_TOTAL = 1 << _BITS, 1 << _ID_BITS
+_ALL = np.uint64(_BITS + _ID_BITS)
+_LAST_PART = np.uint64((1 << (_BITS + _ID_BITS)) - 1)
+#: An interval holds at least this much after a word has been shifted out.
+_LEAST = np.uint64(1 << 32)
+_WORD = np.uint64(32)
+_LOW_WORD = np.uint64((1 << 32) - 1)
+#: Counts are halved beyond this sum.
+_MOST_COUNTED = 8192
+#: What a wrong (first four) and a right prediction add to its record.
+_CHANGE = np.array([0, -1, -1, -1, 1, 1, 1, 0], np.int64)
+
+
+class _Mixture:
+    """Sizes of three intervals for each of 64 states: hit, agree, record 1, record 2."""
+
+    def __init__(self):
+        # By hit, agree and the record of one of the two predictions.
+        self.counts = [np.tile(np.array([2, 1, 2]), (2, 2, 4, 1)) for _ in range(2)]
+        self.won, self.coded = np.ones(64), np.full(64, 2.0)
+        self.seen: list[np.ndarray] = []
+        self._mix()
+
+    def _mix(self):
+        shares = [c / (c[..., 0] + c[..., 1] + c[..., 2])[..., None] for c in self.counts]
+        two = np.repeat(shares[0][:, :, None], 4, axis=2).reshape(64, 3)
+        one = np.repeat(shares[1], 4, axis=2).reshape(64, 3)
+        weight = (self.won / self.coded)[:, None]
+        part = weight * two
+        mixed = part + (1 - weight) * one
+        self.share = part / mixed
+        sizes = 1 + (mixed[:, :2] * (_TOTAL - 3)).astype(np.uint64)
+        self.first = sizes[:, 0] << np.uint64(_ID_BITS)
+        self.second = sizes[:, 1] << np.uint64(_ID_BITS)
+        self.named = self.first + self.second
+        self.rest = np.uint64(_TOTAL) - sizes[:, 0] - sizes[:, 1]
+
+    def renew(self) -> None:
+        seen = np.bincount(np.concatenate(self.seen), minlength=192)
+        self.seen = []
+        by = seen.reshape(2, 2, 4, 4, 3)
+        for counts, new in zip(self.counts, (by.sum(axis=2), by.sum(axis=3))):
+            counts += new
+            often = counts.sum(axis=-1) > _MOST_COUNTED
+            counts[often] = (counts[often] + 1) >> 1
+        seen = seen.reshape(64, 3)
+        gain = seen * self.share
+        self.won += gain[:, 0] + gain[:, 1] + gain[:, 2]
+        self.coded += seen.sum(axis=1)
+        often = self.coded > _MOST_COUNTED
+        self.won[often] *= 0.5
+        self.coded[often] *= 0.5
+        self._mix()
+
+
+class _Order0:
+    """Distribution of the ids that no table named; its last place stands for all others."""
+
+    def __init__(self, lookup: bool):
+        self.lookup = lookup
+        self.ids, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.others = 1
+        self.met: list[np.ndarray] = []
+        self.new: list[np.ndarray] = []
+        self._spread()
+
+    def _spread(self):
+        counts = np.append(self.counts, self.others)
+        width = np.maximum(1, counts * (_ID_TOTAL - len(counts)) // int(counts.sum()))
+        width[-1] += _ID_TOTAL - int(width.sum())
+        self.width = width.astype(np.uint64)
+        self.start = (np.cumsum(width) - width).astype(np.uint64)
+        if self.lookup:
+            self.known = np.append(self.ids, np.uint32(0))
+            self.place = np.repeat(np.arange(len(width), dtype=np.uint16), width)
+
+    def learn(self, place: np.ndarray, new: np.ndarray) -> None:
+        """Places of all ids just coded, and those ids that had none."""
+        self.met.append(place)
+        self.new.append(new)
+
+    def renew(self) -> None:
+        met = np.bincount(np.concatenate(self.met), minlength=len(self.ids) + 1)
+        self.counts += met[:-1]
+        new, times = np.unique(np.concatenate(self.new), return_counts=True)
+        at = np.searchsorted(self.ids, new)
+        self.ids, self.counts = np.insert(self.ids, at, new), np.insert(self.counts, at, times)
+        self.others = (self.others + 1) // 2 + len(new) // 2
+        # Beyond half the parts the rarest ids are told evenly again.
+        if len(self.ids) >= _ID_TOTAL // 2:
+            kept = np.sort(np.argsort(-self.counts, kind="stable")[: _ID_TOTAL // 2 - 1])
+            self.ids, self.counts = self.ids[kept], self.counts[kept]
+        self.met, self.new = [], []
+        self._spread()
 
 
 class _Models:
-    """The models of all lanes, in flat tables."""
-
-    def __init__(self, lanes: int, digits: int):
-        size = 1 << _HASH_BITS
-        self.digits = digits
-        self.lane = np.arange(lanes)
-        self.tables, self.kinds = self.lane * size, self.lane * 8
-        self.ids = [np.zeros(lanes * size, np.int32) for _ in range(2)]
-        self.trust = [np.zeros(lanes * size, np.int8) for _ in range(2)]
-        self.counts = [np.tile(np.array([0.4, 0.2, 0.4]), (lanes * 8, 1)) for _ in range(2)]
-        self.weight = np.full(lanes, 0.5)
-        self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.hit = np.zeros(lanes, np.int64)
-        rows = 1 + 16 + 256 * max(0, digits - 2)
-        self.rows = self.lane * rows
-        edges = (_EDGE * (_DIGIT_TOTAL // 16)).astype(np.int16)
-        self.bounds = np.tile(edges, (lanes * rows, 1))
-        # The distribution of a digit is chosen by its place and up to two digits before.
-        self.first_row = np.array([0, 1, *(17 + 256 * k for k in range(digits))])[:digits]
-        self.prefix = np.array([0, 15, *[255] * digits])[:digits]
-
-    def predict(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sizes of the first two of three intervals, for the first ``n`` lanes."""
-        self.n = n
-        mask = (1 << _HASH_BITS) - 1
-        hashed = self.last[:n] * 0x9E3779B1
-        two = (hashed + self.before[:n] * 0x85EBCA6B) >> 13 & mask
-        self.at = (two + self.tables[:n], (hashed >> 13 & mask) + self.tables[:n])
-        self.named = [t[a] for t, a in zip(self.ids, self.at)]
-        self.record = [t[a] for t, a in zip(self.trust, self.at)]
-        agree, kinds = self.named[0] == self.named[1], self.kinds[:n]
-        self.row = (self.record[0] * 2 + agree + kinds, self.record[1] * 2 + self.hit[:n] + kinds)
-        self.seen = [c.take(r, axis=0) for c, r in zip(self.counts, self.row)]
-        self.sums = [s[:, 0] + s[:, 1] + s[:, 2] for s in self.seen]
-        w = self.weight[:n]
-        self.parts = (w / self.sums[0], (1 - w) / self.sums[1])
-        first, second = (
-            1 + ((self.seen[0][:, k] * self.parts[0] + self.seen[1][:, k] * self.parts[1]) * (_TOTAL - 3)).astype(np.int64)
-            for k in range(2)
-        )
-        return first, second
-
-    def learn(self, choice: np.ndarray, ids: np.ndarray) -> None:
-        n = self.n
-        chosen = self.lane[:n] * 3 + choice
-        flat = [s.reshape(-1) for s in self.seen]
-        a, b = (f[chosen] * part for f, part in zip(flat, self.parts))
-        self.weight[:n] = 0.98 * (a / (a + b)) + 0.01
-        for k in range(2):
-            flat[k][chosen] += 1
-            often = np.flatnonzero(self.sums[k] > 200)
-            if len(often):
-                self.seen[k][often] *= 0.5
-            self.counts[k][self.row[k]] = self.seen[k]
-            right, record = self.named[k] == ids, self.record[k]
-            fresh = np.flatnonzero(~(right | (record > 0)))
-            self.ids[k][self.at[k][fresh]] = ids[fresh]
-            self.trust[k][self.at[k]] = _NEXT_RECORD[right * np.int8(4) + record]
-        self.hit[:n] = choice < 2
-        self.before[:n] = self.last[:n]
-        self.last[:n] = ids
-
-
-def _settle(low, size, at, move):
-    """Shift out leading words of the lanes ``at``; ``move`` gets lanes and low."""
-    a, b = low[at], size[at]
-    while True:
-        same = (a ^ (a + b)) < _LEAST
-        some = np.flatnonzero(same | (b < _LEAST))
-        if not len(some):
-            return
-        at, a, b, same = at[some], a[some], b[some], same[some]
-        b = np.where(same, b, (np.uint64(0) - a) & (_LEAST - np.uint64(1)))
-        move(at, a)
-        a, b = a << _WORD, b << _WORD
-        low[at], size[at] = a, b
-
-
-def _narrow(low, size, bits, start, width):
-    step = size >> np.uint64(bits)
-    return low + step * start.astype(np.uint64), step * width.astype(np.uint64)
-
-
-def _digits_of(ids: list[np.ndarray]) -> int:
-    top = max((int(x.max()) for x in ids if len(x)), default=0)
-    return max(2, -(-max(1, top.bit_length()) // 4))
-
-
-def _settles(place: int, digits: int) -> bool:
-    """Whether words are shifted out after this digit, before the last one."""
-    return place % 3 == 1 and place < digits - 1
+    def __init__(self, lanes: int, top: int, lookup: bool):
+        kind = np.uint32 if top < 1 << 30 else np.uint64
+        self.tables = [np.zeros(1 << 16, kind) for _ in range(2)]  # id * 4 + record
+        self.mixture, self.order0 = _Mixture(), _Order0(lookup)
+        self.last, self.before = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
+        self.hit = np.zeros(lanes, np.uint8)
+        self.step, self.renewal = 0, 1
 
+    def predict(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids that both tables name."""
+        hashed = self.last * np.uint32(0x9E3779B1)
+        both = hashed + self.before * np.uint32(0x85EBCA6B)
+        self.at = ((both >> 16).astype(np.int64), (hashed >> 16).astype(np.int64))
+        two, one = self.found = [t.take(a) for t, a in zip(self.tables, self.at)]
+        self.record = [(x & 3).astype(np.uint8) for x in self.found]
+        self.named = ((two >> 2).astype(np.uint32), (one >> 2).astype(np.uint32))
+        agree = (self.named[0] == self.named[1]).view(np.uint8)
+        state = self.record[0] | self.record[1] << 2 | agree << 4 | self.hit
+        self.state = state.astype(np.int64)
+        return self.named
 
-def encode(blocks: list[np.ndarray]) -> list[bytes]:
-    """One record per block of ids (unsigned, below 2 ** 31)."""
-    if not blocks:
-        return []
-    order = sorted(range(len(blocks)), key=lambda k: -len(blocks[k]))
-    lengths = np.array([len(blocks[k]) for k in order])
-    lanes, steps, digits = len(blocks), int(lengths[0]), _digits_of(blocks)
-    ids = np.zeros((steps, lanes), np.int32)
-    for lane, k in enumerate(order):
-        ids[: lengths[lane], lane] = blocks[k]
-    models = _Models(lanes, digits)
+    def learn(self, ids: np.ndarray, right: tuple[np.ndarray, np.ndarray], missed: np.ndarray) -> bool:
+        """True if the order-0 distribution is a new one."""
+        choice = self.state * 3 + 1
+        choice -= right[0]
+        choice[missed] += 1
+        self.mixture.seen.append(choice)
+        for table, at, found, record, good in zip(self.tables, self.at, self.found, self.record, right):
+            entry = found + _CHANGE.take(record + (good.view(np.uint8) << 2)).astype(found.dtype)
+            fresh = np.flatnonzero(record < ~good)
+            entry[fresh] = (ids[fresh].astype(found.dtype) << 2) + 1
+            table[at] = entry
+        self.hit = np.full(len(ids), 32, np.uint8)
+        self.hit[missed] = 0
+        self.before, self.last = self.last, ids
+        self.step += 1
+        if self.step < 16 or self.step % 4 == 0:
+            self.mixture.renew()
+        renew = self.step == self.renewal
+        if renew:
+            self.renewal += max(1, self.step // 2)
+            self.order0.renew()
+        return renew
+
+
+def _shape(n: int) -> tuple[int, int]:
+    """Steps and lanes of a block of ``n`` ids."""
+    lanes = _LEAST_LANES
+    while lanes < _MOST_LANES and lanes * 2 * _LEAST_STEPS <= n:
+        lanes *= 2
+    return -(-n // lanes), lanes
+
+
+def _settle(size, some, move):
+    """Shift a word out of the lanes whose intervals are small; ``move`` gets them."""
+    at = np.flatnonzero(size < _LEAST) if some is None else some[size[some] < _LEAST]
+    if len(at):
+        size[at] <<= _WORD
+        move(at)
+
+
+def _numbered(ids: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids in order, and the number of each id among them."""
+    if top > 1 << 20:
+        return np.unique(ids, return_inverse=True)
+    different = np.flatnonzero(np.bincount(ids))
+    number = np.zeros(top + 1, np.int64)
+    number[different] = np.arange(len(different))
+    return different, number[ids]
+
+
+def _encode(block: np.ndarray, top: int) -> bytes:
+    steps, lanes = _shape(len(block))
+    ids = np.zeros(steps * lanes, np.uint32)
+    ids[: len(block)] = block
+    different, numbers = _numbered(ids, top)
+    ids = np.ascontiguousarray(ids.reshape(lanes, steps).T)
+    numbers = np.ascontiguousarray(numbers.reshape(lanes, steps).T)
+    place_of = np.zeros(len(different), np.int64)
+    models = _Models(lanes, top, False)
     low, size = np.zeros(lanes, np.uint64), np.full(lanes, ~np.uint64(0))
-    out = np.zeros((lanes, steps + 64), "<u2")
+    words = np.zeros((2 * steps + 2, lanes), np.uint64)  # an id shifts out two at most
     used = np.zeros(lanes, np.int64)
-    shifts = 4 * np.arange(digits - 1, -1, -1)[:, None]
+    read: list[tuple[np.ndarray, np.ndarray]] = []  # lanes, and how many words they had given
 
-    def emit(at, a):
+    def add(at, more):
+        """Raise low; what goes beyond its words is carried into the word before."""
+        low[at] += more
+        beyond = low[at] < more
+        if beyond.any():
+            at = np.arange(lanes)[at][beyond]
+            words[used[at] - 1, at] += np.uint64(1)
+
+    def emit(at):
         place = used[at]
-        out[at, place] = a >> _TOP_WORD
+        words[place, at] = low[at] >> _WORD
+        low[at] <<= _WORD
         used[at] = place + 1
+        read.append((at, place))
 
-    active = lanes
+    everything = slice(None)
+    even = np.uint64(top + 1)
     for t in range(steps):
-        while lengths[active - 1] <= t:
-            active -= 1
-        if t % 2 == 0 and int(used.max()) + 64 > out.shape[1]:
-            out = np.concatenate([out, np.zeros_like(out)], axis=1)
-        now = ids[t, :active]
-        one, two = models.predict(active)
-        first, second = now == models.named[0], now == models.named[1]
-        choice = np.where(first, 0, np.where(second, 1, 2))
-        start = np.where(first, 0, np.where(second, one, one + two))
-        width = np.where(first, one, np.where(second, two, _TOTAL - one - two))
-        low[:active], size[:active] = _narrow(low[:active], size[:active], _BITS, start, width)
-        missed = np.flatnonzero(choice == 2)
-        if len(missed):
-            left = now[missed] >> shifts
-            digit = left & 15
-            row = models.rows[missed] + models.first_row[:, None] + (left >> 4 & models.prefix[:, None])
-            bounds = models.bounds.take(row, axis=0)
-            edge = np.arange(digit.size).reshape(digit.shape) * 17 + digit
-            begin, end = bounds.reshape(-1)[edge], bounds.reshape(-1)[edge + 1]
-            models.bounds[row] = bounds + ((_TOWARDS[digit] - bounds) >> _RATE)
-            for place in range(digits):
-                low[missed], size[missed] = _narrow(
-                    low[missed], size[missed], _DIGIT_BITS, begin[place], end[place] - begin[place]
-                )
-                if _settles(place, digits):
-                    _settle(low, size, missed, emit)
-        _settle(low, size, models.lane[:active], emit)
-        models.learn(choice, now)
-    # One more word ends a record: with zeros after it, it lies in the last interval.
-    tails = ((low + (_LEAST - np.uint64(1))) >> _TOP_WORD).astype("<u2")
-    records: list[bytes] = [b""] * lanes
-    for lane, k in enumerate(order):
-        raw = blocks[k].astype("<u4").tobytes()
-        records[k] = (
-            _HEADER.pack(MAGIC, len(blocks[k]), digits, zlib.crc32(raw))
-            + out[lane, : used[lane]].tobytes()
-            + tails[lane].tobytes()
-        )
+        now = ids[t]
+        two, one = models.predict()
+        mixture, state, order0 = models.mixture, models.state, models.order0
+        right = (now == two, now == one)
+        missed = np.flatnonzero(~(right[0] | right[1]))
+        first = mixture.first.take(state)
+        start = np.where(right[0], np.uint64(0), first)
+        width = np.where(right[0], first, mixture.second.take(state))
+        place = place_of.take(numbers[t].take(missed))
+        fresh = missed.take(np.flatnonzero(place == len(order0.ids)))
+        left = state.take(missed)
+        rest = mixture.rest.take(left)
+        start[missed] = mixture.named.take(left) + rest * order0.start.take(place)
+        width[missed] = rest * order0.width.take(place)
+        part = size >> _ALL
+        add(everything, start * part)
+        size = part * width
+        _settle(size, None, emit)
+        if len(fresh):
+            part = size[fresh] // even
+            add(fresh, now[fresh].astype(np.uint64) * part)
+            size[fresh] = part
+            _settle(size, fresh, emit)
+        order0.learn(place, now[fresh])
+        if models.learn(now, right, missed):
+            place_of[:] = len(order0.ids)
+            place_of[np.searchsorted(different, order0.ids)] = np.arange(len(order0.ids))
+    # One more word ends a lane: with zeros after it, it lies in the last interval.
+    add(everything, np.full(lanes, _LOW_WORD))
+    words[used, np.arange(lanes)] = low >> _WORD
+    while (over := words >> _WORD).any():
+        words &= _LOW_WORD
+        words[:-1] += over[1:]
+    # A reader holds two words of each lane, and takes one for each that is shifted out.
+    at, place = (np.concatenate(x) for x in zip(*read)) if read else (np.zeros(0, np.int64),) * 2
+    coded = np.concatenate([words[0], words[1], words[place + 2, at]])
+    return coded.astype("<u4").tobytes().rstrip(b"\0")
+
+
+def encode(blocks: list[np.ndarray]) -> list[bytes]:
+    """One record per block of ids (unsigned, below 2 ** 31)."""
+    records = []
+    for block in blocks:
+        top = int(block.max()) if len(block) else 0
+        head = _HEADER.pack(MAGIC, len(block), top, zlib.crc32(block.astype("<u4").tobytes()))
+        records.append(head + (_encode(block, top) if len(block) else b""))
     return records
 
 
 def decode(records: list[bytes]) -> list[np.ndarray]:
     """The ids of each record; a damaged record raises ``ValueError``."""
-    if not records:
-        return []
-    heads = [_HEADER.unpack_from(r) for r in records]
-    if any(h[0] != MAGIC for h in heads):
-        raise ValueError("not a record of token ids")
-    out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(records)
-    for digits in sorted({h[2] for h in heads}):
-        some = [k for k, h in enumerate(heads) if h[2] == digits]
-        for k, ids in zip(some, _decode([records[k] for k in some], [heads[k][1] for k in some], digits)):
-            if zlib.crc32(ids.astype("<u4").tobytes()) != heads[k][3]:
-                raise ValueError("checksum of a block of token ids does not hold")
-            out[k] = ids
+    out = []
+    for record in records:
+        if len(record) < _HEADER.size or record[:4] != MAGIC:
+            raise ValueError("not a record of token ids")
+        _, n, top, crc = _HEADER.unpack_from(record)
+        ids = _decode(record[_HEADER.size :], n, top) if n else np.zeros(0, np.uint32)
+        if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
+            raise ValueError("checksum of a block of token ids does not hold")
+        out.append(ids)
     return out
 
 
-def _decode(records: list[bytes], counts: list[int], digits: int) -> list[np.ndarray]:
-    order = sorted(range(len(records)), key=lambda k: -counts[k])
-    lengths = np.array([counts[k] for k in order])
-    lanes, steps = len(records), int(lengths[0])
-    longest = (max(map(len, records)) - _HEADER.size) // 2
-    data = np.zeros((lanes, longest + 5), np.uint16)
-    for lane, k in enumerate(order):
-        body = np.frombuffer(records[k], "<u2", offset=_HEADER.size)
-        data[lane, : len(body)] = body
-    models = _Models(lanes, digits)
-    low, size = np.zeros(lanes, np.uint64), np.full(lanes, ~np.uint64(0))
-    code = np.zeros(lanes, np.uint64)
-    for k in range(4):
-        code = code << _WORD | data[:, k]
-    used = np.full(lanes, 4)
-    last = data.shape[1] - 1
-
-    def fetch(at, _):
-        place = used[at]
-        code[at] = code[at] << _WORD | data[at, np.minimum(place, last)]
-        used[at] = place + 1
+def _decode(coded: bytes, n: int, top: int) -> np.ndarray:
+    steps, lanes = _shape(n)
+    # No more words are read than ids shift out; zeros at the end were left away.
+    data = np.frombuffer(coded + b"\0" * (-len(coded) % 4), "<u4").astype(np.uint64)
+    data = np.concatenate([data, np.zeros(3 * lanes, np.uint64)])
+    code = data[:lanes] << _WORD | data[lanes : 2 * lanes]
+    taken = 2 * lanes
+    models = _Models(lanes, top, True)
+    size = np.full(lanes, ~np.uint64(0))
 
-    def value(code, low, size, bits):
-        found = (code - low) // (size >> np.uint64(bits))
-        return np.minimum(found, np.uint64((1 << bits) - 1)).astype(np.int64)
+    def fetch(at):
+        nonlocal data, taken
+        if taken + len(at) > len(data):
+            data = np.concatenate([data, np.zeros(len(data) + lanes, np.uint64)])
+        code[at] = code[at] << _WORD | data[taken : taken + len(at)]
+        taken += len(at)
 
-    ids = np.zeros((steps, lanes), np.int32)
-    active = lanes
+    out = np.zeros((lanes, steps), np.uint32)
+    even = np.uint64(top + 1)
     for t in range(steps):
-        while lengths[active - 1] <= t:
-            active -= 1
-        one, two = models.predict(active)
-        v = value(code[:active], low[:active], size[:active], _BITS)
-        first, second = v < one, v < one + two
-        choice = np.where(first, 0, np.where(second, 1, 2))
-        start = np.where(first, 0, np.where(second, one, one + two))
-        width = np.where(first, one, np.where(second, two, _TOTAL - one - two))
-        low[:active], size[:active] = _narrow(low[:active], size[:active], _BITS, start, width)
-        now = np.where(first, models.named[0], models.named[1])
-        missed = np.flatnonzero(choice == 2)
-        if len(missed):
-            left = np.zeros(len(missed), np.int64)
-            rows, edges = models.rows[missed], np.arange(len(missed)) * 17
-            for place in range(digits):
-                row = rows + models.first_row[place] + (left & models.prefix[place])
-                bounds = models.bounds.take(row, axis=0)
-                a, b = low[missed], size[missed]
-                v = value(code[missed], a, b, _DIGIT_BITS).astype(np.int16)
-                # Sixteen truth values as two words of bytes, added up.
-                below = (bounds[:, 1:] <= v[:, None]).view(np.uint64)
-                digit = ((below[:, 0] + below[:, 1]) * np.uint64(0x0101010101010101) >> np.uint64(56)).astype(np.int64)
-                edge = edges + digit
-                begin, end = bounds.reshape(-1)[edge], bounds.reshape(-1)[edge + 1]
-                low[missed], size[missed] = _narrow(a, b, _DIGIT_BITS, begin, end - begin)
-                models.bounds[row] = bounds + ((_TOWARDS[digit] - bounds) >> _RATE)
-                left = left << 4 | digit
-                if _settles(place, digits):
-                    _settle(low, size, missed, fetch)
-            now[missed] = left
-        _settle(low, size, models.lane[:active], fetch)
-        ids[t, :active] = now
-        models.learn(choice, now)
-    out: list[np.ndarray] = [np.zeros(0, np.uint32)] * lanes
-    for lane, k in enumerate(order):
-        out[k] = ids[: lengths[lane], lane].astype(np.uint32)
-    return out
+        two, one = models.predict()
+        mixture, state, order0 = models.mixture, models.state, models.order0
+        part = size >> _ALL
+        v = np.minimum(code // part, _LAST_PART)
+        first, second = mixture.first.take(state), mixture.second.take(state)
+        low = v < first
+        missed = np.flatnonzero(v >= first + second)
+        start, width = np.where(low, np.uint64(0), first), np.where(low, first, second)
+        now = np.where(low, two, one)
+        left = state.take(missed)
+        named, rest = mixture.named.take(left), mixture.rest.take(left)
+        place = order0.place.take((v.take(missed) - named) // rest)
+        start[missed] = named + rest * order0.start.take(place)
+        width[missed] = rest * order0.width.take(place)
+        code -= start * part
+        size = part * width
+        _settle(size, None, fetch)
+        now[missed] = order0.known.take(place)
+        fresh = missed.take(np.flatnonzero(place == len(order0.ids)))
+        if len(fresh):
+            part = size[fresh] // even
+            v = np.minimum(code[fresh] // part, np.uint64(top))
+            code[fresh] -= v * part
+            size[fresh] = part
+            now[fresh] = v
+            _settle(size, fresh, fetch)
+        order0.learn(place, now[fresh])
+        out[:, t] = now
+        models.learn(now, (now == two, now == one), missed)
+    return out.reshape(-1)[:n]

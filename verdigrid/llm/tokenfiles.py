@@ -19,7 +19,8 @@ from __future__ import annotations
 
 import os
 import zlib
-from itertools import chain
+from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from verdigrid.llm.ragged import Memory, gathered
-from verdigrid.llm.rangecoder import BLOCK_IDS, LANES, decode, encode
+from verdigrid.llm.ragged import LONGEST_KEPT, MEMORY_BYTES, gathered
+from verdigrid.llm.rangecoder import BLOCK_IDS, decode, encode
 from verdigrid.llm.words import Window as TextWindow
 from verdigrid.llm.words import Words, byte_class, windows
 from verdigrid.shared import fresh_folder
@@ -44,27 +45,98 @@ FILE_SCHEMA = (
 )
 
 
+class _Known:
+    """Ids of pieces met so far, as slices of one array; emptied when its bytes are used up."""
+
+    #: What an entry costs besides its piece and ids.
+    ENTRY = 150
+
+    def __init__(self, compute: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
+        self.compute = compute
+        self._clear()
+
+    def _clear(self):
+        self.number: dict[bytes, int] = {}
+        self.flat = np.array([END_ID], np.uint32)  # number 0 is the end of a document
+        self.starts, self.sizes = np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.total = self.entries = 1
+        self.held = 0
+
+    def _add(self, name: str, at: int, values: np.ndarray):
+        old = getattr(self, name)
+        if at + len(values) > len(old):
+            old = np.concatenate([old[:at], np.zeros(at + 2 * len(values), old.dtype)])
+            setattr(self, name, old)
+        old[at : at + len(values)] = values
+
+    def look_up(self, pieces: list[bytes]) -> np.ndarray:
+        """Numbers of pieces, good until the next call: places in ``starts`` and ``sizes``."""
+        if self.held > MEMORY_BYTES:
+            self._clear()
+        numbers = np.fromiter(map(self.number.get, pieces, repeat(-1)), np.int64, len(pieces))
+        unknown = np.flatnonzero(numbers < 0)
+        if len(unknown):
+            new = [pieces[k] for k in unknown.tolist()]
+            ids, sizes = self.compute(new)
+            self._add("flat", self.total, ids)
+            self._add("starts", self.entries, self.total + np.cumsum(sizes) - sizes)
+            self._add("sizes", self.entries, sizes)
+            numbers[unknown] = np.arange(self.entries, self.entries + len(new))
+            self.number.update(x for x in zip(new, numbers[unknown].tolist()) if len(x[0]) <= LONGEST_KEPT)
+            self.total, self.entries = self.total + len(ids), self.entries + len(new)
+            self.held += self.ENTRY * len(new) + sum(map(len, new)) + ids.nbytes
+        return numbers
+
+
 class Encoder:
     """Ids of texts by a tokenizer file, white-space-free piece by piece."""
 
     #: A file whose ids of this text are not those of its pieces is refused.
     PROBE = "It's 3.14 don't  A-b\n c's (x) <ok> _y_ 12\n\nÉ ß 'll z!?"
+    #: Pieces go to the library many at a time with this one between them, if it has one id.
+    MARK = "\x01"
+    TOGETHER = 1000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        pieces = self.PROBE.replace("\n", " ").split(" ")
+        self.mark = None
+        pieces = [p.encode() for p in self.PROBE.replace("\n", " ").split(" ")]
         whole = self.tokenizer.encode(self.PROBE, add_special_tokens=False).ids
-        if whole != [x for ids in self._ids([p.encode() for p in pieces]) for x in ids]:
+        ids, sizes = self._ids(pieces)
+        if whole != ids.tolist():
             raise ValueError("the tokenizer's ids of a piece depend on the white space beside it")
-        self.memory = Memory(self._ids)
-
-    def _ids(self, pieces: list[bytes]) -> list[list[int]]:
-        texts = [p.decode() for p in pieces]
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [encoding.ids for encoding in found]
+        mark = self._library(self.MARK)
+        if len(mark) == 1:
+            self.mark = mark[0]
+            joined = self._ids(pieces)
+            if joined[0].tolist() != whole or joined[1].tolist() != sizes.tolist():
+                self.mark = None
+        self.known = _Known(self._ids)
+
+    def _library(self, text: str) -> np.ndarray:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found[0].ids, np.uint32)
+
+    def _ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and each piece's number of ids."""
+        flat, sizes = [], []
+        for k in range(0, len(pieces), self.TOGETHER):
+            texts = [p.decode() for p in pieces[k : k + self.TOGETHER]]
+            text, marks = f" {self.MARK} ".join(texts), len(texts) - 1
+            if self.mark is not None and text.count(self.MARK) == marks:
+                ids = self._library(text)
+                at = np.flatnonzero(ids == self.mark)
+                if len(at) == marks:
+                    flat.append(np.delete(ids, at))
+                    sizes.append(np.diff(at, prepend=-1, append=len(ids)) - 1)
+                    continue
+            apart = [self._library(t) for t in texts]
+            flat += apart
+            sizes.append(np.fromiter(map(len, apart), np.int64, len(apart)))
+        return np.concatenate(flat), np.concatenate(sizes)
 
     def encode(self, window: TextWindow) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the window's rows, one row after another, and each row's number of ids.
@@ -73,16 +145,21 @@ class Encoder:
         """
         words = Words(window, _INSIDE, fold=None)
         rows = len(window.bounds) - 1
-        found = [*self.memory.look_up(words.dictionary.to_pylist()), [END_ID]]
-        numbers, of_row = words.numbers, words.rows
+        numbers, of_row = self.known.look_up(_slices(words.dictionary))[words.numbers], words.rows
         if window.last:
             last = np.searchsorted(of_row, np.arange(rows), "right")
-            numbers = np.insert(numbers, last, len(found) - 1)
+            numbers = np.insert(numbers, last, 0)
             of_row = np.insert(of_row, last, np.arange(rows))
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
-        ids = gathered(flat, (np.cumsum(sizes) - sizes)[numbers], sizes[numbers])
-        return ids, np.bincount(of_row, sizes[numbers], rows).astype(np.int64)
+        sizes = self.known.sizes[numbers]
+        ids = gathered(self.known.flat, self.known.starts[numbers], sizes)
+        return ids, np.bincount(of_row, sizes, rows).astype(np.int64)
+
+
+def _slices(array: pa.LargeBinaryArray) -> list[bytes]:
+    _, ends, data = array.buffers()
+    raw = data.to_pybytes() if data is not None else b""
+    at = np.frombuffer(ends, np.int64, len(array) + 1, array.offset * 8).tolist() if len(array) else []
+    return [raw[a:b] for a, b in zip(at, at[1:])]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -109,34 +186,30 @@ def write_tokens(docs: DataFrame, path: str, folder: str) -> None:
         index: list[list] = []
         held = number = position = block = 0
         unended = False
-        full = BLOCK_IDS * LANES
 
         def flush(everything: bool):
-            """Code full blocks, or all that is left, ``LANES`` at a time."""
+            """Code full blocks, or all that is left."""
             nonlocal buffer, index, held, block
             ids = np.concatenate(buffer) if buffer else np.zeros(0, np.uint32)
             take = len(ids) if everything else len(ids) // BLOCK_IDS * BLOCK_IDS
             begin, at = block * BLOCK_IDS, 0
-            for some in range(0, take, full):
-                cuts = range(some, min(some + full, take), BLOCK_IDS)
-                records = encode([ids[a : min(a + BLOCK_IDS, take)] for a in cuts])
-                rows = []
-                for k, a in enumerate(cuts):
-                    first, last = begin + a, begin + min(a + BLOCK_IDS, take)
-                    inside = []
-                    while at < len(index) and index[at][2] < last:
-                        n, doc, start, size = index[at]
-                        lo, hi = max(first, start), min(last, start + size)
-                        if hi > lo:
-                            inside.append({"number": n, "doc_id": doc, "start": lo, "n": hi - lo})
-                        if start + size > last or (unended and at == len(index) - 1):
-                            break
-                        at += 1
-                    rows.append((task, block + k, records[k], inside))
-                block += len(rows)
+            for a in range(0, take, BLOCK_IDS):
+                some = ids[a : min(a + BLOCK_IDS, take)]
+                first, last = begin + a, begin + a + len(some)
+                inside = []
+                while at < len(index) and index[at][2] < last:
+                    n, doc, start, size = index[at]
+                    lo, hi = max(first, start), min(last, start + size)
+                    if hi > lo:
+                        inside.append({"number": n, "doc_id": doc, "start": lo, "n": hi - lo})
+                    if start + size > last or (unended and at == len(index) - 1):
+                        break
+                    at += 1
+                row = (task, block, encode([some])[0], inside)
+                block += 1
                 kinds = [pa.int64(), pa.int64(), pa.binary(), _INDEX]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                    [pa.array([x], k) for x, k in zip(row, kinds)],
                     ["task", "block", "record", "index"],
                 )
             index, buffer, held = index[at:], [ids[take:]], len(ids) - take
@@ -153,7 +226,7 @@ def write_tokens(docs: DataFrame, path: str, folder: str) -> None:
                     number += 1
                 position += size
             unended = not window.last
-            if held >= full:
+            if held >= BLOCK_IDS:
                 yield from flush(False)
         yield from flush(True)
 
@@ -173,23 +246,15 @@ _INDEX = pa.list_(
 def _parts(batches):
     """Decoded documents, or their parts where they span blocks, as checksums."""
     for batch in batches:
-        for a in range(0, batch.num_rows, LANES):
-            some = batch.slice(a, LANES)
-            blocks = decode(some.column("record").to_pylist())
+        for row in batch.to_pylist():
+            begin, ids = row["block"] * BLOCK_IDS, decode([row["record"]])[0].astype("<u4")
             rows = [
-                (task, p["number"], p["doc_id"], p["start"], p["n"],
-                 zlib.crc32(ids[p["start"] - begin : p["start"] - begin + p["n"]].astype("<u4").tobytes()))
-                for task, begin, parts, ids in zip(
-                    some.column("task").to_pylist(),
-                    (b * BLOCK_IDS for b in some.column("block").to_pylist()),
-                    some.column("index").to_pylist(),
-                    blocks,
-                )
-                for p in parts
+                (row["task"], p["number"], p["doc_id"], p["start"], p["n"],
+                 zlib.crc32(ids[p["start"] - begin : p["start"] - begin + p["n"]]))
+                for p in row["index"]
             ]
-            columns = zip(*rows) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns],
+                [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 6)],
                 ["task", "number", "doc_id", "start", "n", "crc"],
             )
 
