@@ -209,7 +209,7 @@ def _encode(block: np.ndarray, top: int) -> bytes:
     numbers = np.ascontiguousarray(numbers.reshape(lanes, steps).T)
     place_of = np.zeros(len(different), np.int64)
     models = _Models(lanes, top, False)
-    low, size = np.zeros(lanes, np.uint64), np.full(lanes, ~np.uint64(0))
+    low, size = np.zeros(lanes, np.uint64), np.full(lanes, _LEAST)
     words = np.zeros((2 * steps + 2, lanes), np.uint64)  # an id shifts out two at most
     used = np.zeros(lanes, np.int64)
     read: list[tuple[np.ndarray, np.ndarray]] = []  # lanes, and how many words they had given
@@ -265,9 +265,10 @@ def _encode(block: np.ndarray, top: int) -> bytes:
     while (over := words >> _WORD).any():
         words &= _LOW_WORD
         words[:-1] += over[1:]
-    # A reader holds two words of each lane, and takes one for each that is shifted out.
+    # A reader holds two words of each lane, and takes one for each that is shifted out. The
+    # first is always zero, as the first interval is the least.
     at, place = (np.concatenate(x) for x in zip(*read)) if read else (np.zeros(0, np.int64),) * 2
-    coded = np.concatenate([words[0], words[1], words[place + 2, at]])
+    coded = np.concatenate([words[1], words[place + 2, at]])
     return coded.astype("<u4").tobytes().rstrip(b"\0")
 
 
@@ -297,13 +298,13 @@ def decode(records: list[bytes]) -> list[np.ndarray]:
 
 def _decode(coded: bytes, n: int, top: int) -> np.ndarray:
     steps, lanes = _shape(n)
-    # No more words are read than ids shift out; zeros at the end were left away.
+    # Zeros at the end were left away.
     data = np.frombuffer(coded + b"\0" * (-len(coded) % 4), "<u4").astype(np.uint64)
-    data = np.concatenate([data, np.zeros(3 * lanes, np.uint64)])
-    code = data[:lanes] << _WORD | data[lanes : 2 * lanes]
-    taken = 2 * lanes
+    data = np.concatenate([data, np.zeros(2 * lanes, np.uint64)])
+    code = data[:lanes].copy()
+    taken = lanes
     models = _Models(lanes, top, True)
-    size = np.full(lanes, ~np.uint64(0))
+    size = np.full(lanes, _LEAST)
 
     def fetch(at):
         nonlocal data, taken
@@ -312,7 +313,7 @@ def _decode(coded: bytes, n: int, top: int) -> np.ndarray:
         code[at] = code[at] << _WORD | data[taken : taken + len(at)]
         taken += len(at)
 
-    out = np.zeros((lanes, steps), np.uint32)
+    out = np.zeros((steps, lanes), np.uint32)
     even = np.uint64(top + 1)
     for t in range(steps):
         two, one = models.predict()
@@ -342,6 +343,6 @@ def _decode(coded: bytes, n: int, top: int) -> np.ndarray:
             now[fresh] = v
             _settle(size, fresh, fetch)
         order0.learn(place, now[fresh])
-        out[:, t] = now
+        out[t] = now
         models.learn(now, (now == two, now == one), missed)
-    return out.reshape(-1)[:n]
+    return out.T.reshape(-1)[:n]

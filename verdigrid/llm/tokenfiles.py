@@ -8,8 +8,11 @@ block; a document that spans blocks is put together from the checksums of its pa
 
 A piece between blanks and line breaks has the same ids wherever it stands (checked for
 the tokenizer file in use), so pieces are told apart once a window of text, and each worker
-process keeps the ids of pieces it has met, within ``ragged.MEMORY_BYTES``. A text longer
-than a window is encoded part by part.
+process keeps the ids of pieces it has met, within ``ragged.MEMORY_BYTES``. Where the file
+is found to see a piece as runs of letters, digits and runs of others, in either case, runs
+take the place of pieces. New ones go to the library many in a text: a run ends with the
+only id that ends a word, pieces have a mark between them; where the count of these is not
+the expected one, they go one by one. A text longer than a window is encoded part by part.
 
 A null text counts as empty: its document has the end id only. Null ids come first;
 rows with equal ids are ordered by hashes of their texts.
@@ -18,9 +21,10 @@ rows with equal ids are ordered by hashes of their texts.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Callable
-from itertools import repeat
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 from verdigrid.llm.ragged import LONGEST_KEPT, MEMORY_BYTES, gathered
 from verdigrid.llm.rangecoder import BLOCK_IDS, decode, encode
 from verdigrid.llm.words import Window as TextWindow
-from verdigrid.llm.words import Words, byte_class, windows
+from verdigrid.llm.words import LOWER, Words, beginnings, byte_class, endings, windows
 from verdigrid.shared import fresh_folder
 
 END_ID = 2
@@ -45,6 +49,51 @@ FILE_SCHEMA = (
 )
 
 
+_NO_IDS, _NO_SIZES = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+#: A run: ASCII or Latin-1 letters, one digit, or other printing characters of ASCII.
+_RUN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[0-9]|[!-&(-/:;=-@[-`{-~]+")
+#: Pieces with one of these are never cut: contractions, added tokens, control characters.
+_ODD = {*b"'<", *range(32), 127}
+_LETTER, _DIGIT, _OTHER, _CUT_NEVER = 1, 2, 3, 4
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[[*range(65, 91), *range(97, 123), *range(0x80, 0xC0), 0xC3]] = _LETTER
+_KIND[48:58] = _DIGIT
+_KIND[[*_ODD, 0xC0, 0xC1, 0xC2, *range(0xC4, 256)]] = _CUT_NEVER
+_KIND[[10, 32]] = 0
+_KIND = _KIND.tobytes()
+
+
+class _Runs(Words):
+    """Runs of a window's pieces (see ``_RUN``), A-Z in lower case; other pieces whole."""
+
+    def __init__(self, window: TextWindow):
+        data, bounds = window.data, window.bounds
+        raw = data.tobytes()
+        kind = np.frombuffer(bytearray(raw.translate(_KIND)), np.uint8)
+        member = kind > 0
+        edges = bounds[:-1][bounds[:-1] < len(data)]
+        first = beginnings(member, edges)
+        odd = np.flatnonzero(kind == _CUT_NEVER)
+        lead = np.flatnonzero(data[:-1] == 0xC3)
+        odd = np.concatenate([odd, lead[(data[lead + 1] | 32) == 0xB7]])  # signs among the letters
+        if len(odd):
+            starts, ends = np.flatnonzero(first), np.flatnonzero(endings(member, first)) + 1
+            whole = np.unique(np.searchsorted(starts, odd, "right") - 1)
+            change = np.zeros(len(data) + 1, np.int8)
+            change[starts[whole]] += 1
+            change[ends[whole]] -= 1
+            inside = np.cumsum(change[:-1], dtype=np.int8).view(bool)
+            kind[inside] = _LETTER
+            letters = np.where(inside, data, LOWER[data])[member].tobytes()
+        else:
+            letters = raw.translate(LOWER.tobytes(), b"\n ")
+        first[1:] |= member[1:] & ((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT))
+        self.place(data, bounds, letters, member, first)
+
+    def in_order(self) -> pa.Array:
+        return self.dictionary.take(pa.array(self.numbers))
+
+
 class _Known:
     """Ids of pieces met so far, as slices of one array; emptied when its bytes are used up."""
 
@@ -58,7 +107,7 @@ class _Known:
     def _clear(self):
         self.number: dict[bytes, int] = {}
         self.flat = np.array([END_ID], np.uint32)  # number 0 is the end of a document
-        self.starts, self.sizes = np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.starts, self.sizes = np.array([0, 1]), np.ones(1, np.int64)
         self.total = self.entries = 1
         self.held = 0
 
@@ -69,8 +118,13 @@ class _Known:
             setattr(self, name, old)
         old[at : at + len(values)] = values
 
+    def ids(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of entries, one after another."""
+        lists = pa.LargeListArray.from_arrays(self.starts[: self.entries + 1], self.flat[: self.total])
+        return lists.take(pa.array(numbers)).flatten().to_numpy()
+
     def look_up(self, pieces: list[bytes]) -> np.ndarray:
-        """Numbers of pieces, good until the next call: places in ``starts`` and ``sizes``."""
+        """Numbers of pieces, good until the next call."""
         if self.held > MEMORY_BYTES:
             self._clear()
         numbers = np.fromiter(map(self.number.get, pieces, repeat(-1)), np.int64, len(pieces))
@@ -79,7 +133,7 @@ class _Known:
             new = [pieces[k] for k in unknown.tolist()]
             ids, sizes = self.compute(new)
             self._add("flat", self.total, ids)
-            self._add("starts", self.entries, self.total + np.cumsum(sizes) - sizes)
+            self._add("starts", self.entries + 1, self.total + np.cumsum(sizes))
             self._add("sizes", self.entries, sizes)
             numbers[unknown] = np.arange(self.entries, self.entries + len(new))
             self.number.update(x for x in zip(new, numbers[unknown].tolist()) if len(x[0]) <= LONGEST_KEPT)
@@ -93,6 +147,12 @@ class Encoder:
 
     #: A file whose ids of this text are not those of its pieces is refused.
     PROBE = "It's 3.14 don't  A-b\n c's (x) <ok> _y_ 12\n\nÉ ß 'll z!?"
+    #: Pieces that a tokenizer must see as runs of letters, digits, and runs of others, in
+    #: either case, for the runs to be encoded in place of pieces.
+    RUNS = (
+        "The QUICK Brown fOX jumped,over:the LAZY.dog (1234567890) x2y A-Z/b;c \"Ja\" e.g. 3.14 $5 "
+        "!#$%&()*+,-./:;=>?@[\\]^_`{|}~ a_b _c... Dé,jà ÀÖ.ØöøÿĄ ÑÉ1ß ß2 été. GARÇON"
+    )
     #: Pieces go to the library many at a time with this one between them, if it has one id.
     MARK = "\x01"
     TOGETHER = 1000
@@ -102,7 +162,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.mark = None
+        self.mark = self.ends = None
         pieces = [p.encode() for p in self.PROBE.replace("\n", " ").split(" ")]
         whole = self.tokenizer.encode(self.PROBE, add_special_tokens=False).ids
         ids, sizes = self._ids(pieces)
@@ -114,15 +174,59 @@ class Encoder:
             joined = self._ids(pieces)
             if joined[0].tolist() != whole or joined[1].tolist() != sizes.tolist():
                 self.mark = None
+        self.ends = self._end_ids()
         self.known = _Known(self._ids)
 
+    def _end_ids(self) -> np.ndarray | None:
+        """Which ids end a run, if runs can be encoded in place of pieces."""
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if not suffix or not all(set(t.content.encode()) & _ODD for t in added):
+            return None
+        ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            ends[number] = token.endswith(suffix)
+        text = np.frombuffer(self.RUNS.encode(), np.uint8)
+        runs = _slices(_Runs(TextWindow(None, text, np.array([0, len(text)]), False, True)).in_order())
+        want = self.tokenizer.encode(self.RUNS, add_special_tokens=False).ids
+        found = [self._library(r.decode()) for r in runs]
+        sound = np.concatenate(found).tolist() == want
+        single = [f for r, f in zip(runs, found) if _RUN.fullmatch(r)]
+        return ends if sound and all(ends[f].sum() == 1 and ends[f[-1]] for f in single) else None
+
     def _library(self, text: str) -> np.ndarray:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found[0].ids, np.uint32)
 
     def _ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and each piece's number of ids."""
-        flat, sizes = [], []
+        if self.ends is None:
+            return self._marked(pieces)
+        runs = np.fromiter(map(bool, map(_RUN.fullmatch, pieces)), bool, len(pieces))
+        flat, sizes = zip(self._ended(list(compress(pieces, runs))), self._marked(list(compress(pieces, ~runs))))
+        order = np.argsort(np.concatenate([np.flatnonzero(runs), np.flatnonzero(~runs)]))
+        flat, sizes = np.concatenate(flat), np.concatenate(sizes)
+        return gathered(flat, (np.cumsum(sizes) - sizes)[order], sizes[order]), sizes[order]
+
+    def _ended(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of runs in one text: each run has one id that ends it."""
+        flat, sizes = [_NO_IDS], [_NO_SIZES]
+        for k in range(0, len(runs), self.TOGETHER):
+            some = runs[k : k + self.TOGETHER]
+            ids = self._library(b" ".join(some).decode())
+            at = np.flatnonzero(self.ends[ids])
+            if len(at) == len(some):
+                flat.append(ids)
+                sizes.append(np.diff(at, prepend=-1))
+            else:
+                ids, n = self._marked(some)
+                flat.append(ids)
+                sizes.append(n)
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def _marked(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces in one text with marks between them, or one by one."""
+        flat, sizes = [_NO_IDS], [_NO_SIZES]
         for k in range(0, len(pieces), self.TOGETHER):
             texts = [p.decode() for p in pieces[k : k + self.TOGETHER]]
             text, marks = f" {self.MARK} ".join(texts), len(texts) - 1
@@ -143,16 +247,14 @@ class Encoder:
 
         A row's end id follows its last ids, in the window where the row ends.
         """
-        words = Words(window, _INSIDE, fold=None)
-        rows = len(window.bounds) - 1
-        numbers, of_row = self.known.look_up(_slices(words.dictionary))[words.numbers], words.rows
+        words = Words(window, _INSIDE, fold=None) if self.ends is None else _Runs(window)
+        rows, known = len(window.bounds) - 1, self.known
+        numbers = known.look_up(_slices(words.dictionary))[words.numbers]
+        counts = np.bincount(words.rows, known.sizes.take(numbers), rows).astype(np.int64)
         if window.last:
-            last = np.searchsorted(of_row, np.arange(rows), "right")
-            numbers = np.insert(numbers, last, 0)
-            of_row = np.insert(of_row, last, np.arange(rows))
-        sizes = self.known.sizes[numbers]
-        ids = gathered(self.known.flat, self.known.starts[numbers], sizes)
-        return ids, np.bincount(of_row, sizes, rows).astype(np.int64)
+            numbers = np.insert(numbers, np.searchsorted(words.rows, np.arange(rows), "right"), 0)
+            counts += 1
+        return known.ids(numbers), counts
 
 
 def _slices(array: pa.LargeBinaryArray) -> list[bytes]:
@@ -283,8 +385,8 @@ def _joined(batches):
     for batch in batches:
         out = []
         for parts in batch.column("parts").to_pylist():
-            crc = 0
-            for part in parts:
+            crc = parts[0]["crc"]
+            for part in parts[1:]:
                 crc = join_checksums(crc, part["crc"], 4 * part["n"])
             out.append(crc)
         yield pa.RecordBatch.from_arrays(

@@ -62,6 +62,21 @@ def windows(
             start = stop
 
 
+def beginnings(member: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Where runs of members begin; they also begin anew at ``edges``."""
+    first = member.copy()
+    first[1:] &= ~member[:-1]
+    first[edges] = member[edges]
+    return first
+
+
+def endings(member: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where runs of members that begin at ``first`` have their last place."""
+    final = member.copy()
+    final[:-1] &= ~member[1:] | first[1:]
+    return final
+
+
 class Words:
     """All words of a window: places, rows, and numbers into a dictionary.
 
@@ -71,17 +86,15 @@ class Words:
     def __init__(self, window: Window, inside: np.ndarray, fold: np.ndarray | None = LOWER):
         data, bounds = window.data if fold is None else fold[window.data], window.bounds
         member = inside[data]
-        first = member.copy()
-        first[1:] &= ~member[:-1]
         edges = bounds[:-1][bounds[:-1] < len(data)]
-        first[edges] = member[edges]
-        final = member.copy()
-        final[:-1] &= ~member[1:] | first[1:]
+        self.place(data, bounds, data[member], member, beginnings(member, edges))
+
+    def place(self, data: np.ndarray, bounds: np.ndarray, letters, member: np.ndarray, first: np.ndarray) -> None:
+        """Words of the ``member`` bytes, in ``letters``, each from a ``first`` byte on."""
         self.starts = np.flatnonzero(first)
-        self.ends = np.flatnonzero(final) + 1
-        self.rows = np.searchsorted(bounds, self.starts, "right") - 1
+        self.ends = np.flatnonzero(endings(member, first)) + 1
+        self.rows = np.repeat(np.arange(len(bounds) - 1), np.diff(np.searchsorted(self.starts, bounds)))
         offsets = np.concatenate([[0], np.cumsum(self.ends - self.starts)]).astype(np.int64)
-        letters = data[member]
         array = pa.Array.from_buffers(
             pa.large_binary(),
             len(self.starts),
