@@ -348,15 +348,15 @@ _INDEX = pa.list_(
 def _parts(batches):
     """Decoded documents, or their parts where they span blocks, as checksums."""
     for batch in batches:
-        for row in batch.to_pylist():
-            begin, ids = row["block"] * BLOCK_IDS, decode([row["record"]])[0].astype("<u4")
-            rows = [
-                (row["task"], p["number"], p["doc_id"], p["start"], p["n"],
-                 zlib.crc32(ids[p["start"] - begin : p["start"] - begin + p["n"]]))
-                for p in row["index"]
-            ]
+        for k in range(batch.num_rows):
+            task, block, record = (batch.column(c)[k].as_py() for c in ("task", "block", "record"))
+            number, doc_id, start, n = batch.column("index").slice(k, 1).flatten().flatten()
+            ids = decode([record])[0].astype("<u4")
+            first = start.to_numpy() - block * BLOCK_IDS
+            ends = zip(first.tolist(), (first + n.to_numpy()).tolist())
+            crc = pa.array([zlib.crc32(ids[a:b]) for a, b in ends], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 6)],
+                [pa.array(np.full(len(crc), task)), number, doc_id, start, n, crc],
                 ["task", "number", "doc_id", "start", "n", "crc"],
             )
 
