@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from verdigrid.llm import collocations, lexical, personal, ragged, words
@@ -161,6 +162,30 @@ def test_search_ties_go_by_id(spark):
     assert [r["rank"] for r in got] == list(range(1, 11))
 
 
+def test_search_takes_segments_one_by_one(spark, monkeypatch):
+    def limited(batches, rows, size):
+        for batch in batches:
+            if batch.num_rows > rows or batch.nbytes > size:
+                raise ValueError(f"a batch of {batch.num_rows} rows and {batch.nbytes} bytes")
+            yield batch
+
+    texts = [np.random.default_rng(k).bytes(800_000).hex(" ", 4) for k in range(6)]  # 1.8 MB of words each
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").coalesce(1)
+    items = [(k, f"{text[:8]} {text[-8:]} absent") for k, text in enumerate(texts)]
+    cut = lexical._segments
+    monkeypatch.setattr(lexical, "_segments", lambda some, size: cut(limited(some, 1, 2 << 20), size))
+    index = lexical.build_index(docs, 1 << 20)
+    footers = [pq.ParquetFile(path.removeprefix("file:")).metadata for path in index.inputFiles()]
+    assert [f.row_group(k).num_rows for f in footers for k in range(f.num_row_groups)] == [1] * 6
+    for name in ("_document_counts", "_searched"):
+        make = getattr(lexical, name)
+        monkeypatch.setattr(
+            lexical, name, lambda *args, make=make: lambda some, run=make(*args): run(limited(some, 1, 8 << 20))
+        )
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    assert searched(lexical.search(index, frame)) == ranked([*enumerate(texts)], items)
+
+
 # Collocations
 
 

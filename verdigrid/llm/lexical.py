@@ -4,6 +4,12 @@ The index is a table of segments. A segment covers the documents of one window o
 text: their ids and lengths, and for each term its postings (documents rising, with
 counts). It knows nothing of queries and is written once.
 
+A segment is a row of some megabytes. Left to themselves, a writer of files buffers a
+hundred rows before it looks at their size, a reader takes in 4,096 of a row group at
+once, and Python gets up to 64 MB of them together, so a task's memory grows with the
+files it reads and writes. The index has row groups of about ``GROUP_BYTES``, or of one
+larger segment, and is handed to Python in batches of that size.
+
 A search takes a bounded block of items at a time. One pass over the segments counts
 how many documents hold each of the block's terms; a second one runs every item
 against every segment of a task:
@@ -39,6 +45,7 @@ from pyspark.sql import functions as F
 
 from verdigrid.llm.blocks import bounded
 from verdigrid.llm.words import WINDOW_BYTES, Words, byte_class, windows
+from verdigrid.session import job_settings
 from verdigrid.shared import written
 
 K = 10
@@ -48,9 +55,11 @@ BLOCK_TERMS = 200_000
 SHORT = 0.25
 #: Documents of a step.
 STEP = 1024
+#: Of the index in files, and of what Python gets of it at once; a segment is never split.
+GROUP_BYTES = 1 << 20
 
 _INSIDE = byte_class(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", True)
-#: docs, tfs: unsigned 32-bit integers, the lists of all terms one after another.
+#: docs, tfs: unsigned integers of 1, 2 or 4 bytes, the lists of all terms one after another.
 SEGMENT = (
     "doc_ids array<long>, lengths array<long>, terms array<binary>, dfs array<int>, "
     "docs binary, tfs binary"
@@ -66,12 +75,33 @@ _SEGMENT = pa.schema(
     ]
 )
 _LAST = np.iinfo(np.int64).max
+#: The size of pages and row groups is looked at after every row.
+_ROW_GROUPS = {
+    "parquet.block.size": str(GROUP_BYTES),
+    "parquet.page.size.row.check.min": "1",
+    "parquet.page.size.row.check.max": "1",
+}
+
+
+def _batches(size: int) -> dict[str, str]:
+    """Settings of a job: a batch for Python ends with the row that brings it to ``size`` bytes."""
+    return {"spark.sql.execution.arrow.maxBytesPerBatch": str(size)}
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    kind = np.min_scalar_type(numbers.max(initial=0))
+    return numbers.astype(kind.newbyteorder("<")).tobytes()
+
+
+def _unpacked(packed: pa.BinaryScalar, many: int) -> np.ndarray:
+    data = packed.as_buffer()
+    return np.frombuffer(data, f"<u{max(data.size // max(many, 1), 1)}")
 
 
 def _segment(ids: pa.Array, lengths, terms: pa.Array, dfs, docs, tfs) -> pa.RecordBatch:
     columns = [ids, pa.array(lengths, pa.int64()), terms, pa.array(dfs, pa.int32())]
     lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
-    packed = [pa.array([x.astype("<u4").tobytes()], pa.binary()) for x in (docs, tfs)]
+    packed = [pa.array([_packed(x)], pa.binary()) for x in (docs, tfs)]
     return pa.RecordBatch.from_arrays([*lists, *packed], schema=_SEGMENT)
 
 
@@ -108,7 +138,10 @@ def _segments(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
 def build_index(docs: DataFrame, window_bytes: int = WINDOW_BYTES) -> DataFrame:
     """The segments of ``docs`` (doc_id, text) as a written table."""
     slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    return written(slim.mapInArrow(lambda some: _segments(some, window_bytes), SEGMENT), "lexical-index")
+    segments = slim.mapInArrow(lambda some: _segments(some, window_bytes), SEGMENT)
+    # With its last row, a batch shall still fit a window.
+    with job_settings(docs.sparkSession, _batches(window_bytes * 7 // 8)):
+        return written(segments, "lexical-index", _ROW_GROUPS)
 
 
 def _item_terms(batches):
@@ -207,8 +240,7 @@ class Segment:
         here = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
         ends = np.cumsum(row["dfs"].values.to_numpy().astype(np.int64))
         starts = ends - row["dfs"].values.to_numpy()
-        docs = np.frombuffer(row["docs"].as_buffer(), np.uint32)
-        tfs = np.frombuffer(row["tfs"].as_buffer(), np.uint32)
+        docs, tfs = (_unpacked(row[n], int(ends[-1]) if len(ends) else 0) for n in ("docs", "tfs"))
         m = 100 - 90 + (90 * row["lengths"].values.to_numpy() * n_docs) // max(n_terms, 1)
         self.lists: dict[int, tuple[np.ndarray, np.ndarray, int]] = {}
         for k, term in zip(here.tolist(), at.fill_null(0).to_numpy()[here].tolist()):
@@ -295,17 +327,21 @@ def search(
     ).first()
     n_docs, n_terms = totals
     kind = "item_id long, doc_id long, score long"
-    found = index.sparkSession.createDataFrame([], kind)
+    # Not from a list in Python, which would start another set of workers.
+    found = index.sparkSession.range(0).select(
+        *(F.lit(None).cast("long").alias(c) for c in ("item_id", "doc_id", "score"))
+    )
     counted = index.select("terms", "dfs")
     for block in _blocks(items):
-        dfs = counted.mapInArrow(_document_counts(block), "t long, df long")
-        rows = bounded(dfs.groupBy("t").agg(F.sum("df").alias("df")), len(block.terms))
-        for t, df in zip(rows.column("t").to_pylist(), rows.column("df").to_pylist()):
-            block.weights[t] = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
-        # Written before the next block is fetched: the driver holds one block.
-        found = found.unionByName(
-            written(index.mapInArrow(_searched(block, n_docs, n_terms, k, short, step), kind), "searched")
-        )
+        with job_settings(index.sparkSession, _batches(GROUP_BYTES)):
+            dfs = counted.mapInArrow(_document_counts(block), "t long, df long")
+            rows = bounded(dfs.groupBy("t").agg(F.sum("df").alias("df")), len(block.terms))
+            for t, df in zip(rows.column("t").to_pylist(), rows.column("df").to_pylist()):
+                block.weights[t] = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
+            # Written before the next block is fetched: the driver holds one block.
+            found = found.unionByName(
+                written(index.mapInArrow(_searched(block, n_docs, n_terms, k, short, step), kind), "searched")
+            )
     order = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return (
         found.withColumn("rank", F.row_number().over(order))

@@ -50,12 +50,12 @@ def qualified(spark: SparkSession, folder: str) -> str:
     return system.makeQualified(path).toString()
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, options: dict[str, str] | None = None) -> DataFrame:
     """``df`` as a table written once to the shared folder.
 
     Cuts lineage like a checkpoint and survives lost executors, but stays
     columnar: later readers load only the columns they use.
     """
     folder = fresh_folder(df.sparkSession, label)
-    df.write.parquet(folder)
+    df.write.options(**(options or {})).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
